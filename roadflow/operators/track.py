@@ -68,7 +68,7 @@ def vehicle_track_steps(flow: DataFrame, requests: DataFrame) -> DataFrame:
     w = Window.partitionBy("plate").orderBy("action_time", *TIE_BREAK)
     return requested_sightings(flow, requests).select(
         "plate",
-        F.row_number().over(w).alias("step"),
+        F.row_number().over(w).cast("bigint").alias("step"),
         "action_time",
         F.col("block_id").alias("blockid"),
         F.col("road_id").alias("roadid"),

@@ -206,6 +206,105 @@ select plate, row_number() over (partition by plate order by action_time, {TIE})
 from flow where plate in (select plate from requests where length(plate) > 0)
 """
 
+BODIES["province_counts"] = """
+with counts as (select substr(plate, 1, 1) as prefix, count(*) as n from flow group by 1)
+select p.province, p.ord, coalesce(c.n, 0) as sightings
+from province p left join counts c on c.prefix = p.prefix
+union all
+select 'other', 8, cast(coalesce((select sum(n) from counts where prefix not in (select prefix from province)), 0) as bigint)
+"""
+
+BODIES["province_snapshot"] = """
+with counts as (select substr(plate, 1, 1) as prefix, count(*) as n from flow group by 1),
+folded as (
+  select p.province, p.ord, coalesce(c.n, 0) as sightings
+  from province p left join counts c on c.prefix = p.prefix
+  union all
+  select 'other', 8, cast(coalesce((select sum(n) from counts where prefix not in (select prefix from province)), 0) as bigint))
+select string_agg(province, '|' order by ord) as provinceList,
+  string_agg(cast(sightings as varchar), '|' order by ord) as provinceCount
+from folded
+"""
+
+BODIES["flow_by_hour"] = """
+select strftime(action_time, '%Y-%m-%d_%H') as date_hour, block_id as blockid,
+  count(*) as sightings, count(distinct plate) as vehicles
+from flow group by 1, 2
+"""
+
+BODIES["flow_by_5min"] = """
+select ws as window_start,
+  strftime(ws, '%Y-%m-%d %H:%M') || '~' ||
+    case when minute(ws) = 55 then strftime(ws, '%Y-%m-%d ') || lpad(cast(hour(ws) + 1 as varchar), 2, '0') || ':00'
+         else strftime(ws + interval 5 minute, '%Y-%m-%d %H:%M') end as time_range,
+  blockid, sightings, vehicles, avg_speed
+from (
+  select time_bucket(interval '5 minutes', action_time) as ws, block_id as blockid,
+    count(*) as sightings, count(distinct plate) as vehicles, round(avg(speed), 3) as avg_speed
+  from flow group by 1, 2)
+"""
+
+BODIES["sighting_gap"] = f"""
+select plate, action_time, block_id as blockid,
+  lag(action_time) over w as prev_time, lag(block_id) over w as prev_blockid,
+  date_diff('second', lag(action_time) over w, action_time) as gap_seconds
+from flow
+window w as (partition by plate order by action_time, {TIE})
+"""
+
+FLOW_COLS = "create_date, block_id, monitor_id, plate, action_time, speed, road_id, area_id"
+
+BODIES["flow_between"] = f"""
+select {FLOW_COLS} from flow
+where action_time > timestamp '{RANGE_LO}' and action_time < timestamp '{RANGE_HI}'
+"""
+
+BODIES["date_keys"] = """
+select plate, block_id as blockid, monitor_id, action_time,
+  strftime(action_time, '%Y%m%d') as date_key, strftime(action_time, '%Y-%m-%d') as date_text,
+  strftime(action_time, '%Y-%m-%d %H:%M:%S') as time_text, strftime(action_time, '%Y%m%d%H%M') as minute_key
+from flow
+"""
+
+BODIES["flow_day_slice"] = f"""
+select {FLOW_COLS} from flow where create_date = cast(date '{SLICE_RUN_DATE}' - interval 1 day as date)
+"""
+
+BODIES["typed_ingest"] = """
+select case when speed = 0 then 'bad_speed' when starts_with(plate, '粤') then 'empty_key' else 'accepted' end as status,
+  count(*) as rows
+from flow group by 1
+"""
+
+BODIES["fixed_width_ids"] = """
+select distinct cast(order_key as varchar) as order_key,
+  case when length(cast(order_key as varchar)) < 4 then lpad(cast(order_key as varchar), 4, '0')
+       else cast(order_key as varchar) end as order_key_4,
+  road_id, case when length(road_id) = 1 then '0' || road_id else road_id end as road_id_2
+from flow
+"""
+
+BODIES["kv_expand"] = """
+select order_key, line_no, cast(speed as varchar) as speed_first, cast(speed + 1 as varchar) as speed_last,
+  road_id as road, area_id as lane, cast(3 as bigint) as n_keys
+from flow
+"""
+
+BODIES["kv_update"] = """
+select order_key, line_no,
+  'speed=' || case when speed > 0 and speed < 60 then 'min' when speed >= 60 and speed < 90 then 'normal'
+                   when speed >= 90 and speed < 120 then 'med' when speed >= 120 then 'high' else 'none' end
+  || '|road=' || road_id || '|x=1=2|bad=|lane=' || area_id || '=|speed=' || cast(speed + 1 as varchar) as attrs
+from flow
+"""
+
+BODIES["comma_clean"] = """
+select order_key, line_no,
+  case when speed = 0 then ',' else ',' || block_id || ',' || monitor_id || ',' end as raw,
+  case when speed = 0 then '' else block_id || ',' || monitor_id end as cleaned
+from flow
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

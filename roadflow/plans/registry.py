@@ -102,3 +102,74 @@ def q_vehicle_track_named(spark, sf):
 @register("vehicle_track_steps")
 def q_vehicle_track_steps(spark, sf):
     return track.vehicle_track_steps(fx.flow(spark, sf), fx.requests(spark, sf))
+
+
+# --- provinces, time and text jobs -----------------------------------------------------------------
+
+from roadflow.operators import province, textops, timeops  # noqa: E402
+from roadflow.plans.params import RANGE_HI, RANGE_LO, SLICE_RUN_DATE  # noqa: E402
+
+
+@register("province_counts")
+def q_province_counts(spark, sf):
+    return province.province_counts(spark, fx.flow(spark, sf))
+
+
+@register("province_snapshot")
+def q_province_snapshot(spark, sf):
+    return province.province_snapshot(province.province_counts(spark, fx.flow(spark, sf)))
+
+
+@register("flow_by_hour")
+def q_flow_by_hour(spark, sf):
+    return timeops.flow_by_hour(fx.flow(spark, sf))
+
+
+@register("flow_by_5min")
+def q_flow_by_5min(spark, sf):
+    return timeops.flow_by_5min(fx.flow(spark, sf))
+
+
+@register("sighting_gap")
+def q_sighting_gap(spark, sf):
+    return timeops.sighting_gap(fx.flow(spark, sf))
+
+
+@register("flow_between")
+def q_flow_between(spark, sf):
+    return timeops.flow_between(fx.flow(spark, sf), RANGE_LO, RANGE_HI)
+
+
+@register("date_keys")
+def q_date_keys(spark, sf):
+    return timeops.date_keys(fx.flow(spark, sf))
+
+
+@register("flow_day_slice")
+def q_flow_day_slice(spark, sf):
+    return timeops.flow_day_slice(fx.flow(spark, sf), SLICE_RUN_DATE)
+
+
+@register("typed_ingest")
+def q_typed_ingest(spark, sf):
+    return textops.typed_ingest_counts(fx.flow(spark, sf))
+
+
+@register("fixed_width_ids")
+def q_fixed_width_ids(spark, sf):
+    return textops.fixed_width_ids(fx.flow(spark, sf))
+
+
+@register("kv_expand")
+def q_kv_expand(spark, sf):
+    return textops.kv_expand(fx.flow(spark, sf))
+
+
+@register("kv_update")
+def q_kv_update(spark, sf):
+    return textops.kv_update(fx.flow(spark, sf))
+
+
+@register("comma_clean")
+def q_comma_clean(spark, sf):
+    return textops.comma_clean(fx.flow(spark, sf))
