@@ -8,7 +8,16 @@ from __future__ import annotations
 
 import re
 
-from roadflow.plans.params import RUN_DATE, SLICE_RUN_DATE, RANGE_LO, RANGE_HI, TOP_N, WINDOW_SIZE_H, WINDOW_SLIDE_H
+from roadflow.plans.params import (
+    RANGE_HI,
+    RANGE_LO,
+    RUN_DATE,
+    SLICE_RUN_DATE,
+    STREAM_LOCAL_PREFIX,
+    TOP_N,
+    WINDOW_SIZE_H,
+    WINDOW_SLIDE_H,
+)
 
 VIEWS = {
     "flow": """
@@ -305,6 +314,33 @@ select order_key, line_no,
 from flow
 """
 
+BODIES["stream_window_speed"] = f"""
+select ws as window_start, ws + interval {WINDOW_SIZE_H} hour as window_end, block_id as blockid,
+  cast(sum(speed) // count(*) as bigint) as avg_speed, count(*) as sightings
+from (
+  select time_bucket(interval {WINDOW_SLIDE_H} hour, action_time) as ws, block_id, speed from flow_events
+  union all
+  select time_bucket(interval {WINDOW_SLIDE_H} hour, action_time) - interval {WINDOW_SLIDE_H} hour as ws, block_id, speed
+  from flow_events)
+group by ws, block_id
+"""
+
+BODIES["stream_totals"] = f"""
+select count(*) as current_auto_count,
+  count(*) filter (where not starts_with(plate, '{STREAM_LOCAL_PREFIX}')) as current_inbound_auto
+from flow_events
+"""
+
+BODIES["stream_provinces"] = BODIES["province_counts"].replace("from flow group by", "from flow_events group by")
+
+BODIES["stream_alerts"] = """
+select plate, action_time, strftime(action_time, '%H:%M') as alert_time, block_id as blockid,
+  road_id as roadid, area_id as areaid
+from flow_events where plate in (select plate from requests where length(plate) > 0)
+"""
+
+BODIES["stream_track_requests"] = BODIES["vehicle_track"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

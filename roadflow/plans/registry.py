@@ -173,3 +173,57 @@ def q_kv_update(spark, sf):
 @register("comma_clean")
 def q_comma_clean(spark, sf):
     return textops.comma_clean(fx.flow(spark, sf))
+
+
+# --- streaming jobs, driven to completion over the events table ---------------------------------------
+
+from roadflow.plans.params import STREAM_LOCAL_PREFIX, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
+from roadflow.session import scratch_path  # noqa: E402
+from roadflow.streaming import live  # noqa: E402
+from roadflow.streaming import sources as streams  # noqa: E402
+
+
+@register("stream_window_speed")
+def q_stream_window_speed(spark, sf):
+    flow = streams.events_flow_stream(spark, sf)
+    s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
+    return live.run_available_now(spark, s, "stream_window_speed", ["window_start", "window_end", "blockid"])
+
+
+@register("stream_totals")
+def q_stream_totals(spark, sf):
+    s = live.totals_stream(streams.events_flow_stream(spark, sf), STREAM_LOCAL_PREFIX)
+    return live.run_available_now(spark, s, "stream_totals", [], output_mode="complete")
+
+
+@register("stream_provinces")
+def q_stream_provinces(spark, sf):
+    s = live.province_prefix_stream(streams.events_flow_stream(spark, sf))
+    counts = live.run_available_now(spark, s, "stream_provinces", ["prefix"], output_mode="update")
+    return province.fold_provinces(spark, counts)
+
+
+@register("stream_alerts")
+def q_stream_alerts(spark, sf):
+    s = live.alerts_stream(streams.events_flow_stream(spark, sf), fx.requests(spark, sf))
+    return live.run_available_now(spark, s, "stream_alerts", None)
+
+
+@register("stream_track_requests")
+def q_stream_track_requests(spark, sf):
+    from pyspark.sql import functions as F
+
+    # Request messages as the request topic would carry them, written by Spark from the customer table.
+    inbox = scratch_path(spark, "track-requests-inbox")
+    fx.requests(spark, sf).select(F.to_json(F.struct("plate")).alias("value")).write.text(inbox)
+    out = scratch_path(spark, "track-requests-out")
+    q = live.start_track_requests(
+        fx.flow(spark, sf),
+        streams.text_request_stream(spark, inbox),
+        out,
+        scratch_path(spark, "track-requests-ckpt"),
+        RUN_DATE,
+        {"availableNow": True},
+    )
+    q.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
