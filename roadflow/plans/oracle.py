@@ -341,6 +341,28 @@ from flow_events where plate in (select plate from requests where length(plate)
 
 BODIES["stream_track_requests"] = BODIES["vehicle_track"]
 
+DEVICE_STATUS_CTE = BODIES["device_status"]
+
+BODIES["device_chart_snapshot"] = f"""
+with st as ({DEVICE_STATUS_CTE})
+select string_agg(blockid, '|' order by blockid) as blockid,
+  string_agg(cast(abnormal_monitor_count as varchar), '|' order by blockid) as brokenCount,
+  string_agg(cast(monitor_standard_count as varchar), '|' order by blockid) as monitorSum
+from st
+"""
+
+BODIES["device_web_snapshot"] = f"""
+with st as ({DEVICE_STATUS_CTE})
+select create_date,
+  string_agg('(' || blockid || ',' || cast(abnormal_monitor_count as varchar) || '|' || abnormal_monitor_camera_infos || ')',
+             '>' order by blockid) as blockMonitor
+from st group by create_date
+"""
+
+BODIES["table_append"] = f"""
+select * from ({BODIES["block_speed_bands"]}) union all select * from ({BODIES["block_speed_bands"]})
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

@@ -227,3 +227,33 @@ def q_stream_track_requests(spark, sf):
     )
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
+
+
+# --- sinks: written, then read back -----------------------------------------------------------------
+
+from roadflow.sinks import tables as sinks  # noqa: E402
+
+
+@register("device_chart_snapshot")
+def q_device_chart_snapshot(spark, sf):
+    chart = device.device_chart(device.device_status(fx.flow(spark, sf), fx.registry(spark, sf), RUN_DATE))
+    path = scratch_path(spark, "device-chart-snapshot")
+    sinks.snapshot_json(chart, path)
+    return sinks.read_snapshot(spark, path, chart.schema)
+
+
+@register("device_web_snapshot")
+def q_device_web_snapshot(spark, sf):
+    web = device.device_web(device.device_status(fx.flow(spark, sf), fx.registry(spark, sf), RUN_DATE))
+    path = scratch_path(spark, "device-web-snapshot")
+    sinks.snapshot_json(web, path)
+    return sinks.read_snapshot(spark, path, web.schema)
+
+
+@register("table_append")
+def q_table_append(spark, sf):
+    bands = speed.block_speed_bands(fx.flow(spark, sf), RUN_DATE)
+    path = scratch_path(spark, "topn-speed-table")
+    sinks.append_table(bands, path, partition_by=["create_date"])
+    sinks.append_table(bands, path, partition_by=["create_date"])
+    return spark.read.parquet(path).select(*bands.columns)
