@@ -79,31 +79,65 @@ def _entries(c: Column, delimiter: str) -> Column:
 def _pairs(c: Column, delimiter: str) -> Column:
     """Entries that split on ``=`` into exactly two parts once trailing ``=`` are dropped (``k=`` and
     ``a=b=c`` are skipped, ``a=1=`` is kept as ``a -> 1``)."""
-    parts = F.transform(_entries(c, delimiter), lambda e: F.split(F.regexp_replace(e, "=+$", ""), "="))
+    return kv_pairs_of(_entries(c, delimiter))
+
+
+def kv_pairs_of(entries: Column | str) -> Column:
+    """``[key, value]`` arrays of the well-formed entries of an entries array (see ``_pairs``)."""
+    parts = F.transform(_c(entries), lambda e: F.split(F.rtrim(e, F.lit("=")), "="))
     return F.filter(parts, lambda a: F.size(a) == 2)
 
 
+def kv_map_of(pairs: Column | str) -> Column:
+    """Map from ``kv_pairs_of`` output; last duplicate wins (LAST_WIN dedup policy)."""
+    return F.map_from_entries(F.transform(_c(pairs), lambda a: F.struct(a[0].alias("k"), a[1].alias("v"))))
+
+
+def kv_first_of(pairs: Column | str, field: str) -> Column:
+    """Value of the first pair named ``field`` from ``kv_pairs_of`` output; null when absent."""
+    hits = F.filter(_c(pairs), lambda a: a[0] == F.lit(field))
+    return F.try_element_at(hits, F.lit(1))[1]
+
+
 def kv_map(c: Column | str, delimiter: str = r"\|") -> Column:
     """All key=value entries as a map; a repeated key keeps its last value (R9). Needs
     ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by ``roadflow.session.configure``)."""
-    pairs = _pairs(_c(c), delimiter)
-    return F.map_from_entries(F.transform(pairs, lambda a: F.struct(a[0].alias("k"), a[1].alias("v"))))
+    return kv_map_of(_pairs(_c(c), delimiter))
 
 
 def kv_field(c: Column | str, field: str, delimiter: str = r"\|") -> Column:
     """Value of the first entry named ``field``; null when absent."""
-    hits = F.filter(_pairs(_c(c), delimiter), lambda a: a[0] == F.lit(field))
-    return F.try_element_at(hits, F.lit(1))[1]
+    return kv_first_of(_pairs(_c(c), delimiter), field)
 
 
-def kv_set(c: Column | str, field: str, value: Column | str, delimiter: str = r"\|") -> Column:
-    """Replace the first entry named ``field`` by ``field=value``; others unchanged; always re-joined with
-    ``|`` (R10). An entry's name is its text before the first ``=``."""
-    x = _c(c)
+def kv_entries(c: Column | str, delimiter: str = r"\|") -> Column:
+    """The entries array of a packed text (trailing empty entries dropped). Project it once into a column
+    when several helpers below read it, so each row is split once."""
+    return _entries(_c(c), delimiter)
+
+
+def kv_position(entries: Column | str, field: str) -> Column:
+    """1-based index of the first entry named ``field`` (0 when absent)."""
+    return F.array_position(F.transform(_c(entries), lambda x: F.substring_index(x, "=", 1)), F.lit(field))
+
+
+def kv_replace_at(entries: Column | str, pos: Column | str, field: str, value: Column | str) -> Column:
+    """Entries re-joined with ``|``, the one at ``pos`` (if > 0) replaced by ``field=value``."""
+    e, p = _c(entries), _c(pos)
     v = F.lit(value) if isinstance(value, str) else value
-    entries = _entries(x, delimiter)
-    names = F.transform(entries, lambda e: F.split(e, "=")[0])
-    pos = F.array_position(names, F.lit(field))
     new = F.concat(F.lit(field + "="), v.cast("string"))
-    out = F.transform(entries, lambda e, i: F.when(i + 1 == pos, new).otherwise(e))
-    return F.array_join(out, "|")
+    before = F.slice(e, F.lit(1), F.greatest(p - 1, F.lit(0)).cast("int"))
+    after = F.slice(e, (p + 1).cast("int"), F.greatest(F.size(e) - p, F.lit(0)).cast("int"))
+    return F.when(p > 0, F.concat_ws("|", before, new, after)).otherwise(F.array_join(e, "|"))
+
+
+def kv_set_entries(entries: Column | str, field: str, value: Column | str) -> Column:
+    """``kv_set`` on an already split entries array."""
+    return kv_replace_at(entries, kv_position(entries, field), field, value)
+
+
+def kv_set(c: Column | str, field: str, value: Column | str, delimiter: str = r"\|") -> Column:
+    """Replace the first entry named ``field`` by ``field=value``; others unchanged; always re-joined with
+    ``|`` (R10). An entry's name is its text before the first ``=``. Built from array slices around the
+    first match (no lookup repeated per element)."""
+    return kv_set_entries(kv_entries(c, delimiter), field, value)
