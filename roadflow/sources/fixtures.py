@@ -36,7 +36,10 @@ def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity"
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    j = li.join(orders, "l_orderkey")
+    # Both sides grow with the data, so the join is a shuffle join on the order key (a broadcast of
+    # orders only fits small inputs). The exchange also gives every downstream stage the session's
+    # shuffle parallelism, whatever the file layout of the scan.
+    j = li.join(orders.hint("shuffle_hash"), "l_orderkey")
     offset = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3571) % 86400
     return j.select(
         F.col("l_orderkey").alias("order_key"),
