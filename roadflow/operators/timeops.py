@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadflow.functions import columns as C
+from roadflow.operators.sequence import lag_by_key
 from roadflow.schemas import FLOW_COLUMNS, TIE_BREAK
 
 
@@ -29,18 +30,18 @@ def flow_by_5min(flow: DataFrame) -> DataFrame:
 def sighting_gap(flow: DataFrame) -> DataFrame:
     """Seconds since the same vehicle's previous sighting (null for its first one).
 
-    One window partitioned by plate, ordered by time and the full tie-break, so the order is the same on
-    every run. Spark sorts each plate's rows with a spilling external sort."""
-    w = Window.partitionBy("plate").orderBy("action_time", *TIE_BREAK)
-    prev = F.lag("action_time").over(w)
-    prev_block = F.lag("block_id").over(w)
-    return flow.select(
+    Order: time, then the full tie-break, so it is the same on every run. The previous row is found with
+    ``lag_by_key`` (range-partitioned on plate and time), so a vehicle with a huge number of sightings is
+    spread over many tasks instead of one window partition."""
+    rows = flow.select("plate", "action_time", *TIE_BREAK)
+    with_prev = lag_by_key(rows, "plate", ["action_time", *TIE_BREAK], ["action_time", "block_id"])
+    return with_prev.select(
         "plate",
         "action_time",
         F.col("block_id").alias("blockid"),
-        prev.alias("prev_time"),
-        prev_block.alias("prev_blockid"),
-        C.seconds_between("action_time", prev).alias("gap_seconds"),
+        F.col("prev_action_time").alias("prev_time"),
+        F.col("prev_block_id").alias("prev_blockid"),
+        C.seconds_between("action_time", "prev_action_time").alias("gap_seconds"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from roadflow.operators.device import _run_date
 from roadflow.operators.joins import bounded_broadcast, numeric_key
+from roadflow.operators.sequence import number_by_key
 from roadflow.schemas import TIE_BREAK
 
 
@@ -61,14 +62,13 @@ def vehicle_track_named(
 
 
 def vehicle_track_steps(flow: DataFrame, requests: DataFrame) -> DataFrame:
-    """The same route as rows (plate, step number, time, block, road, area): the unpacked form for
-    consumers that do not want one string per vehicle."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("plate").orderBy("action_time", *TIE_BREAK)
-    return requested_sightings(flow, requests).select(
+    """The same route as rows (plate, step number, time, block, road, area): the unpacked form, which
+    stays balanced for a vehicle with a huge history (step numbers come from ``number_by_key``)."""
+    s = requested_sightings(flow, requests).select("plate", "action_time", *TIE_BREAK)
+    n = number_by_key(s, "plate", ["action_time", *TIE_BREAK])
+    return n.select(
         "plate",
-        F.row_number().over(w).cast("bigint").alias("step"),
+        "step",
         "action_time",
         F.col("block_id").alias("blockid"),
         F.col("road_id").alias("roadid"),
