@@ -19,9 +19,13 @@ OTHER = "other"
 
 
 def province_dim(spark: SparkSession) -> DataFrame:
-    """The 7-row province dimension with its display order (fixed size, always safe to broadcast)."""
-    rows = [(p, name, i + 1) for i, (p, name) in enumerate(PROVINCES)]
-    return spark.createDataFrame(rows, "prefix string, province string, ord int")
+    """The 7-row province dimension with its display order (fixed size, always safe to broadcast).
+    Built as a JVM-side local relation (no Python-side rows to ship)."""
+    rows = [
+        F.struct(F.lit(p).alias("prefix"), F.lit(name).alias("province"), F.lit(i + 1).alias("ord"))
+        for i, (p, name) in enumerate(PROVINCES)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def prefix_counts(flow: DataFrame) -> DataFrame:
@@ -40,7 +44,9 @@ def fold_provinces(spark: SparkSession, counts: DataFrame) -> DataFrame:
         F.coalesce("ord", F.lit(len(PROVINCES) + 1)).alias("ord"),
         F.coalesce("sightings", F.lit(0).cast("bigint")).alias("sightings"),
     )
-    other = spark.createDataFrame([(OTHER, len(PROVINCES) + 1, 0)], "province string, ord int, sightings bigint")
+    other = spark.range(1).select(
+        F.lit(OTHER).alias("province"), F.lit(len(PROVINCES) + 1).alias("ord"), F.lit(0).cast("bigint").alias("sightings")
+    )
     return keyed.unionByName(other).groupBy("province", "ord").agg(F.sum("sightings").cast("bigint").alias("sightings"))
 
 

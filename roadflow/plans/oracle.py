@@ -363,6 +363,27 @@ BODIES["table_append"] = f"""
 select * from ({BODIES["block_speed_bands"]}) union all select * from ({BODIES["block_speed_bands"]})
 """
 
+WINDOW_SPEEDS = BODIES["stream_window_speed"]
+
+BODIES["stream_speed_rank"] = f"""
+select window_start, window_end,
+  string_agg(blockid, '|' order by avg_speed desc, blockid) as blockRank,
+  string_agg(cast(avg_speed as varchar), '|' order by avg_speed desc, blockid) as speedRank
+from ({WINDOW_SPEEDS}) group by window_start, window_end
+"""
+
+BODIES["stream_live_snapshot"] = f"""
+with t as ({BODIES["stream_totals"]}),
+r as (
+  select window_start,
+    string_agg(blockid, '|' order by avg_speed desc, blockid) as blockRank,
+    string_agg(cast(avg_speed as varchar), '|' order by avg_speed desc, blockid) as speedRank
+  from ({WINDOW_SPEEDS}) group by window_start)
+select date '{RUN_DATE}' as create_date, t.current_auto_count as currentAutoCount,
+  t.current_inbound_auto as currentInboundAuto, r.window_start, r.blockRank, r.speedRank
+from t, r where r.window_start = (select max(window_start) from r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

@@ -257,3 +257,30 @@ def q_table_append(spark, sf):
     sinks.append_table(bands, path, partition_by=["create_date"])
     sinks.append_table(bands, path, partition_by=["create_date"])
     return spark.read.parquet(path).select(*bands.columns)
+
+
+@register("stream_speed_rank")
+def q_stream_speed_rank(spark, sf):
+    flow = streams.events_flow_stream(spark, sf)
+    s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
+    speeds = live.run_available_now(spark, s, "stream_speed_rank", ["window_start", "window_end", "blockid"])
+    return live.speed_rank(speeds)
+
+
+@register("stream_live_snapshot")
+def q_stream_live_snapshot(spark, sf):
+    """All three live queries started together on one source (T5), driven to completion, then the live
+    snapshot written as JSON (K3) and read back."""
+    out = scratch_path(spark, "live")
+    flow = streams.events_flow_stream(spark, sf)
+    qs = live.start_live(
+        flow, out, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True}
+    )
+    for q in qs.values():
+        q.awaitTermination()
+    totals = live.latest_rows(spark, f"{out}/totals", [])
+    speeds = live.latest_rows(spark, f"{out}/window_speed", ["window_start", "window_end", "blockid"])
+    snap = live.live_snapshot(totals, speeds, RUN_DATE)
+    path = scratch_path(spark, "live-snapshot")
+    sinks.snapshot_json(snap, path)
+    return sinks.read_snapshot(spark, path, snap.schema)

@@ -173,3 +173,62 @@ def run_available_now(
     if keys is None:
         return df.select(*stream.columns)
     return latest_rows(spark, out, keys).select(*stream.columns)
+
+
+# --- the reference's live job as one unit (T5 T9) and its snapshot outputs (D13, K3) -----------------
+
+def speed_rank(window_speeds: DataFrame) -> DataFrame:
+    """Per window, blocks ranked by mean speed desc (ties by block) as ``|`` lists ``blockRank`` and
+    ``speedRank``. One row per window; each list is bounded by the number of blocks."""
+    r = window_speeds.groupBy("window_start", "window_end").agg(
+        F.array_sort(F.collect_list(F.struct((-F.col("avg_speed")).alias("k"), "blockid", "avg_speed"))).alias("r")
+    )
+    return r.select(
+        "window_start",
+        "window_end",
+        F.array_join(F.transform("r", lambda x: x["blockid"]), "|").alias("blockRank"),
+        F.array_join(F.transform("r", lambda x: x["avg_speed"].cast("string")), "|").alias("speedRank"),
+    )
+
+
+def live_snapshot(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
+    """Live snapshot row: run date, running totals and the ranking of the latest window. ``totals`` has one
+    row; the latest window is found with a max over window starts (no sort of all windows)."""
+    ranks = speed_rank(window_speeds)
+    latest = ranks.agg(F.max_by(F.struct("window_start", "blockRank", "speedRank"), "window_start")).scalar()
+    rd = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+    return totals.select(
+        rd.alias("create_date"),
+        F.col("current_auto_count").alias("currentAutoCount"),
+        F.col("current_inbound_auto").alias("currentInboundAuto"),
+        latest.alias("l"),
+    ).select(
+        "create_date", "currentAutoCount", "currentInboundAuto",
+        F.col("l.window_start").alias("window_start"),
+        F.col("l.blockRank").alias("blockRank"),
+        F.col("l.speedRank").alias("speedRank"),
+    )
+
+
+def start_live(
+    flow: DataFrame,
+    out_dir: str,
+    size: str = WINDOW,
+    slide: str = SLIDE,
+    watermark: str = "1 hour",
+    local_prefix: str = "黑A",
+    trigger: dict | None = None,
+) -> dict:
+    """The live speed-and-counts job: three queries over the same sighting stream, each with its
+    own checkpoint under ``out_dir``: window speeds (update), running totals (complete) and province
+    prefix counts (update). Returns the started queries by name; read results with ``latest_rows``."""
+    base = out_dir.rstrip("/")
+    plans = {
+        "window_speed": (window_speed_stream(flow, size, slide, watermark), "update"),
+        "totals": (totals_stream(flow, local_prefix), "complete"),
+        "provinces": (province_prefix_stream(flow), "update"),
+    }
+    return {
+        name: start_to_table(s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger)
+        for name, (s, mode) in plans.items()
+    }
