@@ -45,6 +45,16 @@ def minute_key(ts: Column | str) -> Column:
     return F.date_format(_c(ts), "yyyyMMddHHmm")
 
 
+def parse_time(c: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text -> timestamp_ntz; null when it does not parse (R5 ``parseTime``)."""
+    return F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+
+
+def parse_date_key(c: Column | str) -> Column:
+    """``yyyyMMdd`` text -> date; null when it does not parse (R5 ``parseDateKey``)."""
+    return F.try_to_timestamp(_c(c), F.lit("yyyyMMdd")).cast("date")
+
+
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
     """Whole seconds from ``earlier`` to ``later`` (R3); null when either side is null."""
     return F.timestamp_diff("SECOND", _c(earlier), _c(later))

@@ -65,6 +65,7 @@ def date_keys(flow: DataFrame) -> DataFrame:
         F.date_format(t, "yyyy-MM-dd").alias("date_text"),
         F.date_format(t, "yyyy-MM-dd HH:mm:ss").alias("time_text"),
         C.minute_key(t).alias("minute_key"),
+        C.parse_date_key(C.date_key(t)).alias("date_key_parsed"),
     )
 
 

@@ -271,7 +271,8 @@ where action_time > timestamp '{RANGE_LO}' and action_time < timestamp '{RANGE_H
 BODIES["date_keys"] = """
 select plate, block_id as blockid, monitor_id, action_time,
   strftime(action_time, '%Y%m%d') as date_key, strftime(action_time, '%Y-%m-%d') as date_text,
-  strftime(action_time, '%Y-%m-%d %H:%M:%S') as time_text, strftime(action_time, '%Y%m%d%H%M') as minute_key
+  strftime(action_time, '%Y-%m-%d %H:%M:%S') as time_text, strftime(action_time, '%Y%m%d%H%M') as minute_key,
+  cast(strptime(strftime(action_time, '%Y%m%d'), '%Y%m%d') as date) as date_key_parsed
 from flow
 """
 
@@ -384,6 +385,14 @@ select date '{RUN_DATE}' as create_date, t.current_auto_count as currentAutoCoun
 from t, r where r.window_start = (select max(window_start) from r)
 """
 
+BODIES["tsv_ingest"] = """
+select status, create_date, count(*) as rows from (
+  select case when speed = 0 then 'bad_speed' when starts_with(plate, '粤') then 'empty_key' else 'accepted' end as status,
+    case when speed = 0 or starts_with(plate, '粤') then null else create_date end as create_date
+  from flow)
+group by status, create_date
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

@@ -284,3 +284,25 @@ def q_stream_live_snapshot(spark, sf):
     path = scratch_path(spark, "live-snapshot")
     sinks.snapshot_json(snap, path)
     return sinks.read_snapshot(spark, path, snap.schema)
+
+
+@register("tsv_ingest")
+def q_tsv_ingest(spark, sf):
+    """The flow written as the reference's TSV text, ingested into a date-partitioned parquet
+    table plus a reject table, both read back: accepted rows per day and rejected rows per reason."""
+    from pyspark.sql import functions as F
+
+    from roadflow.sources import text as tx
+
+    lines = scratch_path(spark, "flow-tsv")
+    textops.flow_lines(fx.flow(spark, sf)).write.text(lines)
+    good, bad = scratch_path(spark, "flow-typed"), scratch_path(spark, "flow-rejects")
+    # Monthly partitions: at this volume a day holds a few dozen rows (daily is the default at scale).
+    tx.ingest_flow_tsv(spark, lines, good, bad, granularity="month")
+    accepted = spark.read.parquet(good).groupBy(F.lit("accepted").alias("status"), "create_date").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    rejected = spark.read.parquet(bad).groupBy(
+        F.col("reject_reason").alias("status"), F.lit(None).cast("date").alias("create_date")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    return accepted.unionByName(rejected)
