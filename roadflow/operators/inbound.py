@@ -52,13 +52,19 @@ def inbound_first_seen(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> Dat
 
 
 def inbound_summary(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> DataFrame:
-    """Per day: non-local sightings, distinct non-local vehicles, and vehicles first seen that day."""
-    nl = non_local(flow, local_prefix)
-    daily = nl.groupBy("create_date").agg(
-        F.count(F.lit(1)).alias("inbound_sightings"), F.count_distinct("plate").alias("inbound_vehicles")
+    """Per day: non-local sightings, distinct non-local vehicles, and vehicles first seen that day.
+
+    One pass over the sightings: a (plate, day) pre-aggregate (partial, so a hot plate is reduced
+    map-side) feeds both the daily counts and each vehicle's first sighting."""
+    per_plate_day = non_local(flow, local_prefix).groupBy("plate", "create_date").agg(
+        F.count(F.lit(1)).alias("n"), F.min("action_time").alias("first_time")
+    )
+    daily = per_plate_day.groupBy("create_date").agg(
+        F.sum("n").cast("bigint").alias("inbound_sightings"), F.count(F.lit(1)).alias("inbound_vehicles")
     )
     firsts = (
-        inbound_first_seen(flow, local_prefix)
+        per_plate_day.groupBy("plate")
+        .agg(F.min("first_time").alias("first_time"))
         .groupBy(F.to_date("first_time").alias("create_date"))
         .agg(F.count(F.lit(1)).alias("new_vehicles"))
     )
