@@ -60,7 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="roadflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
