@@ -68,3 +68,25 @@ def number_by_key(df: DataFrame, key: str, order: list[str], name: str = "step")
 
 def seconds_col(later: str, earlier: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(earlier), F.col(later))
+
+
+def ordered_join_by_key(df: DataFrame, key: str, order: list[str], values: dict[str, str], sep: str = ">") -> DataFrame:
+    """One row per key with ``out = join(values[out] in (order...) order, sep)`` for each output name.
+
+    Same result as ``array_join(transform(array_sort(collect_list(struct(order..., v))), ...), sep)``
+    per key, but built in pieces: every (partition, key) piece is joined where it lies, and the final
+    step per key only concatenates the ordered pieces. A hot key's rows are therefore never gathered as
+    rows in one task; only its output strings are."""
+    parted = range_parted(df.select(key, *dict.fromkeys([*order, *values.values()])), key, order)
+    item = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
+    pieces = parted.groupBy(key, PID).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    pieces = pieces.select(
+        key, PID, *[F.array_join(F.transform("_items", _field(f"_v_{o}")), sep).alias(o) for o in values]
+    )
+    whole = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(PID, *values))).alias("_pieces"))
+    return whole.select(key, *[F.array_join(F.transform("_pieces", _field(o)), sep).alias(o) for o in values])
+
+
+def _field(name: str):
+    """One-argument lambda reading a struct field (PySpark reads a second argument as the index)."""
+    return lambda x: x[name]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roadflow.operators.device import _run_date
 from roadflow.operators.joins import bounded_broadcast, numeric_key
-from roadflow.operators.sequence import number_by_key
+from roadflow.operators.sequence import number_by_key, ordered_join_by_key
 from roadflow.schemas import TIE_BREAK
 
 
@@ -20,14 +20,10 @@ def requested_sightings(flow: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def _route(df: DataFrame, block: str, road: str, area: str) -> DataFrame:
-    """Per plate, ``>`` lists ordered by time with a total tie-break."""
-    step = F.struct("action_time", *[F.col(c) for c in TIE_BREAK], F.col(block).alias("b"), F.col(road).alias("r"), F.col(area).alias("a"))
-    g = df.groupBy("plate").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    return g.select(
-        "plate",
-        F.array_join(F.transform("steps", lambda s: s["b"]), ">").alias("blockid"),
-        F.array_join(F.transform("steps", lambda s: s["r"]), ">").alias("roadid"),
-        F.array_join(F.transform("steps", lambda s: s["a"]), ">").alias("districtid"),
+    """Per plate, ``>`` lists of blocks, roads and districts ordered by time with a total tie-break
+    (D19), built piecewise so a vehicle with a huge history is not gathered in one task."""
+    return ordered_join_by_key(
+        df, "plate", ["action_time", *TIE_BREAK], {"blockid": block, "roadid": road, "districtid": area}
     )
 
 

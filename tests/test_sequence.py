@@ -45,3 +45,29 @@ def test_hot_key_spans_partitions(spark):
         assert parted.select("_pid").distinct().count() > 1  # the single key is cut over several tasks
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_ordered_join_hot_key(spark):
+    from roadflow.operators.sequence import ordered_join_by_key
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(3000).select(
+            F.when(F.col("id") % 4 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 11).cast("string"))).alias("k"),
+            (F.col("id") % 101).alias("t"),
+            F.col("id").alias("u"),
+            (F.col("id") % 7).cast("string").alias("a"),
+            (F.col("id") % 5).cast("string").alias("b"),
+        )
+        got = {r.k: (r.x, r.y) for r in ordered_join_by_key(df, "k", ["t", "u"], {"x": "a", "y": "b"}).collect()}
+        items = F.array_sort(F.collect_list(F.struct("t", "u", "a", "b")))
+        want_df = df.groupBy("k").agg(items.alias("s")).select(
+            "k",
+            F.array_join(F.transform("s", lambda x: x["a"]), ">").alias("x"),
+            F.array_join(F.transform("s", lambda x: x["b"]), ">").alias("y"),
+        )
+        want = {r.k: (r.x, r.y) for r in want_df.collect()}
+        assert got == want and len(got["hot"][0].split(">")) == 2250
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
