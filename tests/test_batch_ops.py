@@ -113,3 +113,15 @@ def test_track_names_numeric_ids_and_ties(spark):
     n = track.vehicle_track_named(flow, req, district, road, D).collect()[0]
     assert n.districtid == "Seven>05>Seven"  # D18 ('07' = 7) and D17 (unknown id kept)
     assert n.roadid == "One>9>Two"
+
+
+def test_speed_rank_orders_by_mean_desc(spark):
+    from roadflow.streaming import live
+
+    df = spark.createDataFrame(
+        [("2018-04-26 10:00:00", "2018-04-26 10:20:00", "0001", 9), ("2018-04-26 10:00:00", "2018-04-26 10:20:00", "0002", 70),
+         ("2018-04-26 10:00:00", "2018-04-26 10:20:00", "0003", 70)],
+        "window_start string, window_end string, blockid string, avg_speed bigint",
+    )
+    r = live.speed_rank(df).collect()[0]
+    assert (r.blockRank, r.speedRank) == ("0002|0003|0001", "70|70|9")  # D13: ranked, ties by block
