@@ -46,12 +46,12 @@ def device_status(flow: DataFrame, registry: DataFrame, run_date: str | None = N
     ).orderBy("create_date", "blockid")
 
 
-def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """Device status per day and block, for every (day, block) with at least one sighting.
+def _daily_sets(flow: DataFrame, registry: DataFrame) -> DataFrame:
+    """(create_date, block_id, registered, online): per (day, block) with sightings, the block's
+    registered cameras and the registered ones seen that day, both as arrays.
 
-    The registered set of each block (one row per block) is joined to that block's day rows and the
-    seen set removed with ``array_except``; the join key is the block, the row count is the output's.
-    """
+    The registered set of each block (one row per block) is joined to that block's day rows on the
+    block key; both sides are deduplicated aggregates, so no sightings reach the join."""
     reg = registry.select("block_id", "monitor_id").distinct()
     reg_sets = reg.groupBy("block_id").agg(F.array_sort(F.collect_list("monitor_id")).alias("registered"))
     seen = (
@@ -62,9 +62,15 @@ def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
     day = seen.groupBy("create_date", "block_id").agg(
         F.collect_list(F.when(F.col("is_registered"), F.col("monitor_id"))).alias("online")
     )
-    j = day.join(reg_sets, "block_id", "left").withColumn(
+    return day.join(reg_sets, "block_id", "left").withColumn(
         "registered", F.coalesce("registered", F.array().cast("array<string>"))
     )
+
+
+def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
+    """Device status per day and block, for every (day, block) with at least one sighting; the offline
+    list is the registered set minus the cameras seen that day (``array_except``)."""
+    j = _daily_sets(flow, registry)
     offline = F.array_except("registered", "online")
     return j.select(
         "create_date",
@@ -87,12 +93,12 @@ def offline_cameras(flow: DataFrame, registry: DataFrame) -> DataFrame:
 
 def offline_cameras_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
     """(day, block, camera) for registered cameras silent on a day their block had sightings."""
-    d = device_status_daily(flow, registry)
-    return d.select(
+    j = _daily_sets(flow, registry)
+    return j.select(
         "create_date",
-        "blockid",
-        F.explode(F.split("abnormal_monitor_camera_infos", ",")).alias("monitor_id"),
-    ).where(F.col("monitor_id") != "")
+        F.col("block_id").alias("blockid"),
+        F.explode(F.array_except("registered", "online")).alias("monitor_id"),
+    )
 
 
 def unregistered_cameras(flow: DataFrame, registry: DataFrame) -> DataFrame:

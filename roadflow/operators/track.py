@@ -33,6 +33,12 @@ def vehicle_track(flow: DataFrame, requests: DataFrame, run_date: str | None = N
     return r.select(_run_date(run_date).alias("create_date"), "plate", "blockid", "roadid", "districtid")
 
 
+def _one_name_per_id(dim: DataFrame, key: str, name: str) -> DataFrame:
+    """A dimension with a repeated id keeps one name for it (the smallest, so runs agree); ids that are
+    not numbers cannot match and are dropped."""
+    return dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(name).alias(name))
+
+
 def vehicle_track_named(
     flow: DataFrame,
     requests: DataFrame,
@@ -48,8 +54,8 @@ def vehicle_track_named(
     named = (
         s.withColumn("_area_key", numeric_key("area_id"))
         .withColumn("_road_key", numeric_key("road_id"))
-        .join(bounded_broadcast(d.dropDuplicates(["_area_key"])), "_area_key", "left")
-        .join(bounded_broadcast(rd.dropDuplicates(["_road_key"])), "_road_key", "left")
+        .join(bounded_broadcast(_one_name_per_id(d, "_area_key", "district_name")), "_area_key", "left")
+        .join(bounded_broadcast(_one_name_per_id(rd, "_road_key", "road_name")), "_road_key", "left")
         .withColumn("district_label", F.coalesce("district_name", "area_id"))
         .withColumn("road_label", F.coalesce("road_name", "road_id"))
     )
