@@ -39,19 +39,14 @@ def _one_name_per_id(dim: DataFrame, key: str, name: str) -> DataFrame:
     return dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(name).alias(name))
 
 
-def vehicle_track_named(
-    flow: DataFrame,
-    requests: DataFrame,
-    district: DataFrame,
-    road: DataFrame,
-    run_date: str | None = None,
-) -> DataFrame:
-    """The track with road and district names. Each dimension is joined once at sighting grain
-    (not one lookup per visit, D17), on numeric ids (D18); an id without a name stays as the id."""
+def named_sightings(flow: DataFrame, requests: DataFrame, district: DataFrame, road: DataFrame) -> DataFrame:
+    """Requested sightings with ``road_label`` / ``district_label``: each dimension joined once at
+    sighting grain (not one lookup per visit, D17), on numeric ids (D18), broadcast only behind a size
+    check; an id without a name stays as the id."""
     s = requested_sightings(flow, requests)
     d = district.select(numeric_key("district_id").alias("_area_key"), F.col("district_name"))
     rd = road.select(numeric_key("road_id").alias("_road_key"), F.col("road_name"))
-    named = (
+    return (
         s.withColumn("_area_key", numeric_key("area_id"))
         .withColumn("_road_key", numeric_key("road_id"))
         .join(bounded_broadcast(_one_name_per_id(d, "_area_key", "district_name")), "_area_key", "left")
@@ -59,7 +54,17 @@ def vehicle_track_named(
         .withColumn("district_label", F.coalesce("district_name", "area_id"))
         .withColumn("road_label", F.coalesce("road_name", "road_id"))
     )
-    r = _route(named, "block_id", "road_label", "district_label")
+
+
+def vehicle_track_named(
+    flow: DataFrame,
+    requests: DataFrame,
+    district: DataFrame,
+    road: DataFrame,
+    run_date: str | None = None,
+) -> DataFrame:
+    """The track with road and district names (see ``named_sightings``)."""
+    r = _route(named_sightings(flow, requests, district, road), "block_id", "road_label", "district_label")
     return r.select(_run_date(run_date).alias("create_date"), "plate", "blockid", "roadid", "districtid")
 
 

@@ -55,7 +55,7 @@ def test_partial_aggregation_before_shuffle(spark, stored_flow):
 
 
 def test_dimensions_broadcast_after_size_check(spark, stored_flow):
-    p = plan_of(track.vehicle_track_named(stored_flow, fx.requests(spark, SF), fx.district(spark, SF), fx.road(spark, SF), "2024-01-01"))
+    p = plan_of(track.named_sightings(stored_flow, fx.requests(spark, SF), fx.district(spark, SF), fx.road(spark, SF)))
     assert p.count("BroadcastHashJoin") >= 2
 
 
