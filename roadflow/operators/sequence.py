@@ -20,6 +20,21 @@ from roadflow.session import shared_dir
 
 PID = "_pid"
 
+# Largest group one task may handle as a plain window / collect (rows). Above it the range-partitioned
+# path is taken. The check is one partial aggregate over the key; only its maximum reaches the driver.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, key: str) -> int:
+    """Row count of the biggest ``key`` group (0 for an empty frame)."""
+    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(row["m"] or 0)
+
+
+def _needs_split(df: DataFrame, key: str, max_group_rows: int | None) -> bool:
+    bound = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    return largest_group(df, key) > bound
+
 
 def range_parted(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Rows range-partitioned and sorted on (key, order...), checkpointed, with the partition id."""
@@ -38,10 +53,16 @@ def _boundary_rows(parted: DataFrame, key: str, order: list[str], cols: list[str
     return prev.select(PID, F.col("p.k").alias(key), *[F.col(f"p.{c}").alias(f"_fix_{c}") for c in cols])
 
 
-def lag_by_key(df: DataFrame, key: str, order: list[str], cols: list[str]) -> DataFrame:
+def lag_by_key(
+    df: DataFrame, key: str, order: list[str], cols: list[str], max_group_rows: int | None = None
+) -> DataFrame:
     """``df`` plus ``prev_<c>`` for each of ``cols``: the value on the previous row of the same key in
     (order...) order, null on a key's first row. Same result as
-    ``lag(c) over (partition by key order by order...)``."""
+    ``lag(c) over (partition by key order by order...)``, which is used directly when no key has more
+    than ``max_group_rows`` rows."""
+    if not _needs_split(df, key, max_group_rows):
+        w0 = Window.partitionBy(key).orderBy(*order)
+        return df.select("*", *[F.lag(c).over(w0).alias(f"prev_{c}") for c in cols])
     parted = range_parted(df, key, order)
     w = Window.partitionBy(PID, key).orderBy(*order)
     within = parted.select("*", F.row_number().over(w).alias("_rn"), *[F.lag(c).over(w).alias(f"_in_{c}") for c in cols])
@@ -51,9 +72,15 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], cols: list[str]) -> Da
     return j.select(*df.columns, *out)
 
 
-def number_by_key(df: DataFrame, key: str, order: list[str], name: str = "step") -> DataFrame:
+def number_by_key(
+    df: DataFrame, key: str, order: list[str], name: str = "step", max_group_rows: int | None = None
+) -> DataFrame:
     """``df`` plus ``name`` = 1-based position of the row within its key in (order...) order. Same result
-    as ``row_number() over (partition by key order by order...)`` (bigint)."""
+    as ``row_number() over (partition by key order by order...)`` (bigint), used directly when no key
+    has more than ``max_group_rows`` rows."""
+    if not _needs_split(df, key, max_group_rows):
+        w0 = Window.partitionBy(key).orderBy(*order)
+        return df.select("*", F.row_number().over(w0).cast("bigint").alias(name))
     parted = range_parted(df, key, order)
     w = Window.partitionBy(PID, key).orderBy(*order)
     within = parted.select("*", F.row_number().over(w).alias("_rn"))
@@ -70,13 +97,25 @@ def seconds_col(later: str, earlier: str) -> Column:
     return F.timestamp_diff("SECOND", F.col(earlier), F.col(later))
 
 
-def ordered_join_by_key(df: DataFrame, key: str, order: list[str], values: dict[str, str], sep: str = ">") -> DataFrame:
+def ordered_join_by_key(
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    values: dict[str, str],
+    sep: str = ">",
+    max_group_rows: int | None = None,
+) -> DataFrame:
     """One row per key with ``out = join(values[out] in (order...) order, sep)`` for each output name.
 
     Same result as ``array_join(transform(array_sort(collect_list(struct(order..., v))), ...), sep)``
     per key, but built in pieces: every (partition, key) piece is joined where it lies, and the final
     step per key only concatenates the ordered pieces. A hot key's rows are therefore never gathered as
-    rows in one task; only its output strings are."""
+    rows in one task; only its output strings are. When no key has more than ``max_group_rows`` rows the
+    single-step form is used."""
+    if not _needs_split(df, key, max_group_rows):
+        item0 = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
+        g = df.groupBy(key).agg(F.array_sort(F.collect_list(item0)).alias("_items"))
+        return g.select(key, *[F.array_join(F.transform("_items", _field(f"_v_{o}")), sep).alias(o) for o in values])
     parted = range_parted(df.select(key, *dict.fromkeys([*order, *values.values()])), key, order)
     item = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
     pieces = parted.groupBy(key, PID).agg(F.array_sort(F.collect_list(item)).alias("_items"))

@@ -18,16 +18,16 @@ def test_hot_key_over_many_partitions(spark):
             F.col("id").alias("u"),
             (F.col("id") * 7 % 13).alias("v"),
         )
-        got = lag_by_key(df, "k", ["t", "u"], ["v", "t"])
+        got = lag_by_key(df, "k", ["t", "u"], ["v", "t"], max_group_rows=100)
         assert got.rdd.getNumPartitions() >= 1
         w = Window.partitionBy("k").orderBy("t", "u")
         want = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lag("t").over(w).alias("prev_t"))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
 
-        parted_hot = lag_by_key(df, "k", ["t", "u"], ["v"]).where("k = 'hot'")
+        parted_hot = lag_by_key(df, "k", ["t", "u"], ["v"], max_group_rows=100).where("k = 'hot'")
         assert parted_hot.count() == 3000
 
-        got_n = number_by_key(df, "k", ["t", "u"])
+        got_n = number_by_key(df, "k", ["t", "u"], max_group_rows=100)
         want_n = df.select("*", F.row_number().over(w).cast("bigint").alias("step"))
         assert sorted(map(tuple, got_n.collect())) == sorted(map(tuple, want_n.collect()))
     finally:
@@ -60,7 +60,7 @@ def test_ordered_join_hot_key(spark):
             (F.col("id") % 7).cast("string").alias("a"),
             (F.col("id") % 5).cast("string").alias("b"),
         )
-        got = {r.k: (r.x, r.y) for r in ordered_join_by_key(df, "k", ["t", "u"], {"x": "a", "y": "b"}).collect()}
+        got = {r.k: (r.x, r.y) for r in ordered_join_by_key(df, "k", ["t", "u"], {"x": "a", "y": "b"}, max_group_rows=100).collect()}
         items = F.array_sort(F.collect_list(F.struct("t", "u", "a", "b")))
         want_df = df.groupBy("k").agg(items.alias("s")).select(
             "k",
@@ -71,3 +71,16 @@ def test_ordered_join_hot_key(spark):
         assert got == want and len(got["hot"][0].split(">")) == 2250
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_plain_path_below_bound(spark):
+    from roadflow.operators.sequence import largest_group, ordered_join_by_key
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.col("id").cast("string").alias("a"))
+    assert largest_group(df, "k") == 34
+    small = ordered_join_by_key(df, "k", ["t"], {"x": "a"})  # plain path
+    split = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, max_group_rows=10)  # range path
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, split.collect()))
+    n_small = number_by_key(df, "k", ["t"])
+    n_split = number_by_key(df, "k", ["t"], max_group_rows=10)
+    assert sorted(map(tuple, n_small.collect())) == sorted(map(tuple, n_split.collect()))
