@@ -85,7 +85,7 @@ def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
 def offline_cameras(flow: DataFrame, registry: DataFrame) -> DataFrame:
     """Registered cameras never seen in the log (J2, anti join at camera grain)."""
     reg = registry.select("block_id", "monitor_id").distinct()
-    seen = flow.select("block_id", "monitor_id")
+    seen = flow.select("block_id", "monitor_id").distinct()  # partial dedup before the shuffle
     return reg.join(seen, ["block_id", "monitor_id"], "left_anti").select(
         F.col("block_id").alias("blockid"), "monitor_id"
     )
@@ -104,12 +104,14 @@ def offline_cameras_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
 def unregistered_cameras(flow: DataFrame, registry: DataFrame) -> DataFrame:
     """Cameras that produced sightings but are not in the registry (D7), with their sighting span."""
     reg = registry.select("block_id", "monitor_id").distinct()
-    rogue = flow.join(reg, ["block_id", "monitor_id"], "left_anti")
-    return rogue.groupBy("block_id", "monitor_id").agg(
+    # Aggregate per camera first (partial, map-side), so the anti join sees one row per camera seen,
+    # not one per sighting.
+    per_camera = flow.groupBy("block_id", "monitor_id").agg(
         F.count(F.lit(1)).alias("sightings"),
         F.min("action_time").alias("first_seen"),
         F.max("action_time").alias("last_seen"),
-    ).withColumnRenamed("block_id", "blockid")
+    )
+    return per_camera.join(reg, ["block_id", "monitor_id"], "left_anti").withColumnRenamed("block_id", "blockid")
 
 
 def device_chart(status: DataFrame) -> DataFrame:
