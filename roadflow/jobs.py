@@ -78,7 +78,10 @@ def track_job(spark, flow, requests, out, district=None, road=None, run_date=Non
         routes = track.vehicle_track_named(flow, requests, district, road, run_date)
     else:
         routes = track.vehicle_track(flow, requests, run_date)
+    routes = routes.persist()
     sinks.append_table(routes, f"{out}/Auto_Track")
+    sinks.write_json_lines(routes, f"{out}/auto_track_json")
+    routes.unpersist()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -99,9 +102,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--local-prefix", default=inbound.LOCAL_PREFIX)
     p.add_argument("--kafka-servers")
     p.add_argument("--topic", default="StreamAuto")
+    p.add_argument("--input-bytes", type=int, help="input volume; sizes shuffle width and scan splits")
     a = p.parse_args(argv)
 
     spark = configure(SparkSession.builder.appName(f"roadflow-{a.job}").getOrCreate())
+    if a.input_bytes:
+        from roadflow.session import apply_scale_conf
+
+        apply_scale_conf(spark, a.input_bytes)
     if a.job == "ingest":
         tx.ingest_flow_tsv(spark, a.flow_tsv, f"{a.out}/flow", f"{a.out}/flow_rejects")
         return

@@ -31,6 +31,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` of (compressed) input.
+
+    The initial shuffle width is input / target (so one shuffle partition stays a few hundred MB and
+    fits executor memory with room to spill); AQE then coalesces small partitions to the advisory size
+    and splits skewed ones. At 100 TB this gives about 400k initial partitions, which AQE coalesces.
+    """
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """Apply ``scale_conf`` unless the session already sets shuffle width explicitly."""
+    for key, value in scale_conf(input_bytes).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "roadflow") -> SparkSession:
     """Session for tests and the local bench; a cluster passes its own session instead."""
     builder = (

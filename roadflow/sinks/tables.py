@@ -38,6 +38,12 @@ def snapshot_json(df: DataFrame, path: str, max_rows: int = SNAPSHOT_MAX_ROWS) -
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """JSON documents, one line per row, written in parallel by the computing tasks (for outputs that
+    may be large, such as one route document per vehicle)."""
+    df.write.mode("overwrite").json(path)
+
+
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a K2 snapshot back into typed columns."""
     return spark.read.text(path).select(F.from_json("value", schema).alias("r")).select("r.*")

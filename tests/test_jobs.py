@@ -37,6 +37,7 @@ def test_batch_jobs_end_to_end(spark):
     assert spark.read.parquet(f"{out}/Inbound_Auto").count() == 2
     t = spark.read.parquet(f"{out}/Auto_Track").collect()[0]
     assert (t.plate, t.blockid, t.roadid, t.districtid) == ("深W61995", "0005>0005", "32>47", "05>02")
+    assert spark.read.json(f"{out}/auto_track_json").collect()[0].plate == "深W61995"
     chart = spark.read.json(f"{out}/snapshots/device_chart").collect()[0]
     assert (chart.blockid, chart.brokenCount, chart.monitorSum) == ("0001|0005", "0|1", "1|2")
 
@@ -52,3 +53,11 @@ def test_cli_ingest_then_job(spark):
     r = spark.read.parquet(f"{d}/res/TopN_Speed").collect()
     assert len(r) == 1 and r[0].high_Speed == 1
     assert spark.read.parquet(f"{d}/store/flow_rejects").count() == 1
+
+
+def test_scale_conf():
+    from roadflow.session import scale_conf
+
+    c = scale_conf(100 * 2**40)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
