@@ -48,7 +48,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_sp
 
 
 def apply_scale_conf(spark: SparkSession, input_bytes: int) -> SparkSession:
-    """Apply ``scale_conf`` unless the session already sets shuffle width explicitly."""
+    """Apply ``scale_conf`` to the session (runtime SQL settings only)."""
     for key, value in scale_conf(input_bytes).items():
         spark.conf.set(key, value)
     return spark
