@@ -3,6 +3,8 @@ they stay inside whole-stage codegen; none is a Python UDF."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,6 +81,21 @@ def trim_comma(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), "^,|,$", "")
 
 
+def _single_char(delimiter: str) -> str | None:
+    """The literal character a delimiter regex stands for (``\\|`` -> ``|``, ``,`` -> ``,``), or None
+    when it is a longer or real pattern."""
+    if len(delimiter) == 1 and delimiter not in ".^$*+?()[]{}|\\":
+        return delimiter
+    if len(delimiter) == 2 and delimiter[0] == "\\" and not delimiter[1].isalnum():
+        return delimiter[1]
+    return None
+
+
+def _cls(ch: str) -> str:
+    """``ch`` escaped for use inside a regex character class."""
+    return "\\" + ch if ch in "]\\^-[" else ch
+
+
 def _entries(c: Column, delimiter: str) -> Column:
     """Entries of a packed ``k=v<delim>k=v`` text, with trailing empty entries dropped as Java's split
     does. ``delimiter`` is a regular expression, as in the reference."""
@@ -86,6 +103,14 @@ def _entries(c: Column, delimiter: str) -> Column:
     return F.split(stripped, delimiter)
 
 
+def _pair_pattern(ch: str, field: str | None = None) -> str:
+    """One well-formed entry between delimiters ``ch``: name ``=`` non-empty value, trailing ``=`` allowed
+    (the entries Java's ``split("=")`` cuts into exactly two parts). Group 1 name, group 2 value."""
+    c = _cls(ch)
+    name = re.escape(field) if field is not None else f"([^{c}=]*)"
+    return f"(?:^|{re.escape(ch)}){name}=([^{c}=]+)=*(?={re.escape(ch)}|$)"
+
+
 def _pairs(c: Column, delimiter: str) -> Column:
     """Entries that split on ``=`` into exactly two parts once trailing ``=`` are dropped (``k=`` and
     ``a=b=c`` are skipped, ``a=1=`` is kept as ``a -> 1``)."""
@@ -111,13 +136,24 @@ def kv_first_of(pairs: Column | str, field: str) -> Column:
 
 def kv_map(c: Column | str, delimiter: str = r"\|") -> Column:
     """All key=value entries as a map; a repeated key keeps its last value (R9). Needs
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by ``roadflow.session.configure``)."""
-    return kv_map_of(_pairs(_c(c), delimiter))
+    ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by ``roadflow.session.configure``).
+
+    A one-character delimiter uses two codegen'd ``regexp_extract_all`` calls; other delimiters use the
+    general split path."""
+    ch = _single_char(delimiter)
+    if ch is None:
+        return kv_map_of(_pairs(_c(c), delimiter))
+    pat = F.lit(_pair_pattern(ch))
+    return F.map_from_arrays(F.regexp_extract_all(_c(c), pat, F.lit(1)), F.regexp_extract_all(_c(c), pat, F.lit(2)))
 
 
 def kv_field(c: Column | str, field: str, delimiter: str = r"\|") -> Column:
     """Value of the first entry named ``field``; null when absent."""
-    return kv_first_of(_pairs(_c(c), delimiter), field)
+    ch = _single_char(delimiter)
+    if ch is None:
+        return kv_first_of(_pairs(_c(c), delimiter), field)
+    # the value group is non-empty by construction, so an empty extract means "absent"
+    return F.nullif(F.regexp_extract(_c(c), _pair_pattern(ch, field), 1), F.lit(""))
 
 
 def kv_entries(c: Column | str, delimiter: str = r"\|") -> Column:
@@ -148,6 +184,18 @@ def kv_set_entries(entries: Column | str, field: str, value: Column | str) -> Co
 
 def kv_set(c: Column | str, field: str, value: Column | str, delimiter: str = r"\|") -> Column:
     """Replace the first entry named ``field`` by ``field=value``; others unchanged; always re-joined with
-    ``|`` (R10). An entry's name is its text before the first ``=``. Built from array slices around the
-    first match (no lookup repeated per element)."""
-    return kv_set_entries(kv_entries(c, delimiter), field, value)
+    ``|`` (R10). An entry's name is its text before the first ``=``.
+
+    With the ``|`` delimiter this is one anchored ``regexp_replace`` (codegen'd): the lazy prefix stops at
+    the first entry named ``field``. Other delimiters use array slices around the first match."""
+    ch = _single_char(delimiter)
+    v = F.lit(value) if isinstance(value, str) else value
+    if ch != "|":  # other delimiters are re-joined with "|", which the slice path does entry by entry
+        return kv_set_entries(kv_entries(c, delimiter), field, v)
+    d, cl = re.escape(ch), _cls(ch)
+    stripped = F.regexp_replace(_c(c), f"(?:{d})+$", "")
+    pattern = f"^((?:[^{cl}]*{d})*?){re.escape(field)}(?:=[^{cl}]*)?(?={d}|$)"
+    # the new value goes through the replacement string: escape its $ and backslashes
+    safe = F.regexp_replace(v.cast("string"), r"([\\$])", r"\\$1")
+    replaced = F.regexp_replace(stripped, F.lit(pattern), F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), safe))
+    return replaced

@@ -63,10 +63,9 @@ def packed_text(flow: DataFrame) -> F.Column:
 
 def kv_expand(flow: DataFrame) -> DataFrame:
     """Expand the packed text into a map (last duplicate wins) and read one field (first match)."""
-    # Split into pairs once, then build the map and the first match from them, each step in its own
-    # projection so no per-row array is rebuilt.
-    t = flow.select("order_key", "line_no", C.kv_pairs_of(C.kv_entries(packed_text(flow))).alias("pairs"))
-    parsed = t.select("order_key", "line_no", C.kv_first_of("pairs", "speed").alias("speed_first"), C.kv_map_of("pairs").alias("m"))
+    t = flow.select("order_key", "line_no", packed_text(flow).alias("attrs"))
+    # The map is built once per row in its own projection; the fields are read from it afterwards.
+    parsed = t.select("order_key", "line_no", C.kv_field("attrs", "speed").alias("speed_first"), C.kv_map("attrs").alias("m"))
     return parsed.select(
         "order_key",
         "line_no",
@@ -82,11 +81,8 @@ def kv_update(flow: DataFrame) -> DataFrame:
     """Set the first ``speed`` entry to the speed band name of the row."""
     from roadflow.operators.speed import speed_band
 
-    # Split once, locate once, rebuild: each step in its own projection so no per-row array is rebuilt.
-    t = flow.select("order_key", "line_no", "speed", C.kv_entries(packed_text(flow)).alias("entries"))
-    t = t.select("order_key", "line_no", "speed", "entries", C.kv_position("entries", "speed").alias("pos"))
     band = F.coalesce(speed_band("speed"), F.lit("none"))
-    return t.select("order_key", "line_no", C.kv_replace_at("entries", "pos", "speed", band).alias("attrs"))
+    return flow.select("order_key", "line_no", C.kv_set(packed_text(flow), "speed", band).alias("attrs"))
 
 
 def comma_clean(flow: DataFrame) -> DataFrame:
