@@ -6,7 +6,6 @@ Nothing here hard-codes parallelism. Shuffle width comes from the session (the c
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -93,11 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
