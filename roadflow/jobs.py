@@ -120,7 +120,12 @@ def main(argv: list[str] | None = None) -> None:
         if a.job == "live":
             queries = live.start_live(flow_s, a.out)
         else:
-            queries = {"alerts": live.start_alerts(flow_s, load_plates(spark, a.watch), f"{a.out}/alerts", f"{a.out}/_checkpoints/alerts")}
+            # The watch list is re-read for every micro-batch, so plates added while running are picked up.
+            queries = {
+                "alerts": live.start_alerts_refreshing(
+                    flow_s, lambda: load_plates(spark, a.watch), f"{a.out}/alerts", f"{a.out}/_checkpoints/alerts"
+                )
+            }
         for q in queries.values():
             q.awaitTermination()
         return

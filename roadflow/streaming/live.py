@@ -232,3 +232,27 @@ def start_live(
         name: start_to_table(s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger)
         for name, (s, mode) in plans.items()
     }
+
+
+def start_alerts_refreshing(
+    flow: DataFrame,
+    read_watch,
+    out_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+):
+    """J6 K6 D16 with a watch list that changes while the stream runs: every micro-batch of sightings is
+    semi-joined with the watch list as ``read_watch()`` returns it at that moment (e.g. a fresh
+    ``spark.read`` of the watch-list table). No join state is kept; each batch writes its own folder,
+    so a replayed batch replaces its output. ``create_time`` is the batch's processing time."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        alerts = alerts_stream(batch, read_watch()).withColumn("create_time", F.current_timestamp())
+        alerts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+
+    return (
+        flow.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": ALERT_TRIGGER}))
+        .foreachBatch(handle)
+        .start()
+    )

@@ -92,3 +92,27 @@ def test_replayed_batch_overwrites_its_own_output(spark):
     write(df, 0)  # a retried micro-batch
     write(spark.range(2), 1)
     assert spark.read.parquet(os.path.join(d, "out")).count() == 7
+
+
+def test_alerts_pick_up_watch_list_changes(spark):
+    """A plate added to the watch-list table between two runs is alerted on in the second run."""
+    d = tempfile.mkdtemp(prefix="roadflow-watch-")
+    line = "2018-04-26\t0001\t00001\t{p}\t2018-04-26 10:00:0{i}\t50\t1\t01"
+    _write_lines(os.path.join(d, "flow"), "a.tsv", [line.format(p="京A1", i=1), line.format(p="京B2", i=2)])
+    _write_lines(os.path.join(d, "watch"), "w1.json", [json.dumps({"plate": "京A1"}, ensure_ascii=False)])
+
+    def read_watch():
+        return streams.parse_request_values(spark.read.text(os.path.join(d, "watch")))
+
+    def run():
+        q = live.start_alerts_refreshing(
+            streams.text_flow_stream(spark, os.path.join(d, "flow")), read_watch, os.path.join(d, "out"),
+            os.path.join(d, "ck"), {"availableNow": True})
+        q.awaitTermination()
+
+    run()
+    _write_lines(os.path.join(d, "watch"), "w2.json", [json.dumps({"plate": "京B2"}, ensure_ascii=False)])
+    _write_lines(os.path.join(d, "flow"), "b.tsv", [line.format(p="京B2", i=3)])
+    run()
+    got = sorted((r.plate, str(r.action_time)) for r in spark.read.parquet(os.path.join(d, "out")).collect())
+    assert got == [("京A1", "2018-04-26 10:00:01"), ("京B2", "2018-04-26 10:00:03")]
