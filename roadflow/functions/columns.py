@@ -13,6 +13,12 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def java_trim(c: Column | str) -> Column:
+    """Strip leading and trailing characters <= U+0020 (Java ``String.trim``: spaces, tabs, CR, LF and
+    other control characters; Spark's ``trim`` strips spaces only) (F2)."""
+    return F.regexp_replace(_c(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 # --- time (R1 R2 R6) -------------------------------------------------------------------------------
 
 def date_hour(ts: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadflow.functions.columns import java_trim
 from roadflow.schemas import FLOW, FLOW_COLUMNS
 
 N_FLOW_FIELDS = len(FLOW.fields)
@@ -17,7 +18,7 @@ def parse_flow_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     Reasons: ``short_line`` (fewer than 8 fields), ``bad_date``, ``bad_time``, ``bad_speed`` (not an
     integer), ``empty_key`` (empty block, camera or plate)."""
     parts = F.split(F.col(value_col).cast("string"), "\t")
-    field = [F.trim(F.try_element_at(parts, F.lit(i + 1))) for i in range(N_FLOW_FIELDS)]
+    field = [java_trim(F.try_element_at(parts, F.lit(i + 1))) for i in range(N_FLOW_FIELDS)]
     typed = {
         "create_date": field[0].try_cast("date"),
         "block_id": field[1],
@@ -83,8 +84,8 @@ def read_registry_tsv(spark: SparkSession, path: str) -> DataFrame:
     """``block<TAB>camera`` lines, trimmed; lines without both fields are skipped."""
     parts = F.split(F.col("value"), "\t")
     df = spark.read.text(path).select(
-        F.trim(F.try_element_at(parts, F.lit(1))).alias("block_id"),
-        F.trim(F.try_element_at(parts, F.lit(2))).alias("monitor_id"),
+        java_trim(F.try_element_at(parts, F.lit(1))).alias("block_id"),
+        java_trim(F.try_element_at(parts, F.lit(2))).alias("monitor_id"),
     )
     return df.where((F.length("block_id") > 0) & (F.length("monitor_id") > 0))
 
@@ -108,4 +109,4 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, options: dict[str
 def parse_request_values(requests: DataFrame, value_col: str = "value") -> DataFrame:
     """Request / watch-list messages ``{"plate":"..."}`` -> plate; empty plates are skipped."""
     plate = F.get_json_object(F.col(value_col).cast("string"), "$.plate")
-    return requests.select(F.trim(plate).alias("plate")).where(F.length("plate") > 0)
+    return requests.select(java_trim(plate).alias("plate")).where(F.length("plate") > 0)

@@ -45,6 +45,17 @@ def test_kv_expand_and_update(spark):
     assert one(spark, C.kv_set(F.lit("p=1|"), "z", "5")) == "p=1"
 
 
+def test_java_trim(spark):
+    assert one(spark, C.java_trim(F.lit(" \t0005\r"))) == "0005"
+    assert one(spark, C.java_trim(F.lit("a b"))) == "a b"
+
+
+def test_crlf_lines_parse(spark):
+    lines = spark.createDataFrame([("2018-04-26\t0005\t26780\t深W61995\t2018-04-26 02:44:08\t154\t47\t02\r",)], "value string")
+    good, bad = split_rejects(parse_flow_lines(lines))
+    assert good.collect()[0].area_id == "02" and bad.count() == 0
+
+
 def test_parse_and_reject(spark):
     lines = spark.createDataFrame(
         [
