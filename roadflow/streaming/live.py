@@ -256,3 +256,14 @@ def start_alerts_refreshing(
         .foreachBatch(handle)
         .start()
     )
+
+
+def compact_latest(spark: SparkSession, out_path: str, keys: list[str], dest: str) -> int:
+    """Fold an update-mode output (one folder per micro-batch) into one table of the latest row per key,
+    written with ``rebalance`` so the result has few, evenly sized files. Run periodically; readers use
+    ``dest`` instead of listing many small batch folders. Returns the number of batch folders folded."""
+    df = spark.read.parquet(out_path)
+    n_batches = df.select("batch_id").distinct().count()
+    latest = latest_rows(spark, out_path, keys)
+    latest.hint("rebalance").write.mode("overwrite").parquet(dest)
+    return n_batches

@@ -83,6 +83,15 @@ def test_multi_batch_update_mode_equals_batch(spark):
     want = want.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "blockid", "avg_speed", "sightings")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
 
+    # the same run, folded into one table of latest rows
+    ck, res = os.path.join(d, "ck2"), os.path.join(d, "res2")
+    s2 = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "30 minutes", "15 minutes", "10 minutes")
+    live.start_to_table(s2, res, ck, "update", {"availableNow": True}).awaitTermination()
+    keys = ["window_start", "window_end", "blockid"]
+    assert live.compact_latest(spark, res, keys, os.path.join(d, "compact")) >= 3
+    compact = spark.read.parquet(os.path.join(d, "compact")).select(*want.columns)
+    assert sorted(map(tuple, compact.collect())) == sorted(map(tuple, want.collect()))
+
 
 def test_replayed_batch_overwrites_its_own_output(spark):
     d = tempfile.mkdtemp(prefix="roadflow-idem-")
