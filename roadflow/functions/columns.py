@@ -203,5 +203,6 @@ def kv_set(c: Column | str, field: str, value: Column | str, delimiter: str = r"
     pattern = f"^((?:[^{cl}]*{d})*?){re.escape(field)}(?:=[^{cl}]*)?(?={d}|$)"
     # the new value goes through the replacement string: escape its $ and backslashes
     safe = F.regexp_replace(v.cast("string"), r"([\\$])", r"\\$1")
-    replaced = F.regexp_replace(stripped, F.lit(pattern), F.concat(F.lit("$1" + field.replace("\\", "\\\\").replace("$", "\\$") + "="), safe))
+    field_text = field.replace("\\", "\\\\").replace("$", "\\$")
+    replaced = F.regexp_replace(stripped, F.lit(pattern), F.concat(F.lit("$1" + field_text + "="), safe))
     return replaced

@@ -69,5 +69,8 @@ def inbound_summary(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> DataFr
         .agg(F.count(F.lit(1)).alias("new_vehicles"))
     )
     return daily.join(firsts, "create_date", "left").select(
-        "create_date", "inbound_sightings", "inbound_vehicles", F.coalesce("new_vehicles", F.lit(0).cast("bigint")).alias("new_vehicles")
+        "create_date",
+        "inbound_sightings",
+        "inbound_vehicles",
+        F.coalesce("new_vehicles", F.lit(0).cast("bigint")).alias("new_vehicles"),
     )

@@ -19,12 +19,14 @@ def flow_by_hour(flow: DataFrame) -> DataFrame:
 
 def flow_by_5min(flow: DataFrame) -> DataFrame:
     """R2: sightings, vehicles and mean speed per 5-minute bucket and block, with the reference's label."""
-    g = flow.groupBy(C.five_minute_start("action_time").cast("timestamp_ntz").alias("window_start"), F.col("block_id").alias("blockid")).agg(
+    start = C.five_minute_start("action_time").cast("timestamp_ntz").alias("window_start")
+    g = flow.groupBy(start, F.col("block_id").alias("blockid")).agg(
         F.count(F.lit(1)).alias("sightings"),
         F.count_distinct("plate").alias("vehicles"),
         F.round(F.avg("speed"), 3).alias("avg_speed"),
     )
-    return g.select("window_start", C.five_minute_label("window_start").alias("time_range"), "blockid", "sightings", "vehicles", "avg_speed")
+    label = C.five_minute_label("window_start").alias("time_range")
+    return g.select("window_start", label, "blockid", "sightings", "vehicles", "avg_speed")
 
 
 def sighting_gap(flow: DataFrame) -> DataFrame:

@@ -29,7 +29,9 @@ def parse_flow_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
         "road_id": field[6],
         "area_id": field[7],
     }
-    df = lines.select(F.col(value_col).cast("string").alias("value"), F.size(parts).alias("_n"), *[v.alias(k) for k, v in typed.items()])
+    df = lines.select(
+        F.col(value_col).cast("string").alias("value"), F.size(parts).alias("_n"), *[v.alias(k) for k, v in typed.items()]
+    )
     empty = lambda c: F.coalesce(F.length(c) == 0, F.lit(True))
     reason = (
         F.when(F.col("_n") < N_FLOW_FIELDS, "short_line")
