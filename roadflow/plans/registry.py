@@ -278,9 +278,7 @@ def q_stream_live_snapshot(spark, sf):
     )
     for q in qs.values():
         q.awaitTermination()
-    totals = live.latest_rows(spark, f"{out}/totals", [])
-    speeds = live.latest_rows(spark, f"{out}/window_speed", ["window_start", "window_end", "blockid"])
-    snap = live.live_snapshot(totals, speeds, RUN_DATE)
+    snap = live.read_live(spark, out, RUN_DATE)["snapshot"]
     path = scratch_path(spark, "live-snapshot")
     sinks.snapshot_json(snap, path)
     return sinks.read_snapshot(spark, path, snap.schema)

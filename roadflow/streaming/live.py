@@ -267,3 +267,26 @@ def compact_latest(spark: SparkSession, out_path: str, keys: list[str], dest: st
     latest = latest_rows(spark, out_path, keys)
     latest.hint("rebalance").write.mode("overwrite").parquet(dest)
     return n_batches
+
+
+def start_console(stream: DataFrame, output_mode: str = "update", trigger: dict | None = None):
+    """K4 for streams: print each micro-batch (display only)."""
+    return (
+        stream.writeStream.outputMode(output_mode).format("console").option("truncate", "false")
+        .trigger(**(trigger or {"processingTime": SPEED_TRIGGER})).start()
+    )
+
+
+def read_live(spark: SparkSession, out_dir: str, run_date: str | None = None) -> dict[str, DataFrame]:
+    """Current results of a ``start_live`` run: window speeds, totals, zero-filled province counts
+    and the live snapshot row (all read from the per-batch outputs under ``out_dir``)."""
+    base = out_dir.rstrip("/")
+    speeds = latest_rows(spark, f"{base}/window_speed", ["window_start", "window_end", "blockid"])
+    totals = latest_rows(spark, f"{base}/totals", [])
+    provinces = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
+    return {
+        "window_speed": speeds,
+        "totals": totals,
+        "provinces": provinces,
+        "snapshot": live_snapshot(totals, speeds, run_date),
+    }
