@@ -65,3 +65,13 @@ def test_no_cross_join_anywhere(spark):
     for name in ["device_status", "device_status_daily", "offline_cameras_daily", "province_counts", "inbound_summary"]:
         p = plan_of(E.queries()[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_hot_key_check_reads_only_the_key(spark, stored_flow):
+    from roadflow.operators.sequence import largest_group
+
+    df = stored_flow.select("plate", "action_time", "block_id", "monitor_id", "road_id", "area_id", "speed")
+    p = plan_of(df.groupBy("plate").agg({"*": "count"}))
+    read = [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
+    assert read == "ReadSchema: struct<plate:string>"
+    assert largest_group(df, "plate") > 0
