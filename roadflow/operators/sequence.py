@@ -115,11 +115,13 @@ def ordered_join_by_key(
     parted = range_parted(df.select(key, *dict.fromkeys([*order, *values.values()])), key, order)
     item = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
     pieces = parted.groupBy(key, PID).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+    # Each piece keeps its values as an array without nulls (array_join skips nulls, so the result equals
+    # the single-step form even when a whole piece is null); the final step flattens the ordered pieces.
     pieces = pieces.select(
-        key, PID, *[F.array_join(F.transform("_items", _field(f"_v_{o}")), sep).alias(o) for o in values]
+        key, PID, *[F.filter(F.transform("_items", _field(f"_v_{o}")), lambda x: x.isNotNull()).alias(o) for o in values]
     )
     whole = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(PID, *values))).alias("_pieces"))
-    return whole.select(key, *[F.array_join(F.transform("_pieces", _field(o)), sep).alias(o) for o in values])
+    return whole.select(key, *[F.array_join(F.flatten(F.transform("_pieces", _field(o))), sep).alias(o) for o in values])
 
 
 def _field(name: str):

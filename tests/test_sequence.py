@@ -84,3 +84,20 @@ def test_plain_path_below_bound(spark):
     n_small = number_by_key(df, "k", ["t"])
     n_split = number_by_key(df, "k", ["t"], max_group_rows=10)
     assert sorted(map(tuple, n_small.collect())) == sorted(map(tuple, n_split.collect()))
+
+
+def test_ordered_join_nulls_same_on_both_paths(spark):
+    from roadflow.operators.sequence import ordered_join_by_key
+
+    df = spark.range(60).select(
+        F.lit("k").alias("k"), F.col("id").alias("t"),
+        F.when(F.col("id").between(20, 39), F.lit(None)).otherwise(F.col("id").cast("string")).alias("a"),
+    )
+    plain = ordered_join_by_key(df, "k", ["t"], {"x": "a"}).collect()[0].x
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, max_group_rows=5).collect()[0].x
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert plain == split and ">>" not in split and split.count(">") == 39
