@@ -43,6 +43,10 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, max_sp
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        # coalesce to the advisory size rather than to the core count (fewer, fuller tasks on a cluster)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        # runtime broadcast only from measured shuffle sizes
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     }
 
 
