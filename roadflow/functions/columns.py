@@ -1,5 +1,5 @@
 """Column expressions for the reference's per-value helpers. All built-in functions, so
-they stay inside whole-stage codegen; none is a Python UDF."""
+they stay inside whole-stage codegen; none is a Python UDF (U2: no UDF or UDTF is registered)."""
 
 from __future__ import annotations
 
@@ -169,7 +169,7 @@ def kv_entries(c: Column | str, delimiter: str = r"\|") -> Column:
 
 
 def kv_position(entries: Column | str, field: str) -> Column:
-    """1-based index of the first entry named ``field`` (0 when absent)."""
+    """1-based index of the first entry named ``field`` (0 when absent; F7 ``array_position``)."""
     return F.array_position(F.transform(_c(entries), lambda x: F.substring_index(x, "=", 1)), F.lit(field))
 
 

@@ -1,6 +1,8 @@
 """Device status: which registered cameras of each block produced no sightings.
 
-Operators G2 G4 G5 J1 J2 O1, defects D6 D7 D8. The reference groups whole blocks with ``groupByKey`` and
+Operators G2 G4 G5 J1 J2 O1 F10, defects D6 D7 D8. Results are aggregates returned as DataFrames, never
+values gathered in driver variables (D9); column selection replaces the key-by projections (P2) and each
+result is shaped by one ``select`` with the reference's column names (P7). The reference groups whole blocks with ``groupByKey`` and
 diff-s sets inside one row; here every step is a key-level join or a partial aggregate, so no block's
 rows are ever gathered in one place -- only the per-block camera lists that form the output.
 """
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 
 def _run_date(run_date: str | None) -> F.Column:
+    """The run date stamped on results; a literal parameter so reruns repeat, else ``current_date()``."""
     return F.current_date() if run_date is None else F.lit(run_date).cast("date")
 
 

@@ -14,7 +14,7 @@ LOCAL_PREFIX = "黑"
 
 
 def non_local(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> DataFrame:
-    """Plate does not start with the local prefix (character-wise, plates are multi-byte)."""
+    """Plate does not start with the local prefix (character-wise, plates are multi-byte)."""
     return flow.where(~F.col("plate").startswith(local_prefix))
 
 

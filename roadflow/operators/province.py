@@ -29,7 +29,7 @@ def province_dim(spark: SparkSession) -> DataFrame:
 
 
 def prefix_counts(flow: DataFrame) -> DataFrame:
-    """Sightings per first plate character; a partial aggregate, so at most one row per prefix and task
+    """Sightings per first plate character (F4 ``substring``); a partial aggregate, so at most one row per prefix and task
     leaves the map side."""
     return flow.groupBy(F.substring("plate", 1, 1).alias("prefix")).agg(F.count(F.lit(1)).alias("sightings"))
 

@@ -1,4 +1,6 @@
-"""Blocks ranked by distinct vehicles (G3 O3 G12; defects D1 D2 D3)."""
+"""Blocks ranked by distinct vehicles (G1 G3 O3 G12 S7; defects D1 D2 D3).
+
+Built-in aggregates replace the reference's accumulators (U1, and with them D20)."""
 
 from __future__ import annotations
 
@@ -28,7 +30,8 @@ def block_vehicle_topn(flow: DataFrame, n: int = 5, run_date: str | None = None)
 
 
 def block_vehicle_topn_packed(flow: DataFrame, n: int = 5, run_date: str | None = None) -> DataFrame:
-    """The top-n as one row of ``|`` lists in rank order (result table ``TopN_Count``, G12)."""
+    """The top-n as one row of ``|`` lists in rank order (result table ``TopN_Count``, G12; the one-row
+    table the reference builds by hand, S7, is this aggregate)."""
     top = block_vehicle_topn(flow, n, run_date)
     ranked = top.groupBy("create_date").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("auto_count")).alias("k"), "blockid", "auto_count"))).alias("r")

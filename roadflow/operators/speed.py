@@ -46,7 +46,7 @@ def block_speed_bands(flow: DataFrame, run_date: str | None = None) -> DataFrame
 
 
 def speed_web(bands: DataFrame) -> DataFrame:
-    """Web snapshot ``(block,mean)>(…)`` ranked by mean desc; the mean printed ``%.3f``."""
+    """Web snapshot ``(block,mean)>(…)`` ranked by mean desc; the mean printed ``%.3f``."""
     item = F.format_string("(%s,%.3f)", F.col("blockid"), F.col("avg_Speed"))
     r = bands.groupBy("create_date").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("avg_Speed")).alias("k"), "blockid", item.alias("t")))).alias("r")

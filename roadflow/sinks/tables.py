@@ -29,7 +29,7 @@ def append_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str] | N
 
 
 def snapshot_json(df: DataFrame, path: str, max_rows: int = SNAPSHOT_MAX_ROWS) -> None:
-    """K2: overwrite ``path`` with the rows of a small result as JSON lines (one line per row; a packed
+    """K2 F8: overwrite ``path`` with the rows of a small result as JSON lines (one line per row; a packed
     result is one line). The size bound is checked first, so a large frame is never funnelled into the
     single writing task."""
     if df.limit(max_rows + 1).count() > max_rows:
@@ -55,6 +55,6 @@ def show(df: DataFrame, n: int = 20) -> None:
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """K5: register the result as a temp view for SQL users."""
+    """Register the result as a temp view for SQL users (``select * from name``)."""
     df.createOrReplaceTempView(name)
     return df

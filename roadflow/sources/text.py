@@ -109,6 +109,6 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, options: dict[str
 
 
 def parse_request_values(requests: DataFrame, value_col: str = "value") -> DataFrame:
-    """Request / watch-list messages ``{"plate":"..."}`` -> plate; empty plates are skipped."""
+    """Request / watch-list messages ``{"plate":"..."}`` -> plate; empty plates are skipped."""
     plate = F.get_json_object(F.col(value_col).cast("string"), "$.plate")
     return requests.select(java_trim(plate).alias("plate")).where(F.length("plate") > 0)

@@ -23,7 +23,8 @@ SLIDE = "10 seconds"
 
 
 def window_speed_stream(flow: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermark: str = "1 hour") -> DataFrame:
-    """Integer mean speed (``sum div count``) per block and sliding event-time window.
+    """Integer mean speed (``sum div count``) per block and sliding event-time window, over
+    the speed field (D10).
 
     The watermark bounds the window state; rows older than it are dropped as late. Window bounds are
     returned as wall-clock ``timestamp_ntz`` like the input."""
@@ -56,7 +57,7 @@ def province_prefix_stream(flow: DataFrame) -> DataFrame:
 
 
 def alerts_stream(flow: DataFrame, watch: DataFrame) -> DataFrame:
-    """One alert row per sighting of a watched plate (stream-static semi join; the watch-list
+    """One alert row per sighting of a watched plate (stream-static semi join; the watch-list
     is deduplicated and broadcast only when its size is within bound). Real block, road and area, time
     ``HH:mm`` (D15); any number of watched plates (D16)."""
     w = bounded_broadcast(watch.where(F.length("plate") > 0).select("plate").distinct())
@@ -91,7 +92,7 @@ def start_to_table(
     trigger: dict | None = None,
     name: str | None = None,
 ):
-    """Start ``stream`` with a per-batch idempotent parquet sink (K3). ``trigger`` e.g.
+    """Start ``stream`` with a per-batch idempotent parquet sink (K3) and its checkpoint (T4). ``trigger`` e.g.
     ``{"processingTime": "10 seconds"}`` (default) or ``{"availableNow": True}``."""
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
