@@ -18,70 +18,61 @@ def _run_date(run_date: str | None) -> F.Column:
     return F.current_date() if run_date is None else F.lit(run_date).cast("date")
 
 
-def _camera_grain(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """Registered cameras, each marked seen or not (J1 at camera grain). Both sides are deduplicated
-    with a partial aggregate first, so the join input is bounded by distinct cameras, not sightings."""
-    reg = registry.select("block_id", "monitor_id").distinct()
-    seen = flow.select("block_id", "monitor_id").distinct().withColumn("seen", F.lit(True))
-    return reg.join(seen, ["block_id", "monitor_id"], "left")
-
-
 def device_status(flow: DataFrame, registry: DataFrame, run_date: str | None = None) -> DataFrame:
-    """One row per registered block over the whole observed log (result table ``monitor_state``).
-
-    online = registered and seen (D7); a block with no sightings has every camera offline (D6).
-    """
-    cams = _camera_grain(flow, registry)
-    offline = F.when(F.col("seen").isNull(), F.col("monitor_id"))
-    out = cams.groupBy("block_id").agg(
-        F.count(F.lit(1)).alias("monitor_standard_count"),
-        F.count("seen").alias("normal_monitor_count"),
-        F.count(offline).alias("abnormal_monitor_count"),
-        F.array_join(F.array_sort(F.collect_list(offline)), ",").alias("abnormal_monitor_camera_infos"),
+    """One row per registered block over the whole observed log (result table ``monitor_state``; J1 G2 G4
+    G5). online = registered and seen (D7); a block with no sightings has every camera offline (D6).
+
+    One shuffle of the sightings: the seen set per block is a ``collect_set`` (deduplicated map-side,
+    bounded by the block's cameras). The registered set per block is left-joined to it on the block key,
+    and the counts and the offline list are array set operations."""
+    reg_sets = registry.groupBy("block_id").agg(F.array_sort(F.collect_set("monitor_id")).alias("registered"))
+    seen = flow.groupBy("block_id").agg(F.collect_set("monitor_id").alias("seen"))
+    j = reg_sets.join(seen, "block_id", "left").withColumn(
+        "seen", F.coalesce("seen", F.array().cast("array<string>"))
     )
-    return out.select(
+    offline = F.array_except("registered", "seen")
+    return j.select(
         _run_date(run_date).alias("create_date"),
         F.col("block_id").alias("blockid"),
-        "monitor_standard_count",
-        "normal_monitor_count",
-        "abnormal_monitor_count",
-        "abnormal_monitor_camera_infos",
+        F.size("registered").cast("bigint").alias("monitor_standard_count"),
+        F.size(F.array_intersect("registered", "seen")).cast("bigint").alias("normal_monitor_count"),
+        F.size(offline).cast("bigint").alias("abnormal_monitor_count"),
+        F.array_join(offline, ",").alias("abnormal_monitor_camera_infos"),
     ).orderBy("create_date", "blockid")
 
 
 def _daily_sets(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """(create_date, block_id, registered, online): per (day, block) with sightings, the block's
-    registered cameras and the registered ones seen that day, both as arrays.
-
-    The registered set of each block (one row per block) is joined to that block's day rows on the
-    block key; both sides are deduplicated aggregates, so no sightings reach the join."""
-    reg = registry.select("block_id", "monitor_id").distinct()
-    reg_sets = reg.groupBy("block_id").agg(F.array_sort(F.collect_list("monitor_id")).alias("registered"))
-    seen = (
-        flow.select("create_date", "block_id", "monitor_id")
-        .distinct()
-        .join(reg.withColumn("is_registered", F.lit(True)), ["block_id", "monitor_id"], "left")
-    )
-    day = seen.groupBy("create_date", "block_id").agg(
-        F.collect_list(F.when(F.col("is_registered"), F.col("monitor_id"))).alias("online")
-    )
-    return day.join(reg_sets, "block_id", "left").withColumn(
+    """(create_date, block_id, registered, online, offline): per (day, block) with sightings, the block's
+    registered cameras, the registered ones seen that day and the silent ones, all as sorted arrays.
+
+    One shuffle of the sightings: the seen set per (day, block) is a ``collect_set`` (deduplicated
+    map-side, bounded by the block's cameras). It is joined on the block key to the registered set of
+    each block (one row per block); the lists are array set operations."""
+    reg_sets = registry.groupBy("block_id").agg(F.array_sort(F.collect_set("monitor_id")).alias("registered"))
+    seen = flow.groupBy("create_date", "block_id").agg(F.collect_set("monitor_id").alias("seen"))
+    j = seen.join(reg_sets, "block_id", "left").withColumn(
         "registered", F.coalesce("registered", F.array().cast("array<string>"))
     )
+    return j.select(
+        "create_date",
+        "block_id",
+        "registered",
+        F.array_intersect("registered", "seen").alias("online"),
+        F.array_except("registered", "seen").alias("offline"),
+    )
 
 
 def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
     """Device status per day and block, for every (day, block) with at least one sighting; the offline
     list is the registered set minus the cameras seen that day (``array_except``)."""
     j = _daily_sets(flow, registry)
-    offline = F.array_except("registered", "online")
     return j.select(
         "create_date",
         F.col("block_id").alias("blockid"),
         F.size("registered").cast("bigint").alias("monitor_standard_count"),
         F.size("online").cast("bigint").alias("normal_monitor_count"),
-        F.size(offline).cast("bigint").alias("abnormal_monitor_count"),
-        F.array_join(F.array_sort(offline), ",").alias("abnormal_monitor_camera_infos"),
+        F.size("offline").cast("bigint").alias("abnormal_monitor_count"),
+        F.array_join("offline", ",").alias("abnormal_monitor_camera_infos"),
     )
 
 
@@ -100,7 +91,7 @@ def offline_cameras_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
     return j.select(
         "create_date",
         F.col("block_id").alias("blockid"),
-        F.explode(F.array_except("registered", "online")).alias("monitor_id"),
+        F.explode("offline").alias("monitor_id"),
     )
 
 
