@@ -36,18 +36,19 @@ def prefix_counts(flow: DataFrame) -> DataFrame:
 
 def fold_provinces(spark: SparkSession, counts: DataFrame) -> DataFrame:
     """Zero-filled counts of the 7 provinces in display order, plus one ``other`` row for every prefix
-    outside the map (D12). ``counts`` has (prefix, sightings) and is small (one row per prefix)."""
-    dim = F.broadcast(province_dim(spark))
-    j = counts.join(dim, "prefix", "full_outer")
-    keyed = j.select(
+    outside the map (D12). ``counts`` has (prefix, sightings), one row per prefix.
+
+    The prefix counts are mapped through the broadcast 7-row dimension (a left join, no shuffle of the
+    counts); zero rows for the 8 display rows are unioned in and one small aggregate folds them."""
+    dim = province_dim(spark)
+    mapped = counts.join(F.broadcast(dim), "prefix", "left").select(
         F.coalesce("province", F.lit(OTHER)).alias("province"),
         F.coalesce("ord", F.lit(len(PROVINCES) + 1)).alias("ord"),
-        F.coalesce("sightings", F.lit(0).cast("bigint")).alias("sightings"),
-    )
-    other = spark.range(1).select(
-        F.lit(OTHER).alias("province"), F.lit(len(PROVINCES) + 1).alias("ord"), F.lit(0).cast("bigint").alias("sightings")
+        F.col("sightings").cast("bigint").alias("sightings"),
     )
-    return keyed.unionByName(other).groupBy("province", "ord").agg(F.sum("sightings").cast("bigint").alias("sightings"))
+    other = spark.range(1).select(F.lit(OTHER).alias("province"), F.lit(len(PROVINCES) + 1).alias("ord"))
+    zeros = dim.select("province", "ord").unionByName(other).withColumn("sightings", F.lit(0).cast("bigint"))
+    return mapped.unionByName(zeros).groupBy("province", "ord").agg(F.sum("sightings").cast("bigint").alias("sightings"))
 
 
 def province_counts(spark: SparkSession, flow: DataFrame) -> DataFrame:
