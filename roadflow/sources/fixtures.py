@@ -6,8 +6,11 @@ independently so a mistake in one shows up as a mismatch.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadflow.session import configure
 
@@ -17,8 +20,30 @@ PLATE_LETTERS = "黑黑黑京沪琼黑辽吉闽"
 OUTSIDE_LETTER = "粤"
 
 
+# Inferred parquet schemas, keyed by file identity (path, size, mtime): a later read of the same unchanged
+# file passes the schema instead of running schema inference again. Local paths only.
+_SCHEMAS: dict[tuple, T.StructType] = {}
+
+
+def _file_key(path: str) -> tuple | None:
+    if "://" in path and not path.startswith("file:"):
+        return None
+    try:
+        st = os.stat(path.replace("file:", "", 1))
+    except OSError:
+        return None
+    return (path, st.st_size, st.st_mtime_ns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = _file_key(path)
+    if key is not None and key in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    df = spark.read.parquet(path)
+    if key is not None:
+        _SCHEMAS[key] = df.schema
+    return df
 
 
 def plate_of(key: Column) -> Column:

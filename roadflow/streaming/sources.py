@@ -60,7 +60,7 @@ def text_request_stream(spark: SparkSession, path: str) -> DataFrame:
 def events_flow_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Sightings streamed from the ``events`` parquet table (view ``flow_events``), for tests and checks."""
     configure(spark)
-    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").schema
+    schema = fx.table(spark, sf_dir, "events").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
