@@ -143,3 +143,21 @@ def test_start_live_and_read_live(spark):
     assert prov["黑龙江"] == 4 and prov["北京"] == 4 and prov["other"] == 4 and len(prov) == 8
     snap = res["snapshot"].collect()[0]
     assert snap.currentAutoCount == 12 and snap.blockRank.count("|") == 1
+
+
+def test_late_rows_beyond_watermark_are_dropped(spark):
+    """Rows are judged late against the previous batch's watermark (Spark >= 3.4). After batches at
+    12:0x and 12:30 the watermark is 11:51 (10-minute delay); a 10:00 row arriving in the third batch is
+    dropped, the 12:40 row beside it is counted."""
+    d = tempfile.mkdtemp(prefix="roadflow-late-")
+    row = "2018-04-26\t0001\t00001\t京A1\t2018-04-26 {t}\t{s}\t1\t01"
+    files = [("a.tsv", [("12:00:00", 10), ("12:01:00", 20)]), ("b.tsv", [("12:30:00", 30)]),
+             ("c.tsv", [("10:00:00", 99), ("12:40:00", 40)])]
+    for i, (name, rows) in enumerate(files):
+        _write_lines(os.path.join(d, "flow"), name, [row.format(t=t, s=v) for t, v in rows])
+        os.utime(os.path.join(d, "flow", name), (1_600_000_000 + i * 10, 1_600_000_000 + i * 10))  # file order
+    stream = live.window_speed_stream(
+        streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "1 hour", "1 hour", "10 minutes")
+    out = live.run_available_now(spark, stream, "t_late", ["window_start", "window_end", "blockid"])
+    got = {str(r.window_start): (r.avg_speed, r.sightings) for r in out.collect()}
+    assert got == {"2018-04-26 12:00:00": (25, 4)}  # (10 + 20 + 30 + 40) div 4; the 10:00 row is gone
