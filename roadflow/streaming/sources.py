@@ -70,3 +70,12 @@ def events_flow_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger:
 def event_time(df: DataFrame, col: str = "action_time") -> DataFrame:
     """Watermarks need a zoned timestamp; camera wall-clock time is read as UTC (session zone is UTC)."""
     return df.withColumn("event_ts", F.col(col).cast("timestamp"))
+
+
+def start_reject_sink(lines: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """R5 for streams: raw lines that do not parse (with their reason) appended to a parquet table, the
+    same split the batch ingest makes. ``lines`` is the raw stream (``value`` column), e.g.
+    ``spark.readStream.format('kafka')...`` or a text folder stream."""
+    _, bad = split_rejects(parse_flow_lines(lines))
+    w = bad.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

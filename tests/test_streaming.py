@@ -161,3 +161,17 @@ def test_late_rows_beyond_watermark_are_dropped(spark):
     out = live.run_available_now(spark, stream, "t_late", ["window_start", "window_end", "blockid"])
     got = {str(r.window_start): (r.avg_speed, r.sightings) for r in out.collect()}
     assert got == {"2018-04-26 12:00:00": (25, 4)}  # (10 + 20 + 30 + 40) div 4; the 10:00 row is gone
+
+
+def test_stream_rejects_are_kept(spark):
+    d = tempfile.mkdtemp(prefix="roadflow-rej-")
+    _write_lines(os.path.join(d, "in"), "a.tsv", [
+        "2018-04-26\t0001\t00001\t京A1\t2018-04-26 10:00:00\t50\t1\t01",
+        "2018-04-26\t0001\t00001\t京A1\tnot-a-time\t50\t1\t01",
+        "short\tline",
+    ])
+    q = streams.start_reject_sink(spark.readStream.format("text").load(os.path.join(d, "in")), os.path.join(d, "rej"),
+                                  os.path.join(d, "ck"), {"availableNow": True})
+    q.awaitTermination()
+    got = sorted(r.reject_reason for r in spark.read.parquet(os.path.join(d, "rej")).collect())
+    assert got == ["bad_time", "short_line"]
