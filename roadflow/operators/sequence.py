@@ -7,8 +7,8 @@ folder, so the cut stays the same for the passes below and no pass recomputes th
 executor loss. Each pass then works per (partition, key), which is at most one partition's rows:
 
 - within a partition the window runs per (partition, key);
-- the one row per partition that continues a key from earlier partitions is fixed up from a table of
-  one boundary row per partition (bounded by the partition count, so it is broadcast).
+- the first row of each (partition, key) group is fixed up from the last row of the key's previous
+  group, found among the groups' first and last rows only (at most two per group).
 """
 
 from __future__ import annotations
@@ -43,16 +43,6 @@ def range_parted(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return parted.withColumn(PID, F.spark_partition_id())
 
 
-def _boundary_rows(parted: DataFrame, key: str, order: list[str], cols: list[str]) -> DataFrame:
-    """For each non-empty partition, the last row of the nearest earlier non-empty partition:
-    (_pid, key, cols...). One row per partition."""
-    last = parted.groupBy(PID).agg(
-        F.max_by(F.struct(F.col(key).alias("k"), *[F.col(c).alias(c) for c in cols]), F.struct(key, *order)).alias("v")
-    )
-    prev = last.select(PID, F.lag("v").over(Window.orderBy(PID)).alias("p")).where(F.col("p").isNotNull())
-    return prev.select(PID, F.col("p.k").alias(key), *[F.col(f"p.{c}").alias(f"_fix_{c}") for c in cols])
-
-
 def lag_by_key(
     df: DataFrame, key: str, order: list[str], cols: list[str], max_group_rows: int | None = None
 ) -> DataFrame:
@@ -65,9 +55,21 @@ def lag_by_key(
         return df.select("*", *[F.lag(c).over(w0).alias(f"prev_{c}") for c in cols])
     parted = range_parted(df, key, order)
     w = Window.partitionBy(PID, key).orderBy(*order)
-    within = parted.select("*", F.row_number().over(w).alias("_rn"), *[F.lag(c).over(w).alias(f"_in_{c}") for c in cols])
-    fix = F.broadcast(_boundary_rows(parted, key, order, cols))  # one row per partition
-    j = within.join(fix, [PID, key], "left")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    within = parted.select(
+        "*",
+        F.row_number().over(w).alias("_rn"),
+        F.count(F.lit(1)).over(whole).alias("_cnt"),
+        *[F.lag(c).over(w).alias(f"_in_{c}") for c in cols],
+    )
+    # Only a group's first row can have its predecessor in an earlier partition, and that predecessor is
+    # the last row of the key's previous group. So the first and last row of every (partition, key) group
+    # are enough: a lag over them per key, in (partition, order...) order, gives each first row its
+    # predecessor. A hot key has at most two such rows per partition it spans.
+    ends = within.where((F.col("_rn") == 1) | (F.col("_rn") == F.col("_cnt")))
+    wk = Window.partitionBy(key).orderBy(PID, "_rn")  # _rn orders a group exactly, ties included
+    fix = ends.select(PID, key, "_rn", *[F.lag(c).over(wk).alias(f"_fix_{c}") for c in cols]).where(F.col("_rn") == 1)
+    j = within.join(fix.drop("_rn"), [PID, key], "left")
     out = [F.when(F.col("_rn") == 1, F.col(f"_fix_{c}")).otherwise(F.col(f"_in_{c}")).alias(f"prev_{c}") for c in cols]
     return j.select(*df.columns, *out)
 

@@ -101,3 +101,21 @@ def test_ordered_join_nulls_same_on_both_paths(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
     assert plain == split and ">>" not in split and split.count(">") == 39
+
+
+def test_lag_groups_made_of_identical_rows(spark):
+    """A (partition, key) group whose rows tie on every order column: its first row must still get the
+    previous group's last row, not a copy of itself."""
+    from roadflow.operators.sequence import lag_by_key
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        # key 'k' with five t values, 400 rows each: range bounds fall between t values, so every
+        # (partition, key) group is a run of identical rows
+        df = spark.range(2000).select(F.lit("k").alias("k"), (F.col("id") / 400).cast("long").alias("t"))
+        got = sorted(map(tuple, lag_by_key(df, "k", ["t"], ["t"], max_group_rows=5).collect()), key=str)
+        want = sorted(map(tuple, df.select("*", F.lag("t").over(Window.partitionBy("k").orderBy("t")).alias("prev_t")).collect()), key=str)
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
