@@ -61,3 +61,25 @@ def test_scale_conf():
     c = scale_conf(100 * 2**40)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_cli_track_with_names_top_blocks_and_inbound(spark):
+    d = tempfile.mkdtemp(prefix="roadflow-cli2-")
+    _write(f"{d}/tsv", "f.tsv", [
+        "2018-04-26\t0005\t26780\t深W61995\t2018-04-26 02:44:08\t154\t2\t07",
+        "2018-04-26\t0001\t00001\t深W61995\t2018-04-26 01:00:00\t50\t9\t03",
+        "2018-04-26\t0001\t00002\t黑A00001\t2018-04-26 03:00:00\t50\t1\t01",
+    ])
+    _write(f"{d}/req", "q.json", [json.dumps({"plate": "深W61995"}, ensure_ascii=False)])
+    spark.createDataFrame([(7, "Seven")], "district_id int, district_name string").write.parquet(f"{d}/district")
+    spark.createDataFrame([(2, "Two")], "road_id bigint, road_name string").write.parquet(f"{d}/road")
+    jobs.main(["ingest", "--flow-tsv", f"{d}/tsv", "--out", f"{d}/store"])
+    flow = f"{d}/store/flow"
+    jobs.main(["track", "--flow", flow, "--requests", f"{d}/req", "--district", f"{d}/district", "--road", f"{d}/road",
+               "--out", f"{d}/res", "--run-date", "2018-04-27"])
+    jobs.main(["top-blocks", "--flow", flow, "--out", f"{d}/res", "--n", "1", "--run-date", "2018-04-27"])
+    jobs.main(["inbound", "--flow", flow, "--out", f"{d}/res"])
+    t = spark.read.parquet(f"{d}/res/Auto_Track").collect()[0]
+    assert (t.blockid, t.roadid, t.districtid) == ("0001>0005", "9>Two", "03>Seven")
+    assert spark.read.parquet(f"{d}/res/topn_blocks").collect()[0].blockid == "0001"
+    assert spark.read.parquet(f"{d}/res/inbound_first_seen").collect()[0].first_inbound_position == "0001"
