@@ -83,3 +83,20 @@ def test_cli_track_with_names_top_blocks_and_inbound(spark):
     assert (t.blockid, t.roadid, t.districtid) == ("0001>0005", "9>Two", "03>Seven")
     assert spark.read.parquet(f"{d}/res/topn_blocks").collect()[0].blockid == "0001"
     assert spark.read.parquet(f"{d}/res/inbound_first_seen").collect()[0].first_inbound_position == "0001"
+
+
+def test_scale_conf_applies_to_a_session(spark):
+    from roadflow.session import apply_scale_conf, scale_conf
+
+    keys = list(scale_conf(1))
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        apply_scale_conf(spark, 50 * 2**30)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert spark.range(1000).groupBy("id").count().count() == 1000  # the settings are accepted at run time
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
