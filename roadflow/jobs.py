@@ -126,8 +126,10 @@ def main(argv: list[str] | None = None) -> None:
                     flow_s, lambda: load_plates(spark, a.watch), f"{a.out}/alerts", f"{a.out}/_checkpoints/alerts"
                 )
             }
+        # return (or raise) as soon as any of the queries stops, so a failed one is never waited past
+        spark.streams.awaitAnyTermination()
         for q in queries.values():
-            q.awaitTermination()
+            q.stop()
         return
     flow = load_flow(spark, a.flow, a.flow_format)
     if a.job == "device-status":
