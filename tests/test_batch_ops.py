@@ -81,6 +81,7 @@ def test_province_counts_other_row(spark):
 
 
 def test_inbound_first_seen_and_order(spark):
+    """First sighting per non-local vehicle with road and area both kept (D14), sightings in time order."""
     flow = flow_rows(
         spark,
         [

@@ -57,6 +57,7 @@ def test_crlf_lines_parse(spark):
 
 
 def test_parse_and_reject(spark):
+    """The line value itself is parsed (D11); bad lines go to the reject side."""
     lines = spark.createDataFrame(
         [
             ("2018-04-26\t0005\t26780\t深W61995\t2018-04-26 02:44:08\t154\t47\t02",),

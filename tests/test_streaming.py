@@ -18,6 +18,7 @@ def _write_lines(folder, name, lines):
 
 
 def test_window_totals_provinces_alerts(spark):
+    """Window means over the speed field (D10); alerts carry real fields and HH:mm time."""
     d = tempfile.mkdtemp(prefix="roadflow-stream-")
     lines = []
     for i in range(40):
@@ -104,7 +105,7 @@ def test_replayed_batch_overwrites_its_own_output(spark):
 
 
 def test_alerts_pick_up_watch_list_changes(spark):
-    """A plate added to the watch-list table between two runs is alerted on in the second run."""
+    """A plate added to the watch-list table between two runs is alerted on in the second run."""
     d = tempfile.mkdtemp(prefix="roadflow-watch-")
     line = "2018-04-26\t0001\t00001\t{p}\t2018-04-26 10:00:0{i}\t50\t1\t01"
     _write_lines(os.path.join(d, "flow"), "a.tsv", [line.format(p="京A1", i=1), line.format(p="京B2", i=2)])
