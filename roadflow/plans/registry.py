@@ -177,7 +177,7 @@ def q_comma_clean(spark, sf):
 
 # --- streaming jobs, driven to completion over the events table ---------------------------------------
 
-from roadflow.plans.params import STREAM_LOCAL_PREFIX, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
+from roadflow.plans.params import STREAM_LOCAL_PREFIX, STREAM_STATE_PARTITIONS, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
 from roadflow.session import scratch_path  # noqa: E402
 from roadflow.streaming import live  # noqa: E402
 from roadflow.streaming import sources as streams  # noqa: E402
@@ -187,26 +187,28 @@ from roadflow.streaming import sources as streams  # noqa: E402
 def q_stream_window_speed(spark, sf):
     flow = streams.events_flow_stream(spark, sf)
     s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
-    return live.run_available_now(spark, s, "stream_window_speed", ["window_start", "window_end", "blockid"])
+    return live.run_available_now(
+        spark, s, "stream_window_speed", ["window_start", "window_end", "blockid"], state_partitions=STREAM_STATE_PARTITIONS
+    )
 
 
 @register("stream_totals")
 def q_stream_totals(spark, sf):
     s = live.totals_stream(streams.events_flow_stream(spark, sf), STREAM_LOCAL_PREFIX)
-    return live.run_available_now(spark, s, "stream_totals", [], output_mode="complete")
+    return live.run_available_now(spark, s, "stream_totals", [], output_mode="complete", state_partitions=1)
 
 
 @register("stream_provinces")
 def q_stream_provinces(spark, sf):
     s = live.province_prefix_stream(streams.events_flow_stream(spark, sf))
-    counts = live.run_available_now(spark, s, "stream_provinces", ["prefix"], output_mode="update")
+    counts = live.run_available_now(spark, s, "stream_provinces", ["prefix"], output_mode="update", state_partitions=4)
     return province.fold_provinces(spark, counts)
 
 
 @register("stream_alerts")
 def q_stream_alerts(spark, sf):
     s = live.alerts_stream(streams.events_flow_stream(spark, sf), fx.requests(spark, sf))
-    return live.run_available_now(spark, s, "stream_alerts", None)
+    return live.run_available_now(spark, s, "stream_alerts", None, state_partitions=STREAM_STATE_PARTITIONS)
 
 
 @register("stream_track_requests")
@@ -263,7 +265,9 @@ def q_table_append(spark, sf):
 def q_stream_speed_rank(spark, sf):
     flow = streams.events_flow_stream(spark, sf)
     s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
-    speeds = live.run_available_now(spark, s, "stream_speed_rank", ["window_start", "window_end", "blockid"])
+    speeds = live.run_available_now(
+        spark, s, "stream_speed_rank", ["window_start", "window_end", "blockid"], state_partitions=STREAM_STATE_PARTITIONS
+    )
     return live.speed_rank(speeds)
 
 
@@ -274,7 +278,8 @@ def q_stream_live_snapshot(spark, sf):
     out = scratch_path(spark, "live")
     flow = streams.events_flow_stream(spark, sf)
     qs = live.start_live(
-        flow, out, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True}
+        flow, out, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True},
+        state_partitions={"window_speed": STREAM_STATE_PARTITIONS},
     )
     for q in qs.values():
         q.awaitTermination()

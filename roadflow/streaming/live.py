@@ -7,6 +7,8 @@ keep one row per key of a fixed small key set.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +76,23 @@ def alerts_stream(flow: DataFrame, watch: DataFrame) -> DataFrame:
 
 # --- sinks for the live jobs -------------------------------------------------------------------------
 
+@contextmanager
+def state_partitions_for_start(spark: SparkSession, n: int | None):
+    """Shuffle width a stateful query starts with. Spark fixes a streaming aggregate's number of state
+    partitions from ``spark.sql.shuffle.partitions`` when the query first starts, and records it in the
+    checkpoint. Size it to the state (keys alive under the watermark), not to the input volume. ``None``
+    keeps the session's value."""
+    if n is None:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _batch_writer(out_path: str, fmt: str = "parquet"):
     """foreachBatch body writing each micro-batch to its own ``batch_id=N`` folder with overwrite, so a
     replayed batch replaces its own output instead of appending twice."""
@@ -91,14 +110,17 @@ def start_to_table(
     output_mode: str = "update",
     trigger: dict | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
 ):
     """Start ``stream`` with a per-batch idempotent parquet sink (K3) and its checkpoint (T4). ``trigger`` e.g.
-    ``{"processingTime": "10 seconds"}`` (default) or ``{"availableNow": True}``."""
+    ``{"processingTime": "10 seconds"}`` (default) or ``{"availableNow": True}``; ``state_partitions`` see
+    ``state_partitions_for_start``."""
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"processingTime": SPEED_TRIGGER}))
-    return w.foreachBatch(_batch_writer(out_path)).start()
+    with state_partitions_for_start(stream.sparkSession, state_partitions):
+        return w.foreachBatch(_batch_writer(out_path)).start()
 
 
 def latest_rows(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
@@ -150,6 +172,7 @@ def run_available_now(
     name: str,
     keys: list[str] | None,
     output_mode: str = "update",
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Drive ``stream`` over everything available now (fresh checkpoint and output under the shared
     folder, one per call) and return its final result as a batch DataFrame. ``keys`` = grouping keys of
@@ -159,13 +182,14 @@ def run_available_now(
     out = scratch_path(spark, f"{name}-out")
     ck = scratch_path(spark, f"{name}-ckpt")
     if keys is None:
-        q = (
-            stream.writeStream.outputMode("append").format("parquet")
-            .option("path", out).option("checkpointLocation", ck)
-            .trigger(availableNow=True).start()
-        )
+        with state_partitions_for_start(spark, state_partitions):
+            q = (
+                stream.writeStream.outputMode("append").format("parquet")
+                .option("path", out).option("checkpointLocation", ck)
+                .trigger(availableNow=True).start()
+            )
     else:
-        q = start_to_table(stream, out, ck, output_mode, {"availableNow": True})
+        q = start_to_table(stream, out, ck, output_mode, {"availableNow": True}, state_partitions=state_partitions)
     q.awaitTermination()
     try:
         df = spark.read.parquet(out)
@@ -219,6 +243,7 @@ def start_live(
     watermark: str = "1 hour",
     local_prefix: str = "黑A",
     trigger: dict | None = None,
+    state_partitions: dict[str, int] | None = None,
 ) -> dict:
     """The live speed-and-counts job: three queries over the same sighting stream, each with its
     own checkpoint under ``out_dir``: window speeds (update), running totals (complete) and province
@@ -229,8 +254,10 @@ def start_live(
         "totals": (totals_stream(flow, local_prefix), "complete"),
         "provinces": (province_prefix_stream(flow), "update"),
     }
+    # state sizes: totals one key, provinces one key per plate prefix, window speeds windows x blocks
+    parts = {"window_speed": None, "totals": 1, "provinces": 4, **(state_partitions or {})}
     return {
-        name: start_to_table(s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger)
+        name: start_to_table(s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger, state_partitions=parts[name])
         for name, (s, mode) in plans.items()
     }
 
