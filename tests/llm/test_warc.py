@@ -1,0 +1,48 @@
+"""Archive round trip: exact records, one copy of each payload, revisits."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadflow.llm import warc
+from roadflow.session import scratch_path
+
+
+def test_round_trip(spark):
+    long, other = "x" * 999 + "é", "y" * 1000
+    rows = [(1, "u1", long), (5, None, long), (3, "u\r\n3", long), (9, "u9", "short"), (4, "u4", "short"), (2, "u", None), (6, "u", ""), (None, "n", other), (7, "u7", other), (8, "a", "z" * 2000), (8, "a", "z" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("header", F.lit("clash")).withColumn("sha1", F.lit(0))
+    path = scratch_path(spark, "warc-test")
+    warc.write_archive(pages, path)
+    assert spark.read.parquet(f"{path}/payloads").count() == len({(t or "") for *_, t in rows})
+    got = warc.read_archive(spark, path).collect()
+    assert len(got) == len(rows)
+    key = lambda x: (x[0] is None, x[0], str(x))
+    newest = {}
+    for i, _, t in rows:
+        newest[t or ""] = max(newest.get(t or "", -1), -1 if i is None else i)
+    want = []
+    for i, _, t in rows:
+        body = (t or "").encode()
+        revisit = len(body) >= 1000 and i != newest[t or ""]
+        want.append((i, body, hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", newest[t or ""] if revisit else None))
+    assert sorted(((r.page_id, bytes(r.payload), r.payload_digest, r.record_type, r.refers_to) for r in got), key=key) == sorted(want, key=key)
+    for r in got:
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        assert rest == (bytes(r.payload) if r.record_type == "response" else b"") + b"\r\n\r\n"
+        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ")
+    assert {r.page_id: r.url for r in got}[3] == "u 3"
+
+
+def test_damaged_payload_is_refused(spark):
+    path = scratch_path(spark, "warc-bad")
+    warc.write_archive(spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string"), path)
+    spark.read.parquet(f"{path}/payloads").withColumn("payload", F.lit(b"abd")).write.parquet(f"{path}2/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{path}2/records")
+    with pytest.raises(Exception, match="does not have its digest"):
+        warc.read_archive(spark, f"{path}2").select("payload").collect()
+
+
+def test_empty(spark):
+    assert warc.archived(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
