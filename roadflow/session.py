@@ -79,7 +79,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared working folder named by ``spark.checkpoint.dir``.
 
     Read from the session; only when it is unset on a local master (tests, local runs) a fresh folder is
-    made and set. On a cluster an unset value is an error.
+    made and set on the context. On a cluster an unset value is an error.
     Streaming checkpoints, snapshot files and lineage-cutting tables all live below it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
@@ -90,8 +90,8 @@ def shared_dir(spark: SparkSession) -> str:
             # a machine-local folder is invisible to other executors: never fall back to one on a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="roadflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
+        # the context, not the session conf: spark.checkpoint.dir cannot be changed once a session runs
         spark.sparkContext.setCheckpointDir(current)
     return current
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,8 +11,6 @@ def spark():
     from roadflow.session import local_session
 
     s = local_session(cores="*", shuffle_partitions=8, app="roadflow-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadflow-test-ckpt-"))
     yield s
 
 
