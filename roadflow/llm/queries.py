@@ -11,16 +11,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm import contamination, simhash, warc
+from roadflow.llm import contamination, mixing, order_minhash, pii, recompression, simhash, toxicity, warc
 from roadflow.llm.common import table
 
 
+def op1_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data by pattern, and the terms near it that disclose it."""
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, with their likeness."""
+    return order_minhash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of the pattern grammar, learned from the labels that are not held out."""
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of 3-word shingles, linked at 2 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    taken = mixing.taken_words(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op7_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 50 words that also start in a document with a smaller id."""
+    return recompression.removal_report(table(spark, sf_dir, "documents"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 10 item words found in documents."""
     found = contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -49,7 +75,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_pii_sanitisation,
+        op2_order_minhash,
+        op3_toxicity,
         op4_simhash_near_dedup,
+        op5_source_mixing,
+        op7_recompression_dedup,
         op8_benchmark_decontamination,
         op10_warc,
     )
