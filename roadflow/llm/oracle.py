@@ -2,6 +2,82 @@
 
 from __future__ import annotations
 
+from roadflow.llm.licenses import KNOWN, SPELLINGS
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(line: str) -> str:
+    plain = rf"trim(regexp_replace(lower({line}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    for pattern, spelling in SPELLINGS:
+        plain = rf"regexp_replace({plain}, '\b{pattern}\b', '{spelling.replace('$', chr(92))}', 'g')"
+    return rf"case when regexp_matches(lower({line}), '^\s*(?:copyright\b|\(c\)|©|all rights reserved)') then '' else {plain} end"
+
+
+def _op6() -> str:
+    values = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)
+    return rf"""
+with known as (
+  select min(license) as license, c from (
+    select license, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {_canonical('x')}), lambda x: x <> ''), ' ') as c
+    from (values {values}) as v(license, text)) where c <> '' group by c),
+d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+p as (
+  select r, i, list_filter(list_transform(string_split(para[i], chr(10)), lambda x: {_canonical('x')}), lambda x: x <> '') as ls
+  from (select r, string_split_regex(t, '
+[ 	
+]*
+\s*') as para from d), unnest(range(1, len(para) + 1)) as u(i)),
+unit as (
+  select r, 'line' as kind, unnest(ls) as c from p
+  union all select r, 'paragraph', array_to_string(ls, ' ') from p
+  union all select r, 'text', string_agg(array_to_string(ls, ' '), ' ' order by i) filter (len(ls) > 0) from p group by r),
+hit as (select r, kind, license from unit join known using (c)),
+agg as (
+  select r, max(license) filter (kind = 'text') as text_license, count(*) filter (kind = 'line') as n_lines,
+    string_agg(distinct license, ',' order by license) as licenses
+  from hit group by r)
+select doc_id, text_license, coalesce(n_lines, 0) as n_lines, coalesce(licenses, '') as licenses
+from d left join agg using (r)
+"""
+
+
+_OP7 = r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+win as (
+  select r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) as g
+  from d, unnest(range(1, len(w) - 48)) as u(i) where len(w) >= 50),
+least as (select g, min(coalesce(doc_id, 9223372036854775807)) as first from win group by g),
+hit as (select r, i from win join least using (g) where first < coalesce(doc_id, 9223372036854775807)),
+gone as (select distinct r, j from hit, unnest(range(i, i + 50)) as u(j)),
+marks as (select r, list(j) as js from gone group by r),
+kept as (
+  select doc_id, w, coalesce(len(js), 0) as n_removed,
+    case when js is null then w else list_filter(list_transform(w, lambda x, i: case when not list_contains(js, i) then x end), lambda x: x is not null) end as k
+  from d left join marks using (r))
+select doc_id, cast(len(w) as bigint) as n_words, cast(n_removed as bigint) as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256
+from kept
+"""
+
+_OP9 = r"""
+with d as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+tok as (select r, i, w[i] as x, case when i > 1 then w[i - 1] end as v from d, unnest(range(1, len(w) + 1)) as u(i)),
+uni as (select x, count(*) as c from tok group by x),
+bi as (select v, x, count(*) as c from tok where v is not null group by v, x),
+total as (select count(*) as t from tok),
+s as (
+  select r, case when bi.c >= 2 then ln(bi.c / ctx.c) when tok.v is null then ln(uni.c / t) else ln(uni.c / t) + ln(0.4) end as p,
+    case when bi.c >= 2 then 0 else 1 end as one
+  from tok join uni using (x) left join bi on bi.v = tok.v and bi.x = tok.x left join uni as ctx on ctx.x = tok.v, total),
+agg as (select r, avg(p) as score, sum(one) as n_unigram from s group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_unigram, 0) as bigint) as n_unigram, round(score, 6) as score
+from d left join agg using (r)
+"""
+
 _OP8 = r"""
 with d as (
   select rowid as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
@@ -35,6 +111,9 @@ from p join g using (payload_digest)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_license_scan": _op6(),
+    "op7_recompression_dedup": _OP7,
     "op8_benchmark_decontamination": _OP8,
+    "op9_stupid_backoff": _OP9,
     "op10_warc": _OP10,
 }

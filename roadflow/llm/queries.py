@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm import contamination, mixing, order_minhash, pii, recompression, simhash, toxicity, warc
+from roadflow.llm import contamination, licenses, mixing, ngram_lm, order_minhash, pii, recompression, simhash, toxicity, warc
 from roadflow.llm.common import table
 
 
@@ -42,6 +42,11 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts, paragraphs and lines that are a known licence."""
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op7_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in windows of 50 words that also start in a document with a smaller id."""
     return recompression.removal_report(table(spark, sf_dir, "documents"))
@@ -60,6 +65,12 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean log score of every document's words."""
+    found = ngram_lm.score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_unigram", F.round("score", 6).alias("score"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to a content-addressed archive and read back."""
     records = warc.archived(table(spark, sf_dir, "pages"))
@@ -72,6 +83,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,8 +98,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_toxicity,
         op4_simhash_near_dedup,
         op5_source_mixing,
+        op6_license_scan,
         op7_recompression_dedup,
         op8_benchmark_decontamination,
+        op9_stupid_backoff,
         op10_warc,
+        pipeline,
     )
 }

@@ -1,0 +1,46 @@
+"""The pipeline's stages, each against its operator's rule on its own input, and the registered queries."""
+
+import corpus_pipeline
+import __spark_entry__ as entry
+from roadflow.llm import contamination, pii
+from roadflow.llm.common import stored, table
+from roadflow.llm.simhash import fingerprint
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs = table(spark, SF, "documents")
+    columns, states = docs.columns, [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        states.append(stored(stage(spark, states[-1], SF), f"test-{name}"))
+    assert all(s.columns == columns for s in states[:-1])
+    ids = [{r.doc_id for r in s.select("doc_id").collect()} for s in states[:-1]]
+    assert all(b <= a for a, b in zip(ids, ids[1:], strict=False)) and ids[0] > ids[-1]
+
+    labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
+    assert not [i for i in ids[0] - ids[1] if labels.get(i) == 0]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    fp = {i: fingerprint(texts[i]) for i in ids[1]}
+    for i in ids[1] - ids[2]:  # a removed one has a near one before it
+        assert any((fp[i] ^ fp[j]).bit_count() <= 2 for j in ids[1] if j < i)
+    assert not [1 for i in ids[2] for j in ids[2] if i < j and (fp[i] ^ fp[j]).bit_count() <= 2]
+    bench = {r.item_id: r.text for r in table(spark, SF, "benchmark").collect()}
+    windows = {p for t in bench.values() for p in contamination.item_patterns(t, 10)}
+    hit = {i for i in ids[2] if any(p in contamination.fold(texts[i]) for p in windows)}
+    assert ids[3] == ids[2] - hit and ids[4] == ids[3]
+    assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in pii.span_report(states[4]).collect()) == 0
+    unmasked = {r.doc_id for r in pii.span_report(states[3]).collect() if r.spans == ""}
+    assert all(r.text == texts[r.doc_id] for r in states[4].collect() if r.doc_id in unmasked)
+
+    mixed = states[5].collect()
+    assert {i for r in mixed for i in r.doc_ids} <= ids[4]
+    kept = {r.doc_id: r.text for r in states[4].collect()}
+    assert all(any(w in kept[i] for w in r.text.split(" ")[:1] + r.text.split(" ")[-1:] for i in r.doc_ids) for r in mixed)
+
+
+def test_registered():
+    names = list(entry.queries())
+    for n in range(1, 11):
+        assert sum(x.startswith(f"op{n}_") for x in names) == 1
+    assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
