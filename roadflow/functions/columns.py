@@ -58,6 +58,22 @@ def parse_time(c: Column | str) -> Column:
     return F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
 
 
+def wall_time(c: Column | str) -> Column:
+    """Exactly ``yyyy-MM-dd HH:mm:ss`` text -> timestamp_ntz, null for anything else (a date alone, a ``T``, a
+    zone, an impossible day). Hour 24 is hour 0 of the next day, as the sightings' source writes it."""
+    x = _c(c)
+    shape = x.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} ([01][0-9]|2[0-4]):[0-5][0-9]:[0-5][0-9]$")
+    late = F.substring(x, 12, 2) == "24"
+    at = parse_time(F.when(late, F.concat(F.substring(x, 1, 11), F.lit("00"), F.substring(x, 14, 6))).otherwise(x))
+    return F.when(shape, F.when(late, F.timestamp_add("DAY", F.lit(1), at)).otherwise(at))
+
+
+def strict_date(c: Column | str) -> Column:
+    """Exactly ``yyyy-MM-dd`` text -> date, null for anything else."""
+    x = _c(c)
+    return F.when(x.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), x.try_cast("date"))
+
+
 def parse_date_key(c: Column | str) -> Column:
     """``yyyyMMdd`` text -> date; null when it does not parse (R5 ``parseDateKey``)."""
     return F.try_to_timestamp(_c(c), F.lit("yyyyMMdd")).cast("date")

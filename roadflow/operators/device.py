@@ -9,7 +9,7 @@ rows are ever gathered in one place -- only the per-block camera lists that form
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,57 +22,48 @@ def device_status(flow: DataFrame, registry: DataFrame, run_date: str | None = N
     """One row per registered block over the whole observed log (result table ``monitor_state``; J1 G2 G4
     G5). online = registered and seen (D7); a block with no sightings has every camera offline (D6).
 
-    One shuffle of the sightings: the seen set per block is a ``collect_set`` (deduplicated map-side,
-    bounded by the block's cameras). The registered set per block is left-joined to it on the block key,
-    and the counts and the offline list are array set operations."""
-    reg_sets = registry.groupBy("block_id").agg(F.array_sort(F.collect_set("monitor_id")).alias("registered"))
-    seen = flow.groupBy("block_id").agg(F.collect_set("monitor_id").alias("seen"))
-    j = reg_sets.join(seen, "block_id", "left").withColumn(
-        "seen", F.coalesce("seen", F.array().cast("array<string>"))
+    Everything is at camera grain: sightings are reduced to distinct cameras by a hash aggregate before
+    the shuffle, joined to the registered ones, and counted. Only the offline cameras, which are the output,
+    are listed."""
+    j = _registered(registry).join(_seen(flow), ["block_id", "monitor_id"], "left")
+    offline = F.array_sort(F.collect_list(F.when(F.col("seen").isNull(), F.col("monitor_id"))))
+    counts = j.groupBy("block_id").agg(
+        F.count(F.lit(1)).alias("registered"), F.count("seen").alias("online"), offline.alias("offline")
     )
-    offline = F.array_except("registered", "seen")
-    return j.select(
+    return counts.select(
         _run_date(run_date).alias("create_date"),
         F.col("block_id").alias("blockid"),
-        F.size("registered").cast("bigint").alias("monitor_standard_count"),
-        F.size(F.array_intersect("registered", "seen")).cast("bigint").alias("normal_monitor_count"),
-        F.size(offline).cast("bigint").alias("abnormal_monitor_count"),
-        F.array_join(offline, ",").alias("abnormal_monitor_camera_infos"),
+        F.col("registered").alias("monitor_standard_count"),
+        F.col("online").alias("normal_monitor_count"),
+        (F.col("registered") - F.col("online")).alias("abnormal_monitor_count"),
+        F.array_join("offline", ",").alias("abnormal_monitor_camera_infos"),
     ).orderBy("create_date", "blockid")
 
 
-def _daily_sets(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """(create_date, block_id, registered, online, offline): per (day, block) with sightings, the block's
-    registered cameras, the registered ones seen that day and the silent ones, all as sorted arrays.
+def _registered(registry: DataFrame) -> DataFrame:
+    return registry.select("block_id", "monitor_id").distinct()
 
-    One shuffle of the sightings: the seen set per (day, block) is a ``collect_set`` (deduplicated
-    map-side, bounded by the block's cameras). It is joined on the block key to the registered set of
-    each block (one row per block); the lists are array set operations."""
-    reg_sets = registry.groupBy("block_id").agg(F.array_sort(F.collect_set("monitor_id")).alias("registered"))
-    seen = flow.groupBy("create_date", "block_id").agg(F.collect_set("monitor_id").alias("seen"))
-    j = seen.join(reg_sets, "block_id", "left").withColumn(
-        "registered", F.coalesce("registered", F.array().cast("array<string>"))
-    )
-    return j.select(
-        "create_date",
-        "block_id",
-        "registered",
-        F.array_intersect("registered", "seen").alias("online"),
-        F.array_except("registered", "seen").alias("offline"),
-    )
+
+def _seen(flow: DataFrame, *more: str) -> DataFrame:
+    """The cameras with sightings (per ``more`` columns, if any), each once."""
+    return flow.select(*more, "block_id", "monitor_id").distinct().withColumn("seen", F.lit(True))
 
 
 def device_status_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """Device status per day and block, for every (day, block) with at least one sighting; the offline
-    list is the registered set minus the cameras seen that day (``array_except``)."""
-    j = _daily_sets(flow, registry)
+    """Device status counts per day and block, for every (day, block) with at least one sighting. The
+    cameras behind the counts are in ``offline_cameras_daily``, as stretches of days: a list of silent
+    cameras per day would grow with days times cameras."""
+    reg = _registered(registry)
+    seen = _seen(flow, "create_date").join(reg.withColumn("known", F.lit(True)), ["block_id", "monitor_id"], "left")
+    daily = seen.groupBy("create_date", "block_id").agg(F.count("known").alias("online"))
+    sizes = reg.groupBy("block_id").agg(F.count(F.lit(1)).alias("registered"))
+    j = daily.join(sizes, "block_id", "left").withColumn("registered", F.coalesce("registered", F.lit(0).cast("bigint")))
     return j.select(
         "create_date",
         F.col("block_id").alias("blockid"),
-        F.size("registered").cast("bigint").alias("monitor_standard_count"),
-        F.size("online").cast("bigint").alias("normal_monitor_count"),
-        F.size("offline").cast("bigint").alias("abnormal_monitor_count"),
-        F.array_join("offline", ",").alias("abnormal_monitor_camera_infos"),
+        F.col("registered").alias("monitor_standard_count"),
+        F.col("online").alias("normal_monitor_count"),
+        (F.col("registered") - F.col("online")).alias("abnormal_monitor_count"),
     )
 
 
@@ -86,12 +77,25 @@ def offline_cameras(flow: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def offline_cameras_daily(flow: DataFrame, registry: DataFrame) -> DataFrame:
-    """(day, block, camera) for registered cameras silent on a day their block had sightings."""
-    j = _daily_sets(flow, registry)
-    return j.select(
-        "create_date",
-        F.col("block_id").alias("blockid"),
-        F.explode("offline").alias("monitor_id"),
+    """(block, camera, silent_from, silent_to, silent_days): the stretches of a block's active days (those
+    with sightings) on which a registered camera had none.
+
+    A stretch lies between two days on which the camera was seen, so there is at most one per camera and
+    day seen, plus one per camera: the result grows with the sightings, not with days times cameras. The
+    days of a block are numbered; a camera's stretches are the gaps in its numbers, with a last number after
+    the block's last day for cameras that end silent or were never seen."""
+    seen = _seen(flow, "create_date")
+    order = Window.partitionBy("block_id").orderBy("create_date")
+    days = seen.select("block_id", "create_date").distinct().withColumn("n", F.row_number().over(order))
+    reg = _registered(registry)
+    on = seen.join(reg, ["block_id", "monitor_id"], "left_semi").join(days, ["block_id", "create_date"])
+    after = days.groupBy("block_id").agg((F.max("n") + 1).alias("n"))
+    points = on.select("block_id", "monitor_id", "n").unionByName(reg.join(after, "block_id"))
+    before = F.coalesce(F.lag("n").over(Window.partitionBy("block_id", "monitor_id").orderBy("n")), F.lit(0))
+    gaps = points.select("block_id", "monitor_id", (before + 1).alias("lo"), (F.col("n") - 1).alias("hi")).where("lo <= hi")
+    day = lambda n, name: days.select("block_id", F.col("n").alias(n), F.col("create_date").alias(name))
+    return gaps.join(day("lo", "silent_from"), ["block_id", "lo"]).join(day("hi", "silent_to"), ["block_id", "hi"]).select(
+        F.col("block_id").alias("blockid"), "monitor_id", "silent_from", "silent_to", (F.col("hi") - F.col("lo") + 1).cast("bigint").alias("silent_days")
     )
 
 

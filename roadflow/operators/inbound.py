@@ -35,12 +35,15 @@ def inbound_sightings(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> Data
 
 def inbound_first_seen(flow: DataFrame, local_prefix: str = LOCAL_PREFIX) -> DataFrame:
     """Each non-local vehicle's first sighting (position = block, road, area of it) and its number
-    of sightings. ``min`` over a struct led by the time is a partial aggregate, so a vehicle with very
-    many sightings is reduced map-side before the shuffle."""
-    first = F.struct("action_time", *TIE_BREAK)
-    agg = non_local(flow, local_prefix).groupBy("plate").agg(
-        F.min(first).alias("f"), F.count(F.lit(1)).alias("sightings")
-    )
+    of sightings.
+
+    The first time and the count are a hash aggregate (partial, so a vehicle with very many sightings is
+    reduced map-side). Only the sightings at that time, one per vehicle but for ties, go through the
+    tie-break, which needs a sort aggregate."""
+    rows = non_local(flow, local_prefix)
+    firsts = rows.groupBy("plate").agg(F.min("action_time").alias("first_time"), F.count(F.lit(1)).alias("sightings"))
+    at_first = rows.join(firsts.withColumnRenamed("plate", "_p"), (F.col("plate") == F.col("_p")) & F.col("action_time").eqNullSafe(F.col("first_time")))
+    agg = at_first.groupBy("plate", "sightings").agg(F.min(F.struct("action_time", *TIE_BREAK)).alias("f"))
     return agg.select(
         "plate",
         F.col("f.action_time").alias("first_time"),

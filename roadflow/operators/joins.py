@@ -2,25 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for a dimension that may be broadcast. A dimension above it is joined by
-# shuffle instead (and AQE may still convert it if its real size turns out small).
-DIMENSION_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven size bound.
-
-    The check reads at most ``max_rows + 1`` rows (a distributed limit + count, nothing is collected),
-    so it stays cheap even when the table turns out to be large; above the bound the frame is returned
-    unhinted and the join falls back to a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
 
 def numeric_key(col: str | F.Column) -> F.Column:
     """Dimension ids compared as numbers, so ``07`` matches 7 (defect D18); text that is not a number

@@ -1,129 +1,82 @@
-"""Per-key ordered operations (previous row, step number) that stay balanced when one key is hot.
+"""Per-key ordered operations (previous row, step number, ordered lists) that stay balanced when one key is hot.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so one plate holding a third of
-all sightings would be sorted by one task. Here the rows are range-partitioned on (key, order...) instead:
-Spark samples the bounds, so a hot key is cut into many partitions. The result is checkpointed to the shared
-folder, so the cut stays the same for the passes below and no pass recomputes the input after an
-executor loss. Each pass then works per (partition, key), which is at most one partition's rows:
-
-- within a partition the window runs per (partition, key);
-- the first row of each (partition, key) group is fixed up from the last row of the key's previous
-  group, found among the groups' first and last rows only (at most two per group).
+all sightings would be sorted by one task. Here the rows of a key are cut into time buckets (a day):
+
+- the window runs per (key, bucket);
+- what crosses a bucket's edge (the last row before it, the rows counted before it) comes from a window over
+  one row per (key, bucket), joined back on (key, bucket).
+
+It is one lazy plan for every size: no row counts, no sampling, no checkpoint, and no second algorithm for
+small inputs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadflow.session import shared_dir
-
-PID = "_pid"
-
-# Largest group one task may handle as a plain window / collect (rows). Above it the range-partitioned
-# path is taken. The check is one partial aggregate over the key; only its maximum reaches the driver.
-MAX_GROUP_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Row count of the biggest ``key`` group (0 for an empty frame)."""
-    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(row["m"] or 0)
-
-
-def _needs_split(df: DataFrame, key: str, max_group_rows: int | None) -> bool:
-    bound = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    return largest_group(df, key) > bound
+BUCKET = "_bucket"
 
 
-def range_parted(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Rows range-partitioned and sorted on (key, order...), checkpointed, with the partition id."""
-    shared_dir(df.sparkSession)
-    parted = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order).checkpoint(eager=True)
-    return parted.withColumn(PID, F.spark_partition_id())
+def _beside(df: DataFrame, per_bucket: DataFrame, key: str) -> DataFrame:
+    """``df`` left-joined to a frame with one row per (_k, _b); null keys and buckets match."""
+    return df.join(per_bucket, F.col(key).eqNullSafe(F.col("_k")) & F.col(BUCKET).eqNullSafe(F.col("_b")), "left")
 
 
-def lag_by_key(
-    df: DataFrame, key: str, order: list[str], cols: list[str], max_group_rows: int | None = None
-) -> DataFrame:
+def lag_by_key(df: DataFrame, key: str, order: list[str], cols: list[str], bucket: Column) -> DataFrame:
     """``df`` plus ``prev_<c>`` for each of ``cols``: the value on the previous row of the same key in
     (order...) order, null on a key's first row. Same result as
-    ``lag(c) over (partition by key order by order...)``, which is used directly when no key has more
-    than ``max_group_rows`` rows."""
-    if not _needs_split(df, key, max_group_rows):
-        w0 = Window.partitionBy(key).orderBy(*order)
-        return df.select("*", *[F.lag(c).over(w0).alias(f"prev_{c}") for c in cols])
-    parted = range_parted(df, key, order)
-    w = Window.partitionBy(PID, key).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    within = parted.select(
+    ``lag(c) over (partition by key order by order...)``.
+
+    ``bucket`` must not decrease along (order...) within a key, e.g. the day of ``order[0]``."""
+    w = Window.partitionBy(key, BUCKET).orderBy(*order)
+    within = df.withColumn(BUCKET, bucket).select(
         "*",
         F.row_number().over(w).alias("_rn"),
-        F.count(F.lit(1)).over(whole).alias("_cnt"),
+        F.lead(F.lit(True)).over(w).isNull().alias("_last"),
         *[F.lag(c).over(w).alias(f"_in_{c}") for c in cols],
     )
-    # Only a group's first row can have its predecessor in an earlier partition, and that predecessor is
-    # the last row of the key's previous group. So the first and last row of every (partition, key) group
-    # are enough: a lag over them per key, in (partition, order...) order, gives each first row its
-    # predecessor. A hot key has at most two such rows per partition it spans.
-    ends = within.where((F.col("_rn") == 1) | (F.col("_rn") == F.col("_cnt")))
-    wk = Window.partitionBy(key).orderBy(PID, "_rn")  # _rn orders a group exactly, ties included
-    fix = ends.select(PID, key, "_rn", *[F.lag(c).over(wk).alias(f"_fix_{c}") for c in cols]).where(F.col("_rn") == 1)
-    j = within.join(fix.drop("_rn"), [PID, key], "left")
-    out = [F.when(F.col("_rn") == 1, F.col(f"_fix_{c}")).otherwise(F.col(f"_in_{c}")).alias(f"prev_{c}") for c in cols]
-    return j.select(*df.columns, *out)
-
-
-def number_by_key(
-    df: DataFrame, key: str, order: list[str], name: str = "step", max_group_rows: int | None = None
-) -> DataFrame:
-    """``df`` plus ``name`` = 1-based position of the row within its key in (order...) order. Same result
-    as ``row_number() over (partition by key order by order...)`` (bigint), used directly when no key
-    has more than ``max_group_rows`` rows."""
-    if not _needs_split(df, key, max_group_rows):
-        w0 = Window.partitionBy(key).orderBy(*order)
-        return df.select("*", F.row_number().over(w0).cast("bigint").alias(name))
-    parted = range_parted(df, key, order)
-    w = Window.partitionBy(PID, key).orderBy(*order)
-    within = parted.select("*", F.row_number().over(w).alias("_rn"))
-    # Rows of each key in each partition, then per key the rows in all earlier partitions. A key has at
-    # most one row here per partition it spans, so even a hot key's window is small.
-    counts = parted.groupBy(PID, key).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(PID, key, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    j = within.join(offsets, [PID, key], "left")
-    return j.select(*df.columns, (F.col("_rn") + F.col("_off")).cast("bigint").alias(name))
+    wk = Window.partitionBy(key).orderBy(BUCKET)
+    carried = within.where("_last").select(
+        F.col(key).alias("_k"), F.col(BUCKET).alias("_b"), *[F.lag(c).over(wk).alias(f"_carry_{c}") for c in cols]
+    )
+    out = [F.when(F.col("_rn") == 1, F.col(f"_carry_{c}")).otherwise(F.col(f"_in_{c}")).alias(f"prev_{c}") for c in cols]
+    return _beside(within, carried, key).select(*df.columns, *out)
+
+
+def number_by_key(df: DataFrame, key: str, order: list[str], bucket: Column, name: str = "step") -> DataFrame:
+    """``df`` plus ``name`` = 1-based position of the row within its key in (order...) order (bigint). Same
+    result as ``row_number() over (partition by key order by order...)``; ``bucket`` as in ``lag_by_key``."""
+    bucketed = df.withColumn(BUCKET, bucket)
+    within = bucketed.select("*", F.row_number().over(Window.partitionBy(key, BUCKET).orderBy(*order)).alias("_rn"))
+    counts = bucketed.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col(key).alias("_k"), F.col(BUCKET).alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+    )
+    return _beside(within, offsets, key).select(*df.columns, (F.col("_rn") + F.col("_off")).cast("bigint").alias(name))
 
 
 def ordered_join_by_key(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    values: dict[str, str],
-    sep: str = ">",
-    max_group_rows: int | None = None,
+    df: DataFrame, key: str, order: list[str], values: dict[str, str], bucket: Column, sep: str = ">"
 ) -> DataFrame:
     """One row per key with ``out = join(values[out] in (order...) order, sep)`` for each output name.
 
-    Same result as ``array_join(transform(array_sort(collect_list(struct(order..., v))), ...), sep)``
-    per key, but built in pieces: every (partition, key) piece is joined where it lies, and the final
-    step per key only concatenates the ordered pieces. A hot key's rows are therefore never gathered as
-    rows in one task; only its output strings are. When no key has more than ``max_group_rows`` rows the
-    single-step form is used."""
-    if not _needs_split(df, key, max_group_rows):
-        item0 = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
-        g = df.groupBy(key).agg(F.array_sort(F.collect_list(item0)).alias("_items"))
-        return g.select(key, *[F.array_join(F.transform("_items", _field(f"_v_{o}")), sep).alias(o) for o in values])
-    parted = range_parted(df.select(key, *dict.fromkeys([*order, *values.values()])), key, order)
+    Same result as ``array_join(transform(array_sort(collect_list(struct(order..., v))), ...), sep)`` per
+    key, but built in pieces: the rows of a (key, bucket) become one string each, and the last step per key
+    only concatenates those, one per bucket. Null values are skipped, as ``array_join`` does. ``bucket`` as in
+    ``lag_by_key``."""
     item = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{o}") for o, v in values.items()])
-    pieces = parted.groupBy(key, PID).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    # Each piece keeps its values as an array without nulls (array_join skips nulls, so the result equals
-    # the single-step form even when a whole piece is null); the final step flattens the ordered pieces.
-    pieces = pieces.select(
-        key, PID, *[F.filter(F.transform("_items", _field(f"_v_{o}")), lambda x: x.isNotNull()).alias(o) for o in values]
-    )
-    whole = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(PID, *values))).alias("_pieces"))
-    return whole.select(key, *[F.array_join(F.flatten(F.transform("_pieces", _field(o))), sep).alias(o) for o in values])
+    pieces = df.withColumn(BUCKET, bucket).groupBy(key, BUCKET).agg(F.array_sort(F.collect_list(item)).alias("_items"))
+
+    def piece(name: str) -> Column:
+        kept = F.filter(F.transform("_items", _field(f"_v_{name}")), lambda x: x.isNotNull())
+        return F.when(F.size(kept) > 0, F.array_join(kept, sep)).alias(name)
+
+    pieces = pieces.select(key, BUCKET, *[piece(o) for o in values])
+    whole = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(BUCKET, *values))).alias("_pieces"))
+    return whole.select(key, *[F.array_join(F.transform("_pieces", _field(o)), sep).alias(o) for o in values])
 
 
 def _field(name: str):

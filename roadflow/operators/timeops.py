@@ -33,10 +33,10 @@ def sighting_gap(flow: DataFrame) -> DataFrame:
     """Seconds since the same vehicle's previous sighting (null for its first one).
 
     Order: time, then the full tie-break, so it is the same on every run. The previous row is found with
-    ``lag_by_key`` (range-partitioned on plate and time), so a vehicle with a huge number of sightings is
-    spread over many tasks instead of one window partition."""
+    ``lag_by_key`` (windows per plate and day), so a vehicle with a huge number of sightings is spread over
+    many tasks instead of one window partition."""
     rows = flow.select("plate", "action_time", *TIE_BREAK)
-    with_prev = lag_by_key(rows, "plate", ["action_time", *TIE_BREAK], ["action_time", "block_id"])
+    with_prev = lag_by_key(rows, "plate", ["action_time", *TIE_BREAK], ["action_time", "block_id"], F.to_date("action_time"))
     return with_prev.select(
         "plate",
         "action_time",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadflow.operators.device import _run_date
-from roadflow.operators.joins import bounded_broadcast, numeric_key
+from roadflow.operators.joins import numeric_key
 from roadflow.operators.sequence import number_by_key, ordered_join_by_key
 from roadflow.schemas import TIE_BREAK
 
@@ -21,10 +21,10 @@ def requested_sightings(flow: DataFrame, requests: DataFrame) -> DataFrame:
 
 def _route(df: DataFrame, block: str, road: str, area: str) -> DataFrame:
     """Per plate, ``>`` lists of blocks, roads and districts ordered by time with a total tie-break
-    (D19), built piecewise so a vehicle with a huge history is not gathered in one task."""
-    return ordered_join_by_key(
-        df, "plate", ["action_time", *TIE_BREAK], {"blockid": block, "roadid": road, "districtid": area}
-    )
+    (D19), built from one piece per (plate, day): a vehicle's sightings are never gathered as rows in one
+    task, only its daily strings are."""
+    values = {"blockid": block, "roadid": road, "districtid": area}
+    return ordered_join_by_key(df, "plate", ["action_time", *TIE_BREAK], values, F.to_date("action_time"))
 
 
 def vehicle_track(flow: DataFrame, requests: DataFrame, run_date: str | None = None) -> DataFrame:
@@ -41,16 +41,16 @@ def _one_name_per_id(dim: DataFrame, key: str, name: str) -> DataFrame:
 
 def named_sightings(flow: DataFrame, requests: DataFrame, district: DataFrame, road: DataFrame) -> DataFrame:
     """Requested sightings with ``road_label`` / ``district_label``: each dimension joined once at
-    sighting grain (not one lookup per visit, D17), on numeric ids (D18), broadcast only behind a size
-    check; an id without a name stays as the id."""
+    sighting grain (not one lookup per visit, D17), on numeric ids (D18). The planner broadcasts a dimension
+    from its size statistics or, at run time, its measured size; an id without a name stays as the id."""
     s = requested_sightings(flow, requests)
     d = district.select(numeric_key("district_id").alias("_area_key"), F.col("district_name"))
     rd = road.select(numeric_key("road_id").alias("_road_key"), F.col("road_name"))
     return (
         s.withColumn("_area_key", numeric_key("area_id"))
         .withColumn("_road_key", numeric_key("road_id"))
-        .join(bounded_broadcast(_one_name_per_id(d, "_area_key", "district_name")), "_area_key", "left")
-        .join(bounded_broadcast(_one_name_per_id(rd, "_road_key", "road_name")), "_road_key", "left")
+        .join(_one_name_per_id(d, "_area_key", "district_name"), "_area_key", "left")
+        .join(_one_name_per_id(rd, "_road_key", "road_name"), "_road_key", "left")
         .withColumn("district_label", F.coalesce("district_name", "area_id"))
         .withColumn("road_label", F.coalesce("road_name", "road_id"))
     )
@@ -72,7 +72,7 @@ def vehicle_track_steps(flow: DataFrame, requests: DataFrame) -> DataFrame:
     """The same route as rows (plate, step number, time, block, road, area): the unpacked form, which
     stays balanced for a vehicle with a huge history (step numbers come from ``number_by_key``)."""
     s = requested_sightings(flow, requests).select("plate", "action_time", *TIE_BREAK)
-    n = number_by_key(s, "plate", ["action_time", *TIE_BREAK])
+    n = number_by_key(s, "plate", ["action_time", *TIE_BREAK], F.to_date("action_time"))
     return n.select(
         "plate",
         "step",

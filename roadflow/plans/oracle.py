@@ -29,15 +29,21 @@ select l_orderkey as order_key, l_linenumber as line_no,
          chr(cast(65 + o_custkey % 26 as int)), lpad(cast(o_custkey as string), 5, '0')) as plate,
   l_shipdate + ((l_orderkey * 7 + l_linenumber * 3571) % 86400) * interval '1' second as action_time,
   cast(l_quantity as int) * 3 - 3 as speed,
-  cast(l_partkey % 50 + 1 as string) as road_id,
-  lpad(cast(l_partkey % 8 as string), 2, '0') as area_id
+  cast(l_partkey as string) as road_id,
+  lpad(cast(l_partkey % 25 as string), 2, '0') as area_id
 from lineitem join orders on l_orderkey = o_orderkey""",
     "registry": """
 select lpad(cast(s_suppkey % 9 as string), 4, '0') as block_id,
   lpad(cast(s_suppkey as string), 5, '0') as monitor_id
-from supplier where s_suppkey % 10 <> 7""",
-    "district": "select n_nationkey as district_id, n_name as district_name from nation where n_nationkey < 7",
-    "road": "select p_partkey + 1 as road_id, p_name as road_name from part where p_partkey < 48",
+from supplier where s_suppkey % 10 <> 7
+union all
+select lpad(cast(s_suppkey % 9 as string), 4, '0'), concat('N', lpad(cast(s_suppkey as string), 5, '0'))
+from supplier where s_suppkey % 10 = 3
+union all
+select '0009', concat('N', lpad(cast(s_suppkey as string), 5, '0'))
+from supplier where s_suppkey % 10 = 4""",
+    "district": "select n_nationkey as district_id, n_name as district_name from nation where n_nationkey % 8 <> 5",
+    "road": "select p_partkey as road_id, p_name as road_name from part where p_partkey % 25 <> 0",
     "requests": """
 select concat(case when c_custkey % 50 = 13 then '粤' else substr('黑黑黑京沪琼黑辽吉闽', cast(c_custkey % 10 as int) + 1, 1) end,
          chr(cast(65 + c_custkey % 26 as int)), lpad(cast(c_custkey as string), 5, '0')) as plate
@@ -93,9 +99,7 @@ BODIES["device_status_daily"] = """
 select d.create_date, d.block_id as blockid,
   count(c.monitor_id) as monitor_standard_count,
   count(c.monitor_id) filter (where c.online) as normal_monitor_count,
-  count(c.monitor_id) filter (where not c.online) as abnormal_monitor_count,
-  coalesce(string_agg(case when not c.online then c.monitor_id end, ',' order by c.monitor_id), '')
-    as abnormal_monitor_camera_infos
+  count(c.monitor_id) filter (where not c.online) as abnormal_monitor_count
 from (select distinct create_date, block_id from flow) d
 left join (
   select dd.create_date, r.block_id, r.monitor_id, s.monitor_id is not null as online
@@ -114,11 +118,19 @@ where not exists (select 1 from flow f where f.block_id = r.block_id and f.monit
 """
 
 BODIES["offline_cameras_daily"] = """
-select dd.create_date, r.block_id as blockid, r.monitor_id
-from (select distinct create_date, block_id from flow) dd
-join (select distinct block_id, monitor_id from registry) r on r.block_id = dd.block_id
-where not exists (select 1 from flow f where f.create_date = dd.create_date and f.block_id = r.block_id
-                  and f.monitor_id = r.monitor_id)
+with days as (
+  select create_date, block_id, row_number() over (partition by block_id order by create_date) as n
+  from (select distinct create_date, block_id from flow)),
+silent as (
+  select dd.create_date, r.block_id, r.monitor_id,
+    dd.n - row_number() over (partition by r.block_id, r.monitor_id order by dd.n) as stretch
+  from days dd
+  join (select distinct block_id, monitor_id from registry) r on r.block_id = dd.block_id
+  where not exists (select 1 from flow f where f.create_date = dd.create_date and f.block_id = r.block_id
+                    and f.monitor_id = r.monitor_id))
+select block_id as blockid, monitor_id, min(create_date) as silent_from, max(create_date) as silent_to,
+  count(*) as silent_days
+from silent group by block_id, monitor_id, stretch
 """
 
 BODIES["unregistered_cameras"] = """
@@ -317,7 +329,7 @@ from flow
 
 BODIES["stream_window_speed"] = f"""
 select ws as window_start, ws + interval {WINDOW_SIZE_H} hour as window_end, block_id as blockid,
-  cast(sum(speed) // count(*) as bigint) as avg_speed, count(*) as sightings
+  cast(sum(speed) // count(speed) as bigint) as avg_speed, count(*) as sightings
 from (
   select time_bucket(interval {WINDOW_SLIDE_H} hour, action_time) as ws, block_id, speed from flow_events
   union all
@@ -334,13 +346,24 @@ from flow_events
 
 BODIES["stream_provinces"] = BODIES["province_counts"].replace("from flow group by", "from flow_events group by")
 
+BODIES["stream_event_window"] = BODIES["stream_window_speed"]
+
 BODIES["stream_alerts"] = """
-select plate, action_time, strftime(action_time, '%H:%M') as alert_time, block_id as blockid,
-  road_id as roadid, area_id as areaid
+select create_date as create_time, plate, block_id as blockid, action_time as time, road_id as roadid,
+  area_id as areaid, strftime(action_time, '%H:%M') as alert_time
 from flow_events where plate in (select plate from requests where length(plate) > 0)
 """
 
 BODIES["stream_track_requests"] = BODIES["vehicle_track"]
+BODIES["stream_track_json"] = BODIES["vehicle_track_named"]
+BODIES["topn_snapshot"] = BODIES["block_vehicle_topn_packed"]
+BODIES["speed_bands_view"] = BODIES["block_speed_bands"]
+
+BODIES["registry_tsv"] = """
+select block_id as blockid, monitor_id, 'accepted' as status from registry
+union all
+select distinct block_id, cast(null as varchar), 'short_line' from registry
+"""
 
 DEVICE_STATUS_CTE = BODIES["device_status"]
 
@@ -385,6 +408,28 @@ select date '{RUN_DATE}' as create_date, t.current_auto_count as currentAutoCoun
 from t, r where r.window_start = (select max(window_start) from r)
 """
 
+LATEST_RANK = f"""
+  select string_agg(blockid, '|' order by avg_speed desc, blockid) as blocks,
+    string_agg(cast(avg_speed as varchar), '|' order by avg_speed desc, blockid) as speeds,
+    string_agg('(' || blockid || ',' || cast(avg_speed as varchar) || ')', '>' order by avg_speed desc, blockid) as pairs
+  from w where window_start = (select max(window_start) from w)"""
+
+BODIES["stream_live_web"] = f"""
+with t as ({BODIES["stream_totals"]}), w as ({WINDOW_SPEEDS}), r as ({LATEST_RANK})
+select date '{RUN_DATE}' as create_date, current_auto_count as currentAutoCount, current_inbound_auto as currentInboundAuto,
+  pairs as speedRank
+from t, r
+"""
+
+BODIES["stream_live_chart"] = f"""
+with t as ({BODIES["stream_totals"]}), w as ({WINDOW_SPEEDS}), r as ({LATEST_RANK})
+select date '{RUN_DATE}' as create_date, current_auto_count as currenAutoCount, current_inbound_auto as currentInboundAuto,
+  blocks as blockRank, speeds as speedRank
+from t, r
+"""
+
+BODIES["stream_province_snapshot"] = BODIES["province_snapshot"].replace("from flow group by", "from flow_events group by")
+
 BODIES["tsv_ingest"] = """
 select status, create_date, count(*) as rows from (
   select case when speed = 0 then 'bad_speed' when starts_with(plate, '粤') then 'empty_key' else 'accepted' end as status,

@@ -12,5 +12,3 @@ WINDOW_SIZE_H = 2
 WINDOW_SLIDE_H = 1
 # Streaming local prefix for the running totals (city prefix, D21).
 STREAM_LOCAL_PREFIX = "黑A"
-# State partitions for the registered streaming queries (their state is a few thousand keys at most).
-STREAM_STATE_PARTITIONS = 8

@@ -177,60 +177,105 @@ def q_comma_clean(spark, sf):
 
 # --- streaming jobs, driven to completion over the events table ---------------------------------------
 
-from roadflow.plans.params import STREAM_LOCAL_PREFIX, STREAM_STATE_PARTITIONS, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from roadflow.plans.params import STREAM_LOCAL_PREFIX, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
 from roadflow.session import scratch_path  # noqa: E402
 from roadflow.streaming import live  # noqa: E402
 from roadflow.streaming import sources as streams  # noqa: E402
 
+SIZE, SLIDE = f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours"
+
+
+def _in_parts(spark, sf, in_order: bool, start) -> None:
+    """The whole events table arrives in four parts; ``start(stream)`` is run again for each part, so that every
+    query goes on from its checkpoint over several batches. ``in_order``: parts are consecutive stretches of
+    time, else each part spans all of it."""
+    events = fx.table(spark, sf, "events")
+    if in_order:
+        at = F.unix_micros(F.col("ts").cast("timestamp"))
+        cuts = events.agg(F.percentile_approx(at, [0.25, 0.5, 0.75], 1000)).first()[0] or [0, 0, 0]
+        part = sum((F.when(at > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    else:
+        part = F.pmod("event_id", F.lit(4))
+    inbox = scratch_path(spark, "events-inbox")
+    for k in range(4):
+        events.where(part == k).write.mode("append").parquet(inbox)
+        for q in start(streams.events_folder_stream(spark, inbox, events.schema)):
+            q.awaitTermination()
+
 
 @register("stream_window_speed")
 def q_stream_window_speed(spark, sf):
-    flow = streams.events_flow_stream(spark, sf)
-    s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
-    return live.run_available_now(
-        spark, s, "stream_window_speed", ["window_start", "window_end", "blockid"], state_partitions=STREAM_STATE_PARTITIONS
-    )
+    """Windows on arrival time over several batches, restarted from the checkpoint."""
+    out, ck = scratch_path(spark, "window-speed-out"), scratch_path(spark, "window-speed-ckpt")
+
+    def start(flow):
+        return [live.start_to_table(live.window_speed_stream(flow, SIZE, SLIDE), out, ck, "update", {"availableNow": True})]
+
+    _in_parts(spark, sf, True, start)
+    return live.latest_rows(spark, out, live.SPEED_KEYS)
+
+
+@register("stream_event_window")
+def q_stream_event_window(spark, sf):
+    """G9 on event time with sightings out of order over several batches: none is lost."""
+    out, ck = scratch_path(spark, "event-window-out"), scratch_path(spark, "event-window-ckpt")
+    _in_parts(spark, sf, False, lambda flow: [live.start_event_windows(flow, out, ck, SIZE, SLIDE, {"availableNow": True})])
+    return live.read_event_windows(spark, out)
 
 
 @register("stream_totals")
 def q_stream_totals(spark, sf):
     s = live.totals_stream(streams.events_flow_stream(spark, sf), STREAM_LOCAL_PREFIX)
-    return live.run_available_now(spark, s, "stream_totals", [], output_mode="complete", state_partitions=1)
+    return live.run_available_now(spark, s, "stream_totals", [], output_mode="complete")
 
 
 @register("stream_provinces")
 def q_stream_provinces(spark, sf):
     s = live.province_prefix_stream(streams.events_flow_stream(spark, sf))
-    counts = live.run_available_now(spark, s, "stream_provinces", ["prefix"], output_mode="update", state_partitions=4)
+    counts = live.run_available_now(spark, s, "stream_provinces", ["prefix"], output_mode="update")
     return province.fold_provinces(spark, counts)
 
 
 @register("stream_alerts")
 def q_stream_alerts(spark, sf):
     s = live.alerts_stream(streams.events_flow_stream(spark, sf), fx.requests(spark, sf))
-    return live.run_available_now(spark, s, "stream_alerts", None, state_partitions=STREAM_STATE_PARTITIONS)
-
+    return live.run_available_now(spark, s, "stream_alerts", None)
 
-@register("stream_track_requests")
-def q_stream_track_requests(spark, sf):
-    from pyspark.sql import functions as F
 
+def _track_requests(spark, sf, read_dimensions=None, json_path=None):
     # Request messages as the request topic would carry them, written by Spark from the customer table.
     inbox = scratch_path(spark, "track-requests-inbox")
     fx.requests(spark, sf).select(F.to_json(F.struct("plate")).alias("value")).write.text(inbox)
     out = scratch_path(spark, "track-requests-out")
     q = live.start_track_requests(
-        fx.flow(spark, sf),
+        lambda: fx.flow(spark, sf),
         streams.text_request_stream(spark, inbox),
         out,
         scratch_path(spark, "track-requests-ckpt"),
         RUN_DATE,
         {"availableNow": True},
+        read_dimensions,
+        json_path,
     )
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
 
 
+@register("stream_track_requests")
+def q_stream_track_requests(spark, sf):
+    return _track_requests(spark, sf)
+
+
+@register("stream_track_json")
+def q_stream_track_json(spark, sf):
+    """The routes with names, read back from their JSON documents."""
+    path = scratch_path(spark, "track-json")
+    routes = _track_requests(spark, sf, lambda: (fx.district(spark, sf), fx.road(spark, sf)), path)
+    return spark.read.schema(routes.schema).json(f"{path}/batch_id=*")
+
+
 # --- sinks: written, then read back -----------------------------------------------------------------
 
 from roadflow.sinks import tables as sinks  # noqa: E402
@@ -261,47 +306,97 @@ def q_table_append(spark, sf):
     return spark.read.parquet(path).select(*bands.columns)
 
 
+@register("topn_snapshot")
+def q_topn_snapshot(spark, sf):
+    """K2: the top-N document written as JSON and read back."""
+    packed = ranking.block_vehicle_topn_packed(fx.flow(spark, sf), TOP_N, RUN_DATE)
+    path = scratch_path(spark, "topn-snapshot")
+    sinks.snapshot_json(packed, path)
+    return sinks.read_snapshot(spark, path, packed.schema)
+
+
+@register("speed_bands_view")
+def q_speed_bands_view(spark, sf):
+    """A result registered as a view and read by ``select *``."""
+    sinks.as_view(speed.block_speed_bands(fx.flow(spark, sf), RUN_DATE), "top_speed")
+    return spark.sql("select * from top_speed")
+
+
+@register("registry_tsv")
+def q_registry_tsv(spark, sf):
+    """The registry as tab-separated text, with a line that lacks its camera for every block, read back:
+    cameras, and rejected lines per reason."""
+    from roadflow.sources import text as tx
+
+    path = scratch_path(spark, "registry-tsv")
+    cameras = fx.registry(spark, sf)
+    lines = cameras.select(F.concat_ws("\t", "block_id", F.concat(F.lit(" "), "monitor_id", F.lit(" "))).alias("value"))
+    lines.unionByName(cameras.select(F.col("block_id").alias("value")).distinct()).write.text(path)
+    good, bad = tx.split_rejects(tx.parse_registry_text(spark, path))
+    return good.select(F.col("block_id").alias("blockid"), "monitor_id", F.lit("accepted").alias("status")).unionByName(
+        bad.select(F.col("value").alias("blockid"), F.lit(None).cast("string").alias("monitor_id"), F.col("reject_reason").alias("status"))
+    )
+
+
 @register("stream_speed_rank")
 def q_stream_speed_rank(spark, sf):
-    flow = streams.events_flow_stream(spark, sf)
-    s = live.window_speed_stream(flow, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", watermark="1 hour")
-    speeds = live.run_available_now(
-        spark, s, "stream_speed_rank", ["window_start", "window_end", "blockid"], state_partitions=STREAM_STATE_PARTITIONS
+    s = live.window_speed_stream(streams.events_flow_stream(spark, sf), SIZE, SLIDE)
+    speeds = live.run_available_now(spark, s, "stream_speed_rank", live.SPEED_KEYS)
+    return live.speed_rank(speeds).select("window_start", "window_end", "blockRank", "speedRank")
+
+
+def _live(spark, sf) -> str:
+    """All three live queries started together on one source (T5), over several batches."""
+    out = scratch_path(spark, "live")
+    _in_parts(
+        spark, sf, True,
+        lambda flow: live.start_live(flow, out, SIZE, SLIDE, "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True}, run_date=RUN_DATE).values(),
     )
-    return live.speed_rank(speeds)
+    return out
 
 
 @register("stream_live_snapshot")
 def q_stream_live_snapshot(spark, sf):
-    """All three live queries started together on one source (T5), driven to completion, then the live
-    snapshot written as JSON (K3) and read back."""
-    out = scratch_path(spark, "live")
-    flow = streams.events_flow_stream(spark, sf)
-    qs = live.start_live(
-        flow, out, f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours", "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True},
-        state_partitions={"window_speed": STREAM_STATE_PARTITIONS},
-    )
-    for q in qs.values():
-        q.awaitTermination()
-    snap = live.read_live(spark, out, RUN_DATE)["snapshot"]
+    snap = live.read_live(spark, _live(spark, sf), RUN_DATE)["snapshot"]
     path = scratch_path(spark, "live-snapshot")
     sinks.snapshot_json(snap, path)
     return sinks.read_snapshot(spark, path, snap.schema)
 
 
+@register("stream_live_web")
+def q_stream_live_web(spark, sf):
+    """K3: the web document that the live job rewrites after each batch."""
+    schema = "create_date date, currentAutoCount bigint, currentInboundAuto bigint, speedRank string"
+    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/live_web", schema)
+
+
+@register("stream_live_chart")
+def q_stream_live_chart(spark, sf):
+    """K3: the chart document that the live job rewrites after each batch."""
+    schema = "create_date date, currenAutoCount bigint, currentInboundAuto bigint, blockRank string, speedRank string"
+    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/live_chart", schema)
+
+
+@register("stream_province_snapshot")
+def q_stream_province_snapshot(spark, sf):
+    """K3: the province document that the live job rewrites after each batch."""
+    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/province", "provinceList string, provinceCount string")
+
+
 @register("tsv_ingest")
 def q_tsv_ingest(spark, sf):
-    """The flow written as the reference's TSV text, ingested into a date-partitioned parquet
-    table plus a reject table, both read back: accepted rows per day and rejected rows per reason."""
-    from pyspark.sql import functions as F
-
+    """The flow written as the reference's TSV text in two parts (even and odd years), each
+    ingested into one date-partitioned table plus a reject table, the second part twice; both read back:
+    accepted rows per day and rejected rows per reason."""
     from roadflow.sources import text as tx
 
-    lines = scratch_path(spark, "flow-tsv")
-    textops.flow_lines(fx.flow(spark, sf)).write.text(lines)
     good, bad = scratch_path(spark, "flow-typed"), scratch_path(spark, "flow-rejects")
-    # Monthly partitions: at this volume a day holds a few dozen rows (daily is the default at scale).
-    tx.ingest_flow_tsv(spark, lines, good, bad, granularity="month")
+    flow = fx.flow(spark, sf)
+    for k in (0, 1):
+        lines = scratch_path(spark, "flow-tsv")
+        textops.flow_lines(flow.where(F.year("create_date") % 2 == k)).write.text(lines)
+        for _ in range(1 + k):
+            tx.ingest_flow_tsv(spark, lines, good, bad)
     accepted = spark.read.parquet(good).groupBy(F.lit("accepted").alias("status"), "create_date").agg(
         F.count(F.lit(1)).alias("rows")
     )

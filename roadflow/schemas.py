@@ -19,20 +19,6 @@ FLOW = T.StructType(
 
 FLOW_COLUMNS = [f.name for f in FLOW.fields]
 
-# Camera registry.
-REGISTRY = T.StructType(
-    [
-        T.StructField("block_id", T.StringType()),
-        T.StructField("monitor_id", T.StringType()),
-    ]
-)
-
-# All-text form of a flow line, used by the reject-splitting ingest (R5) before typing.
-FLOW_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in FLOW.fields])
-
-# Request / watch-list record.
-REQUEST = T.StructType([T.StructField("plate", T.StringType())])
-
 # Tie-break after action_time wherever an order must be the same on every run (O4, G11, G13, R3; D19).
 # It is the sighting's own columns, so two rows that tie on all of them are identical in every output.
 TIE_BREAK = ["block_id", "monitor_id", "road_id", "area_id", "speed"]

@@ -101,3 +101,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in whatever store the path names."""
+    fs, at = _file_system(spark, path)
+    return bool(fs.exists(at))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder (none for a folder that does not exist)."""
+    fs, at = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds."""
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)

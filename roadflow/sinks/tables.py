@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A snapshot is one small document (a packed or per-block result). Anything larger belongs in a table.
-SNAPSHOT_MAX_ROWS = 10_000
-
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """K1: append a result to a table folder (parquet by default), optionally partitioned (e.g. by
@@ -28,14 +25,10 @@ def append_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str] | N
     w.save()
 
 
-def snapshot_json(df: DataFrame, path: str, max_rows: int = SNAPSHOT_MAX_ROWS) -> None:
-    """K2 F8: overwrite ``path`` with the rows of a small result as JSON lines (one line per row; a packed
-    result is one line). The size bound is checked first, so a large frame is never funnelled into the
-    single writing task."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"snapshot holds more than {max_rows} rows; write it with append_table instead")
-    doc = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
+def snapshot_json(df: DataFrame, path: str) -> None:
+    """K2 F8: overwrite ``path`` with a result as JSON lines, one line per row (a packed result is one row and
+    so one document). The plan runs once and every task writes what it computed."""
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -44,7 +37,7 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a K2 snapshot back into typed columns."""
     return spark.read.text(path).select(F.from_json("value", schema).alias("r")).select("r.*")
 

@@ -6,11 +6,8 @@ independently so a mistake in one shows up as a mismatch.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadflow.session import configure
 
@@ -20,30 +17,8 @@ PLATE_LETTERS = "黑黑黑京沪琼黑辽吉闽"
 OUTSIDE_LETTER = "粤"
 
 
-# Inferred parquet schemas, keyed by file identity (path, size, mtime): a later read of the same unchanged
-# file passes the schema instead of running schema inference again. Local paths only.
-_SCHEMAS: dict[tuple, T.StructType] = {}
-
-
-def _file_key(path: str) -> tuple | None:
-    if "://" in path and not path.startswith("file:"):
-        return None
-    try:
-        st = os.stat(path.replace("file:", "", 1))
-    except OSError:
-        return None
-    return (path, st.st_size, st.st_mtime_ns)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = _file_key(path)
-    if key is not None and key in _SCHEMAS:
-        return spark.read.schema(_SCHEMAS[key]).parquet(path)
-    df = spark.read.parquet(path)
-    if key is not None:
-        _SCHEMAS[key] = df.schema
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def plate_of(key: Column) -> Column:
@@ -61,10 +36,8 @@ def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey", "l_quantity"
     )
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    # Both sides grow with the data, so the join is a shuffle join on the order key (a broadcast of
-    # orders only fits small inputs). The exchange also gives every downstream stage the session's
-    # shuffle parallelism, whatever the file layout of the scan.
-    j = li.join(orders.hint("shuffle_hash"), "l_orderkey")
+    # No hint: the planner and AQE pick the join from the sizes they see (a sort-merge join spills).
+    j = li.join(orders, "l_orderkey")
     offset = (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 3571) % 86400
     return j.select(
         F.col("l_orderkey").alias("order_key"),
@@ -75,28 +48,38 @@ def flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         plate_of(F.col("o_custkey")).alias("plate"),
         F.timestamp_add("SECOND", offset, F.col("l_shipdate")).alias("action_time"),
         (F.col("l_quantity").cast("int") * 3 - 3).alias("speed"),
-        (F.col("l_partkey") % 50 + 1).cast("string").alias("road_id"),
-        F.lpad((F.col("l_partkey") % 8).cast("string"), 2, "0").alias("area_id"),
+        F.col("l_partkey").cast("string").alias("road_id"),
+        F.lpad((F.col("l_partkey") % 25).cast("string"), 2, "0").alias("area_id"),
     )
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered cameras; one supplier in ten is left out (view ``registry``)."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 10 != 7)
-    return s.select(
-        F.lpad((F.col("s_suppkey") % 9).cast("string"), 4, "0").alias("block_id"),
-        F.lpad(F.col("s_suppkey").cast("string"), 5, "0").alias("monitor_id"),
+    """Registered cameras (view ``registry``): one seen camera in ten is left out, and one supplier in ten
+    each gives a camera that never sights anything, in a block with sightings and in block ``0009``, which has
+    none."""
+    key = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier")
+    block, camera = F.lpad((key % 9).cast("string"), 4, "0"), F.lpad(key.cast("string"), 5, "0")
+    silent = F.concat(F.lit("N"), camera)
+    both = lambda b, c: F.struct(b.alias("block_id"), c.alias("monitor_id"))
+    cameras = F.array(
+        F.when(key % 10 != 7, both(block, camera)),
+        F.when(key % 10 == 3, both(block, silent)),
+        F.when(key % 10 == 4, both(F.lit("0009"), silent)),
     )
+    return s.select(F.inline(F.filter(cameras, lambda c: c.isNotNull())))
 
 
 def district(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 7)
+    """Districts (view ``district``): every nation but one in eight, so that some areas have no name."""
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") % 8 != 5)
     return n.select(F.col("n_nationkey").alias("district_id"), F.col("n_name").alias("district_name"))
 
 
 def road(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 48)
-    return p.select((F.col("p_partkey") + 1).alias("road_id"), F.col("p_name").alias("road_name"))
+    """Roads (view ``road``): every part but one in 25, so that some roads have no name."""
+    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 25 != 0)
+    return p.select(F.col("p_partkey").alias("road_id"), F.col("p_name").alias("road_name"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +94,7 @@ def events_to_flow(events: DataFrame) -> DataFrame:
     return events.select(
         "event_id",
         F.col("ts").alias("action_time"),
+        F.col("ts").alias("arrival_time"),
         F.to_date("ts").alias("create_date"),
         F.lpad((F.col("user_id") % 9).cast("string"), 4, "0").alias("block_id"),
         F.lpad((F.col("event_id") % 100).cast("string"), 5, "0").alias("monitor_id"),

@@ -2,19 +2,25 @@
 
 Each ``*_stream`` function returns the streaming DataFrame (the plan); ``start_*`` functions attach a sink
 and start it. State is bounded everywhere: the sliding mean has a watermark, the totals and province counts
-keep one row per key of a fixed small key set.
+keep one row per key of a fixed small key set, and the event-time form keeps none.
+
+Windows run on arrival time by default, as the reference's do (T2): arrival moves forward, so no sighting is
+late. The event-time form adds up per-batch partial sums instead of holding a watermark, so a sighting that
+arrives long after its time still counts in its window.
 """
 
 from __future__ import annotations
 
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadflow.operators import province as prov
-from roadflow.operators.joins import bounded_broadcast
-from roadflow.operators.track import vehicle_track
+from roadflow.operators.track import vehicle_track, vehicle_track_named
+from roadflow.session import list_names, path_exists, remove_path
+from roadflow.sinks.tables import snapshot_json, write_json_lines
 from roadflow.streaming.sources import event_time
 
 # Reference defaults (T1 T2): 10 s batches, 20 s windows sliding by 10 s; 5 s batches for alerts.
@@ -22,31 +28,67 @@ SPEED_TRIGGER = "10 seconds"
 ALERT_TRIGGER = "5 seconds"
 WINDOW = "20 seconds"
 SLIDE = "10 seconds"
+SPEED_KEYS = ["window_start", "window_end", "blockid"]
+COMPACT = "_compact"
 
 
-def window_speed_stream(flow: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermark: str = "1 hour") -> DataFrame:
-    """Integer mean speed (``sum div count``) per block and sliding event-time window, over
-    the speed field (D10).
+def _by_window(flow: DataFrame, size: str, slide: str):
+    return flow.groupBy(F.window("event_ts", size, slide).alias("w"), F.col("block_id").alias("blockid"))
 
-    The watermark bounds the window state; rows older than it are dropped as late. Window bounds are
-    returned as wall-clock ``timestamp_ntz`` like the input."""
-    ev = event_time(flow).withWatermark("event_ts", watermark)
-    g = ev.groupBy(F.window("event_ts", size, slide).alias("w"), F.col("block_id").alias("blockid")).agg(
-        F.expr("sum(speed) div count(1)").alias("avg_speed"),
-        F.count(F.lit(1)).alias("sightings"),
-    )
-    return g.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        "blockid",
-        "avg_speed",
-        "sightings",
+
+def _window_columns(g: DataFrame, *more: str) -> DataFrame:
+    """Window bounds as wall-clock ``timestamp_ntz`` like the input."""
+    bounds = [F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end")]
+    return g.select(*bounds, "blockid", *more)
+
+
+def window_speed_stream(
+    flow: DataFrame, size: str = WINDOW, slide: str = SLIDE, watermark: str = "1 hour", time: str = "arrival_time"
+) -> DataFrame:
+    """Integer mean speed (``sum div count`` of the speeds there are) per block and sliding window,
+    over the speed field (D10).
+
+    ``time`` is the column the windows run on: arrival by default. On an event time the watermark bounds the
+    state and Spark drops rows older than it; ``start_event_windows`` is the form that keeps them."""
+    ev = event_time(flow, time).withWatermark("event_ts", watermark)
+    g = _by_window(ev, size, slide).agg(F.expr("sum(speed) div count(speed)").alias("avg_speed"), F.count(F.lit(1)).alias("sightings"))
+    return _window_columns(g, "avg_speed", "sightings")
+
+
+def window_partials(flow: DataFrame, size: str = WINDOW, slide: str = SLIDE, time: str = "action_time") -> DataFrame:
+    """Sums and counts per block and window of a batch of sightings; partials of one window add up."""
+    g = _by_window(event_time(flow, time), size, slide).agg(
+        F.sum("speed").alias("speed_sum"), F.count("speed").alias("speed_count"), F.count(F.lit(1)).alias("sightings")
     )
+    return _window_columns(g, "speed_sum", "speed_count", "sightings")
+
+
+def start_event_windows(
+    flow: DataFrame, out_path: str, checkpoint: str, size: str = WINDOW, slide: str = SLIDE, trigger: dict | None = None
+):
+    """G9 over event time without loss: every micro-batch writes its own window partials. Late sightings are
+    partials like any other; no state is held. Read with ``read_event_windows``."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(window_partials(batch, size, slide), out_path, batch_id)
+
+    w = flow.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": SPEED_TRIGGER}))
+    return w.foreachBatch(handle).start()
+
+
+def read_event_windows(spark: SparkSession, out_path: str) -> DataFrame:
+    """Window means from the partials written so far."""
+    sums = _added_up(current_rows(spark, out_path))
+    return sums.select(*SPEED_KEYS, F.expr("speed_sum div speed_count").alias("avg_speed"), "sightings")
+
+
+def _added_up(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*SPEED_KEYS).agg(*[F.sum(c).alias(c) for c in ("speed_sum", "speed_count", "sightings")])
 
 
 def totals_stream(flow: DataFrame, local_prefix: str = "黑A") -> DataFrame:
     """Running count of all sightings and of non-local ones (city prefix by default, D21).
-    A global aggregate: state is one row."""
+    A global aggregate: state is one row. Needs a plate only."""
     return flow.agg(
         F.count(F.lit(1)).alias("current_auto_count"),
         F.count_if(~F.col("plate").startswith(local_prefix)).alias("current_inbound_auto"),
@@ -54,23 +96,24 @@ def totals_stream(flow: DataFrame, local_prefix: str = "黑A") -> DataFrame:
 
 
 def province_prefix_stream(flow: DataFrame) -> DataFrame:
-    """Running sightings per first plate character (state: one row per prefix)."""
+    """Running sightings per first plate character (state: one row per prefix). Needs a plate only."""
     return prov.prefix_counts(flow)
 
 
 def alerts_stream(flow: DataFrame, watch: DataFrame) -> DataFrame:
-    """One alert row per sighting of a watched plate (stream-static semi join; the watch-list
-    is deduplicated and broadcast only when its size is within bound). Real block, road and area, time
-    ``HH:mm`` (D15); any number of watched plates (D16)."""
-    w = bounded_broadcast(watch.where(F.length("plate") > 0).select("plate").distinct())
-    hits = flow.join(w, "plate", "left_semi")
+    """One alert row per sighting of a watched plate (stream-static semi join; the planner
+    broadcasts the watch list when its size allows). The result table's columns (``create_time`` is the line's
+    date), with real block and road (D15), any number of watched plates (D16), and beside them the message's
+    ``HH:mm`` and the area."""
+    hits = flow.join(watch.where(F.length("plate") > 0).select("plate").distinct(), "plate", "left_semi")
     return hits.select(
+        F.col("create_date").alias("create_time"),
         "plate",
-        "action_time",
-        F.date_format("action_time", "HH:mm").alias("alert_time"),
         F.col("block_id").alias("blockid"),
+        F.col("action_time").alias("time"),
         F.col("road_id").alias("roadid"),
         F.col("area_id").alias("areaid"),
+        F.date_format("action_time", "HH:mm").alias("alert_time"),
     )
 
 
@@ -93,14 +136,10 @@ def state_partitions_for_start(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def _batch_writer(out_path: str, fmt: str = "parquet"):
-    """foreachBatch body writing each micro-batch to its own ``batch_id=N`` folder with overwrite, so a
-    replayed batch replaces its own output instead of appending twice."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-
-    return write
+def _write_batch(batch: DataFrame, out_path: str, batch_id: int) -> None:
+    """A micro-batch's rows to its own ``batch_id=N`` folder with overwrite, so a replayed batch replaces its
+    own output instead of appending twice."""
+    batch.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
 
 def start_to_table(
@@ -111,28 +150,87 @@ def start_to_table(
     trigger: dict | None = None,
     name: str | None = None,
     state_partitions: int | None = None,
+    after=None,
 ):
     """Start ``stream`` with a per-batch idempotent parquet sink (K3) and its checkpoint (T4). ``trigger`` e.g.
     ``{"processingTime": "10 seconds"}`` (default) or ``{"availableNow": True}``; ``state_partitions`` see
-    ``state_partitions_for_start``."""
+    ``state_partitions_for_start``; ``after()``, if given, runs when a batch is written."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, out_path, batch_id)
+        if after is not None:
+            after()
+
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"processingTime": SPEED_TRIGGER}))
     with state_partitions_for_start(stream.sparkSession, state_partitions):
-        return w.foreachBatch(_batch_writer(out_path)).start()
+        return w.foreachBatch(handle).start()
+
+
+def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The N of the folders ``prefix=N`` below ``path`` that are completely written, ascending."""
+    names = [n for n in list_names(spark, path) if n.startswith(f"{prefix}=")]
+    return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def current_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """All rows of a per-batch output with their ``batch_id``: the newest compacted table, if there is one, and
+    the batches written since."""
+    base = out_path.rstrip("/")
+    folded = _numbers(spark, f"{base}/{COMPACT}", "upto")
+    batches = _numbers(spark, base, "batch_id")
+    if not folded:
+        return spark.read.parquet(base)
+    old = spark.read.parquet(f"{base}/{COMPACT}/upto={folded[-1]}")
+    newer = [f"{base}/batch_id={n}" for n in batches if n > folded[-1]]
+    if not newer:
+        return old
+    new = spark.read.option("basePath", base).parquet(*newer)
+    return old.unionByName(new.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+
+
+def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    value_cols = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*value_cols, "batch_id"), "batch_id").alias("v"))
+    return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in [*value_cols, "batch_id"]])
 
 
 def latest_rows(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
-    """Final state of an update-mode output: for each key, the row of the latest batch."""
-    df = spark.read.parquet(out_path)
-    value_cols = [c for c in df.columns if c not in keys and c != "batch_id"]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), "batch_id").alias("v"))
-    return latest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in value_cols])
+    """Final state of an update- or complete-mode output: for each key, the row of the latest batch. Without
+    keys (a global aggregate) every batch holds the whole state, so only the newest is read."""
+    base = out_path.rstrip("/")
+    if not keys:
+        return spark.read.parquet(f"{base}/batch_id={_numbers(spark, base, 'batch_id')[-1]}")
+    return _latest(current_rows(spark, base), keys).drop("batch_id")
+
+
+def compact(spark: SparkSession, out_path: str, keys: list[str] | None, remove: bool = False) -> int:
+    """Fold the batches written since the last compaction into a new table beside them: the latest row per key,
+    or, with ``keys=None``, window partials added up. Only the last compacted table and newer batches are read,
+    readers (``current_rows``) take the newest complete table plus the batches after it, and ``remove`` deletes
+    what it replaces. Returns the number of batches folded; run it from one place at a time."""
+    base = out_path.rstrip("/")
+    folded, batches = _numbers(spark, f"{base}/{COMPACT}", "upto"), _numbers(spark, base, "batch_id")
+    fresh = [n for n in batches if not folded or n > folded[-1]]
+    if not fresh:
+        return 0
+    rows = current_rows(spark, base)
+    rows = rows.withColumn("batch_id", F.col("batch_id").cast("bigint")).where(F.col("batch_id") <= fresh[-1])
+    whole = _latest(rows, keys) if keys is not None else _added_up(rows).withColumn("batch_id", F.lit(fresh[-1]).cast("bigint"))
+    whole.hint("rebalance").write.mode("overwrite").parquet(f"{base}/{COMPACT}/upto={fresh[-1]}")
+    if remove:
+        for n in batches:
+            if n <= fresh[-1]:
+                remove_path(spark, f"{base}/batch_id={n}")
+        for n in folded:
+            remove_path(spark, f"{base}/{COMPACT}/upto={n}")
+    return len(fresh)
 
 
 def start_alerts(flow: DataFrame, watch: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
-    """Alerts appended as parquet files (exactly-once file sink)."""
+    """Alerts appended as parquet files (exactly-once file sink), for a watch list that does not change."""
     return (
         alerts_stream(flow, watch)
         .writeStream.outputMode("append")
@@ -145,18 +243,32 @@ def start_alerts(flow: DataFrame, watch: DataFrame, out_path: str, checkpoint: s
 
 
 def start_track_requests(
-    flow: DataFrame,
+    read_flow,
     requests: DataFrame,
     out_path: str,
     checkpoint: str,
     run_date: str | None = None,
     trigger: dict | None = None,
+    read_dimensions=None,
+    json_path: str | None = None,
 ):
-    """Each micro-batch of requested plates runs one track job over the stored flow (one semi join
-    for the whole batch of requests) and writes its routes to that batch's folder."""
+    """Each micro-batch of requested plates runs one track job (one semi join for the whole batch of
+    requests) over the log as ``read_flow()`` returns it at that moment, so sightings stored between two requests
+    are in the second answer. ``read_dimensions()``, if given, returns (district, road) and the routes carry
+    names. Routes go to the batch's folder and, with ``json_path``, as one JSON document per route too."""
 
     def handle(reqs: DataFrame, batch_id: int) -> None:
-        vehicle_track(flow, reqs, run_date).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        asked = reqs.persist()  # the plates are used by the plan more than once
+        flow = read_flow()
+        if read_dimensions is None:
+            routes = vehicle_track(flow, asked, run_date)
+        else:
+            routes = vehicle_track_named(flow, asked, *read_dimensions(), run_date)
+        _write_batch(routes, out_path, batch_id)
+        if json_path:
+            written = routes.sparkSession.read.schema(routes.schema).parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+            write_json_lines(written, f"{json_path.rstrip('/')}/batch_id={batch_id}")
+        asked.unpersist()
 
     return (
         requests.writeStream.option("checkpointLocation", checkpoint)
@@ -191,20 +303,24 @@ def run_available_now(
     else:
         q = start_to_table(stream, out, ck, output_mode, {"availableNow": True}, state_partitions=state_partitions)
     q.awaitTermination()
-    try:
-        df = spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - nothing was emitted
-        return spark.createDataFrame([], stream.schema)
+    if not path_exists(spark, out) or not [n for n in list_names(spark, out) if not n.startswith("_")]:
+        return spark.createDataFrame([], stream.schema)  # the stream had no input
     if keys is None:
-        return df.select(*stream.columns)
+        return spark.read.schema(stream.schema).parquet(out)
     return latest_rows(spark, out, keys).select(*stream.columns)
 
 
 # --- the reference's live job as one unit (T5 T9) and its snapshot outputs (D13, K3) -----------------
 
+def latest_window(window_speeds: DataFrame) -> DataFrame:
+    """The rows of the newest window."""
+    return window_speeds.where(F.col("window_start") == window_speeds.agg(F.max("window_start")).scalar())
+
+
 def speed_rank(window_speeds: DataFrame) -> DataFrame:
-    """Per window, blocks ranked by mean speed desc (ties by block) as ``|`` lists ``blockRank`` and
-    ``speedRank``. One row per window; each list is bounded by the number of blocks."""
+    """Per window, blocks ranked by mean speed desc (ties by block): ``blockRank`` and ``speedRank`` as
+    ``|`` lists and ``speedList`` as ``(block,mean)>(…)``. One row per window; each list is bounded by the
+    number of blocks."""
     r = window_speeds.groupBy("window_start", "window_end").agg(
         F.array_sort(F.collect_list(F.struct((-F.col("avg_speed")).alias("k"), "blockid", "avg_speed"))).alias("r")
     )
@@ -213,28 +329,42 @@ def speed_rank(window_speeds: DataFrame) -> DataFrame:
         "window_end",
         F.array_join(F.transform("r", lambda x: x["blockid"]), "|").alias("blockRank"),
         F.array_join(F.transform("r", lambda x: x["avg_speed"].cast("string")), "|").alias("speedRank"),
+        F.array_join(F.transform("r", lambda x: F.format_string("(%s,%s)", x["blockid"], x["avg_speed"].cast("string"))), ">").alias("speedList"),
     )
 
 
-def live_snapshot(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
-    """Live snapshot row: run date, running totals and the ranking of the latest window. ``totals`` has one
-    row; the latest window is found with a max over window starts (no sort of all windows)."""
-    ranks = speed_rank(window_speeds)
-    latest = ranks.agg(F.max_by(F.struct("window_start", "blockRank", "speedRank"), "window_start")).scalar()
+def _with_totals(totals: DataFrame, window_speeds: DataFrame, run_date: str | None) -> DataFrame:
+    """One row: run date, running totals, and the ranking of the latest window (``l``)."""
+    ranks = speed_rank(latest_window(window_speeds))
     rd = F.current_date() if run_date is None else F.lit(run_date).cast("date")
     return totals.select(
         rd.alias("create_date"),
         F.col("current_auto_count").alias("currentAutoCount"),
         F.col("current_inbound_auto").alias("currentInboundAuto"),
-        latest.alias("l"),
-    ).select(
-        "create_date", "currentAutoCount", "currentInboundAuto",
-        F.col("l.window_start").alias("window_start"),
-        F.col("l.blockRank").alias("blockRank"),
-        F.col("l.speedRank").alias("speedRank"),
+        ranks.select(F.struct("window_start", "blockRank", "speedRank", "speedList")).scalar().alias("l"),
     )
 
 
+def live_snapshot(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
+    """Live snapshot row: run date, running totals and the ranking of the latest window, which is picked
+    before anything is ranked. ``totals`` has one row."""
+    row = _with_totals(totals, window_speeds, run_date)
+    return row.select("create_date", "currentAutoCount", "currentInboundAuto", "l.window_start", "l.blockRank", "l.speedRank")
+
+
+def live_web(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
+    """The web document: create_date, currentAutoCount, currentInboundAuto, speedRank = ``(block,mean)>(…)`` of
+    the latest window."""
+    row = _with_totals(totals, window_speeds, run_date)
+    return row.select("create_date", "currentAutoCount", "currentInboundAuto", F.col("l.speedList").alias("speedRank"))
+
+
+def live_chart(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
+    """The chart document; ``currenAutoCount`` is spelt as the chart reads it."""
+    row = _with_totals(totals, window_speeds, run_date)
+    return row.select("create_date", F.col("currentAutoCount").alias("currenAutoCount"), "currentInboundAuto", "l.blockRank", "l.speedRank")
+
+
 def start_live(
     flow: DataFrame,
     out_dir: str,
@@ -244,21 +374,46 @@ def start_live(
     local_prefix: str = "黑A",
     trigger: dict | None = None,
     state_partitions: dict[str, int] | None = None,
+    time: str = "arrival_time",
+    counted: DataFrame | None = None,
+    run_date: str | None = None,
 ) -> dict:
-    """The live speed-and-counts job: three queries over the same sighting stream, each with its
-    own checkpoint under ``out_dir``: window speeds (update), running totals (complete) and province
-    prefix counts (update). Returns the started queries by name; read results with ``latest_rows``."""
+    """The live speed-and-counts job: three queries over the same sighting stream, each with its own
+    checkpoint under ``out_dir``: window speeds (update, on arrival time by default), running totals
+    (complete) and province prefix counts (update). After each of their batches the documents below
+    ``out_dir/snapshots`` are written anew: ``live_web`` and ``live_chart`` from totals and speeds,
+    ``province`` from the prefix counts.
+
+    ``counted`` is the stream that totals and provinces count, if wider than ``flow``: every line with a plate,
+    also those whose time or speed does not parse. State widths are the session's unless ``state_partitions``
+    names others. Returns the started queries by name; read results with ``read_live``."""
     base = out_dir.rstrip("/")
+    spark = flow.sparkSession
+    counted = flow if counted is None else counted
+    one_at_a_time = threading.Lock()  # two queries write the same documents
+
+    def documents() -> None:
+        with one_at_a_time:
+            if _numbers(spark, f"{base}/totals", "batch_id") and _numbers(spark, f"{base}/window_speed", "batch_id"):
+                got = read_live(spark, base, run_date)
+                snapshot_json(live_web(got["totals"], got["window_speed"], run_date), f"{base}/snapshots/live_web")
+                snapshot_json(live_chart(got["totals"], got["window_speed"], run_date), f"{base}/snapshots/live_chart")
+
+    def province_document() -> None:
+        counts = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
+        snapshot_json(prov.province_snapshot(counts), f"{base}/snapshots/province")
+
     plans = {
-        "window_speed": (window_speed_stream(flow, size, slide, watermark), "update"),
-        "totals": (totals_stream(flow, local_prefix), "complete"),
-        "provinces": (province_prefix_stream(flow), "update"),
+        "window_speed": (window_speed_stream(flow, size, slide, watermark, time), "update", documents),
+        "totals": (totals_stream(counted, local_prefix), "complete", documents),
+        "provinces": (province_prefix_stream(counted), "update", province_document),
     }
-    # state sizes: totals one key, provinces one key per plate prefix, window speeds windows x blocks
-    parts = {"window_speed": None, "totals": 1, "provinces": 4, **(state_partitions or {})}
+    parts = state_partitions or {}
     return {
-        name: start_to_table(s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger, state_partitions=parts[name])
-        for name, (s, mode) in plans.items()
+        name: start_to_table(
+            s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger, state_partitions=parts.get(name), after=after
+        )
+        for name, (s, mode, after) in plans.items()
     }
 
 
@@ -272,11 +427,10 @@ def start_alerts_refreshing(
     """J6 K6 D16 with a watch list that changes while the stream runs: every micro-batch of sightings is
     semi-joined with the watch list as ``read_watch()`` returns it at that moment (e.g. a fresh
     ``spark.read`` of the watch-list table). No join state is kept; each batch writes its own folder,
-    so a replayed batch replaces its output. ``create_time`` is the batch's processing time."""
+    so a replayed batch replaces its output. ``alerted_at`` is the batch's processing time."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        alerts = alerts_stream(batch, read_watch()).withColumn("create_time", F.current_timestamp())
-        alerts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        _write_batch(alerts_stream(batch, read_watch()).withColumn("alerted_at", F.current_timestamp()), out_path, batch_id)
 
     return (
         flow.writeStream.option("checkpointLocation", checkpoint)
@@ -286,17 +440,6 @@ def start_alerts_refreshing(
     )
 
 
-def compact_latest(spark: SparkSession, out_path: str, keys: list[str], dest: str) -> int:
-    """Fold an update-mode output (one folder per micro-batch) into one table of the latest row per key,
-    written with ``rebalance`` so the result has few, evenly sized files. Run periodically; readers use
-    ``dest`` instead of listing many small batch folders. Returns the number of batch folders folded."""
-    df = spark.read.parquet(out_path)
-    n_batches = df.select("batch_id").distinct().count()
-    latest = latest_rows(spark, out_path, keys)
-    latest.hint("rebalance").write.mode("overwrite").parquet(dest)
-    return n_batches
-
-
 def start_console(stream: DataFrame, output_mode: str = "update", trigger: dict | None = None):
     """K4 for streams: print each micro-batch (display only)."""
     return (
@@ -309,12 +452,9 @@ def read_live(spark: SparkSession, out_dir: str, run_date: str | None = None) ->
     """Current results of a ``start_live`` run: window speeds, totals, zero-filled province counts
     and the live snapshot row (all read from the per-batch outputs under ``out_dir``)."""
     base = out_dir.rstrip("/")
-    speeds = latest_rows(spark, f"{base}/window_speed", ["window_start", "window_end", "blockid"])
+    speeds = latest_rows(spark, f"{base}/window_speed", SPEED_KEYS)
     totals = latest_rows(spark, f"{base}/totals", [])
-    provinces = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
-    return {
-        "window_speed": speeds,
-        "totals": totals,
-        "provinces": provinces,
-        "snapshot": live_snapshot(totals, speeds, run_date),
-    }
+    found = {"window_speed": speeds, "totals": totals, "snapshot": live_snapshot(totals, speeds, run_date)}
+    if _numbers(spark, f"{base}/provinces", "batch_id"):
+        found["provinces"] = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
+    return found

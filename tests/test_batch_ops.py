@@ -39,8 +39,18 @@ def test_device_status_daily(spark):
         ],
     )
     reg = spark.createDataFrame([("0001", "00001"), ("0001", "00002")], "block_id string, monitor_id string")
-    out = {str(r.create_date): r.abnormal_monitor_camera_infos for r in device.device_status_daily(flow, reg).collect()}
-    assert out == {"2018-04-26": "00002", "2018-04-27": "00001"}
+    out = {str(r.create_date): (r.monitor_standard_count, r.normal_monitor_count, r.abnormal_monitor_count) for r in device.device_status_daily(flow, reg).collect()}
+    assert out == {"2018-04-26": (2, 1, 1), "2018-04-27": (2, 1, 1)}
+
+
+def test_silent_stretches(spark):
+    """Per registered camera, the stretches of its block's active days without sightings (the block is not
+    active on the 28th)."""
+    day = lambda d, c: (f"2018-04-{d}", "0001", c, "京A1", f"2018-04-{d} 01:00:00", 1, "1", "01")
+    flow = flow_rows(spark, [day(25, "a"), day(26, "b"), day(27, "a"), day(29, "a"), day(30, "b"), day(30, "x")])
+    reg = spark.createDataFrame([("0001", "a"), ("0001", "b"), ("0001", "never"), ("0002", "c")], "block_id string, monitor_id string")
+    got = sorted((r.monitor_id, r.silent_from.day, r.silent_to.day, r.silent_days) for r in device.offline_cameras_daily(flow, reg).collect())
+    assert got == [("a", 26, 26, 1), ("a", 30, 30, 1), ("b", 25, 25, 1), ("b", 27, 29, 2), ("never", 25, 30, 5)]
 
 
 def test_chart_counts_in_named_columns(spark):

@@ -38,6 +38,8 @@ def test_batch_jobs_end_to_end(spark):
     t = spark.read.parquet(f"{out}/Auto_Track").collect()[0]
     assert (t.plate, t.blockid, t.roadid, t.districtid) == ("深W61995", "0005>0005", "32>47", "05>02")
     assert spark.read.json(f"{out}/auto_track_json").collect()[0].plate == "深W61995"
+    topn = spark.read.json(f"{out}/snapshots/topn_count").collect()[0]
+    assert (topn.create_date, topn.blockid, topn.auto_count) == ("2018-04-27", "0001|0005", "1|1")
     chart = spark.read.json(f"{out}/snapshots/device_chart").collect()[0]
     assert (chart.blockid, chart.brokenCount, chart.monitorSum) == ("0001|0005", "0|1", "1|2")
 
@@ -100,3 +102,45 @@ def test_scale_conf_applies_to_a_session(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cli_writes_rejects_of_text_inputs(spark):
+    d = tempfile.mkdtemp(prefix="roadflow-cli3-")
+    _write(f"{d}/tsv", "f.tsv", ["2018-04-26\t0005\t26780\t深W61995\t2018-04-26 02:44:08\t154\t2\t07", "broken"])
+    _write(f"{d}/reg", "r.tsv", ["0005\t26780", "0005"])
+    jobs.main(["device-status", "--flow", f"{d}/tsv", "--flow-format", "tsv", "--registry", f"{d}/reg", "--out", f"{d}/res"])
+    assert [r.value for r in spark.read.parquet(f"{d}/res/rejects/flow").collect()] == ["broken"]
+    assert [r.value for r in spark.read.parquet(f"{d}/res/rejects/registry").collect()] == ["0005"]
+
+
+def test_live_alert_and_request_jobs(spark):
+    """The streaming jobs over file streams: documents of every kind, alerts, routes, and rejects."""
+    from roadflow.streaming import sources as streams
+
+    d = tempfile.mkdtemp(prefix="roadflow-live-jobs-")
+    row = "2018-04-26\t000{b}\t00001\t{p}\t2018-04-26 {t}\t{s}\t2\t07"
+    _write(f"{d}/flow", "a.tsv", [row.format(b=1, p="京A1", t="10:00:00", s=50), row.format(b=2, p="黑A2", t="24:00:30", s=70),
+                                  row.format(b=2, p="闽A3", t="bad", s=1), "short"])
+    _write(f"{d}/watch", "w.json", [json.dumps({"plate": "京A1"}, ensure_ascii=False)])
+    now = {"availableNow": True}
+    for name, start in {
+        "live": lambda: jobs.live_job(streams.text_flow_parsed(spark, f"{d}/flow"), f"{d}/live", now, run_date="2018-04-27"),
+        "alerts": lambda: jobs.alerts_job(streams.text_flow_parsed(spark, f"{d}/flow"), lambda: jobs.load_plates(spark, f"{d}/watch"), f"{d}/alerts", now),
+        "track": lambda: jobs.track_requests_job(
+            spark, streams.text_request_stream(spark, f"{d}/watch"), f"{d}/track", lambda: jobs.load_flow(spark, f"{d}/flow", "tsv"), run_date="2018-04-27", trigger=now),
+    }.items():
+        for q in start().values():
+            q.awaitTermination()
+            assert q.exception() is None, name
+    web = spark.read.json(f"{d}/live/snapshots/live_web").collect()[0]
+    assert (web.currentAutoCount, web.currentInboundAuto, web.speedRank) == (3, 2, "(0002,70)>(0001,50)")
+    chart = spark.read.json(f"{d}/live/snapshots/live_chart").collect()[0]
+    assert (chart.currenAutoCount, chart.blockRank, chart.speedRank) == (3, "0002|0001", "70|50")
+    province = spark.read.json(f"{d}/live/snapshots/province").collect()[0]
+    assert province.provinceCount == "1|1|0|0|0|0|1|0"
+    for job in ("live", "alerts"):
+        assert sorted(r.reject_reason for r in spark.read.parquet(f"{d}/{job}/rejects/flow").collect()) == ["bad_time", "short_line"]
+    alert = spark.read.parquet(f"{d}/alerts/alerts").collect()[0]
+    assert (str(alert.create_time), alert.plate, alert.blockid, str(alert.time), alert.roadid) == ("2018-04-26", "京A1", "0001", "2018-04-26 10:00:00", "2")
+    route = spark.read.json(f"{d}/track/auto_track_json/batch_id=0").collect()[0]
+    assert (route.plate, route.blockid) == ("京A1", "0001")

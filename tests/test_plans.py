@@ -54,24 +54,23 @@ def test_partial_aggregation_before_shuffle(spark, stored_flow):
     assert p.count("HashAggregate") >= 2 and "Exchange" in p
 
 
-def test_dimensions_broadcast_after_size_check(spark, stored_flow):
+def test_small_dimensions_broadcast_from_statistics(spark, stored_flow):
     p = plan_of(track.named_sightings(stored_flow, fx.requests(spark, SF), fx.district(spark, SF), fx.road(spark, SF)))
     assert p.count("BroadcastHashJoin") >= 2
 
 
 def test_no_cross_join_anywhere(spark):
-    import __spark_entry__ as E
+    from roadflow.plans.registry import QUERIES
 
-    for name in sorted(E.queries()):  # every registered query
-        p = plan_of(E.queries()[name](spark, SF))
+    for name in sorted(QUERIES):  # every registered query
+        p = plan_of(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_hot_key_check_reads_only_the_key(spark, stored_flow):
-    from roadflow.operators.sequence import largest_group
+def test_status_is_at_camera_grain(spark, stored_flow):
+    p = plan_of(device.device_status(stored_flow, fx.registry(spark, SF), "2024-01-01"))
+    assert "collect_set" not in p and "ShuffledHashJoin" not in p
 
-    df = stored_flow.select("plate", "action_time", "block_id", "monitor_id", "road_id", "area_id", "speed")
-    p = plan_of(df.groupBy("plate").agg({"*": "count"}))
-    read = [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
-    assert read == "ReadSchema: struct<plate:string>"
-    assert largest_group(df, "plate") > 0
+
+def test_flow_join_carries_no_hint(spark):
+    assert "strategy" not in fx.flow(spark, SF)._jdf.queryExecution().optimizedPlan().toString()

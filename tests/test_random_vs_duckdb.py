@@ -93,19 +93,3 @@ def test_operator_matches_sql(spark, frames, name):
     cols = [c[0] for c in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert _rows(df.columns, got) == _rows(cols, res.fetchall())
-
-
-@pytest.mark.parametrize("coalesce", ["false", "true"])
-@pytest.mark.parametrize("name", ["sighting_gap", "vehicle_track", "vehicle_track_named", "vehicle_track_steps"])
-def test_split_path_matches_sql(spark, frames, name, coalesce, monkeypatch):
-    """The same per-plate operators with every plate treated as hot (range-partitioned split path), with
-    AQE coalescing of the range partitions off (many partitions) and on (adjacent ones merged)."""
-    from roadflow.operators import sequence
-
-    monkeypatch.setattr(sequence, "MAX_GROUP_ROWS", 5)
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-    try:
-        test_operator_matches_sql(spark, frames, name)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

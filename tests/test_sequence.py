@@ -18,16 +18,15 @@ def test_hot_key_over_many_partitions(spark):
             F.col("id").alias("u"),
             (F.col("id") * 7 % 13).alias("v"),
         )
-        got = lag_by_key(df, "k", ["t", "u"], ["v", "t"], max_group_rows=100)
-        assert got.rdd.getNumPartitions() >= 1
+        got = lag_by_key(df, "k", ["t", "u"], ["v", "t"], bucket=F.floor(F.col("t") / 50))
         w = Window.partitionBy("k").orderBy("t", "u")
         want = df.select("*", F.lag("v").over(w).alias("prev_v"), F.lag("t").over(w).alias("prev_t"))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
 
-        parted_hot = lag_by_key(df, "k", ["t", "u"], ["v"], max_group_rows=100).where("k = 'hot'")
+        parted_hot = lag_by_key(df, "k", ["t", "u"], ["v"], bucket=F.floor(F.col("t") / 50)).where("k = 'hot'")
         assert parted_hot.count() == 3000
 
-        got_n = number_by_key(df, "k", ["t", "u"], max_group_rows=100)
+        got_n = number_by_key(df, "k", ["t", "u"], bucket=F.floor(F.col("t") / 50))
         want_n = df.select("*", F.row_number().over(w).cast("bigint").alias("step"))
         assert sorted(map(tuple, got_n.collect())) == sorted(map(tuple, want_n.collect()))
     finally:
@@ -35,18 +34,6 @@ def test_hot_key_over_many_partitions(spark):
             spark.conf.set(k, v)
 
 
-def test_hot_key_spans_partitions(spark):
-    from roadflow.operators.sequence import range_parted
-
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        df = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
-        parted = range_parted(df, "k", ["t"])
-        assert parted.select("_pid").distinct().count() > 1  # the single key is cut over several tasks
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-
-
 def test_ordered_join_hot_key(spark):
     from roadflow.operators.sequence import ordered_join_by_key
 
@@ -60,7 +47,7 @@ def test_ordered_join_hot_key(spark):
             (F.col("id") % 7).cast("string").alias("a"),
             (F.col("id") % 5).cast("string").alias("b"),
         )
-        got = {r.k: (r.x, r.y) for r in ordered_join_by_key(df, "k", ["t", "u"], {"x": "a", "y": "b"}, max_group_rows=100).collect()}
+        got = {r.k: (r.x, r.y) for r in ordered_join_by_key(df, "k", ["t", "u"], {"x": "a", "y": "b"}, bucket=F.floor(F.col("t") / 50)).collect()}
         items = F.array_sort(F.collect_list(F.struct("t", "u", "a", "b")))
         want_df = df.groupBy("k").agg(items.alias("s")).select(
             "k",
@@ -73,34 +60,34 @@ def test_ordered_join_hot_key(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
 
 
-def test_plain_path_below_bound(spark):
-    from roadflow.operators.sequence import largest_group, ordered_join_by_key
+def test_plans_hold_no_job_and_cut_the_key(spark):
+    """One lazy plan: no window over the bare key but the one over a row per (key, bucket), no checkpoint."""
+    from test_plans import plan_of
+
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
+    p = plan_of(lag_by_key(df, "k", ["t"], ["t"], bucket=F.floor(F.col("t") / 10)))
+    assert "Scan ExistingRDD" not in p and "hashpartitioning(k" in p and "_bucket" in p
 
-    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.col("id").cast("string").alias("a"))
-    assert largest_group(df, "k") == 34
-    small = ordered_join_by_key(df, "k", ["t"], {"x": "a"})  # plain path
-    split = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, max_group_rows=10)  # range path
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, split.collect()))
-    n_small = number_by_key(df, "k", ["t"])
-    n_split = number_by_key(df, "k", ["t"], max_group_rows=10)
-    assert sorted(map(tuple, n_small.collect())) == sorted(map(tuple, n_split.collect()))
 
+def test_null_keys_and_times(spark):
+    rows = [(None, 1, 1), (None, 5, 2), ("a", None, 3), ("a", 7, 4), ("a", 31, 5)]
+    df = spark.createDataFrame(rows, "k string, t int, u int")
+    got = sorted((r.u, r.prev_u) for r in lag_by_key(df, "k", ["t", "u"], ["u"], bucket=F.floor(F.col("t") / 10)).collect())
+    assert got == [(1, None), (2, 1), (3, None), (4, 3), (5, 4)]
+    steps = sorted((r.u, r.step) for r in number_by_key(df, "k", ["t", "u"], F.floor(F.col("t") / 10)).collect())
+    assert steps == [(1, 1), (2, 2), (3, 1), (4, 2), (5, 3)]
 
-def test_ordered_join_nulls_same_on_both_paths(spark):
+
+def test_ordered_join_skips_nulls_also_in_whole_pieces(spark):
     from roadflow.operators.sequence import ordered_join_by_key
 
     df = spark.range(60).select(
         F.lit("k").alias("k"), F.col("id").alias("t"),
         F.when(F.col("id").between(20, 39), F.lit(None)).otherwise(F.col("id").cast("string")).alias("a"),
     )
-    plain = ordered_join_by_key(df, "k", ["t"], {"x": "a"}).collect()[0].x
-    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        split = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, max_group_rows=5).collect()[0].x
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    assert plain == split and ">>" not in split and split.count(">") == 39
+    one = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, F.lit(0)).collect()[0].x
+    split = ordered_join_by_key(df, "k", ["t"], {"x": "a"}, F.floor(F.col("t") / 5)).collect()[0].x
+    assert one == split and ">>" not in split and split.count(">") == 39
 
 
 def test_lag_groups_made_of_identical_rows(spark):
@@ -114,7 +101,7 @@ def test_lag_groups_made_of_identical_rows(spark):
         # key 'k' with five t values, 400 rows each: range bounds fall between t values, so every
         # (partition, key) group is a run of identical rows
         df = spark.range(2000).select(F.lit("k").alias("k"), (F.col("id") / 400).cast("long").alias("t"))
-        got = sorted(map(tuple, lag_by_key(df, "k", ["t"], ["t"], max_group_rows=5).collect()), key=str)
+        got = sorted(map(tuple, lag_by_key(df, "k", ["t"], ["t"], bucket=F.col("t")).collect()), key=str)
         want = sorted(map(tuple, df.select("*", F.lag("t").over(Window.partitionBy("k").orderBy("t")).alias("prev_t")).collect()), key=str)
         assert got == want
     finally:

@@ -31,10 +31,10 @@ def test_window_totals_provinces_alerts(spark):
     flow_s = streams.text_flow_stream(spark, os.path.join(d, "flow"))
     batch = streams.split_rejects(streams.parse_flow_lines(spark.read.text(os.path.join(d, "flow"))))[0]
 
-    w = live.run_available_now(spark, live.window_speed_stream(flow_s, "2 minutes", "1 minute"), "t_win", ["window_start", "window_end", "blockid"])
+    w = live.run_available_now(spark, live.window_speed_stream(flow_s, "2 minutes", "1 minute", time="action_time"), "t_win", ["window_start", "window_end", "blockid"])
     ev = batch.withColumn("event_ts", F.col("action_time").cast("timestamp"))
     b = ev.groupBy(F.window("event_ts", "2 minutes", "1 minute").alias("w"), F.col("block_id").alias("blockid")).agg(
-        F.expr("sum(speed) div count(1)").alias("avg_speed"), F.count(F.lit(1)).alias("sightings"))
+        F.expr("sum(speed) div count(speed)").alias("avg_speed"), F.count(F.lit(1)).alias("sightings"))
     b = b.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "blockid", "avg_speed", "sightings")
     assert sorted(map(tuple, w.collect())) == sorted(map(tuple, b.collect()))
 
@@ -59,7 +59,7 @@ def test_request_driven_track(spark):
     flow = flow_rows(spark, [("2018-04-26", "0002", "1", "京A1", "2018-04-26 02:00:00", 1, "5", "01"),
                              ("2018-04-26", "0001", "1", "京A1", "2018-04-26 01:00:00", 1, "4", "01")])
     out = os.path.join(d, "out")
-    q = live.start_track_requests(flow, streams.text_request_stream(spark, os.path.join(d, "req")), out, os.path.join(d, "ck"), "2018-04-27", {"availableNow": True})
+    q = live.start_track_requests(lambda: flow, streams.text_request_stream(spark, os.path.join(d, "req")), out, os.path.join(d, "ck"), "2018-04-27", {"availableNow": True})
     q.awaitTermination()
     rows = spark.read.parquet(out).collect()
     assert [(r.plate, r.blockid, r.roadid) for r in rows] == [("京A1", "0001>0002", "4>5")]
@@ -75,32 +75,31 @@ def test_multi_batch_update_mode_equals_batch(spark):
             t = f"2018-04-26 1{f}:{(i * 2) % 60:02d}:{i % 60:02d}"
             lines.append(f"2018-04-26\t000{i % 2}\t{i:05d}\t京A{i % 5:05d}\t{t}\t{(i * 11 + f) % 140}\t1\t01")
         _write_lines(os.path.join(d, "flow"), f"part-{f}.tsv", lines)
-    stream = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "30 minutes", "15 minutes", "10 minutes")
+    stream = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "30 minutes", "15 minutes", "10 minutes", "action_time")
     out = live.run_available_now(spark, stream, "t_mb", ["window_start", "window_end", "blockid"])
     batch = streams.split_rejects(streams.parse_flow_lines(spark.read.text(os.path.join(d, "flow"))))[0]
     ev = batch.withColumn("event_ts", F.col("action_time").cast("timestamp"))
     want = ev.groupBy(F.window("event_ts", "30 minutes", "15 minutes").alias("w"), F.col("block_id").alias("blockid")).agg(
-        F.expr("sum(speed) div count(1)").alias("avg_speed"), F.count(F.lit(1)).alias("sightings"))
+        F.expr("sum(speed) div count(speed)").alias("avg_speed"), F.count(F.lit(1)).alias("sightings"))
     want = want.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "blockid", "avg_speed", "sightings")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
 
     # the same run, folded into one table of latest rows
     ck, res = os.path.join(d, "ck2"), os.path.join(d, "res2")
-    s2 = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "30 minutes", "15 minutes", "10 minutes")
+    s2 = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "30 minutes", "15 minutes", "10 minutes", "action_time")
     live.start_to_table(s2, res, ck, "update", {"availableNow": True}).awaitTermination()
     keys = ["window_start", "window_end", "blockid"]
-    assert live.compact_latest(spark, res, keys, os.path.join(d, "compact")) >= 3
-    compact = spark.read.parquet(os.path.join(d, "compact")).select(*want.columns)
-    assert sorted(map(tuple, compact.collect())) == sorted(map(tuple, want.collect()))
+    assert live.compact(spark, res, keys) >= 3 and live.compact(spark, res, keys) == 0
+    folded = live.latest_rows(spark, res, keys).select(*want.columns)
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_replayed_batch_overwrites_its_own_output(spark):
     d = tempfile.mkdtemp(prefix="roadflow-idem-")
-    write = live._batch_writer(os.path.join(d, "out"))
-    df = spark.range(5)
-    write(df, 0)
-    write(df, 0)  # a retried micro-batch
-    write(spark.range(2), 1)
+    df, out = spark.range(5), os.path.join(d, "out")
+    live._write_batch(df, out, 0)
+    live._write_batch(df, out, 0)  # a retried micro-batch
+    live._write_batch(spark.range(2), out, 1)
     assert spark.read.parquet(os.path.join(d, "out")).count() == 7
 
 
@@ -124,7 +123,7 @@ def test_alerts_pick_up_watch_list_changes(spark):
     _write_lines(os.path.join(d, "watch"), "w2.json", [json.dumps({"plate": "京B2"}, ensure_ascii=False)])
     _write_lines(os.path.join(d, "flow"), "b.tsv", [line.format(p="京B2", i=3)])
     run()
-    got = sorted((r.plate, str(r.action_time)) for r in spark.read.parquet(os.path.join(d, "out")).collect())
+    got = sorted((r.plate, str(r.time)) for r in spark.read.parquet(os.path.join(d, "out")).collect())
     assert got == [("京A1", "2018-04-26 10:00:01"), ("京B2", "2018-04-26 10:00:03")]
 
 
@@ -134,7 +133,7 @@ def test_start_live_and_read_live(spark):
              for i in range(12)]
     _write_lines(os.path.join(d, "flow"), "a.tsv", lines)
     qs = live.start_live(streams.text_flow_stream(spark, os.path.join(d, "flow")), os.path.join(d, "out"),
-                         "10 minutes", "5 minutes", "1 hour", "黑A", {"availableNow": True})
+                         "10 minutes", "5 minutes", "1 hour", "黑A", {"availableNow": True}, time="action_time")
     for q in qs.values():
         q.awaitTermination()
     res = live.read_live(spark, os.path.join(d, "out"), "2018-04-27")
@@ -158,7 +157,7 @@ def test_late_rows_beyond_watermark_are_dropped(spark):
         _write_lines(os.path.join(d, "flow"), name, [row.format(t=t, s=v) for t, v in rows])
         os.utime(os.path.join(d, "flow", name), (1_600_000_000 + i * 10, 1_600_000_000 + i * 10))  # file order
     stream = live.window_speed_stream(
-        streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "1 hour", "1 hour", "10 minutes")
+        streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "1 hour", "1 hour", "10 minutes", "action_time")
     out = live.run_available_now(spark, stream, "t_late", ["window_start", "window_end", "blockid"])
     got = {str(r.window_start): (r.avg_speed, r.sightings) for r in out.collect()}
     assert got == {"2018-04-26 12:00:00": (25, 4)}  # (10 + 20 + 30 + 40) div 4; the 10:00 row is gone
@@ -171,8 +170,118 @@ def test_stream_rejects_are_kept(spark):
         "2018-04-26\t0001\t00001\t京A1\tnot-a-time\t50\t1\t01",
         "short\tline",
     ])
-    q = streams.start_reject_sink(spark.readStream.format("text").load(os.path.join(d, "in")), os.path.join(d, "rej"),
+    q = streams.start_reject_sink(streams.text_flow_parsed(spark, os.path.join(d, "in")), os.path.join(d, "rej"),
                                   os.path.join(d, "ck"), {"availableNow": True})
     q.awaitTermination()
     got = sorted(r.reject_reason for r in spark.read.parquet(os.path.join(d, "rej")).collect())
     assert got == ["bad_time", "short_line"]
+
+
+def _late_files(d):
+    row = "2018-04-26\t0001\t00001\t京A1\t2018-04-26 {t}\t{s}\t1\t01"
+    for i, rows in enumerate([[("12:00:00", 10), ("12:01:00", 20)], [("12:30:00", 30)], [("10:00:00", 99), ("12:40:00", 40)]]):
+        _write_lines(os.path.join(d, "flow"), f"{i}.tsv", [row.format(t=t, s=v) for t, v in rows])
+        os.utime(os.path.join(d, "flow", f"{i}.tsv"), (1_600_000_000 + i * 10, 1_600_000_000 + i * 10))
+
+
+def test_event_windows_keep_late_rows(spark):
+    """The rows of the watermark test above, as event-time partials: the late 10:00 row is in its window, before
+    and after compaction, and after more batches on top of a compacted table."""
+    d = tempfile.mkdtemp(prefix="roadflow-ev-")
+    _late_files(d)
+    out, ck = os.path.join(d, "out"), os.path.join(d, "ck")
+
+    def run():
+        flow = streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1)
+        live.start_event_windows(flow, out, ck, "1 hour", "1 hour", {"availableNow": True}).awaitTermination()
+
+    def got():
+        return {str(r.window_start)[11:16]: (r.avg_speed, r.sightings) for r in live.read_event_windows(spark, out).collect()}
+
+    run()
+    assert got() == {"12:00": (25, 4), "10:00": (99, 1)}
+    assert live.compact(spark, out, None, remove=True) == 3
+    assert got() == {"12:00": (25, 4), "10:00": (99, 1)} and not [n for n in os.listdir(out) if n.startswith("batch_id")]
+    _write_lines(os.path.join(d, "flow"), "3.tsv", ["2018-04-26\t0001\t1\t京A1\t2018-04-26 10:30:00\t1\t1\t01"])
+    run()
+    assert got() == {"12:00": (25, 4), "10:00": (50, 2)}
+    assert live.compact(spark, out, None) == 1 and got() == {"12:00": (25, 4), "10:00": (50, 2)}
+
+
+def test_arrival_windows_lose_nothing(spark):
+    """By default windows run on arrival: the same late row counts where it arrived."""
+    d = tempfile.mkdtemp(prefix="roadflow-arr-")
+    _late_files(d)
+    stream = live.window_speed_stream(streams.text_flow_stream(spark, os.path.join(d, "flow"), max_files_per_trigger=1), "1 hour", "1 hour", "1 second")
+    out = live.run_available_now(spark, stream, "t_arr", live.SPEED_KEYS).collect()
+    assert [(r.avg_speed, r.sightings) for r in out] == [(39, 5)]
+
+
+def test_null_speeds_are_not_in_the_divisor(spark):
+    rows = spark.sql("select '0001' as block_id, timestamp_ntz'2018-04-26 10:00:00' as action_time, explode(array(10, null, 20)) as speed")
+    got = live.window_partials(rows, "1 hour", "1 hour").collect()[0]
+    assert (got.speed_sum, got.speed_count, got.sightings) == (30, 2, 3)
+
+
+def test_requests_see_sightings_stored_between_them(spark):
+    from conftest import flow_rows
+
+    d = tempfile.mkdtemp(prefix="roadflow-req2-")
+    seen = lambda p, h: flow_rows(spark, [("2018-04-26", f"000{h}", "1", p, f"2018-04-26 0{h}:00:00", 1, "5", "01")])
+    store, out = os.path.join(d, "flow"), os.path.join(d, "out")
+    dims = lambda: (spark.createDataFrame([(1, "One")], "district_id int, district_name string"),
+                    spark.createDataFrame([(5, "Five")], "road_id int, road_name string"))
+
+    def ask(name, plate):
+        _write_lines(os.path.join(d, "req"), name, [json.dumps({"plate": plate}, ensure_ascii=False)])
+        live.start_track_requests(lambda: spark.read.parquet(store), streams.text_request_stream(spark, os.path.join(d, "req")), out,
+                                  os.path.join(d, "ck"), "2018-04-27", {"availableNow": True}, dims, os.path.join(d, "json")).awaitTermination()
+
+    seen("京A1", 1).write.mode("append").parquet(store)
+    ask("1.json", "京A1")
+    seen("京A1", 2).unionByName(seen("京B2", 3)).write.mode("append").parquet(store)
+    ask("2.json", "京A1")
+    ask("3.json", "京B2")
+    rows = {r.batch_id: (r.plate, r.blockid, r.roadid, r.districtid) for r in spark.read.parquet(out).collect()}
+    assert rows == {0: ("京A1", "0001", "Five", "One"), 1: ("京A1", "0001>0002", "Five>Five", "One>One"), 2: ("京B2", "0003", "Five", "One")}
+    assert spark.read.json(os.path.join(d, "json", "batch_id=1")).collect()[0].blockid == "0001>0002"
+
+
+def test_processing_time_trigger_and_console(spark, capfd):
+    """A live query on its trigger picks up files while it runs, and prints its batches."""
+    import time
+
+    d = tempfile.mkdtemp(prefix="roadflow-trig-")
+    line = "2018-04-26\t0001\t00001\t京A1\t2018-04-26 10:00:0{i}\t50\t1\t01"
+    _write_lines(os.path.join(d, "flow"), "a.tsv", [line.format(i=1)])
+    totals = live.totals_stream(streams.text_flow_stream(spark, os.path.join(d, "flow")))
+    queries = [live.start_to_table(totals, os.path.join(d, "out"), os.path.join(d, "ck"), "complete", {"processingTime": "1 second"}),
+               live.start_console(totals, "complete", {"processingTime": "1 second"})]
+    try:
+        def wait_for(n):
+            end = time.time() + 90
+            while time.time() < end:
+                for q in queries:
+                    assert q.exception() is None
+                if live._numbers(spark, os.path.join(d, "out"), "batch_id") and live.latest_rows(spark, os.path.join(d, "out"), []).first()[0] == n:
+                    return
+                time.sleep(0.5)
+            raise AssertionError("no batch")
+
+        wait_for(1)
+        _write_lines(os.path.join(d, "flow"), "b.tsv", [line.format(i=2)])
+        wait_for(2)
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_streams_without_input_are_empty_and_other_errors_rise(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="roadflow-none-")
+    os.makedirs(os.path.join(d, "flow"))
+    stream = live.totals_stream(streams.text_flow_stream(spark, os.path.join(d, "flow")))
+    assert live.run_available_now(spark, stream, "t_none", [], "complete").count() in (0, 1)
+    with pytest.raises(Exception, match="(?i)path"):
+        live.latest_rows(spark, os.path.join(d, "missing"), ["a"])
