@@ -89,10 +89,15 @@ def canonical_line(line: Column) -> Column:
     return F.when(low.rlike(COPYRIGHT), "").otherwise(spelt)
 
 
-def units(text: Column) -> Column:
-    """array<struct<kind, at, canonical>> of a text: its lines, its paragraphs and itself."""
+def canonical_paragraphs(text: Column) -> Column:
+    """array<array<string>>: the canonical lines, without empty ones, of each paragraph of a text."""
     lines = lambda p: F.filter(F.transform(F.split(p, "\n", -1), canonical_line), lambda x: x != "")
-    paragraphs = F.transform(F.split(text, r"\n[\x20\t\r]*\n\s*", -1), lines)
+    return F.transform(F.split(text, r"\n[\x20\t\r]*\n\s*", -1), lines)
+
+
+def units(paragraphs: Column) -> Column:
+    """array<struct<kind, at, canonical>> of a text given as canonical paragraphs: its lines, its paragraphs and
+    itself. Pass a column, not an expression: it is used more than once."""
     unit = lambda kind, x, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("at"), x.alias("canonical"))
     joined = F.transform(paragraphs, lambda p: F.array_join(p, " "))
     return F.concat(
@@ -107,13 +112,14 @@ def known_table(spark, known=KNOWN) -> DataFrame:
     if len(known) > MOST_KNOWN:
         raise ValueError(f"{len(known)} known licences; the lookup table holds {MOST_KNOWN}")
     texts = spark.createDataFrame(list(known), "license string, text string")
-    whole = F.filter(units(F.col("text")), lambda u: u["kind"] == "text")[0]["canonical"]
-    return texts.select("license", whole.alias("c")).where("c <> ''").groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
+    whole = F.filter(units(F.col("p")), lambda u: u["kind"] == "text")[0]["canonical"]
+    return texts.select("license", canonical_paragraphs(F.col("text")).alias("p")).select("license", whole.alias("c")).where("c <> ''").groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
 def find_licenses(documents: DataFrame, known=KNOWN) -> DataFrame:
     """(key, kind, at, license): every unit of a document that is a known licence, by the key of its row."""
-    rows = documents.select(row_key("doc_id", text_or_empty()).alias("key"), F.inline(units(text_or_empty())))
+    rows = documents.select(row_key("doc_id", text_or_empty()).alias("key"), canonical_paragraphs(text_or_empty()).alias("p"))
+    rows = rows.select("key", F.inline(units(F.col("p"))))
     digests = rows.where("canonical <> ''").select("key", "kind", "at", F.sha2("canonical", 256).alias("digest"))
     return digests.join(F.broadcast(known_table(documents.sparkSession, known)), "digest").select("key", "kind", "at", "license")
 
