@@ -74,13 +74,7 @@ def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to a content-addressed archive and read back."""
     records = warc.archived(table(spark, sf_dir, "pages"))
-    return records.select(
-        "page_id",
-        F.length("payload").cast("long").alias("payload_bytes"),
-        "payload_digest",
-        "record_type",
-        "refers_to",
-    )
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,14 +46,12 @@ def write_archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
     digests = body.select("page_id", "url", F.unhex(F.sha2("payload", 256)).alias("address"), F.sha1("payload").alias("sha1"), F.length("payload").cast("long").alias("bytes"))
     newest = digests.groupBy("address").agg(F.max("page_id").alias("newest"), F.min("sha1").alias("sha1"), F.min("bytes").alias("bytes"))
 
-    # one holder of each payload: the rows with the newest id; copies with that id too are reduced to one row
-    # per address by the aggregate that follows, whose groups are only such repeated rows
-    holders = (
-        body.withColumn("address", F.unhex(F.sha2("payload", 256)))
-        .join(newest.select(F.col("address").alias("a"), "newest", "sha1", "bytes"), F.expr("address = a and page_id <=> newest"))
-        .groupBy("address", "sha1", "bytes")
-        .agg(F.first("payload").alias("payload"))
-    )
+    # one holder of each payload, the row with the newest id; join and aggregate share one key, so that bytes
+    # move once, and a group of the aggregate is repeated rows with one id
+    holder = lambda address, page_id: F.concat_ws(":", F.hex(address), F.coalesce(page_id.cast("string"), F.lit("null")))
+    chosen = newest.select(holder(F.col("address"), F.col("newest")).alias("held"), "address", "sha1", "bytes")
+    named = body.select(holder(F.unhex(F.sha2("payload", 256)), F.col("page_id")).alias("held"), "payload")
+    holders = named.join(chosen, "held").groupBy("held").agg(*[F.first(c).alias(c) for c in ("address", "sha1", "bytes", "payload")]).drop("held")
     holders.write.parquet(f"{path}/payloads")
 
     joined = digests.select("page_id", "url", "address").join(newest, "address")
@@ -82,13 +80,16 @@ def _field(name: str) -> Column:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The archive's records: header fields, full payload, and ``record``, the exact bytes of the record.
+    """The archive's records: header fields, full payload, its length as stored, and ``record``, the exact bytes
+    of the record.
 
-    Fails on a payload that does not have the digests it is stored under. ``record`` is only made if asked for.
+    Fails on a payload that does not have the digests it is stored under. Columns not asked for are not made.
     """
     payloads = spark.read.parquet(f"{path}/payloads")
     sound = (F.unhex(F.sha2("payload", 256)) == F.col("address")) & (F.sha1("payload") == F.col("sha1"))
-    verified = payloads.select("address", F.when(sound, F.col("payload")).otherwise(F.raise_error(F.lit("payload does not have its digest"))).alias("payload"))
+    checked = lambda value: F.when(sound, value).otherwise(F.raise_error(F.lit("payload does not have its digest")))
+    # each column carries the check, so that a reader of lengths alone shuffles no payloads and still verifies them
+    verified = payloads.select("address", checked(F.col("payload")).alias("payload"), checked(F.length("payload").cast("long")).alias("payload_bytes"))
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("null")).cast("long")
     fields = spark.read.parquet(f"{path}/records").select(
         "header",
