@@ -36,7 +36,7 @@ CAP = 2
 BLOCK = 64
 SHARD_SLOTS = 4096
 ROUNDS = 32
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 RANGES_BITS = 12
 
 
@@ -96,9 +96,10 @@ def slots(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
     """(rank, slot, shard, block): every slot of every source, its output shard and the block it reads."""
     sized = targets.where("source_size > 0").withColumn("blocks", F.ceil(F.col("source_size") / block))
     sized = sized.withColumn("n", F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"))
-    shards = F.ceil(F.sum("n").over(Window.partitionBy()) / shard_slots)
-    chunks = sized.where("n > 0").select("rank", "blocks", "n", shards.alias("shards"), F.explode(F.expr(f"sequence(0, (n - 1) div {CHUNK})")).alias("chunk"))
-    chunks = chunks.repartition("rank", "chunk")
+    sized = sized.withColumn("shards", F.ceil(F.sum("n").over(Window.partitionBy()) / shard_slots))  # before the explode
+    chunks = sized.where("n > 0").select("rank", "blocks", "n", "shards", F.explode(F.expr(f"sequence(0, (n - 1) div {CHUNK})")).alias("chunk"))
+    # by number: a few small rows here become all the work of the next step, so AQE must not put them together
+    chunks = chunks.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rank", "chunk")
     every = chunks.select("rank", "blocks", "shards", F.explode(F.expr(f"sequence(chunk * {CHUNK}, least(n, (chunk + 1) * {CHUNK}) - 1)")).alias("slot"))
     epoch = F.expr("slot div blocks")
     return every.select(
