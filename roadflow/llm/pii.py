@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import SPACE, fresh, text_or_empty
+from roadflow.llm.common import SPACE, fresh, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT = 48
@@ -128,9 +128,13 @@ def _terms_near(text: Column, spans: Column) -> Column:
 
 
 def found_spans(documents: DataFrame) -> DataFrame:
-    """text, base (spans of the patterns) and near (terms in their contexts), for texts with any."""
+    """digest (SHA-256 of the text), base (spans of the patterns) and near (terms in their contexts), for texts
+    with any. Written to the shared folder, as three aggregates and the masking read it: texts are searched
+    once for all of them."""
     spans = documents.select(text_or_empty().alias("text")).withColumn("base", base_spans(F.col("text")))
-    return spans.where(F.size("base") > 0).withColumn("near", _terms_near(F.col("text"), F.col("base")))
+    near = F.when(F.size("base") > 0, _terms_near(F.col("text"), F.col("base")))
+    digest = F.when(F.size("base") > 0, F.unhex(F.sha2("text", 256)))
+    return stored(spans.select(digest.alias("digest"), "base", near.alias("near")), "pii-spans").where("digest is not null")
 
 
 def disclosing(documents: DataFrame, found: DataFrame) -> DataFrame:
@@ -150,7 +154,7 @@ def term_spans(documents: DataFrame) -> DataFrame:
     """(digest, terms): the spans that the method adds to a text, by the text's SHA-256; terms is
     array<struct<start, kind, end, removed>>."""
     found = found_spans(documents)
-    occurrences = found.select(F.unhex(F.sha2("text", 256)).alias("digest"), F.inline("near")).distinct()
+    occurrences = found.select("digest", F.inline("near")).distinct()
     marked = occurrences.join(disclosing(documents, found), ["entity", "term"])
     spans = marked.groupBy("digest", "start", "end").agg(F.max("ratio").alias("ratio"))
     span = F.struct("start", F.lit(4).alias("kind"), "end", (F.col("ratio") >= REMOVE).alias("removed"))
