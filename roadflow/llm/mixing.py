@@ -138,7 +138,8 @@ def taken_words(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> Dat
     named = targets.select("rank", F.col("source").alias("_s"), "source_size", "target")
     placed = packed(sized).join(named, F.expr("source <=> _s")).drop("_s", "_key")
     same = ["doc_id", "source", "size", "source_size", "target"]
-    pieces = _pieces(placed, block, *same, "rank", "first").join(times, ["rank", "block"], "left")
+    # the planner takes the slots for as small as the sources they are made from: never broadcast them
+    pieces = _pieces(placed, block, *same, "rank", "first").join(times.hint("merge"), ["rank", "block"], "left")
     counted = pieces.groupBy(*same, "rank", "first").agg(F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("taken"))
     return counted.select(*same, "taken").unionByName(placed.where("size = 0").select(*same, F.lit(0).cast("long").alias("taken")))
 
@@ -153,6 +154,6 @@ def mixed_blocks(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> Da
     placed = placed.withColumn("words", words_of(F.col("text"))).drop("text")
     pieces = _pieces(placed, block, "rank", "source", "doc_id").select("rank", "source", "block", F.struct("begins", "doc_id", "length", "text").alias("piece"))
     blocks = pieces.groupBy("rank", "source", "block").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most ``block`` pieces
-    filled = blocks.join(slots(targets, block, seed=seed), ["rank", "block"])
+    filled = blocks.join(slots(targets, block, seed=seed).hint("merge"), ["rank", "block"])
     n_words = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["length"])
     return filled.select("shard", "slot", "source", "block", F.col("pieces.doc_id").alias("doc_ids"), n_words.alias("n_words"), F.array_join("pieces.text", " ").alias("text"))
