@@ -71,15 +71,15 @@ def source_targets(sized: DataFrame) -> DataFrame:
 
 
 def packed(documents: DataFrame) -> DataFrame:
-    """``documents`` (with columns size and source) and ``first``, the word's place in its source's stream
-    at which the document starts."""
+    """``documents`` (with columns size and rank, of the source) and ``first``, the place in its source's stream
+    of words at which the document starts. Texts move once: window and join share the keys rank and range."""
     keyed = documents.withColumn("_h", F.xxhash64("_key")).withColumn("_range", F.shiftrightunsigned("_h", 64 - RANGES_BITS).cast("int"))
-    ranges = keyed.groupBy("source", "_range").agg(F.sum("size").alias("_n"))
-    before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select(F.col("source").alias("_s"), F.col("_range").alias("_r"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("source", "_range").orderBy("_h", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = keyed.groupBy("rank", "_range").agg(F.sum("size").alias("_n"))
+    before = Window.partitionBy("rank").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("rank", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("rank", "_range").orderBy("_h", "_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return placed.join(ranges, F.expr("source <=> _s and _range = _r")).withColumn("first", F.col("_base") + F.col("_in")).drop("_h", "_range", "_s", "_r", "_base", "_in")
+    return placed.join(ranges, ["rank", "_range"]).withColumn("first", F.col("_base") + F.col("_in")).drop("_h", "_range", "_base", "_in")
 
 
 def permuted(x: Column, n: Column, *seeds: Column) -> Column:
@@ -136,7 +136,7 @@ def taken_words(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> Dat
     targets = stored(source_targets(sized), "mix-sources")
     times = slots(targets, block, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("times"))
     named = targets.select("rank", F.col("source").alias("_s"), "source_size", "target")
-    placed = packed(sized).join(named, F.expr("source <=> _s")).drop("_s", "_key")
+    placed = packed(sized.join(named, F.expr("source <=> _s")).drop("_s")).drop("_key")
     same = ["doc_id", "source", "size", "source_size", "target"]
     # the planner takes the slots for as small as the sources they are made from: never broadcast them
     pieces = _pieces(placed, block, *same, "rank", "first").join(times.hint("merge"), ["rank", "block"], "left")
@@ -150,10 +150,12 @@ def mixed_blocks(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> Da
     text = text_or_empty()
     sized = documents.select("doc_id", "source", text.alias("text"), word_count(text).alias("size"), row_key("doc_id", text).alias("_key"))
     targets = stored(source_targets(sized.select("source", "size")), "mix-sources")
-    placed = packed(sized).join(targets.select("rank", F.col("source").alias("_s")), F.expr("source <=> _s"))
+    named = targets.select("rank", F.col("source").alias("_s"))
+    placed = packed(sized.join(named, F.expr("source <=> _s")).drop("_s"))
     placed = placed.withColumn("words", words_of(F.col("text"))).drop("text")
     pieces = _pieces(placed, block, "rank", "source", "doc_id").select("rank", "source", "block", F.struct("begins", "doc_id", "length", "text").alias("piece"))
-    blocks = pieces.groupBy("rank", "source", "block").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most ``block`` pieces
+    # by the keys of the join that follows, so that the blocks' texts move once for both
+    blocks = pieces.groupBy("rank", "block").agg(F.first("source").alias("source"), F.sort_array(F.collect_list("piece")).alias("pieces"))  # at most ``block`` pieces
     filled = blocks.join(slots(targets, block, seed=seed).hint("merge"), ["rank", "block"])
     n_words = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["length"])
     return filled.select("shard", "slot", "source", "block", F.col("pieces.doc_id").alias("doc_ids"), n_words.alias("n_words"), F.array_join("pieces.text", " ").alias("text"))
