@@ -78,7 +78,9 @@ def with_signature(df: DataFrame, text: str, signature: str) -> DataFrame:
 
     tuples = F.map_from_entries(F.transform("_b", lambda i: F.struct(_part(at("_n", i)).cast("int").alias("k"), tuple_hash(i).cast("int").alias("v"))))
     out = out.withColumn("_t", tuples)
-    parts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.element_at(F.col("_t"), p), F.lit(0)))
+    # the second use of _t keeps the optimizer from moving its expression into the function, to run for each part
+    every = F.sequence(F.lit(0), F.when(F.size("_t") >= 0, PARTS - 1).otherwise(0))
+    parts = F.transform(every, lambda p: F.coalesce(F.element_at(F.col("_t"), p), F.lit(0)))
     return out.select(*kept, parts.alias(signature))
 
 
