@@ -22,7 +22,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     readers of an expensive step share one run of it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -229,7 +229,8 @@ def repeated_ranges(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     seen = shared.select("anchor", "ord", F.explode(F.array("h1", "h2")).alias("h")).groupBy("anchor", "h").agg(F.min("ord").alias("least"))
     one, two = (seen.select("anchor", F.col("h").alias(f"h{i}"), F.col("least").alias(f"least{i}")) for i in (1, 2))
     judged = shared.join(one, ["anchor", "h1"]).join(two, ["anchor", "h2"])
-    judged = stored(judged.withColumn("covered", (F.col("least1") < F.col("ord")) & (F.col("least2") < F.col("ord"))), "repeats-judged")
+    covered = (F.col("least1") < F.col("ord")) & (F.col("least2") < F.col("ord"))
+    judged = stored(judged.select("ord", "row", "anchor", "p1", "p2", "lo", covered.alias("covered")), "repeats-judged")
 
     undecided = judged.where("not covered and ord > lo").select("anchor").distinct()
     again = judged.join(undecided, "anchor", "left_semi").select("row", "anchor", "p1", "p2").distinct()
