@@ -6,18 +6,26 @@ corpus, with documents as events,
 
     PMI(e; t) = ln(p(e, t) / (p(e) p(t)))        IC(e) = -ln p(e)
 
-PMI reaches IC when a term occurs with the entity alone and so names it. Pairs seen in ``MIN_DOCS`` documents
-or more whose ratio PMI / IC reaches ``GENERALISE`` disclose: the term is replaced by its class, and from
-``REMOVE`` on it is removed. (An entity in every document has no information and nothing discloses it.)
-A pair (e, t) occurs in a document when t stands in the ``CONTEXT`` code points before or after e; a term is
-a run of three or more letters between white space or the punctuation . , ; : ! ?, in lower case.
+PMI reaches IC when a term occurs with the entity alone and so names it: PMI / IC = 1 + ln p(e | t) / IC. How
+often t occurs without e is known the less, the fewer documents have t, so p(e | t) is estimated with
+``PRIOR_DOCS`` documents in which e is as frequent as anywhere:
 
-Where: a disclosing term is masked where it stands in the context of its entity. The spans of the patterns
+    p(e | t) = (n(e, t) + PRIOR_DOCS p(e)) / (n(t) + PRIOR_DOCS)
+
+Pairs whose ratio reaches ``GENERALISE`` disclose, however rare the entity is: the term is replaced by its
+class, and from ``REMOVE`` on it is removed. (An entity in every document has no information and nothing
+discloses it.) A pair (e, t) occurs in a document that has both, anywhere; a term is a run of three or more
+letters between the text's ends, white space, digits, quotes, hyphens or the punctuation . , ; : ! ?, in lower
+case. Where a pattern matched there are no terms.
+
+Where: a disclosing term is masked wherever it stands in a document of its entity. The spans of the patterns
 always stay; the method adds spans of kind ``term``.
 
-Corpus counts are counts of documents: an aggregate of (entity, term) over contexts, one of entities, and one
-of the hashes of all distinct words of each document, kept for candidate terms by a join. An entity or term
-in a third of all documents is summed before the shuffle; nothing is collected.
+Corpus counts are counts of documents: an aggregate of (entity, term) over the distinct texts with entities,
+one of entities, and one of the hashes of all distinct words of each document. Entities of the very same texts
+have equal counts with every term and are counted as one, so that a list of addresses does not make a pair of
+each address and word. An entity or term in a third of all documents is summed before the shuffle; nothing is
+collected. Terms are named by 64-bit hashes.
 
 Defined results: a null text is empty and stays null when masked; equal texts get equal spans; a null doc_id
 is kept; repeated rows are documents of their own in the counts; an empty table gives no rows.
@@ -31,8 +39,8 @@ from pyspark.sql import functions as F
 from roadflow.llm.common import SPACE, fresh, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 48
-MIN_DOCS = 3
+MIN_DOCS = 1
+PRIOR_DOCS = 1
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -47,7 +55,7 @@ PATTERNS = {
 }
 #: What a text needs for a pattern to match at all.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-STOPS = rf"{SPACE}.,;:!?"
+STOPS = rf"{SPACE}.,;:!?0-9\"'`‘’‚“”„«»‹›‐‑‒–—―\-"
 TERM = rf"(?<![^{STOPS}])\p{{L}}{{3,}}(?![^{STOPS}])"
 MASKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
 
@@ -108,57 +116,88 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*(spans(k, kind) for k, kind in enumerate(PATTERNS))))
 
 
-def _terms_near(text: Column, spans: Column) -> Column:
-    """array<struct<entity, term, start, end>>: the terms in the context of each span."""
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces where the spans are."""
+
+    def step(acc: Column, s: Column) -> Column:
+        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        blank = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["at"]))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, blank)).alias("out"))
 
-    def inside(context: Column, offset: Column, cut_left: Column, cut_right: Column, entity: Column) -> Column:
-        whole = F.filter(matches(context, TERM), lambda m: ~(cut_left & (m["start"] == 0)) & ~(cut_right & (m["end"] == F.length(context))))
-        return F.transform(whole, lambda m: F.struct(entity.alias("entity"), F.lower(m["value"]).alias("term"), (m["start"] + offset).alias("start"), (m["end"] + offset).alias("end")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(spans, zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
 
-    def near(s: Column) -> Column:
-        left = F.greatest(s["start"] - CONTEXT, F.lit(0))
-        before = F.substring(text, left + 1, s["start"] - left)
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT))
-        return F.concat(
-            inside(before, left, left > 0, F.lit(False), s["entity"]),
-            inside(after, s["end"], F.lit(False), F.length(after) == CONTEXT, s["entity"]),
-        )
 
-    return F.flatten(F.transform(spans, near))
+def _words(text: Column) -> Column:
+    """array<long>: the hashes of the distinct words between ``STOPS``, terms among them."""
+    return F.array_distinct(F.transform(F.split(F.lower(text), f"[{STOPS}]+"), lambda w: F.xxhash64(w)))
+
+
+def _terms(text: Column) -> Column:
+    """array<struct<gap, size, h>>: every term with the code points before it and its own, and its hash."""
+    found = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    gaps = F.slice(F.split(text, TERM, -1), 1, F.size(found))
+    return F.zip_with(gaps, found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), F.xxhash64(F.lower(v)).alias("h")))
 
 
 def found_spans(documents: DataFrame) -> DataFrame:
-    """digest (SHA-256 of the text), base (spans of the patterns) and near (terms in their contexts), for texts
-    with any. Written to the shared folder, as three aggregates and the masking read it: texts are searched
-    once for all of them."""
+    """A row per distinct text with any span of the patterns: digest (SHA-256 of the text), copies (documents
+    with it), entities, terms (all, in order) and inside (words that stand in spans only). Written to the shared
+    folder, as all counts and the masking read it: texts are searched once for all of them."""
     spans = documents.select(text_or_empty().alias("text")).withColumn("base", base_spans(F.col("text")))
-    near = F.when(F.size("base") > 0, _terms_near(F.col("text"), F.col("base")))
-    digest = F.when(F.size("base") > 0, F.unhex(F.sha2("text", 256)))
-    return stored(spans.select(digest.alias("digest"), "base", near.alias("near")), "pii-spans").where("digest is not null")
+    some = lambda x: F.when(F.size("base") > 0, x)
+    spans = spans.withColumn("plain", some(_blanked(F.col("text"), F.col("base"))))
+    each = spans.select(
+        some(F.unhex(F.sha2("text", 256))).alias("digest"),
+        some(F.array_distinct("base.entity")).alias("entities"),
+        some(_terms(F.col("plain"))).alias("terms"),
+        some(F.array_except(_words(F.col("text")), _words(F.col("plain")))).alias("inside"),
+    )
+    each = stored(each, "pii-spans").where("digest is not null")
+    one = each.groupBy("digest").agg(F.count("*").alias("copies"), F.first(F.struct("entities", "terms", "inside")).alias("x"))
+    return stored(one.select("digest", "copies", "x.*"), "pii-texts")
+
+
+def pairs_of(found: DataFrame) -> DataFrame:
+    """(digest, copies, e, n_entity, h): every entity with every term of each text, entities of the same texts
+    as one; e names those, n_entity is the number of their documents."""
+    of = found.select("digest", "copies", F.explode("entities").alias("entity"))
+    same = of.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("digest"))).alias("e"))
+    classes = of.join(same, "entity").groupBy("digest").agg(F.collect_set(F.struct("e", "n_entity")).alias("es"))  # of one text
+    both = found.select("digest", "copies", F.array_distinct("terms.h").alias("hs")).join(classes, "digest")
+    return both.select("digest", "copies", "hs", F.inline("es")).select("digest", "copies", "e", "n_entity", F.explode("hs").alias("h"))
 
 
 def disclosing(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, ratio) of the pairs whose term discloses its entity, from counts over all documents."""
-    once = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))
-    pairs = found.select(F.inline(once)).groupBy("entity", "term").agg(F.count("*").alias("n_pair")).where(F.col("n_pair") >= MIN_DOCS)
-    entities = found.select(F.explode(F.array_distinct("base.entity")).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.split(F.lower(text_or_empty()), f"[{STOPS}]+"))
-    terms = documents.select(F.explode(words).alias("term")).groupBy(F.xxhash64("term").alias("h")).agg(F.count("*").alias("n_term"))
+    """(e, h, ratio) of the pairs whose term discloses its entity, from counts over all documents."""
     n = documents.count()
-    counted = pairs.withColumn("h", F.xxhash64("term")).join(entities, "entity").join(terms, "h").where(F.col("n_entity") < n)
-    ratio = F.ln(F.col("n_pair") * n / (F.col("n_entity") * F.col("n_term"))) / F.ln(n / F.col("n_entity"))
-    return counted.select("entity", "term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
+    pairs = pairs_of(found).where(F.col("n_entity") < n).groupBy("e", "n_entity", "h").agg(F.sum("copies").alias("n_pair")).where(F.col("n_pair") >= MIN_DOCS)
+    words = documents.select(F.explode(_words(text_or_empty())).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    inside = found.select("copies", F.explode("inside").alias("h")).groupBy("h").agg(F.sum(-F.col("copies")).alias("n"))
+    terms = words.unionByName(inside).groupBy("h").agg(F.sum("n").alias("n_term"))
+    share = F.col("n_entity") / n
+    given = (F.col("n_pair") + PRIOR_DOCS * share) / (F.col("n_term") + PRIOR_DOCS)
+    ratio = 1 + F.ln(given) / -F.ln(share)
+    return pairs.join(terms, "h").select("e", "h", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
 
 
 def term_spans(documents: DataFrame) -> DataFrame:
     """(digest, terms): the spans that the method adds to a text, by the text's SHA-256; terms is
     array<struct<start, kind, end, removed>>."""
     found = found_spans(documents)
-    occurrences = found.select("digest", F.inline("near")).distinct()
-    marked = occurrences.join(disclosing(documents, found), ["entity", "term"])
-    spans = marked.groupBy("digest", "start", "end").agg(F.max("ratio").alias("ratio"))
-    span = F.struct("start", F.lit(4).alias("kind"), "end", (F.col("ratio") >= REMOVE).alias("removed"))
-    return spans.groupBy("digest").agg(F.sort_array(F.collect_list(span)).alias("terms"))  # one text's spans
+    marked = pairs_of(found).join(disclosing(documents, found), ["e", "h"]).groupBy("digest", "h").agg(F.max("ratio").alias("ratio"))
+    split = lambda removed: F.collect_list(F.when((F.col("ratio") >= REMOVE) == F.lit(removed), F.col("h")))
+    masked = marked.groupBy("digest").agg(split(False).alias("general"), split(True).alias("gone"))  # one text's terms
+
+    def step(acc: Column, t: Column) -> Column:
+        start = acc["at"] + t["gap"]
+        end = start + t["size"]
+        gone = F.array_contains("gone", t["h"])
+        span = F.struct(start.alias("start"), F.lit(4).alias("kind"), end.alias("end"), gone.alias("removed"))
+        return F.struct(end.alias("at"), F.when(gone | F.array_contains("general", t["h"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>").alias("out"))
+    return masked.join(found.select("digest", "terms"), "digest").select("digest", F.aggregate("terms", zero, step, lambda acc: acc["out"]).alias("terms"))
 
 
 def with_spans(documents: DataFrame, base: str, terms: str) -> DataFrame:

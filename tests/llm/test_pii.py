@@ -126,6 +126,30 @@ def test_terms_and_masks(spark):
     assert untouched <= {r.text for r in clean}
 
 
+def test_rare_entities_and_far_terms(spark):
+    """Terms of an entity of one document count, wherever they stand and whatever quotes or hyphens are around."""
+    rows = [(i, "the and of with some common words here " * 4) for i in range(300)]
+    rare = "Quimbly wrote " + "the and of with some common words here " * 9 + 'to q@x.org and "quimbly" or Quimbly-1.'
+    rows += [(900, rare), *[(i, "wrote the words") for i in range(901, 910)], (910, "org of x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.span_report(docs).collect()}
+    at = [m.start() for m in re.finditer("quimbly", rare.lower())]
+    assert [s for s in got[900].spans.split(",") if s.startswith("term")] == [f"term:{a}:{a + 7}" for a in at] and got[900].n_term == 3
+    assert all(got[i].n_term == 0 for i in got if i != 900)
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert "quimbly" not in clean[900].lower() and "wrote" in clean[900] and "[TERM]" in clean[900]
+    few = pii.span_report(docs.where("doc_id between 295 and 900")).where("doc_id = 900").first()
+    assert few.n_term == 0  # one sighting among few documents is no evidence
+
+
+def test_lists_of_addresses_are_one_class(spark):
+    text = " ".join(f"name{'abcdefghij'[i % 10]}x u{i}@x.org" for i in range(300))
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "a u1@x.org b")] + [(i, "words") for i in range(10, 500)], "doc_id long, text string")
+    found = pii.found_spans(docs)
+    assert pii.pairs_of(found).count() == 2 * 10  # u1's texts and those of the others, with ten terms
+    assert pii.span_report(docs).where("doc_id = 1").first().n_term == 300
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.span_report(none).count() == 0 and pii.sanitised(none).count() == 0
