@@ -1,12 +1,12 @@
 """Order MinHash fingerprints, with DataFrame functions only.
 
 A text's words give k-mers of ``K`` words (one shorter k-mer for a shorter text). A k-mer that occurs again
-is numbered, so the text is a set of (k-mer, occurrence). Their hashes fall into ``PARTS`` parts of the hash
-range (one permutation, used part by part); in each part the ``PICK`` smallest are selected, put in the order
-of their places in the text, and hashed as a tuple. The tuples of all parts are the signature. Two texts
-agree in a part when they have the same minimal k-mers in the same order, so that moved text lowers the
-likeness where a set sketch would not see it. Likeness is the share of agreeing parts among those that are
-not empty in both.
+is numbered, so the text is a set of (k-mer, occurrence). Their hashes are put on a ring that ``PARTS`` points
+cut into equal parts; the way round the ring from a point is one permutation of all k-mers. For each point the
+``PICK`` first k-mers from there on (in the part behind it or, if that holds fewer, in those that follow) are
+selected, put in the order of their places in the text, and hashed as a tuple. The tuples of all points are the
+signature. Two texts agree in a tuple when they have the same minimal k-mers in the same order, so that moved
+text lowers the likeness where a set sketch would not see it. Likeness is the share of agreeing tuples.
 
 Each text is handled inside its row by array functions: hashes and places are packed into longs (38 bits of
 hash, 26 of place: up to 67 million words a text), sorted as primitive arrays, and read in runs. No k-mer is
@@ -50,7 +50,7 @@ def _run_starts(column: str, of) -> Column:
 
 
 def with_signature(df: DataFrame, text: str, signature: str) -> DataFrame:
-    """``df`` with the signature of a text column that has no nulls: ``PARTS`` ints, 0 for an empty part.
+    """``df`` with the signature of a text column that has no nulls: ``PARTS`` ints other than 0.
 
     The columns _w, _s, _r, _n and _b are used on the way.
     """
@@ -70,17 +70,21 @@ def with_signature(df: DataFrame, text: str, signature: str) -> DataFrame:
     out = out.withColumn("_b", _run_starts("_n", _part))
 
     def tuple_hash(i: Column) -> Column:
-        a, b = at("_n", i), at("_n", i + 1)
+        a, b = at("_n", i), at("_n", (i + 1) % F.size("_n"))
         ordered = a.bitwiseAND(F.lit(PLACE)) < b.bitwiseAND(F.lit(PLACE))
         both = F.when(ordered, F.xxhash64(_hash_bits(a), _hash_bits(b))).otherwise(F.xxhash64(_hash_bits(b), _hash_bits(a)))
-        value = F.when(_part(b) == _part(a), both).otherwise(F.xxhash64(_hash_bits(a)))
-        return F.pmod(value, F.lit(2**32 - 1)) - (2**31 - 1)  # an int, of which 0 is taken by empty parts
+        value = F.when(F.size("_n") > 1, both).otherwise(F.xxhash64(_hash_bits(a)))
+        number = F.pmod(value, F.lit(2**32 - 1)) - (2**31 - 1)
+        return F.when(number == 0, 1).otherwise(number)  # an int other than 0
 
     tuples = F.map_from_entries(F.transform("_b", lambda i: F.struct(_part(at("_n", i)).cast("int").alias("k"), tuple_hash(i).cast("int").alias("v"))))
     out = out.withColumn("_t", tuples)
     # the second use of _t keeps the optimizer from moving its expression into the function, to run for each part
     every = F.sequence(F.lit(0), F.when(F.size("_t") >= 0, PARTS - 1).otherwise(0))
-    parts = F.transform(every, lambda p: F.coalesce(F.element_at(F.col("_t"), p), F.lit(0)))
+    keys = F.map_keys("_t")
+    following = lambda p: F.coalesce(F.array_min(F.filter(keys, lambda k: k > p)), F.array_min(keys))
+    tuple_at = lambda k: F.element_at(F.col("_t"), k)
+    parts = F.transform(every, lambda p: F.coalesce(tuple_at(p), tuple_at(following(p))))
     return out.select(*kept, parts.alias(signature))
 
 

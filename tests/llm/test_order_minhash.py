@@ -53,6 +53,20 @@ def test_signature_sees_order_repeats_and_spacing(spark):
     assert all(any(s) for s in got.values())
 
 
+def test_short_texts_see_order(spark):
+    rng = random.Random(3)
+    for n in (10, 20, 50, 100):
+        texts = []
+        for _ in range(40):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            texts += [" ".join(words), " ".join(words[n // 2 :] + words[: n // 2])]
+        got = signatures(spark, texts)
+        common = (n - 4) / n  # share of k-mers in both, what a sketch of sets would give
+        mean = sum(likeness(got[i], got[i + 1]) for i in range(0, len(texts), 2)) / 40
+        assert 0.2 * common < mean < 0.65 * common, (n, mean)
+        assert all(0 not in s for s in got.values())
+
+
 def test_packed_form_against_plain_python(spark):
     """Selected k-mers of a part are the least hashes; checked through a text whose k-mers are all in place."""
     got = signatures(spark, ["a b c d", "a b c d", "b c d a"])
