@@ -16,7 +16,7 @@ Lexicon: fixed seed words, and stems learned from labelled rows: prefixes of up
 words, that occur in toxic rows and almost only there, chosen greedily by how many toxic rows they explain
 that none before explained (so that the words of one much-copied text do not count as evidence each).
 Weights: logistic regression with a prior on the marked counts. Both are fitted on at most ``TRAIN_ROWS``
-labelled rows (a documented bound; the rows with the smallest hash), never on held-out ones; doc_id, lang,
+distinct labelled texts (a documented bound; those with the smallest hash), never on held-out ones; doc_id, lang,
 source and the labels are not inputs of a score. Every text is scored whole.
 
 Defined results: a null or empty text has no clauses and the score of a text without matches; a null doc_id
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadflow.llm.common import fresh
+from roadflow.llm.common import fresh, text_or_empty
 
 TRAIN_ROWS = 8000
 MAX_STEMS = 200
@@ -200,12 +200,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most about ``rows`` labelled documents that are not held out (copies of a row count
-    as one label); chosen by hash, so that the same rows are chosen anywhere."""
+    """(text, toxic) of at most ``rows`` distinct texts of labelled documents that are not held out (copies of a
+    text are one row, toxic if any label is); chosen by hash, so that the same rows are chosen anywhere."""
     given = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-    chosen = given.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    # bounded by ``rows`` ids, so it can be sent to every task
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    given = given.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").alias("toxic"))
+    hashed = F.xxhash64(text_or_empty())
+    texts = documents.select("doc_id", hashed.alias("_h")).distinct().join(given, F.col("doc_id") == F.col("_id")).groupBy("_h").agg(F.max("toxic").alias("toxic"))
+    # bounded by ``rows`` hashes, so it can be sent to every task
+    chosen = texts.orderBy("_h").limit(rows)
+    found = documents.select(text_or_empty().alias("text"), hashed.alias("_of")).join(F.broadcast(chosen), F.col("_of") == F.col("_h"))
+    return found.groupBy("text").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
 
 
 def _stems_of(text: str | None) -> set[str]:

@@ -78,3 +78,16 @@ def test_nulls_copies_no_labels(spark):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "2"]
     assert {r.score for r in kept.collect()} == {"clash"}
     assert toxicity.toxicity_report(docs.where("false"), labels).count() == 0
+
+
+def test_copies_are_one_training_row(spark):
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(ids[0], "copied badword")] * 3000 + [(i, "copied badword") for i in ids[1:400]]
+    rows += [(i, f"vilething text {i}") for i in ids[400:430]] + [(i, f"fine text {i}") for i in ids[430:600]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k < 430)) for k, i in enumerate(ids[:600])], "doc_id long, toxic int")
+    train = toxicity.training_rows(docs, labels)
+    got = train.collect()
+    assert len(got) == len({r.text for r in got}) == 201 and sum(r.toxic for r in got) == 31
+    assert toxicity.training_rows(docs, labels, 50).count() == 50
+    assert any(s.startswith("vile") for s in toxicity.learned_stems(train))
