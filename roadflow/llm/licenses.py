@@ -8,6 +8,9 @@ document's whole text, its paragraphs (stretches between blank lines) and its li
 The known table is a parameter; it is a small list (``MOST_KNOWN`` entries at most, checked) and is sent to
 the tasks, so that documents are read once and only hits are shuffled.
 
+Also looked up are runs of a document's paragraphs, however the known text is cut into paragraphs: from each
+paragraph that begins as a known licence does, as far as one is long, if a paragraph ends there.
+
 Defined results: a null text has no units; a unit whose canonical form is empty is no licence; of two known
 entries with one canonical form the first by name counts; repeated rows are scanned alike.
 """
@@ -15,6 +18,7 @@ entries with one canonical form the first by name counts; repeated rows are scan
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +42,10 @@ SPELLINGS = (
     ("non commercial", "noncommercial"),
     ("v([0-9])", "version $1"),
 )
-COPYRIGHT = r"^\s*(?:copyright\b|\(c\)|©|all rights reserved)"
+#: A statement of copyright: with a year, a sign or a holder. Prose that a line break cut before "copyright
+#: notice", and list items "(c) You must", are none.
+_PROSE = r"(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|status|interests?|protection|disclaimers?|treat(?:y|ies)|rights?|permissions?|permitted|is|are|was|as|and|or|of|in|on|to|for|that|which|this|may|shall|doctrines?)\b"
+COPYRIGHT = rf"^\s*(?:copyright\b(?!\s*[.,;:/)]*\s*(?:$|{_PROSE}))|\(c\)\s*(?:copyright\b|©|[0-9]{{4}}|<year>)|©|all rights reserved)"
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -60,6 +67,28 @@ This program is distributed in the hope that it will be useful, but WITHOUT ANY
 You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""
 _MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
 
+_ZERO_BSD = _ISC.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")
+_BSD_3 = (
+    (Path(__file__).parent / "known" / "BSD-3-Clause.txt").read_text()
+    .replace("the name of the University nor the names of its contributors", "the name of the copyright holder nor the names of its contributors")
+    .replace("THE REGENTS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS")
+    .replace("THE REGENTS OR CONTRIBUTORS", "THE COPYRIGHT HOLDER OR CONTRIBUTORS")
+)
+_BSD_2 = _BSD_3[: _BSD_3.index("3. Neither")] + _BSD_3[_BSD_3.index("THIS SOFTWARE IS PROVIDED") :]
+
+
+def _full_texts() -> tuple[tuple[str, str], ...]:
+    """(license, text) of the files in the folder ``known``, with and without the title before the text."""
+    out = []
+    for file in sorted((Path(__file__).parent / "known").glob("*.txt")):
+        text = file.read_text()
+        out.append((file.stem, text))
+        title, _, body = text.strip().partition("\n\n")
+        if body.strip() and len(title) < 200 and file.stem != "BSD-3-Clause":
+            out.append((file.stem, body))
+    return tuple(out)
+
+
 #: Public licence texts and notices by SPDX identifier.
 KNOWN = (
     ("Apache-2.0", _APACHE),
@@ -78,6 +107,17 @@ KNOWN = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MPL-2.0", _MPL),
+    ("0BSD", _ZERO_BSD),
+    ("BSD-2-Clause", _BSD_2),
+    ("BSD-2-Clause", f"BSD 2-Clause License\n\n{_BSD_2}"),
+    ("BSD-3-Clause", _BSD_3),
+    ("BSD-3-Clause", f"BSD 3-Clause License\n\n{_BSD_3}"),
+    ("ISC", f"ISC License\n\n{_ISC}"),
+    ("ISC", f"The ISC License\n\n{_ISC}"),
+    ("MIT", f"MIT License\n\n{_MIT}"),
+    ("MIT", f"The MIT License\n\n{_MIT}"),
+    ("MIT", f"The MIT License (MIT)\n\n{_MIT}"),
+    *_full_texts(),
 )
 
 
@@ -107,19 +147,51 @@ def units(paragraphs: Column) -> Column:
     )
 
 
-def known_table(spark, known=KNOWN) -> DataFrame:
-    """(digest, license) of the known licences, from (license, text)."""
+def runs(paragraphs: Column, heads: list[str], sizes: list[int]) -> Column:
+    """array<struct<kind, at, canonical>>: runs of non-empty canonical paragraphs (a column) that begin with one of
+    ``heads`` (of equal length) and have one of ``sizes`` code points."""
+    head, most = len(heads[0]), max(sizes)
+    start = lambda x, i: F.substring(F.array_join(F.slice(paragraphs, i + 1, head), " "), F.lit(1), F.lit(head)).isin(heads)
+    starts = F.filter(F.transform(paragraphs, lambda x, i: F.when(start(x, i), i)), lambda i: i.isNotNull())
+
+    def of(i: Column) -> Column:
+        some = F.slice(paragraphs, i + 1, F.lit(most))
+        add = lambda acc, p: F.struct(
+            (acc["at"] + 1 + F.length(p)).alias("at"),
+            F.when((acc["at"] + 1 + F.length(p)).isin(sizes), F.concat(acc["out"], F.array(acc["at"] + 1 + F.length(p)))).otherwise(acc["out"]).alias("out"),
+        )
+        zero = F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("out"))
+        ends = F.aggregate(some, zero, add, lambda acc: acc["out"])
+        return F.transform(ends, lambda n: F.struct(F.lit("run").alias("kind"), i.cast("int").alias("at"), F.substring(F.array_join(some, " "), F.lit(1), n).alias("canonical")))
+
+    return F.flatten(F.transform(starts, of))
+
+
+def _canonical_known(spark, known) -> DataFrame:
+    """(license, c) of the known licences, from (license, text); c is the canonical form."""
     if len(known) > MOST_KNOWN:
         raise ValueError(f"{len(known)} known licences; the lookup table holds {MOST_KNOWN}")
     texts = spark.createDataFrame(list(known), "license string, text string")
     whole = F.filter(units(F.col("p")), lambda u: u["kind"] == "text")[0]["canonical"]
-    return texts.select("license", canonical_paragraphs(F.col("text")).alias("p")).select("license", whole.alias("c")).where("c <> ''").groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
+    return texts.select("license", canonical_paragraphs(F.col("text")).alias("p")).select("license", whole.alias("c")).where("c <> ''")
+
+
+def known_table(spark, known=KNOWN) -> DataFrame:
+    """(digest, license) of the known licences, from (license, text)."""
+    return _canonical_known(spark, known).groupBy(F.sha2("c", 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
 def find_licenses(documents: DataFrame, known=KNOWN) -> DataFrame:
     """(key, kind, at, license): every unit of a document that is a known licence, by the key of its row."""
     rows = documents.select(row_key("doc_id", text_or_empty()).alias("key"), canonical_paragraphs(text_or_empty()).alias("p"))
-    rows = rows.select("key", F.inline(units(F.col("p"))))
+    forms = [r.c for r in _canonical_known(documents.sparkSession, known).select("c").collect()]  # MOST_KNOWN at most
+    every = units(F.col("p"))
+    if forms:
+        joined = F.filter(F.transform("p", lambda p: F.array_join(p, " ")), lambda x: x != "")
+        head = min(16, *map(len, forms))
+        rows = rows.withColumn("joined", joined)
+        every = F.concat(every, runs(F.col("joined"), sorted({c[:head] for c in forms}), sorted({len(c) for c in forms})))
+    rows = rows.select("key", F.inline(every))
     digests = rows.where("canonical <> ''").select("key", "kind", "at", F.sha2("canonical", 256).alias("digest"))
     return digests.join(F.broadcast(known_table(documents.sparkSession, known)), "digest").select("key", "kind", "at", "license")
 

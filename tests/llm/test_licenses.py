@@ -1,5 +1,7 @@
 """Canonical forms and lookups of whole texts, paragraphs and lines."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -38,6 +40,19 @@ def test_own_table_multi_line_paragraph_and_its_bound(spark):
         licenses.known_table(spark, [("x", "y")] * (licenses.MOST_KNOWN + 1))
 
 
+def test_whole_files_runs_and_wrapped_lines(spark):
+    full = {name: (Path(licenses.__file__).parent / "known" / f"{name}.txt").read_text() for name in ("Apache-2.0", "GPL-3.0-only", "LGPL-2.1-only", "MPL-2.0", "BSD-3-Clause")}
+    isc = next(t for n, t in licenses.KNOWN if n == "ISC")
+    holder = "Copyright (c) 2020 Somebody"
+    wrapped = f"{holder}\n\n" + isc.replace("copyright notice", "\ncopyright notice")
+    mit = f"MIT License\n\n{holder}\n\n{MIT}"
+    inside = f"README\n\nsome words\n\n{mit}\n\nmore words"
+    got = report(spark, [mit, wrapped, inside, *full.values(), MIT.replace("\n\n", "\n") + "\n\nend", "x\n\n" + MIT[:-1] + " and more", full["Apache-2.0"].replace("(c) You must", "(c) You need not")])
+    assert got[0][0] == "MIT" and got[1][0] == "ISC" and got[2] == (None, 0, "MIT")
+    assert [got[3 + i][0] for i in range(5)] == list(full)
+    assert got[8] == (None, 0, "MIT") and got[9] == (None, 0, "") and got[10][0] is None
+
+
 def test_repeated_rows_nulls_empty(spark):
     docs = spark.createDataFrame([(None, "Released under the MIT License.")] * 3, "doc_id long, text string")
     assert [tuple(r) for r in licenses.license_report(docs).collect()] == [(None, "MIT", 1, "MIT")] * 3
