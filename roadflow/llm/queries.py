@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm import contamination, licenses, mixing, ngram_lm, order_minhash, pii, recompression, simhash, toxicity, warc
+from roadflow.llm import alignment, contamination, licenses, mixing, ngram_lm, order_minhash, pii, recompression, simhash, toxicity, warc, whitening
 from roadflow.llm.common import table
 
 
@@ -77,6 +77,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens of two tokenizers, weighed by how many documents hold them."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings on their leading principal components, each of variance one."""
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline."""
     import corpus_pipeline
@@ -97,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_stupid_backoff,
         op10_warc,
+        op12_cross_tokenizer_alignment,
+        op13_embedding_whitening,
         pipeline,
     )
 }

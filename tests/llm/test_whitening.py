@@ -1,0 +1,99 @@
+"""Whitening: exact integers, eigenvectors and whitened covariance against numpy and plain Python."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from roadflow.llm import whitening
+
+
+def brute(vectors):
+    """n, S and the rounded covariance of the distinct x vectors, by fractions."""
+    xs = {tuple(math.floor(64 * float(c)) + 1000000 for c in v) for v in vectors}
+    n, d = len(xs), len(next(iter(xs)))
+    s = [sum(x[i] for x in xs) for i in range(d)]
+    v = [[float(sum((x[i] - Fraction(s[i], n)) * (x[j] - Fraction(s[j], n)) for x in xs) / n) for j in range(d)] for i in range(d)]
+    return n, s, np.array(v)
+
+
+def test_eigenvectors_of_hard_matrices():
+    rng = np.random.default_rng(3)
+    q, _ = np.linalg.qr(rng.standard_normal((40, 40)))
+    spectra = [
+        np.linspace(5, 1, 40),
+        np.repeat([7.0, 3.0, 1.0, 0.5], 10),  # clusters of ten
+        np.r_[1.0, 1 - 1e-9, 1 - 2e-9, np.full(37, 1e-3)],
+        np.r_[4.0, np.zeros(39)],
+    ]
+    cases = [q @ np.diag(s) @ q.T for s in spectra] + [np.diag(np.linspace(0, 3, 40)), np.diag(np.full(40, 2.0))]
+    cases += [np.array([[2.0]]), np.array([[2.0, 1.0], [1.0, 2.0]]), np.array([[1.0, 0, 0], [0, 3, 0], [0, 0, 2]])]
+    for m in cases:
+        m = (m + m.T) / 2
+        k = min(16, len(m))
+        values, vectors = whitening.leading_components(m, k)
+        scale = np.abs(m).max()
+        assert np.allclose(values, np.linalg.eigvalsh(m)[::-1][:k], atol=1e-13 * scale * len(m))
+        assert np.abs(m @ vectors - vectors * values).max() < 1e-12 * scale
+        assert np.abs(vectors.T @ vectors - np.eye(k)).max() < 1e-12
+
+
+def test_products_are_exact_for_large_entries():
+    y = np.array([[2**40, -(2**39) + 1], [3, 2**40 - 1]], dtype=np.int64)
+    got = whitening.exact_products(y)
+    assert got.tolist() == [[2**80 + 9, 2**40 * (1 - 2**39) + 3 * (2**40 - 1)], [2**40 * (1 - 2**39) + 3 * (2**40 - 1), (2**39 - 1) ** 2 + (2**40 - 1) ** 2]]
+
+
+def check(spark, vectors, df):
+    n, s, v = brute(vectors)
+    values, axes = np.linalg.eigh(v)
+    values, axes = values[::-1], axes[:, ::-1]
+    k = int((values[:16] > 1e-12 * np.trace(v)).sum())
+    got = {(r.vec_id, r.component): r for r in whitening.whitening_report(df).collect()}
+    assert len(got) == len(vectors) * k
+    for (vec_id, component), r in got.items():
+        x = [math.floor(64 * float(c)) + 1000000 for c in vectors[vec_id]]
+        assert r.n == n and r.deviation == sum((n * a - b) ** 2 for a, b in zip(x, s, strict=True))
+        assert r.explained == pytest.approx(values[component - 1] / np.trace(v), rel=1e-9)
+        assert r.identity_error < 1e-9
+        z = float((np.array([float(a - Fraction(b, n)) for a, b in zip(x, s, strict=True)]) @ axes[:, component - 1]) / math.sqrt(values[component - 1]))
+        assert abs(r.whitened) == pytest.approx(abs(z), abs=1e-7)
+    for c in range(1, k + 1):  # one sign for all rows
+        signs = {vec_id: got[vec_id, c].whitened for vec_id in range(len(vectors))}
+        x = np.array([[math.floor(64 * float(a)) for a in w] for w in vectors], dtype=float)
+        z = (x - (np.array([float(Fraction(t, n)) for t in s]) - 1000000)) @ axes[:, c - 1]
+        assert len({np.sign(signs[i]) * np.sign(z[i]) for i in signs if abs(z[i]) > 1e-6}) == 1
+
+
+def test_report_against_brute_force(spark):
+    rng = random.Random(11)
+    vectors = [[rng.gauss(0, 1 / (1 + i)) for i in range(20)] for _ in range(150)]
+    vectors += [vectors[0]] * 60 + [[c + 1e-6 for c in vectors[1]]]  # copies weigh nothing
+    df = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>").repartition(5)
+    check(spark, vectors, df)
+    few = vectors[:5]  # fewer vectors than dimensions: four components
+    check(spark, few, spark.createDataFrame(list(enumerate(few)), "vec_id long, embedding array<double>"))
+
+
+def test_nulls_lengths_and_clashing_columns(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (2, [0.0, 5.0]), (None, [3.0, -1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0])]
+    dropped = [(7, None), (8, []), (9, [1.0, None]), (10, [nan, 1.0]), (11, [1.0, -inf]), (12, [1e300, 0.0]), (13, [1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows + dropped, "vec_id long, embedding array<double>")
+    for name in ("x", "n", "whitened", "component", "deviation", "id"):
+        df = df.withColumn(name, F.lit("taken"))
+    got = whitening.whitening_report(df).collect()
+    assert sorted((r.vec_id or 0, r.component) for r in got) == sorted((i or 0, c) for i, _ in rows for c in (1, 2))
+    assert {r.n for r in got} == {3}
+    copies = {(r.component, r.whitened) for r in got if r.vec_id == 1}
+    assert len(copies) == 2
+
+
+def test_tables_without_components(spark):
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        got = whitening.whitening_report(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        assert got.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+        assert got.count() == 0
