@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -40,6 +41,11 @@ from roadflow.llm.common import stored
 
 TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
+#: How a byte-level vocabulary of this kind splits text before it merges (fixed).
+A_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The rank encoder's pattern overflows on longer runs of white space: their texts go to the vocabulary's own library.
+BLANKS = 50_000
+LONG_BLANK = re.compile(rf"\s{{{BLANKS}}}")
 #: Groups with more links than this have their repeated ids put together before they are paired.
 WIDE = 4096
 #: A pair's number: the A id's low byte (the radix), its high bits, the B id.
@@ -84,6 +90,7 @@ def sides(folder: str) -> tuple[Side, Side]:
     """Both tokenizers, read once a worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import sentencepiece
+    import tiktoken
     from tokenizers import Tokenizer
 
     byte_level = Tokenizer.from_file(f"{folder}/{A_FILE}")
@@ -92,10 +99,20 @@ def sides(folder: str) -> tuple[Side, Side]:
     entries = [""] * byte_level.get_vocab_size()
     for entry, i in byte_level.get_vocab().items():
         entries[i] = entry
-    a = Side.of(
-        lambda texts: [e.ids for e in byte_level.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)],
-        [bytes(alphabet.get(c, 0) for c in entry) for entry in entries],
+    known = [bytes(alphabet.get(c, 0) for c in entry) for entry in entries]
+    special = {i for i, token in byte_level.get_added_tokens_decoder().items() if token.special}
+    # the same vocabulary as ranks, which is its order of merging, in an encoder that takes a third of the time
+    ranked = tiktoken.Encoding(
+        A_FILE, pat_str=A_PATTERN, mergeable_ranks={p: i for i, p in enumerate(known) if i not in special}, special_tokens={}
     )
+
+    def encode_a(texts: list[str]) -> list[list[int]]:
+        return [
+            byte_level.encode(" " + t, add_special_tokens=False).ids if len(t) >= BLANKS and LONG_BLANK.search(t) else ranked.encode_ordinary(" " + t)
+            for t in texts
+        ]
+
+    a = Side.of(encode_a, known)
     model = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{B_FILE}")
     b = Side.of(
         lambda texts: model.encode(texts, num_threads=1),
@@ -149,8 +166,9 @@ def encode(texts: list[str | None], a: Side, b: Side) -> Encoded:
                 continue
             a_ids, b_ids = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
             a_ends, b_ends = np.cumsum(a.sizes[a_ids]), np.cumsum(b.sizes[b_ids])
-            # no token is empty, so ends rise strictly and both lists end at the text's
-            _, a_last, b_last = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+            at_b = np.searchsorted(b_ends, a_ends)  # ends rise strictly, and both lists end at the text's end
+            common = b_ends[at_b] == a_ends
+            a_last, b_last = np.flatnonzero(common), at_b[common]
             a_lists.append(a_ids)
             b_lists.append(b_ids)
             a_firsts.append(np.append(0, a_last[:-1] + 1) + a_at)

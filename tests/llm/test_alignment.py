@@ -136,6 +136,19 @@ def test_wide_groups_are_paired_by_distinct_ids(monkeypatch):
     assert want[3].sum() == 3 * 3 + 1
 
 
+def test_rank_encoder_is_the_vocabulary():
+    """Every Unicode plane's blocks in several contexts, random bytes of text, and runs of blanks beyond the limit."""
+    library = Tokenizer.from_file(f"{alignment.TOKENIZERS}/byte_bpe_50k.json")
+    library.encode_special_tokens = True
+    a, _ = alignment.sides(alignment.TOKENIZERS)
+    points = [c for c in (*range(0, 0x3100), *range(0x3100, 0x110000, 257)) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)}  {chr(c)}\n" for c in points[at : at + 64]) for at in range(0, len(points), 64)]
+    rng = random.Random(2)
+    texts += ["".join(rng.choice("ab'st  \n\t1é漢🙂_-.") for _ in range(300)) for _ in range(200)]
+    texts += [" " * n + "x" for n in (alignment.BLANKS - 1, alignment.BLANKS, 1_000_000)]
+    assert a.encode(texts) == [e.ids for e in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
 def test_packing_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 7, 1000):
