@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm import alignment, contamination, licenses, mixing, ngram_lm, order_minhash, pii, recompression, simhash, toxicity, warc, whitening
+from roadflow.llm import alignment, contamination, licenses, line_quality, mixing, ngram_lm, order_minhash, pii, recompression, simhash, toxicity, warc, whitening
 from roadflow.llm.common import table
 
 
@@ -77,6 +77,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the labels a random field gives its lines."""
+    return line_quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the tokens of two tokenizers, weighed by how many documents hold them."""
     return alignment.align(table(spark, sf_dir, "documents"))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_stupid_backoff,
         op10_warc,
+        op11_line_quality,
         op12_cross_tokenizer_alignment,
         op13_embedding_whitening,
         pipeline,

@@ -1,0 +1,129 @@
+"""Line quality: the random field against enumeration of all labellings, features by hand, held-out accuracy."""
+
+import itertools
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from roadflow.llm import line_quality as lq
+from roadflow.llm.common import table
+
+
+def bins_of(text, name):
+    bins, *_ = lq.describe([text])
+    return bins[:, lq.FEATURES.index(name)].tolist()
+
+
+def bin_of(value):
+    return sum(edge < value for edge in lq.EDGES)
+
+
+def test_features_by_hand():
+    text = "Aa bb! Cc\n\n  \nWORLD WORLD 12 ?\nAa bb! Cc\nx"
+    assert bins_of(text, "letters") == [bin_of(x) for x in (6 / 9, 10 / 16, 6 / 9, 1)]
+    assert bins_of(text, "upper case letters") == [bin_of(x) for x in (2 / 6, 1, 2 / 6, 0)]
+    assert bins_of(text, "white space") == [bin_of(x) for x in (2 / 9, 3 / 16, 2 / 9, 0)]
+    assert bins_of(text, "length") == [bin_of(math.log2(1 + n) / 16) for n in (9, 16, 9, 1)]
+    assert bins_of(text, "words that end in a sign") == [bin_of(x) for x in (1 / 3, 1 / 4, 1 / 3, 0)]
+    assert bins_of(text, "words without letters") == [bin_of(x) for x in (0, 2 / 4, 0, 0)]
+    assert bins_of(text, "words seen before") == [bin_of(x) for x in (0, 1 / 4, 0, 0)]
+    assert bins_of(text, "words equal to the last") == [bin_of(x) for x in (0, 1 / 4, 0, 0)]
+    assert bins_of(text, "words in capitals") == [bin_of(x) for x in (0, 2 / 4, 0, 0)]
+    assert bins_of(text, "line seen before") == [bin_of(x) for x in (0, 0, 1, 0)]
+    assert bins_of(text, "sentence end") == [bin_of(x) for x in (0, 1, 0, 0)]
+    assert bins_of(text, "capital start") == [bin_of(x) for x in (1, 1, 1, 0)]
+    _, size, doc, number = lq.describe([text, None, "", " \n\t", "a\n\nb"])
+    assert doc.tolist() == [0, 0, 0, 0, 1, 2, 3, 4, 4] and number.tolist() == [0, 3, 4, 5, 0, 0, 0, 0, 2]
+    assert size.tolist() == [9, 16, 9, 1, 1, 1, 1, 1, 1]
+
+
+def test_batches_do_not_change_a_document():
+    texts = ["One line here.\nTWO!! LINES!!", "", "x x x x\nx x x x", "漢字 かな\n$$$ ***"]
+    together = lq.describe(texts)
+    at = 0
+    for text in texts:
+        bins, size, *_ = lq.describe([text])
+        assert (together[0][at : at + len(bins)] == bins).all() and (together[1][at : at + len(bins)] == size).all()
+        at += len(bins)
+
+
+def test_forward_backward_is_the_sum_over_all_labellings():
+    rng = np.random.default_rng(5)
+    doc = np.repeat([0, 1, 2, 3], [1, 4, 6, 2])
+    score, steps = rng.normal(0, 3, len(doc)), rng.normal(0, 2, (2, 2))
+    both, pairs, total = lq.marginals(score, steps, doc)
+    for d in range(4):
+        rows = np.flatnonzero(doc == d)
+        z, good, joint = 0.0, np.zeros(len(rows)), np.zeros((len(rows), 2, 2))
+        for labels in itertools.product((0, 1), repeat=len(rows)):
+            w = math.exp(sum(score[r] / 2 * (1 - 2 * y) for r, y in zip(rows, labels, strict=True)) + sum(steps[a, b] for a, b in itertools.pairwise(labels)))
+            z += w
+            for i, y in enumerate(labels):
+                good[i] += w * (y == 0)
+                if i + 1 < len(labels):
+                    joint[i, y, labels[i + 1]] += w
+        assert total[d] == pytest.approx(math.log(z))
+        assert both[rows, 0] == pytest.approx(good / z)
+        assert pairs[rows] == pytest.approx(joint / z)
+
+
+def test_gradient_is_the_slope():
+    texts = ["Good line.\nAnother good one.", "BAD!! BAD!!\n$$ && $$\nGood line.", "a | b | c", "Fine text here.\nx x x x x"]
+    bins, _, doc, _ = lq.describe(texts)
+    good, weight = np.array([True, False, False, True]), np.array([1.0, 0.5, 1.0, 0.25])
+    rng = np.random.default_rng(6)
+    at = rng.normal(0, 0.3, 3 * len(lq.FEATURES) * lq.BINS + 4)
+    _, slope = lq.loss_and_slope(at, bins, doc, good, weight)
+    for i in [*rng.integers(0, len(at) - 4, 40), *range(len(at) - 4, len(at))]:
+        e = np.zeros_like(at)
+        e[i] = 1e-5
+        higher, lower = (lq.loss_and_slope(at + s * e, bins, doc, good, weight)[0] for s in (1, -1))
+        assert slope[i] == pytest.approx((higher - lower) / 2e-5, abs=1e-6)
+
+
+def test_descent_finds_the_least_value():
+    target = np.array([1.0, -2.0, 3.0])
+    found = lq.minimised(lambda x: (float(((x - target) ** 2 * [1, 10, 100]).sum()), 2 * (x - target) * [1, 10, 100]), np.zeros(3))
+    assert found == pytest.approx(target, abs=1e-2)
+
+
+def test_held_out_labels_are_predicted_and_never_learned(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    got = {r.doc_id: r for r in lq.quality_report(docs, labels).collect()}
+    assert len(got) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) and r.predicted == (r.score >= 0.7) and 0 <= r.score <= 1 for i, r in got.items())
+    held = [(r.quality, got[r.doc_id].predicted) for r in labels.collect() if r.doc_id in got and got[r.doc_id].held_out]
+    assert len(held) > 50 and np.mean([a == b for a, b in held]) >= 0.97
+    other = labels.withColumn("quality", F.when(lq.held_out("doc_id"), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = {r.doc_id: r.score for r in lq.quality_report(docs.withColumn("lang", F.lit("?")), other).collect()}
+    assert again == {i: r.score for i, r in got.items()}
+
+
+def test_one_bad_passage_lowers_its_lines_only(spark):
+    docs, labels = (table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    model = lq.train(docs, labels)
+    good = "The and that of thing. It was on the hand.\n"
+    text = good * 6 + "ZZZ!! QQQ!! ZZZ!! QQQ!! WWW!! ZZZ!!\n" * 3 + good * 6
+    lines = lq.line_quality(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).orderBy("line").collect()
+    assert [r.line for r in lines] == list(range(15)) and [r.length for r in lines][:1] == [len(good) - 1]
+    assert min(r.good for r in lines[:5] + lines[10:]) > 0.5 > max(r.good for r in lines[6:9])
+
+
+def test_nulls_copies_clashing_columns_and_empty_tables(spark):
+    rows = [(1, "Some words here."), (1, "Some words here."), (2, None), (3, ""), (None, "A | b | c"), (4, "x " * 200_000 + "\n" * 3000 + "end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("score", "predicted", "held_out", "id", "key", "good", "quality"):
+        docs = docs.withColumn(name, F.lit("taken"))
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None), (1, 1), (4, 0)], "doc_id long, quality int")
+    got = lq.quality_report(docs, labels).collect()
+    assert sorted((r.doc_id or 0) for r in got) == [0, 1, 1, 2, 3, 4]
+    assert len({r.score for r in got if r.doc_id == 1}) == 1 and len({r.score for r in got if r.doc_id in (2, 3)}) == 1
+    assert not any(r.held_out for r in got if r.doc_id is None)
+    none = spark.createDataFrame([], labels.schema)
+    assert {r.score for r in lq.quality_report(docs, none).collect()} == {0.5}
+    assert lq.quality_report(docs.limit(0), labels).collect() == []
+    same = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
+    assert all(0 <= r.score <= 1 for r in lq.quality_report(docs, same).collect())
