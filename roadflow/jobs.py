@@ -106,15 +106,14 @@ def track_job(spark, flow, requests, out, district=None, road=None, run_date=Non
 
 
 def live_job(parsed: DataFrame, out, trigger=None, show: bool = False, **live_options) -> dict:
-    """The live queries, documents and rejects over a parsed flow stream. Totals and provinces count every line
-    with a plate."""
-    from roadflow.streaming import live, sources as streams
+    """The live query with its documents, and the rejects, over a parsed flow stream. Totals and provinces count every
+    line with a plate."""
+    from roadflow.streaming import live, live_job, sources as streams
 
-    flow = streams.accepted(parsed)
-    queries = live.start_live(flow, out, trigger=trigger, counted=streams.with_plate(parsed), **live_options)
+    queries = {"live": live_job.start_live(streams.with_plate(parsed), out, trigger=trigger, **live_options)}
     queries["rejects"] = streams.start_reject_sink(parsed, f"{out}/rejects/flow", f"{out}/_checkpoints/rejects", trigger)
     if show:
-        queries["console"] = live.start_console(live.window_speed_stream(flow), trigger=trigger)
+        queries["console"] = live.start_console(live.window_speed_stream(streams.accepted(parsed)), trigger=trigger)
     return queries
 
 
@@ -171,10 +170,9 @@ def main(argv: list[str] | None = None) -> None:
         tx.ingest_flow_tsv(spark, a.flow_tsv, f"{a.out}/flow", f"{a.out}/flow_rejects")
         return
     if a.job == "compact-live":
-        from roadflow.streaming import live
+        from roadflow.streaming import live_job as one
 
-        live.compact(spark, f"{a.out}/window_speed", live.SPEED_KEYS, remove=True)
-        live.compact(spark, f"{a.out}/provinces", ["prefix"], remove=True)
+        one.compact_closed(spark, a.out, remove=True)
         return
     if a.job in ("live", "alerts", "track-requests"):
         from roadflow.streaming import live, sources as streams

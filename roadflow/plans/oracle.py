@@ -347,6 +347,7 @@ from flow_events
 BODIES["stream_provinces"] = BODIES["province_counts"].replace("from flow group by", "from flow_events group by")
 
 BODIES["stream_event_window"] = BODIES["stream_window_speed"]
+BODIES["stream_live_windows"] = BODIES["stream_window_speed"]
 
 BODIES["stream_alerts"] = """
 select create_date as create_time, plate, block_id as blockid, action_time as time, road_id as roadid,

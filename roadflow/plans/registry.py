@@ -181,7 +181,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from roadflow.plans.params import STREAM_LOCAL_PREFIX, WINDOW_SIZE_H, WINDOW_SLIDE_H  # noqa: E402
 from roadflow.session import scratch_path  # noqa: E402
-from roadflow.streaming import live  # noqa: E402
+from roadflow.streaming import live, live_job  # noqa: E402
 from roadflow.streaming import sources as streams  # noqa: E402
 
 SIZE, SLIDE = f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours"
@@ -346,18 +346,18 @@ def q_stream_speed_rank(spark, sf):
 
 
 def _live(spark, sf) -> str:
-    """All three live queries started together on one source (T5), over several batches."""
+    """The live job (T5) over several batches, restarted from its checkpoint."""
     out = scratch_path(spark, "live")
     _in_parts(
         spark, sf, True,
-        lambda flow: live.start_live(flow, out, SIZE, SLIDE, "1 hour", STREAM_LOCAL_PREFIX, {"availableNow": True}, run_date=RUN_DATE).values(),
+        lambda flow: [live_job.start_live(flow, out, SIZE, SLIDE, "1 day", STREAM_LOCAL_PREFIX, {"availableNow": True}, run_date=RUN_DATE)],
     )
     return out
 
 
 @register("stream_live_snapshot")
 def q_stream_live_snapshot(spark, sf):
-    snap = live.read_live(spark, _live(spark, sf), RUN_DATE)["snapshot"]
+    snap = live_job.read_live(spark, _live(spark, sf), SIZE, SLIDE, RUN_DATE)["snapshot"]
     path = scratch_path(spark, "live-snapshot")
     sinks.snapshot_json(snap, path)
     return sinks.read_snapshot(spark, path, snap.schema)
@@ -365,22 +365,28 @@ def q_stream_live_snapshot(spark, sf):
 
 @register("stream_live_web")
 def q_stream_live_web(spark, sf):
-    """K3: the web document that the live job rewrites after each batch."""
+    """K3: the web document of the newest batch."""
     schema = "create_date date, currentAutoCount bigint, currentInboundAuto bigint, speedRank string"
-    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/live_web", schema)
+    return live_job.read_document(spark, _live(spark, sf), "live_web", schema)
 
 
 @register("stream_live_chart")
 def q_stream_live_chart(spark, sf):
-    """K3: the chart document that the live job rewrites after each batch."""
+    """K3: the chart document of the newest batch."""
     schema = "create_date date, currenAutoCount bigint, currentInboundAuto bigint, blockRank string, speedRank string"
-    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/live_chart", schema)
+    return live_job.read_document(spark, _live(spark, sf), "live_chart", schema)
 
 
 @register("stream_province_snapshot")
 def q_stream_province_snapshot(spark, sf):
-    """K3: the province document that the live job rewrites after each batch."""
-    return sinks.read_snapshot(spark, f"{_live(spark, sf)}/snapshots/province", "provinceList string, provinceCount string")
+    """K3: the province document of the newest batch."""
+    return live_job.read_document(spark, _live(spark, sf), "province", "provinceList string, provinceCount string")
+
+
+@register("stream_live_windows")
+def q_stream_live_windows(spark, sf):
+    """All window means of the live job, put together from closed and open panes."""
+    return live_job.read_live(spark, _live(spark, sf), SIZE, SLIDE)["window_speed"]
 
 
 @register("tsv_ingest")

@@ -102,7 +102,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
@@ -124,3 +123,26 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all it holds."""
     fs, at = _file_system(spark, path)
     fs.delete(at, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete or not there at all: written beside its place and moved into it."""
+    fs, at = _file_system(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{at.getName()}.{uuid.uuid4().hex[:8]}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(at):
+        fs.delete(at, False)
+    if not fs.rename(beside, at):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole of a small file."""
+    fs, at = _file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readNBytes(fs.getFileStatus(at).getLen())).decode()
+    finally:
+        stream.close()

@@ -11,7 +11,6 @@ arrives long after its time still counts in its window.
 
 from __future__ import annotations
 
-import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import functions as F
 from roadflow.operators import province as prov
 from roadflow.operators.track import vehicle_track, vehicle_track_named
 from roadflow.session import list_names, path_exists, remove_path
-from roadflow.sinks.tables import snapshot_json, write_json_lines
+from roadflow.sinks.tables import write_json_lines
 from roadflow.streaming.sources import event_time
 
 # Reference defaults (T1 T2): 10 s batches, 20 s windows sliding by 10 s; 5 s batches for alerts.
@@ -82,8 +81,8 @@ def read_event_windows(spark: SparkSession, out_path: str) -> DataFrame:
     return sums.select(*SPEED_KEYS, F.expr("speed_sum div speed_count").alias("avg_speed"), "sightings")
 
 
-def _added_up(partials: DataFrame) -> DataFrame:
-    return partials.groupBy(*SPEED_KEYS).agg(*[F.sum(c).alias(c) for c in ("speed_sum", "speed_count", "sightings")])
+def _added_up(partials: DataFrame, keys: list[str] = SPEED_KEYS) -> DataFrame:
+    return partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("speed_sum", "speed_count", "sightings")])
 
 
 def totals_stream(flow: DataFrame, local_prefix: str = "黑A") -> DataFrame:
@@ -175,20 +174,21 @@ def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS"))
 
 
-def current_rows(spark: SparkSession, out_path: str) -> DataFrame:
+def current_rows(spark: SparkSession, out_path: str, upto: int | None = None) -> DataFrame | None:
     """All rows of a per-batch output with their ``batch_id``: the newest compacted table, if there is one, and
-    the batches written since."""
+    the batches written completely since (to batch ``upto`` if given). None if there is nothing."""
     base = out_path.rstrip("/")
     folded = _numbers(spark, f"{base}/{COMPACT}", "upto")
-    batches = _numbers(spark, base, "batch_id")
-    if not folded:
-        return spark.read.parquet(base)
-    old = spark.read.parquet(f"{base}/{COMPACT}/upto={folded[-1]}")
-    newer = [f"{base}/batch_id={n}" for n in batches if n > folded[-1]]
-    if not newer:
-        return old
-    new = spark.read.option("basePath", base).parquet(*newer)
-    return old.unionByName(new.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    newer = [n for n in _numbers(spark, base, "batch_id") if (not folded or n > folded[-1]) and (upto is None or n <= upto)]
+    parts = []
+    if folded:
+        parts.append(spark.read.parquet(f"{base}/{COMPACT}/upto={folded[-1]}"))
+    if newer:
+        rows = spark.read.option("basePath", base).parquet(*[f"{base}/batch_id={n}" for n in newer])
+        parts.append(rows.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _latest(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -203,27 +203,38 @@ def latest_rows(spark: SparkSession, out_path: str, keys: list[str]) -> DataFram
     base = out_path.rstrip("/")
     if not keys:
         return spark.read.parquet(f"{base}/batch_id={_numbers(spark, base, 'batch_id')[-1]}")
-    return _latest(current_rows(spark, base), keys).drop("batch_id")
+    rows = current_rows(spark, base)
+    if rows is None:
+        raise FileNotFoundError(f"no complete batch below this path: {base}")
+    return _latest(rows, keys).drop("batch_id")
 
 
-def compact(spark: SparkSession, out_path: str, keys: list[str] | None, remove: bool = False) -> int:
-    """Fold the batches written since the last compaction into a new table beside them: the latest row per key,
-    or, with ``keys=None``, window partials added up. Only the last compacted table and newer batches are read,
-    readers (``current_rows``) take the newest complete table plus the batches after it, and ``remove`` deletes
-    what it replaces. Returns the number of batches folded; run it from one place at a time."""
+def compact(
+    spark: SparkSession,
+    out_path: str,
+    keys: list[str] | None,
+    remove: bool = False,
+    sum_keys: list[str] = SPEED_KEYS,
+    upto: int | None = None,
+) -> int:
+    """Fold the batches written since the last compaction (to batch ``upto`` if given) into a new table beside
+    them: the latest row per key, or, with ``keys=None``, partial sums added up per ``sum_keys``. Only the last
+    compacted table and newer batches are read, readers (``current_rows``) take the newest complete table plus the
+    batches after it, and ``remove`` deletes what it replaces. Returns the number of batches folded; run it from one
+    place at a time."""
     base = out_path.rstrip("/")
-    folded, batches = _numbers(spark, f"{base}/{COMPACT}", "upto"), _numbers(spark, base, "batch_id")
+    folded = _numbers(spark, f"{base}/{COMPACT}", "upto")
+    batches = [n for n in _numbers(spark, base, "batch_id") if upto is None or n <= upto]
     fresh = [n for n in batches if not folded or n > folded[-1]]
     if not fresh:
         return 0
-    rows = current_rows(spark, base)
-    rows = rows.withColumn("batch_id", F.col("batch_id").cast("bigint")).where(F.col("batch_id") <= fresh[-1])
-    whole = _latest(rows, keys) if keys is not None else _added_up(rows).withColumn("batch_id", F.lit(fresh[-1]).cast("bigint"))
+    rows = current_rows(spark, base, fresh[-1])
+    last = F.lit(fresh[-1]).cast("bigint")
+    whole = _latest(rows, keys) if keys is not None else _added_up(rows, sum_keys).withColumn("batch_id", last)
     whole.hint("rebalance").write.mode("overwrite").parquet(f"{base}/{COMPACT}/upto={fresh[-1]}")
     if remove:
         for n in batches:
-            if n <= fresh[-1]:
-                remove_path(spark, f"{base}/batch_id={n}")
+            remove_path(spark, f"{base}/batch_id={n}")
         for n in folded:
             remove_path(spark, f"{base}/{COMPACT}/upto={n}")
     return len(fresh)
@@ -333,7 +344,7 @@ def speed_rank(window_speeds: DataFrame) -> DataFrame:
     )
 
 
-def _with_totals(totals: DataFrame, window_speeds: DataFrame, run_date: str | None) -> DataFrame:
+def totals_with_ranking(totals: DataFrame, window_speeds: DataFrame, run_date: str | None) -> DataFrame:
     """One row: run date, running totals, and the ranking of the latest window (``l``)."""
     ranks = speed_rank(latest_window(window_speeds))
     rd = F.current_date() if run_date is None else F.lit(run_date).cast("date")
@@ -348,73 +359,18 @@ def _with_totals(totals: DataFrame, window_speeds: DataFrame, run_date: str | No
 def live_snapshot(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
     """Live snapshot row: run date, running totals and the ranking of the latest window, which is picked
     before anything is ranked. ``totals`` has one row."""
-    row = _with_totals(totals, window_speeds, run_date)
+    row = totals_with_ranking(totals, window_speeds, run_date)
     return row.select("create_date", "currentAutoCount", "currentInboundAuto", "l.window_start", "l.blockRank", "l.speedRank")
 
 
-def live_web(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
-    """The web document: create_date, currentAutoCount, currentInboundAuto, speedRank = ``(block,mean)>(…)`` of
-    the latest window."""
-    row = _with_totals(totals, window_speeds, run_date)
-    return row.select("create_date", "currentAutoCount", "currentInboundAuto", F.col("l.speedList").alias("speedRank"))
+def web_columns() -> list:
+    """The web document's columns, from the row of ``totals_with_ranking``."""
+    return ["create_date", "currentAutoCount", "currentInboundAuto", F.col("l.speedList").alias("speedRank")]
 
 
-def live_chart(totals: DataFrame, window_speeds: DataFrame, run_date: str | None = None) -> DataFrame:
-    """The chart document; ``currenAutoCount`` is spelt as the chart reads it."""
-    row = _with_totals(totals, window_speeds, run_date)
-    return row.select("create_date", F.col("currentAutoCount").alias("currenAutoCount"), "currentInboundAuto", "l.blockRank", "l.speedRank")
-
-
-def start_live(
-    flow: DataFrame,
-    out_dir: str,
-    size: str = WINDOW,
-    slide: str = SLIDE,
-    watermark: str = "1 hour",
-    local_prefix: str = "黑A",
-    trigger: dict | None = None,
-    state_partitions: dict[str, int] | None = None,
-    time: str = "arrival_time",
-    counted: DataFrame | None = None,
-    run_date: str | None = None,
-) -> dict:
-    """The live speed-and-counts job: three queries over the same sighting stream, each with its own
-    checkpoint under ``out_dir``: window speeds (update, on arrival time by default), running totals
-    (complete) and province prefix counts (update). After each of their batches the documents below
-    ``out_dir/snapshots`` are written anew: ``live_web`` and ``live_chart`` from totals and speeds,
-    ``province`` from the prefix counts.
-
-    ``counted`` is the stream that totals and provinces count, if wider than ``flow``: every line with a plate,
-    also those whose time or speed does not parse. State widths are the session's unless ``state_partitions``
-    names others. Returns the started queries by name; read results with ``read_live``."""
-    base = out_dir.rstrip("/")
-    spark = flow.sparkSession
-    counted = flow if counted is None else counted
-    one_at_a_time = threading.Lock()  # two queries write the same documents
-
-    def documents() -> None:
-        with one_at_a_time:
-            if _numbers(spark, f"{base}/totals", "batch_id") and _numbers(spark, f"{base}/window_speed", "batch_id"):
-                got = read_live(spark, base, run_date)
-                snapshot_json(live_web(got["totals"], got["window_speed"], run_date), f"{base}/snapshots/live_web")
-                snapshot_json(live_chart(got["totals"], got["window_speed"], run_date), f"{base}/snapshots/live_chart")
-
-    def province_document() -> None:
-        counts = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
-        snapshot_json(prov.province_snapshot(counts), f"{base}/snapshots/province")
-
-    plans = {
-        "window_speed": (window_speed_stream(flow, size, slide, watermark, time), "update", documents),
-        "totals": (totals_stream(counted, local_prefix), "complete", documents),
-        "provinces": (province_prefix_stream(counted), "update", province_document),
-    }
-    parts = state_partitions or {}
-    return {
-        name: start_to_table(
-            s, f"{base}/{name}", f"{base}/_checkpoints/{name}", mode, trigger, state_partitions=parts.get(name), after=after
-        )
-        for name, (s, mode, after) in plans.items()
-    }
+def chart_columns() -> list:
+    """The chart document's; ``currenAutoCount`` is spelt as the chart reads it."""
+    return ["create_date", F.col("currentAutoCount").alias("currenAutoCount"), "currentInboundAuto", "l.blockRank", "l.speedRank"]
 
 
 def start_alerts_refreshing(
@@ -446,15 +402,3 @@ def start_console(stream: DataFrame, output_mode: str = "update", trigger: dict
         stream.writeStream.outputMode(output_mode).format("console").option("truncate", "false")
         .trigger(**(trigger or {"processingTime": SPEED_TRIGGER})).start()
     )
-
-
-def read_live(spark: SparkSession, out_dir: str, run_date: str | None = None) -> dict[str, DataFrame]:
-    """Current results of a ``start_live`` run: window speeds, totals, zero-filled province counts
-    and the live snapshot row (all read from the per-batch outputs under ``out_dir``)."""
-    base = out_dir.rstrip("/")
-    speeds = latest_rows(spark, f"{base}/window_speed", SPEED_KEYS)
-    totals = latest_rows(spark, f"{base}/totals", [])
-    found = {"window_speed": speeds, "totals": totals, "snapshot": live_snapshot(totals, speeds, run_date)}
-    if _numbers(spark, f"{base}/provinces", "batch_id"):
-        found["provinces"] = prov.fold_provinces(spark, latest_rows(spark, f"{base}/provinces", ["prefix"]))
-    return found

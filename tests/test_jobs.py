@@ -5,6 +5,7 @@ import os
 import tempfile
 
 from roadflow import jobs
+from roadflow.streaming import live_job
 
 
 def _write(folder, name, lines):
@@ -132,11 +133,12 @@ def test_live_alert_and_request_jobs(spark):
         for q in start().values():
             q.awaitTermination()
             assert q.exception() is None, name
-    web = spark.read.json(f"{d}/live/snapshots/live_web").collect()[0]
+    documents = {r["name"]: spark.read.json(spark.sparkContext.parallelize([r.document])).first() for r in live_job.newest_documents(spark, f"{d}/live").collect()}
+    web = documents["live_web"]
     assert (web.currentAutoCount, web.currentInboundAuto, web.speedRank) == (3, 2, "(0002,70)>(0001,50)")
-    chart = spark.read.json(f"{d}/live/snapshots/live_chart").collect()[0]
+    chart = documents["live_chart"]
     assert (chart.currenAutoCount, chart.blockRank, chart.speedRank) == (3, "0002|0001", "70|50")
-    province = spark.read.json(f"{d}/live/snapshots/province").collect()[0]
+    province = documents["province"]
     assert province.provinceCount == "1|1|0|0|0|0|1|0"
     for job in ("live", "alerts"):
         assert sorted(r.reject_reason for r in spark.read.parquet(f"{d}/{job}/rejects/flow").collect()) == ["bad_time", "short_line"]

@@ -127,24 +127,6 @@ def test_alerts_pick_up_watch_list_changes(spark):
     assert got == [("京A1", "2018-04-26 10:00:01"), ("京B2", "2018-04-26 10:00:03")]
 
 
-def test_start_live_and_read_live(spark):
-    d = tempfile.mkdtemp(prefix="roadflow-live-")
-    lines = [f"2018-04-26\t000{i % 2}\t{i:05d}\t{['黑A00001', '京B00002', '粤C00003'][i % 3]}\t2018-04-26 10:{i:02d}:00\t{i * 4}\t1\t01"
-             for i in range(12)]
-    _write_lines(os.path.join(d, "flow"), "a.tsv", lines)
-    qs = live.start_live(streams.text_flow_stream(spark, os.path.join(d, "flow")), os.path.join(d, "out"),
-                         "10 minutes", "5 minutes", "1 hour", "黑A", {"availableNow": True}, time="action_time")
-    for q in qs.values():
-        q.awaitTermination()
-    res = live.read_live(spark, os.path.join(d, "out"), "2018-04-27")
-    t = res["totals"].collect()[0]
-    assert (t.current_auto_count, t.current_inbound_auto) == (12, 8)
-    prov = {r.province: r.sightings for r in res["provinces"].collect()}
-    assert prov["黑龙江"] == 4 and prov["北京"] == 4 and prov["other"] == 4 and len(prov) == 8
-    snap = res["snapshot"].collect()[0]
-    assert snap.currentAutoCount == 12 and snap.blockRank.count("|") == 1
-
-
 def test_late_rows_beyond_watermark_are_dropped(spark):
     """Rows are judged late against the previous batch's watermark (Spark >= 3.4). After batches at
     12:0x and 12:30 the watermark is 11:51 (10-minute delay); a 10:00 row arriving in the third batch is
