@@ -16,7 +16,7 @@ def _c(c: Column | str) -> Column:
 def java_trim(c: Column | str) -> Column:
     """Strip leading and trailing characters <= U+0020 (Java ``String.trim``: spaces, tabs, CR, LF and
     other control characters; Spark's ``trim`` strips spaces only) (F2)."""
-    return F.regexp_replace(_c(c), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(_c(c), F.lit("".join(map(chr, range(0x21)))))
 
 
 # --- time (R1 R2 R6) -------------------------------------------------------------------------------

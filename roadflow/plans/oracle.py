@@ -440,5 +440,40 @@ group by status, create_date
 """
 
 
+BODIES["table_append_once"] = f"""
+select r.run_id, b.* from ({BODIES["block_speed_bands"]}) b cross join (values ('a'), ('b')) as r(run_id)
+"""
+
+BODIES["block_vehicle_sketch_bound"] = f"""
+select block_id as blockid, count(distinct plate) as autocount, count(*) as sightings, true as within_bound
+from flow where create_date between date '{RANGE_LO[:10]}' and date '{RANGE_HI[:10]}' group by block_id
+"""
+
+BODIES["vehicle_track_store"] = BODIES["vehicle_track"]
+BODIES["stream_track_store"] = BODIES["vehicle_track"]
+
+BODIES["listed_sightings"] = """
+select plate, block_id as blockid, action_time as time, speed from flow
+where plate in (select plate from requests where length(plate) > 0)
+"""
+
+BODIES["stream_watch_join"] = """
+select f.plate, w.action_time as asked_at, f.action_time as time, f.block_id as blockid, f.road_id as roadid, f.area_id as areaid
+from flow_events f join flow_events w on f.plate = w.plate and w.event_id % 50 = 7
+  and f.action_time between w.action_time and w.action_time + interval 12 hour
+"""
+
+BODIES["stream_first_seen"] = f"""
+select plate, action_time as first_time, block_id as first_inbound_position, road_id as roadid, area_id as areaid
+from (
+  select *, row_number() over (partition by plate order by action_time, {TIE}) as rn
+  from flow_events where not starts_with(plate, '黑'))
+where rn = 1
+"""
+
+BODIES["stream_totals_state"] = BODIES["stream_totals"]
+BODIES["stream_provinces_state"] = BODIES["stream_provinces"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_views(body) for name, body in BODIES.items()}

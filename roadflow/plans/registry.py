@@ -187,7 +187,7 @@ from roadflow.streaming import sources as streams  # noqa: E402
 SIZE, SLIDE = f"{WINDOW_SIZE_H} hours", f"{WINDOW_SLIDE_H} hours"
 
 
-def _in_parts(spark, sf, in_order: bool, start) -> None:
+def _in_parts(spark, sf, in_order: bool, start, inbox: str | None = None) -> None:
     """The whole events table arrives in four parts; ``start(stream)`` is run again for each part, so that every
     query goes on from its checkpoint over several batches. ``in_order``: parts are consecutive stretches of
     time, else each part spans all of it."""
@@ -198,7 +198,7 @@ def _in_parts(spark, sf, in_order: bool, start) -> None:
         part = sum((F.when(at > c, 1).otherwise(0) for c in cuts), F.lit(0))
     else:
         part = F.pmod("event_id", F.lit(4))
-    inbox = scratch_path(spark, "events-inbox")
+    inbox = inbox or scratch_path(spark, "events-inbox")
     for k in range(4):
         events.where(part == k).write.mode("append").parquet(inbox)
         for q in start(streams.events_folder_stream(spark, inbox, events.schema)):
@@ -244,7 +244,7 @@ def q_stream_alerts(spark, sf):
     return live.run_available_now(spark, s, "stream_alerts", None)
 
 
-def _track_requests(spark, sf, read_dimensions=None, json_path=None):
+def _track_requests(spark, sf, read_dimensions=None, json_path=None, for_requests=None):
     # Request messages as the request topic would carry them, written by Spark from the customer table.
     inbox = scratch_path(spark, "track-requests-inbox")
     fx.requests(spark, sf).select(F.to_json(F.struct("plate")).alias("value")).write.text(inbox)
@@ -258,6 +258,7 @@ def _track_requests(spark, sf, read_dimensions=None, json_path=None):
         {"availableNow": True},
         read_dimensions,
         json_path,
+        for_requests,
     )
     q.awaitTermination()
     return spark.read.parquet(out).drop("batch_id")
@@ -391,22 +392,132 @@ def q_stream_live_windows(spark, sf):
 
 @register("tsv_ingest")
 def q_tsv_ingest(spark, sf):
-    """The flow written as the reference's TSV text in two parts (even and odd years), each
-    ingested into one date-partitioned table plus a reject table, the second part twice; both read back:
-    accepted rows per day and rejected rows per reason."""
-    from roadflow.sources import text as tx
+    """The flow written as the reference's TSV text in two parts (even and odd years), each ingested into one
+    store, the second part twice, then packed; read back: accepted rows per day and rejected rows per reason."""
+    from roadflow.sources import store
 
-    good, bad = scratch_path(spark, "flow-typed"), scratch_path(spark, "flow-rejects")
+    at = scratch_path(spark, "flow-store")
     flow = fx.flow(spark, sf)
     for k in (0, 1):
         lines = scratch_path(spark, "flow-tsv")
         textops.flow_lines(flow.where(F.year("create_date") % 2 == k)).write.text(lines)
         for _ in range(1 + k):
-            tx.ingest_flow_tsv(spark, lines, good, bad)
-    accepted = spark.read.parquet(good).groupBy(F.lit("accepted").alias("status"), "create_date").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    rejected = spark.read.parquet(bad).groupBy(
+            store.ingest(spark, lines, at)
+    store.pack(spark, at)
+    accepted = store.read_flow(spark, at).groupBy(F.lit("accepted").alias("status"), "create_date").agg(F.count(F.lit(1)).alias("rows"))
+    rejected = store.read_rejects(spark, at).groupBy(
         F.col("reject_reason").alias("status"), F.lit(None).cast("date").alias("create_date")
     ).agg(F.count(F.lit(1)).alias("rows"))
     return accepted.unionByName(rejected)
+
+
+@register("table_append_once")
+def q_table_append_once(spark, sf):
+    """K1 exactly once: two runs, the first started twice."""
+    bands = speed.block_speed_bands(fx.flow(spark, sf), RUN_DATE)
+    path = scratch_path(spark, "append-once")
+    for run in ("a", "a", "b"):
+        sinks.append_once(bands, path, run, ["create_date"])
+    return sinks.read_appended(spark, path).select("run_id", *bands.columns)
+
+
+# --- stored sketches, plate-clustered store, Bloom prefilter -----------------------------------------
+
+from roadflow.operators import track_store  # noqa: E402
+from roadflow.streaming import joins  # noqa: E402
+
+
+def _sketched(spark, sf):
+    """Exact and estimated distinct vehicles per block in a year of days, the estimate from stored sketches."""
+    flow, path = fx.flow(spark, sf), scratch_path(spark, "daily-sketches")
+    ranking.daily_sketches(flow).write.parquet(path)
+    days = F.col("create_date").between(RANGE_LO[:10], RANGE_HI[:10])
+    estimated = ranking.merged_vehicle_counts(spark.read.parquet(path).where(days)).withColumnRenamed("autocount", "estimate")
+    exact = flow.where(days).groupBy(F.col("block_id").alias("blockid")).agg(F.count_distinct("plate").alias("autocount"))
+    return exact.join(estimated, "blockid")
+
+
+@register("block_vehicle_sketch")
+def q_block_vehicle_sketch(spark, sf):
+    """The estimate from merged sketches with its measured error beside the exact count."""
+    error = F.abs(F.col("estimate") - F.col("autocount")) / F.col("autocount")
+    return _sketched(spark, sf).select("blockid", "autocount", "estimate", error.alias("error"))
+
+
+@register("block_vehicle_sketch_bound")
+def q_block_vehicle_sketch_bound(spark, sf):
+    """The exact count, the sightings kept with the sketches, and whether the estimate is within 5 %."""
+    near = F.abs(F.col("estimate") - F.col("autocount")) <= 0.05 * F.col("autocount")
+    return _sketched(spark, sf).select("blockid", "autocount", "sightings", near.alias("within_bound"))
+
+
+def _plate_store(spark, sf):
+    path = scratch_path(spark, "plate-store")
+    table = f"plate_store_{path[-12:]}"
+    track_store.write_plate_store(fx.flow(spark, sf), table, path, 16)
+    return table
+
+
+@register("vehicle_track_store")
+def q_vehicle_track_store(spark, sf):
+    """The routes from the plate-clustered store, the requests joined."""
+    asked = fx.requests(spark, sf)
+    return track.vehicle_track(track_store.stored_sightings(spark.table(_plate_store(spark, sf)), asked, most=0), asked, RUN_DATE)
+
+
+@register("stream_track_store")
+def q_stream_track_store(spark, sf):
+    """Requests on a stream, answered from the buckets of their plates."""
+    table = _plate_store(spark, sf)
+    return _track_requests(spark, sf, for_requests=lambda asked: track_store.stored_sightings(spark.table(table), asked))
+
+
+@register("listed_sightings")
+def q_listed_sightings(spark, sf):
+    """Sightings of a listed plate, filtered by the list's Bloom filter before the shuffled join."""
+    rows = track_store.listed_sightings(fx.flow(spark, sf), fx.requests(spark, sf), 100_000)
+    return rows.select("plate", F.col("block_id").alias("blockid"), F.col("action_time").alias("time"), "speed")
+
+
+# --- streams joined with streams, keyed state, state read back --------------------------------------
+
+
+@register("stream_watch_join")
+def q_stream_watch_join(spark, sf):
+    """Plates asked for on one stream, sightings on another, over several batches and restarts."""
+    out, ck, inbox = (scratch_path(spark, f"watch-join-{n}") for n in ("out", "ckpt", "inbox"))
+    schema = fx.table(spark, sf, "events").schema
+
+    def start(flow):
+        asked = streams.events_folder_stream(spark, inbox, schema).where(F.col("event_id") % 50 == 7)
+        watch = asked.select("plate", F.col("action_time").alias("asked_at"))
+        return [live.start_append(joins.watched_sightings(flow, watch, "12 hours", "1 hour"), out, ck, {"availableNow": True})]
+
+    _in_parts(spark, sf, True, start, inbox)
+    return spark.read.parquet(out)
+
+
+@register("stream_first_seen")
+def q_stream_first_seen(spark, sf):
+    """Each inbound vehicle once, over several batches and restarts."""
+    out, ck = scratch_path(spark, "first-seen-out"), scratch_path(spark, "first-seen-ckpt")
+    _in_parts(spark, sf, True, lambda flow: [live.start_append(joins.first_sightings(flow, "3650 days"), out, ck, {"availableNow": True})])
+    return spark.read.schema(joins.FIRST).parquet(out)
+
+
+def _state_of(spark, sf, stream_of, mode):
+    out, ck = scratch_path(spark, "state-out"), scratch_path(spark, "state-ckpt")
+    _in_parts(spark, sf, True, lambda flow: [live.start_to_table(stream_of(flow), out, ck, mode, {"availableNow": True})])
+    return ck
+
+
+@register("stream_totals_state")
+def q_stream_totals_state(spark, sf):
+    """The running totals read from the state of the query, not from its batches."""
+    return joins.running_totals(spark, _state_of(spark, sf, lambda flow: live.totals_stream(flow, STREAM_LOCAL_PREFIX), "complete"))
+
+
+@register("stream_provinces_state")
+def q_stream_provinces_state(spark, sf):
+    """The running province counts read from the state of the query."""
+    return province.fold_provinces(spark, joins.running_prefixes(spark, _state_of(spark, sf, live.province_prefix_stream, "update")))

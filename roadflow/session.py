@@ -146,3 +146,9 @@ def read_text(spark: SparkSession, path: str) -> str:
         return bytes(stream.readNBytes(fs.getFileStatus(at).getLen())).decode()
     finally:
         stream.close()
+
+
+def path_size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, at = _file_system(spark, path)
+    return fs.getContentSummary(at).getLength()

@@ -240,17 +240,15 @@ def compact(
     return len(fresh)
 
 
+def start_append(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """Rows appended as parquet files by Spark's file sink, each once."""
+    w = stream.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": ALERT_TRIGGER})).start()
+
+
 def start_alerts(flow: DataFrame, watch: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
     """Alerts appended as parquet files (exactly-once file sink), for a watch list that does not change."""
-    return (
-        alerts_stream(flow, watch)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": ALERT_TRIGGER}))
-        .start()
-    )
+    return start_append(alerts_stream(flow, watch), out_path, checkpoint, trigger)
 
 
 def start_track_requests(
@@ -262,15 +260,18 @@ def start_track_requests(
     trigger: dict | None = None,
     read_dimensions=None,
     json_path: str | None = None,
+    for_requests=None,
 ):
     """Each micro-batch of requested plates runs one track job (one semi join for the whole batch of
     requests) over the log as ``read_flow()`` returns it at that moment, so sightings stored between two requests
     are in the second answer. ``read_dimensions()``, if given, returns (district, road) and the routes carry
-    names. Routes go to the batch's folder and, with ``json_path``, as one JSON document per route too."""
+    names. Routes go to the batch's folder and, with ``json_path``, as one JSON document per route too.
+    ``for_requests(requests)``, if given, returns the log narrowed to the requests (``track_store.stored_sightings``)
+    and is used instead of ``read_flow``."""
 
     def handle(reqs: DataFrame, batch_id: int) -> None:
         asked = reqs.persist()  # the plates are used by the plan more than once
-        flow = read_flow()
+        flow = for_requests(asked) if for_requests is not None else read_flow()
         if read_dimensions is None:
             routes = vehicle_track(flow, asked, run_date)
         else:
