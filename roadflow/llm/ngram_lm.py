@@ -1,8 +1,12 @@
 """Stupid-backoff language-model scores of all documents from n-gram counts of all documents.
 
-    S(w | context) = c(context w) / c(context)       if c(context w) >= MIN_COUNT (rarer n-grams are pruned)
+    S(w | context) = c(context w) / c(context)       if c(context w) >= MIN_COUNT
                    = BACKOFF * S(w | shorter context) otherwise;  S(w) = c(w) / T
 
+All n-grams count (``MIN_COUNT`` is 1): as the texts scored are the texts counted, a word with two words before it
+has its trigram's score, and the first words of a text have their bigram's and unigram's. A higher ``min_count``
+backs off from rarer n-grams.
+
 A document's score is the mean of ln S over its words, each with up to ``order - 1`` words before it.
 
 The join of every exploded n-gram with the count tables would shuffle each word's n-grams with their document
@@ -33,8 +37,8 @@ from pyspark.sql import functions as F
 
 from roadflow.llm.common import stored, text_or_empty
 
-ORDER = 2
-MIN_COUNT = 2
+ORDER = 3
+MIN_COUNT = 1
 BACKOFF = 0.4
 BLOCK_CHARS = 8 << 20
 RANGE_ENTRIES = 2 << 20

@@ -65,15 +65,20 @@ from kept
 _OP9 = r"""
 with d as (
   select row_number() over () as r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
-tok as (select r, i, w[i] as x, case when i > 1 then w[i - 1] end as v from d, unnest(range(1, len(w) + 1)) as u(i)),
+tok as (
+  select r, i, w[i] as x, case when i > 1 then w[i - 1] end as v, case when i > 2 then w[i - 2] end as u
+  from d, unnest(range(1, len(w) + 1)) as u(i)),
 uni as (select x, count(*) as c from tok group by x),
 bi as (select v, x, count(*) as c from tok where v is not null group by v, x),
+tri as (select u, v, x, count(*) as c from tok where u is not null group by u, v, x),
 total as (select count(*) as t from tok),
 s as (
-  select r, case when bi.c >= 2 then ln(bi.c / ctx.c) when tok.v is null then ln(uni.c / t) else ln(uni.c / t) + ln(0.4) end as p,
-    case when bi.c >= 2 then 0 else 1 end as one
-  from tok join uni using (x) left join bi on bi.v = tok.v and bi.x = tok.x left join uni as ctx on ctx.x = tok.v, total),
-agg as (select r, avg(p) as score, sum(one) as n_unigram from s group by r)
+  select r, case when tok.v is null then ln(uni.c / t) when tok.u is null then ln(bi.c / one.c) else ln(tri.c / two.c) end as p,
+    case when tok.v is null then 1 else 0 end as alone
+  from tok join uni on uni.x = tok.x
+    left join bi on bi.v = tok.v and bi.x = tok.x left join uni as one on one.x = tok.v
+    left join tri on tri.u = tok.u and tri.v = tok.v and tri.x = tok.x left join bi as two on two.v = tok.u and two.x = tok.v, total),
+agg as (select r, avg(p) as score, sum(alone) as n_unigram from s group by r)
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_unigram, 0) as bigint) as n_unigram, round(score, 6) as score
 from d left join agg using (r)
 """

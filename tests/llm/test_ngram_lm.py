@@ -38,15 +38,15 @@ def brute(texts, order, least):
     return out
 
 
-@pytest.mark.parametrize(("order", "block", "entries"), [(1, 500, 100), (2, 400, 64), (3, 3000, 200), (2, 1 << 20, 1 << 20)])
-def test_against_plain_counts(spark, order, block, entries):
+@pytest.mark.parametrize(("order", "block", "entries", "least"), [(1, 500, 100, 2), (2, 400, 64, 2), (3, 3000, 200, 2), (2, 1 << 20, 1 << 20, 2), (3, 400, 64, 1)])
+def test_against_plain_counts(spark, order, block, entries, least):
     rng = random.Random(order)
     texts = [None, "", " \t ", "one", *[" ".join(rng.choice("a b c dd é ü\x0bx y z w1 w2 w3 rare".split(" ")) for _ in range(rng.randrange(60))) for _ in range(60)]]
     texts += [texts[5], "long " * 3000]
     rows = [(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(1000, "same row")] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash")).withColumn("block", F.lit(0))
-    got = sorted((str(r.doc_id), r.n_words, r.n_unigram, round(r.score, 9) if r.score is not None else -99) for r in ngram_lm.score(docs, order, 2, block, entries).collect())
-    want = sorted((str(i), n, u, round(s, 9) if s is not None else -99) for (i, _), (n, u, s) in zip(rows, brute([t for _, t in rows], order, 2), strict=True))
+    got = sorted((str(r.doc_id), r.n_words, r.n_unigram, round(r.score, 9) if r.score is not None else -99) for r in ngram_lm.score(docs, order, least, block, entries).collect())
+    want = sorted((str(i), n, u, round(s, 9) if s is not None else -99) for (i, _), (n, u, s) in zip(rows, brute([t for _, t in rows], order, least), strict=True))
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert all(abs(g[3] - w[3]) < 1e-6 for g, w in zip(got, want, strict=True))
 
