@@ -60,20 +60,78 @@ TERM = rf"(?<![^{STOPS}])\p{{L}}{{3,}}(?![^{STOPS}])"
 MASKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
 
 
+#: Lists are walked in parts of so many: appending to a list copies it, so long ones would take the square of their length.
+PART = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(items: Column) -> Column:
+    """A list (a bound one) cut into parts of ``PART``."""
+    at = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.size(items) - 1, F.lit(PART))).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.slice(items, i + 1, F.lit(PART)))
+
+
+def _before(numbers: Column, merged) -> Column:
+    """For each number ``merged`` of 0 and all numbers before it."""
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(
+        numbers, zero, lambda acc, x: F.struct(merged(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"]
+    )
+
+
+def _in_order(items: Column, length, placed, kind: str) -> Column:
+    """array<kind>: ``placed(start, item)`` of every item, where items of ``length(item)`` follow one another."""
+    def one(part: Column, first: Column) -> Column:
+        zero = F.struct(first.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        step = lambda acc, x: F.struct((acc["at"] + length(x)).alias("at"), F.concat(acc["out"], F.array(placed(acc["at"], x))).alias("out"))
+        return F.aggregate(part, zero, step, lambda acc: acc["out"])
+
+    def placed_parts(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda n, x: n + length(x)))
+        return F.flatten(F.zip_with(parts, _before(sizes, lambda n, x: n + x), one))
+
+    return _bound(_bound(items, _parts), placed_parts)
+
+
+def _rewritten(text: Column, spans: Column, written) -> Column:
+    """The text with each span (in order of start) replaced: ``written(at, span)`` is what to put for a span where
+    the text is done up to ``at``, null to leave it out with the text before it. Every part of the spans works on its
+    own stretch of the text."""
+    stretch = lambda p, b: F.struct(p.alias("spans"), b.alias("at"), F.substring(text, b + 1, F.array_max(F.transform(p, lambda s: s["end"])) - b).alias("text"))
+
+    def one(z: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            new = written(acc["at"], s)
+            gap = F.substring(z["text"], acc["at"] - z["at"] + 1, s["start"] - acc["at"])
+            out = F.when(new.isNotNull(), F.concat(acc["out"], F.array(gap, new))).otherwise(acc["out"])
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+        zero = F.struct(z["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(z["spans"], zero, step, lambda acc: F.array_join(acc["out"], ""))
+
+    def whole(parts: Column) -> Column:
+        ends = F.transform(parts, lambda p: F.array_max(F.transform(p, lambda s: s["end"])))
+        done = F.array_join(F.transform(F.zip_with(parts, _before(ends, F.greatest), stretch), one), "")
+        return F.concat(done, F.substring(text, F.coalesce(F.array_max(ends), F.lit(0)) + 1, F.length(text)))
+
+    return _bound(_bound(spans, _parts), whole)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of the pattern's leftmost matches, in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"))
+    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("size"), v.alias("value")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
+    def placed(at: Column, x: Column) -> Column:
+        start = at + x["gap"]
+        return F.struct(start.alias("start"), (start + x["size"]).alias("end"), x["value"].alias("value"))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    return _in_order(pairs, lambda x: x["gap"] + x["size"], placed, "struct<start:int,end:int,value:string>")
 
 
 def _luhn(digits: Column) -> Column:
@@ -118,14 +176,7 @@ def base_spans(text: Column) -> Column:
 
 def _blanked(text: Column, spans: Column) -> Column:
     """The text with spaces where the spans are."""
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        blank = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], acc["at"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(gap, blank)).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(spans, zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    return _rewritten(text, spans, lambda at, s: F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], at)))
 
 
 def _words(text: Column) -> Column:
@@ -189,15 +240,14 @@ def term_spans(documents: DataFrame) -> DataFrame:
     split = lambda removed: F.collect_list(F.when((F.col("ratio") >= REMOVE) == F.lit(removed), F.col("h")))
     masked = marked.groupBy("digest").agg(split(False).alias("general"), split(True).alias("gone"))  # one text's terms
 
-    def step(acc: Column, t: Column) -> Column:
-        start = acc["at"] + t["gap"]
-        end = start + t["size"]
-        gone = F.array_contains("gone", t["h"])
-        span = F.struct(start.alias("start"), F.lit(4).alias("kind"), end.alias("end"), gone.alias("removed"))
-        return F.struct(end.alias("at"), F.when(gone | F.array_contains("general", t["h"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def placed(at: Column, t: Column) -> Column:
+        start = at + t["gap"]
+        return F.struct(start.alias("start"), F.lit(4).alias("kind"), (start + t["size"]).alias("end"), F.array_contains("gone", t["h"]).alias("removed"), t["h"].alias("h"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>").alias("out"))
-    return masked.join(found.select("digest", "terms"), "digest").select("digest", F.aggregate("terms", zero, step, lambda acc: acc["out"]).alias("terms"))
+    every = _in_order(F.col("terms"), lambda t: t["gap"] + t["size"], placed, "struct<start:int,kind:int,end:int,removed:boolean,h:bigint>")
+    hit = F.filter(every, lambda t: t["removed"] | F.array_contains("general", t["h"]))
+    spans = F.transform(hit, lambda t: F.struct(*[t[c].alias(c) for c in ("start", "kind", "end", "removed")]))
+    return masked.join(found.select("digest", "terms"), "digest").select("digest", spans.alias("terms"))
 
 
 def with_spans(documents: DataFrame, base: str, terms: str) -> DataFrame:
@@ -221,16 +271,10 @@ def sanitised(documents: DataFrame) -> DataFrame:
     spans = F.sort_array(F.concat(F.transform(base, lambda x: cut(x, F.lit(False))), F.transform(terms, lambda x: cut(x, x["removed"]))))
     masks = F.array(*map(F.lit, MASKS))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        mask = F.when(s["removed"], "").otherwise(F.element_at(masks, s["kind"] + 1))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, mask))).otherwise(acc["out"]).alias("out"),
-        )
+    def mask(at: Column, s: Column) -> Column:
+        return F.when(s["start"] >= at, F.when(s["removed"], "").otherwise(F.element_at(masks, s["kind"] + 1)))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    masked = F.aggregate(spans, zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    masked = _rewritten(F.col("text"), spans, mask)
     any_span = (F.size(base) > 0) | (F.size(terms) > 0)
     out = marked.withColumn("text", F.when(any_span, masked).otherwise(F.col("text")))
     if "n_chars" in documents.columns:
