@@ -3,25 +3,34 @@
 A text is cut into clauses; the words of a clause become tags (insult, threat, target, negation, reported
 speech, other) and pass through a composition of letter-to-letter transducers:
 
+    insult      a word of the lexicon, or a phrase of several words ("piece of trash"), is an insult
+    threat      a violent act with a person as its object ("strangle him"), or a phrase of several words ("beat you
+                to death"), is an accepted threat; a violent word alone is a threat, but not an accepted one
     negation    an insult or threat up to three words after a negation is marked as negated
-    reported    an insult or threat after a verb of saying in the clause is marked as reported
+    reported    an insult or threat after a verb of saying, or a word for words ("the term"), is marked as reported
     target      an insult or threat up to four words after (second reading, from the right: before) a word for
                 a person is marked as aimed
 
-The composition is one machine over (insult | threat) x marks, made by a product of states. What leaves it is
-counted by kind and mark, not word by word: matched clauses score, with weights for plain, aimed, negated and
-reported insults and threats.
+The phrases are one machine over words, read from the right, so that it speaks at the first word of a phrase. The
+marks are one machine over (insult | threat) x marks, made by a product of states. Clauses score, not words:
+a clause counts once for each kind, by its strongest match, as aimed (of threats: accepted), plain, negated or reported.
+A clause with an insult that is neither negated nor reported, or such an accepted threat, is a match; isolated,
+negated or reported words are none, and their features have weights of their own.
 
 Lexicon: fixed seed words, and stems learned from labelled rows: prefixes of up to six letters, or whole
 words, that occur in toxic rows and almost only there, chosen greedily by how many toxic rows they explain
-that none before explained (so that the words of one much-copied text do not count as evidence each).
+that none before explained (so that the words of one much-copied text do not count as evidence each). At most
+``MAX_STEMS`` of the ``CANDIDATES`` most frequent are kept. A learned stem is a threat if most of its occurrences in
+toxic rows follow a word of intent and have a person as object, else an insult.
 Weights: logistic regression with a prior on the marked counts. Both are fitted on at most ``TRAIN_ROWS``
 distinct labelled texts (a documented bound; those with the smallest hash), never on held-out ones; doc_id, lang,
 source and the labels are not inputs of a score. Every text is scored whole.
 
 Defined results: a null or empty text has no clauses and the score of a text without matches; a null doc_id
 is not held out and never labelled; of contradicting labels the toxic one holds; without labelled rows the
-prior alone scores; repeated rows score alike; other columns are kept.
+prior alone scores; repeated rows score alike; of two matches of a clause that are as strong the heavier counts;
+an empty table gives an empty result; a very long text takes time and memory in proportion to its length; other
+columns are kept, but for one named score, which the score replaces (``drop_toxic`` keeps it).
 """
 
 from __future__ import annotations
@@ -52,6 +61,22 @@ INSULTS = frozenset("idiot idiots moron morons scum trash loser losers pathetic
 THREATS = frozenset("kill murder destroy strangle umbringen töten erschlagen tuer frapper égorger matar golpear".split())
 TARGETS = frozenset("you your yours he she they him her them du dein ihr euch tu toi vous ton tú usted ustedes te".split())
 NEGATIONS = frozenset("not no never nobody isn aren don nicht kein keine nie pas jamais aucun nunca jamás ningún".split())
+#: Words that name a word instead of using it, and words of intent before a threat.
+MENTIONS = frozenset("word words term terms phrase wort begriff mot terme palabra término".split())
+INTENTS = frozenset("will gonna going shall ll werde wirst vais vas voy vamos".split())
+#: Phrases by kind: the words that may stand at each place, and how many other words may stand between two places.
+#: ``VIOLENT`` stands for the words of the threat lexicon.
+VIOLENT = frozenset({"<violent>"})
+_YOU = frozenset("you him her them dich euch te toi vous ti usted ustedes".split())
+PHRASES = (
+    ("threat", (VIOLENT, _YOU), 1),
+    ("threat", (frozenset("beat kick stab choke burn hack bash smash".split()), _YOU, frozenset("death pulp bits pieces ashes".split())), 2),
+    ("threat", (frozenset("break cut slit smash".split()), frozenset("your his her their".split()), frozenset("neck throat skull bones legs".split())), 1),
+    ("threat", (frozenset("know find".split()), frozenset({"where"}), frozenset({"you"}), frozenset("live sleep".split())), 1),
+    ("threat", (frozenset({"make"}), _YOU, frozenset("regret suffer bleed".split())), 1),
+    ("insult", (frozenset({"piece"}), frozenset({"of"}), frozenset("trash garbage filth dirt".split())), 0),
+    ("insult", (frozenset({"waste"}), frozenset({"of"}), frozenset("space oxygen skin".split())), 0),
+)
 REPORTS = frozenset("said says say called calls claimed wrote quoted sagte sagt nannte dit disait appelé dijo dice llamó".split())
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -132,65 +157,127 @@ def transduced(tags: list) -> list:
     return _read(BACKWARD_TABLE, _AIMED.start, first[::-1])[::-1]
 
 
+def phrase_machine(phrases=PHRASES) -> Transducer:
+    """Reads the sets of phrase words that a word belongs to, from the right, and puts out the kinds of the phrases
+    that begin at the word. The state holds the phrases that are open: (phrase, place, words that may still be skipped)."""
+
+    def step(state, sets):
+        found, then = set(), set()
+        for p, (kind, places, gap) in enumerate(phrases):
+            last = len(places) - 1
+            for place, left in {(at, n) for q, at, n in state if q == p} | {(last, 0)}:
+                if places[place] in sets:
+                    if place:
+                        then.add((p, place - 1, gap))
+                    else:
+                        found.add(kind)
+                if place < last and left:
+                    then.add((p, place, left - 1))
+        return frozenset(then), frozenset(found)
+
+    return Transducer(frozenset(), step)
+
+
+_SPOTTER = phrase_machine()
+_PLACES = frozenset(place for _, places, _ in PHRASES for place in places)
+
 FEATURES = ("any", "insult", "insult aimed", "insult negated", "insult reported", "threat", "threat aimed", "threat negated", "threat reported")
-#: Prior weights, before any label: a match speaks for toxic, an aimed one more, a negated or reported one less.
-PRIOR = np.array([1.0, 1.5, 0.5, -0.7, -0.4, 0.5, 1.0, -0.4, -0.3])
-PRIOR_BIAS = -2.0
+#: Prior weights, before any label: "any" (a matched clause) speaks for toxic, an aimed one more; clauses that are only
+#: negated, reported or hold a violent word match nothing and hardly speak.
+PRIOR = np.array([2.0, 0.5, 2.0, -0.7, -0.4, 0.2, 3.0, -0.4, -0.3])
+PRIOR_BIAS = -2.5
 
 
 class Lexicon:
-    """Stems (prefixes with ``*``, whole words without) that mark insults, found by one automaton."""
+    """Stems (prefixes with ``*``, whole words without) that mark insults, or threats if in ``threats``."""
 
-    def __init__(self, stems: dict[str, float]):
+    def __init__(self, stems: dict[str, float], threats: frozenset[str] = frozenset()):
         import ahocorasick
 
-        self.weight = dict.fromkeys(INSULTS, 1.0) | stems
-        self.prefixes = {s[:-1]: w for s, w in self.weight.items() if s.endswith("*")}
-        self.longest = max(map(len, self.prefixes), default=0)
+        self.insults = dict.fromkeys(INSULTS, 1.0) | {s: w for s, w in stems.items() if s not in threats}
+        self.threats = dict.fromkeys(THREATS, 1.0) | {s: w for s, w in stems.items() if s in threats}
+        self.longest = max((len(s) - 1 for s in stems if s.endswith("*")), default=0)
         self.hints = ahocorasick.Automaton()
-        for s in {*(x.rstrip("*") for x in self.weight), *THREATS}:
+        # every match has one of these: a stem, or the last word of a phrase
+        ends = {w for _, places, _ in PHRASES for w in places[-1] if VIOLENT not in places}
+        for s in {*(x.rstrip("*") for x in (*self.insults, *self.threats)), *ends}:
             self.hints.add_word(s, s)
         self.hints.make_automaton()
+        self.spotted: dict = {}
 
-    def insult(self, word: str) -> float:
-        """The word's weight as an insult, 0 if it is none."""
-        if (w := self.weight.get(word)) is not None:
+    def weight(self, word: str, stems: dict[str, float]) -> float:
+        """The word's weight by its whole form or its heaviest prefix, 0 if it has none."""
+        if (w := stems.get(word)) is not None:
             return w
-        return max((self.prefixes.get(word[:n], 0.0) for n in range(3, min(len(word), self.longest) + 1)), default=0.0)
+        return max((stems.get(f"{word[:n]}*", 0.0) for n in range(3, min(len(word), self.longest) + 1)), default=0.0)
+
+    def insult(self, word: str) -> float:
+        return self.weight(word, self.insults)
+
+    def threat(self, word: str) -> float:
+        return self.weight(word, self.threats)
 
     def tag(self, word: str):
         if self.insult(word) > 0:
             return ("insult", frozenset())
-        if word in THREATS:
+        if self.threat(word) > 0:
             return ("threat", frozenset())
-        return TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER
+        return TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS or word in MENTIONS else OTHER
+
+    def phrases(self, words: list[str]) -> list[frozenset[str]]:
+        """The kinds of the phrases that begin at each word."""
+        state, out = _SPOTTER.start, []
+        for word in reversed(words):
+            sets = frozenset(p for p in _PLACES if word in p) | (frozenset({VIOLENT}) if self.threat(word) > 0 else frozenset())
+            if (state, sets) not in self.spotted:  # the machine is compiled as far as texts need it
+                self.spotted[state, sets] = _SPOTTER.step(state, sets)
+            state, found = self.spotted[state, sets]
+            out.append(found)
+        return out[::-1]
+
+    def matches(self, words: list[str]) -> list[tuple[str, str, float]]:
+        """(kind, status, weight) of a clause: for each kind its strongest match; the status is aimed, plain,
+        negated or reported. An aimed threat is an accepted one."""
+        begun = self.phrases(words)
+        tags = [(min(b), frozenset()) if b else self.tag(w) for w, b in zip(words, begun, strict=True)]
+        best: dict[str, tuple[int, float, str]] = {}
+        for word, b, t in zip(words, begun, transduced(tags), strict=True):
+            if not isinstance(t, tuple):
+                continue
+            kind, marks = t
+            aimed = "threat" in b if kind == "threat" else "aimed" in marks
+            status = "reported" if "reported" in marks else "negated" if "negated" in marks else "aimed" if aimed else "plain"
+            weight = self.threat(word) if kind == "threat" else self.insult(word)
+            weight = 1.0 if weight == 0 else max(weight, 0.1)  # a phrase weighs one
+            best[kind] = max(best.get(kind, (0, 0.0, "")), (_STRENGTH[status], weight, status))
+        return [(kind, status, weight) for kind, (_, weight, status) in best.items()]
 
     def counts(self, text: str | None) -> np.ndarray:
-        """``FEATURES`` of the text: logs of one and the (weighted) numbers of matches by kind and mark."""
+        """``FEATURES`` of the text: whether a clause matches, and the logs of one and the (weighted) numbers of
+        clauses by kind and status."""
         out = np.zeros(len(FEATURES))
         low = (text or "").lower()
         if next(self.hints.iter(low), None) is None:
             return out
+        live = False
         for clause in CLAUSE.split(low):
-            words = WORD.findall(clause)
-            tags = [self.tag(w) for w in words]
-            if not any(isinstance(t, tuple) for t in tags):
+            if next(self.hints.iter(clause), None) is None:
                 continue
-            for word, t in zip(words, transduced(tags), strict=True):
-                if isinstance(t, tuple):
-                    at = 1 if t[0] == "insult" else 5
-                    w = max(self.insult(word), 0.1) if t[0] == "insult" else 1.0
-                    out[at] += w
-                    for m, k in (("aimed", 1), ("negated", 2), ("reported", 3)):
-                        out[at + k] += w * (m in t[1])
-        out[0] = float(out.any())
+            for kind, status, weight in self.matches(WORD.findall(clause)):
+                out[FEATURES.index(kind if status == "plain" else f"{kind} {status}")] += weight
+                live |= status == "aimed" or (kind, status) == ("insult", "plain")
+        out[0] = float(live)
         out[1:] = np.log1p(out[1:])
         return out
 
 
+_STRENGTH = {"reported": 1, "negated": 2, "plain": 3, "aimed": 4}
+
+
 @dataclass(frozen=True)
 class Model:
     stems: dict[str, float]
+    threats: frozenset[str]
     weights: tuple[float, ...]
     bias: float
 
@@ -263,12 +350,37 @@ def learned_stems(rows: DataFrame) -> dict[str, float]:
     return chosen
 
 
+def learned_threats(rows: DataFrame, stems: dict[str, float]) -> frozenset[str]:
+    """The stems that most often stand after a word of intent and have a person as object, in toxic training rows."""
+    if not stems:
+        return frozenset()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(stems)
+        for batch in batches:
+            n: Counter[str] = Counter()
+            for text in batch.column(0).to_pylist():
+                for clause in CLAUSE.split((text or "").lower()):
+                    words = WORD.findall(clause)
+                    for i, word in enumerate(words):
+                        if lexicon.insult(word) == 0:
+                            continue
+                        threat = not INTENTS.isdisjoint(words[max(i - 3, 0) : i]) and not _YOU.isdisjoint(words[i + 1 : i + 3])
+                        for s in stems.keys() & {word, *(f"{word[:k]}*" for k in (4, 5, 6))}:
+                            n[s] += 1 if threat else -1
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["stem", "n"])
+
+    found = rows.where("toxic = 1").select("text").mapInArrow(run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+    return frozenset(r.stem for r in found.where("n > 0").collect())
+
+
 def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     train = training_rows(documents, labels, rows).persist()
     stems = learned_stems(train)
+    threats = learned_threats(train, stems)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(stems)
+        lexicon = Lexicon(stems, threats)
         for batch in batches:
             counts = [lexicon.counts(t).tolist() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
@@ -276,7 +388,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Mode
     seen = train.mapInArrow(run, "x array<double>, y int").groupBy("x", "y").count().collect()  # equal counts are one row
     train.unpersist()
     w, bias = _logistic(np.array([r.x for r in seen]).reshape(-1, len(FEATURES)), np.array([r.y for r in seen], float), np.array([r["count"] for r in seen], float))
-    return Model(stems, tuple(w), bias)
+    return Model(stems, threats, tuple(w), bias)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
@@ -300,7 +412,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     at = rest.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, w = Lexicon(model.stems), np.array(model.weights)
+        lexicon, w = Lexicon(model.stems, model.threats), np.array(model.weights)
         for batch in batches:
             z = [float(lexicon.counts(t) @ w) + model.bias for t in batch.column(at).to_pylist()]
             score = pa.array(1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30))), pa.float64())
