@@ -2,15 +2,17 @@
 
 Texts are normalised to lower-case words (runs of ASCII letters and digits and of anything beyond ASCII).
 Every ``window`` consecutive words of an item are one pattern, an item of fewer words is one pattern. The
-automaton holds all of them and reads each document once; its hits are mapped back to code-point offsets of
-the original text.
+automaton holds all of them as sequences of word numbers (a state for each word, not for each byte) and reads
+each document once; its hits are mapped back to code-point offsets of the original text.
 
-The items are a stated query set. They are read in blocks of at most ``block_bytes`` of pattern text
-(normally one block), so the automaton a task holds has a fixed size however many items there are; with
-several blocks the documents are read once for each, and each pass adds to the hits of the one before.
+The items are a stated query set. They are read in blocks whose automaton takes at most ``block_bytes``
+(normally one block; ``automaton_bytes`` bounds it from the items' words), so what a task holds has a fixed size
+however many items there are; only a single item may exceed it. With several blocks the documents are read once
+for each, and each pass adds to the hits of the one before.
 
 Defined results: a null text has no words; an empty item matches nothing; a null ``item_id`` is named
-``null``; repeated items count once per id; repeated documents are judged row by row; further columns are
+``null``; repeated items count once per id; repeated documents are judged row by row; an empty table of documents gives
+no rows, one of items no hits; a very long text takes time and memory in proportion to its length; further columns are
 kept as they are unless they have the name of a result column, in which case the result replaces them.
 """
 
@@ -29,7 +31,9 @@ from pyspark.sql import types as T
 from roadflow.llm.common import stored
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 400 << 20
+#: Bytes that a state, a pattern and a word take at most: measured over random items (``test_automaton_stays_in_its_bound``).
+STATE_BYTES, PATTERN_BYTES, WORD_BYTES = 48, 200, 200
 
 #: ASCII to what separates words (a space) or to itself in lower case; other bytes of UTF-8 stay.
 _FOLD = bytes(
@@ -41,35 +45,54 @@ PAIRS = "array<struct<first:long,last:long>>"
 RESULT = f"n_words long, item_ids array<string>, hit_words {PAIRS}, spans {PAIRS}"
 
 
-def fold(text: str | None) -> bytes:
-    """The text's words in UTF-8 between single spaces, with a space at either end; empty without words."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
-    return b" " + b" ".join(words) + b" " if words else b""
+def fold(text: str | None) -> list[bytes]:
+    """The text's words in UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def item_patterns(item: str | None, window: int) -> set[bytes]:
-    words = fold(item).split()
+def item_patterns(words: list, window: int) -> set[tuple]:
+    """Every ``window`` consecutive words, or all of fewer."""
     if not words:
         return set()
-    last = max(len(words) - window, 0)
-    return {b" " + b" ".join(words[i : i + window]) + b" " for i in range(last + 1)}
+    return {tuple(words[i : i + window]) for i in range(max(len(words) - window, 0) + 1)}
 
 
-@lru_cache(maxsize=2)
-def _automaton(items: Broadcast, window: int):
-    """The automaton of a block; a hit gives the pattern's length in bytes and the ids of its items."""
-    import ahocorasick
+def automaton_bytes(n_words: int, window: int) -> int:
+    """At most what an item of so many words adds to an automaton."""
+    patterns = max(n_words - window, 0) + 1 if n_words else 0
+    return patterns * (min(n_words, window) * STATE_BYTES + PATTERN_BYTES) + n_words * WORD_BYTES
 
-    owners: dict[bytes, set[str]] = {}
-    for item_id, text in items.value:
-        for p in item_patterns(text, window):
-            owners.setdefault(p, set()).add(item_id)
-    found = ahocorasick.Automaton()
-    for p, ids in owners.items():
-        found.add_word(p.decode("latin-1"), (len(p), frozenset(ids)))
-    if owners:
-        found.make_automaton()
-    return found
+
+class PatternAutomaton:
+    """All patterns of a block of items, over numbers of words; words that no item has are 0."""
+
+    def __init__(self, items: list[tuple[str, str]], window: int):
+        import ahocorasick
+
+        self.number: dict[bytes, int] = {}
+        owners: dict[tuple[int, ...], tuple[str, ...]] = {}
+        for item_id, text in items:
+            numbers = [self.number.setdefault(w, len(self.number) + 1) for w in fold(text)]
+            for p in item_patterns(numbers, window):
+                ids = owners.get(p, ())
+                owners[p] = ids if item_id in ids else (*ids, item_id)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        while owners:  # moved, not copied
+            p, ids = owners.popitem()
+            self.found.add_word(p, (len(p), ids))
+        if len(self.found):
+            self.found.make_automaton()
+
+    def hits(self, words: list[bytes]) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+        """(first word, word after the last, item ids) of every occurrence."""
+        if words and len(self.found):
+            for end, (length, ids) in self.found.iter(tuple([self.number.get(w, 0) for w in words])):
+                yield end + 1 - length, end + 1, ids
+
+
+@lru_cache(maxsize=1)
+def _automaton(items: Broadcast, window: int) -> PatternAutomaton:
+    return PatternAutomaton(items.value, window)
 
 
 def _runs(hit: np.ndarray) -> np.ndarray:
@@ -86,37 +109,32 @@ def original_spans(text: str, words: np.ndarray) -> np.ndarray:
     return np.stack((before[at[words[:, 0], 0]], before[at[words[:, 1] - 1, 1]]), axis=1)
 
 
-def scan(text: str | None, automaton, known: list[tuple[int, int]], known_ids: list[str]) -> tuple[int, list[str], np.ndarray]:
+def scan(text: str | None, automaton: PatternAutomaton, known: list[tuple[int, int]], known_ids: list[str]) -> tuple[int, list[str], np.ndarray]:
     """Words, ids of the items with a window in the text, and the hit word ranges, joined with those known."""
     words = fold(text)
-    n_words = words.count(b" ") - 1 if words else 0
-    ids, marks = set(known_ids), np.zeros(n_words + 1, np.int64)
-    hits = []
-    if n_words and len(automaton):
-        for end, (length, owners) in automaton.iter(words.decode("latin-1")):
-            ids |= owners
-            hits.append((end + 1 - length, end))
-    if hits:
-        number = np.cumsum(np.frombuffer(words, np.uint8) == 32) - 1  # of the word that begins after a space
-        at = number[np.array(hits)]
-        np.add.at(marks, at[:, 0], 1)
-        np.add.at(marks, at[:, 1], -1)
+    ids, marks = set(known_ids), np.zeros(len(words) + 1, np.int64)
+    for first, last, owners in automaton.hits(words):
+        ids.update(owners)
+        marks[first] += 1
+        marks[last] -= 1
     for first, last in known:
         marks[first] += 1
         marks[last] -= 1
-    return n_words, sorted(ids), _runs(np.cumsum(marks)[:-1] > 0)
+    return len(words), sorted(ids), _runs(np.cumsum(marks)[:-1] > 0)
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items, in lists of about ``block_bytes`` of text at most; one list is on the driver at a time."""
+def item_blocks(benchmark: DataFrame, block_bytes: int, window: int = WINDOW) -> Iterator[list[tuple[str, str]]]:
+    """The items, in lists whose automaton takes ``block_bytes`` at most (or of one item); one list is on the
+    driver at a time."""
     block, held = [], 0
     ident = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
     for r in benchmark.where("text is not null").select(ident.alias("i"), F.col("text").alias("t")).toLocalIterator():
-        if block and held + len(r.t) > block_bytes:
+        more = automaton_bytes(len(fold(r.t)), window)
+        if block and held + more > block_bytes:
             yield block
             block, held = [], 0
         block.append((r.i, r.t))
-        held += len(r.t)
+        held += more
     yield block
 
 
@@ -159,7 +177,7 @@ def find_contamination(
             "spans": F.array().cast(PAIRS),
         }
     )
-    for k, items in enumerate(item_blocks(benchmark, block_bytes)):
+    for k, items in enumerate(item_blocks(benchmark, block_bytes, window)):
         out = stored(out, "contamination") if k else out  # so that a task holds one automaton at a time
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema])
         out = out.mapInArrow(_scanned(spark.sparkContext.broadcast(items), window), schema)

@@ -2,6 +2,8 @@
 
 import random
 import re
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -57,3 +59,46 @@ def test_empty_tables(spark):
     assert contamination.find_contamination(none, bench).count() == 0
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert contamination.find_contamination(one, bench.where("false")).first().n_hit == 0
+
+
+MEASURE = """
+import random, sys
+from roadflow.llm import contamination as c
+
+def resident():
+    return int(open("/proc/self/statm").read().split()[1]) * 4096
+
+rng = random.Random(1)
+n_items, n_words, vocab = map(int, sys.argv[1:])
+items = [(str(i), " ".join(f"w{rng.randrange(vocab):06d}" for _ in range(n_words))) for i in range(n_items)]
+import ahocorasick
+before = resident()
+kept = c.PatternAutomaton(items, c.WINDOW)
+print(resident() - before, sum(c.automaton_bytes(len(c.fold(t)), c.WINDOW) for _, t in items))
+"""
+
+
+def test_automaton_stays_in_its_bound():
+    for n_items, n_words, vocab in ((5000, 60, 20_000), (500, 600, 999_999), (50_000, 6, 999_999)):
+        out = subprocess.run([sys.executable, "-c", MEASURE, str(n_items), str(n_words), str(vocab)], capture_output=True, text=True, check=True)
+        taken, bound = map(int, out.stdout.split())
+        assert taken <= bound, (n_items, n_words, vocab, taken, bound)
+        assert bound < 4 * taken, (n_items, n_words, vocab, taken, bound)
+
+
+def test_blocks_keep_to_the_bound(spark):
+    items = [(i, "w " * (i % 40)) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    cost = lambda t: contamination.automaton_bytes(len(WORD.findall(t)), 10)
+    blocks = list(contamination.item_blocks(bench, 200_000))
+    assert len(blocks) > 3 and sorted(int(i) for b in blocks for i, _ in b) == list(range(300))
+    assert all(sum(cost(t) for _, t in b) <= 200_000 for b in blocks)
+
+
+def test_very_long_text_and_repeated_items(spark):
+    item = " ".join(f"x{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, "a b " * 200_000 + item + " c" * 100_000), (2, "Q r")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (7, item), (8, item + " more"), (9, "q R")], "item_id long, text string")
+    got = {r.doc_id: r for r in contamination.find_contamination(docs, bench).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].item_ids) == (500_012, 12, ["7", "8"])
+    assert (got[2].n_hit, got[2].item_ids) == (2, ["9"])
