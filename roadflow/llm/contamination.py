@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from roadflow.llm.common import stored
 
 WINDOW = 10
 BLOCK_BYTES = 400 << 20
+#: Followers of a state at most.
+_BASE = 64
 #: Bytes that a state, a pattern and a word take at most: measured over random items (``test_automaton_stays_in_its_bound``).
 STATE_BYTES, PATTERN_BYTES, WORD_BYTES = 48, 200, 200
 
@@ -57,37 +60,64 @@ def item_patterns(words: list, window: int) -> set[tuple]:
     return {tuple(words[i : i + window]) for i in range(max(len(words) - window, 0) + 1)}
 
 
-def automaton_bytes(n_words: int, window: int) -> int:
-    """At most what an item of so many words adds to an automaton."""
+def letters(n_words: int) -> int:
+    """Letters that write every number up to ``n_words``."""
+    n = 1
+    while _BASE**n <= n_words:
+        n += 1
+    return n
+
+
+def automaton_size(n_words: int, window: int) -> np.ndarray:
+    """(words, patterns, words of patterns) that an item of so many words brings."""
     patterns = max(n_words - window, 0) + 1 if n_words else 0
-    return patterns * (min(n_words, window) * STATE_BYTES + PATTERN_BYTES) + n_words * WORD_BYTES
+    return np.array([n_words, patterns, patterns * min(n_words, window)])
+
+
+def automaton_bytes(size: np.ndarray) -> int:
+    """At most what an automaton takes, from the sum of the sizes of its items."""
+    words, patterns, states = map(int, size)
+    return states * letters(words) * STATE_BYTES + patterns * PATTERN_BYTES + words * WORD_BYTES
 
 
 class PatternAutomaton:
-    """All patterns of a block of items, over numbers of words; words that no item has are 0."""
+    """All patterns of a block of items, over numbers of words; words that no item has are 0.
+
+    A number is written in as many letters as the block's largest needs, so that a state has ``_BASE`` followers
+    at most (they are searched one after the other); first letters differ from the rest, so that hits begin at words.
+    """
 
     def __init__(self, items: list[tuple[str, str]], window: int):
         import ahocorasick
 
-        self.number: dict[bytes, int] = {}
+        number: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], tuple[str, ...]] = {}
         for item_id, text in items:
-            numbers = [self.number.setdefault(w, len(self.number) + 1) for w in fold(text)]
+            numbers = [number.setdefault(w, len(number) + 1) for w in fold(text)]
             for p in item_patterns(numbers, window):
                 ids = owners.get(p, ())
                 owners[p] = ids if item_id in ids else (*ids, item_id)
-        self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.letters = letters(len(number))
+        self.unknown = self._written(0)
+        self.written = {w: self._written(n) for w, n in number.items()}
+        by_number = ["", *self.written.values()]  # numbers were given in this order
+        self.found = ahocorasick.Automaton()
         while owners:  # moved, not copied
             p, ids = owners.popitem()
-            self.found.add_word(p, (len(p), ids))
+            self.found.add_word("".join([by_number[n] for n in p]), (len(p), ids))
         if len(self.found):
             self.found.make_automaton()
 
+    def _written(self, n: int) -> str:
+        digits = [n // _BASE**k % _BASE for k in range(self.letters)]
+        return "".join(chr(d + (_BASE if k else 0)) for k, d in enumerate(digits))
+
     def hits(self, words: list[bytes]) -> Iterator[tuple[int, int, tuple[str, ...]]]:
         """(first word, word after the last, item ids) of every occurrence."""
         if words and len(self.found):
-            for end, (length, ids) in self.found.iter(tuple([self.number.get(w, 0) for w in words])):
-                yield end + 1 - length, end + 1, ids
+            for end, (length, ids) in self.found.iter("".join(map(self.written.get, words, repeat(self.unknown)))):
+                last = (end + 1) // self.letters
+                yield last - length, last, ids
 
 
 @lru_cache(maxsize=1)
@@ -126,15 +156,15 @@ def scan(text: str | None, automaton: PatternAutomaton, known: list[tuple[int, i
 def item_blocks(benchmark: DataFrame, block_bytes: int, window: int = WINDOW) -> Iterator[list[tuple[str, str]]]:
     """The items, in lists whose automaton takes ``block_bytes`` at most (or of one item); one list is on the
     driver at a time."""
-    block, held = [], 0
+    block, size = [], automaton_size(0, window)
     ident = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
     for r in benchmark.where("text is not null").select(ident.alias("i"), F.col("text").alias("t")).toLocalIterator():
-        more = automaton_bytes(len(fold(r.t)), window)
-        if block and held + more > block_bytes:
+        more = automaton_size(len(fold(r.t)), window)
+        if block and automaton_bytes(size + more) > block_bytes:
             yield block
-            block, held = [], 0
+            block, size = [], automaton_size(0, window)
         block.append((r.i, r.t))
-        held += more
+        size = size + more
     yield block
 
 

@@ -74,7 +74,7 @@ items = [(str(i), " ".join(f"w{rng.randrange(vocab):06d}" for _ in range(n_words
 import ahocorasick
 before = resident()
 kept = c.PatternAutomaton(items, c.WINDOW)
-print(resident() - before, sum(c.automaton_bytes(len(c.fold(t)), c.WINDOW) for _, t in items))
+print(resident() - before, c.automaton_bytes(sum(c.automaton_size(len(c.fold(t)), c.WINDOW) for _, t in items)))
 """
 
 
@@ -89,10 +89,10 @@ def test_automaton_stays_in_its_bound():
 def test_blocks_keep_to_the_bound(spark):
     items = [(i, "w " * (i % 40)) for i in range(300)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    cost = lambda t: contamination.automaton_bytes(len(WORD.findall(t)), 10)
+    size = lambda t: contamination.automaton_size(len(WORD.findall(t)), 10)
     blocks = list(contamination.item_blocks(bench, 200_000))
     assert len(blocks) > 3 and sorted(int(i) for b in blocks for i, _ in b) == list(range(300))
-    assert all(sum(cost(t) for _, t in b) <= 200_000 for b in blocks)
+    assert all(contamination.automaton_bytes(sum(size(t) for _, t in b)) <= 200_000 for b in blocks)
 
 
 def test_very_long_text_and_repeated_items(spark):
