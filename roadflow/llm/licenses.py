@@ -12,7 +12,8 @@ Also looked up are runs of a document's paragraphs, however the known text is cu
 paragraph that begins as a known licence does, as far as one is long, if a paragraph ends there.
 
 Defined results: a null text has no units; a unit whose canonical form is empty is no licence; of two known
-entries with one canonical form the first by name counts; repeated rows are scanned alike.
+entries with one canonical form the first by name counts; repeated rows are scanned alike; an empty table gives no
+rows; a very long text takes time in proportion to its length; columns of other names are not read.
 """
 
 from __future__ import annotations
@@ -20,12 +21,15 @@ from __future__ import annotations
 from functools import reduce
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadflow.llm.common import row_key, text_or_empty
 
 MOST_KNOWN = 10_000
+#: First code points of a known text that a run of paragraphs must begin with to be looked at.
+HEAD = 16
 
 #: Spellings that license guidelines call equivalent, as (pattern, spelling).
 SPELLINGS = (
@@ -147,24 +151,34 @@ def units(paragraphs: Column) -> Column:
     )
 
 
-def runs(paragraphs: Column, heads: list[str], sizes: list[int]) -> Column:
-    """array<struct<kind, at, canonical>>: runs of non-empty canonical paragraphs (a column) that begin with one of
-    ``heads`` (of equal length) and have one of ``sizes`` code points."""
-    head, most = len(heads[0]), max(sizes)
-    start = lambda x, i: F.substring(F.array_join(F.slice(paragraphs, i + 1, head), " "), F.lit(1), F.lit(head)).isin(heads)
-    starts = F.filter(F.transform(paragraphs, lambda x, i: F.when(start(x, i), i)), lambda i: i.isNotNull())
+def paragraph_runs(paragraphs: list[str], sizes: dict[str, list[int]]) -> list[tuple[int, str]]:
+    """(at, canonical) of the runs of canonical paragraphs that begin with a key of ``sizes`` (all of one length)
+    and have one of its numbers of code points. Each start looks up where paragraphs end, so that a text
+    takes time in proportion to its length."""
+    if not sizes:
+        return []
+    text, head = " ".join(paragraphs), len(next(iter(sizes)))
+    starts, at = [], 0
+    for p in paragraphs:
+        starts.append(at)
+        at += len(p) + 1
+    ends = {x - 1 for x in starts[1:]} | {at - 1}
+    out = []
+    for i, x in enumerate(starts):
+        out += [(i, text[x : x + n]) for n in sizes.get(text[x : x + head], ()) if x + n in ends]
+    return out
+
+
+def runs(paragraphs: Column, sizes: dict[str, list[int]]) -> Column:
+    """array<struct<kind, at, canonical>>: ``paragraph_runs`` of a column of canonical paragraphs, none for null."""
+    result = pa.list_(pa.struct([("kind", pa.string()), ("at", pa.int32()), ("canonical", pa.string())]))
 
-    def of(i: Column) -> Column:
-        some = F.slice(paragraphs, i + 1, F.lit(most))
-        add = lambda acc, p: F.struct(
-            (acc["at"] + 1 + F.length(p)).alias("at"),
-            F.when((acc["at"] + 1 + F.length(p)).isin(sizes), F.concat(acc["out"], F.array(acc["at"] + 1 + F.length(p)))).otherwise(acc["out"]).alias("out"),
-        )
-        zero = F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("out"))
-        ends = F.aggregate(some, zero, add, lambda acc: acc["out"])
-        return F.transform(ends, lambda n: F.struct(F.lit("run").alias("kind"), i.cast("int").alias("at"), F.substring(F.array_join(some, " "), F.lit(1), n).alias("canonical")))
+    @F.arrow_udf("array<struct<kind:string,at:int,canonical:string>>")
+    def found(texts: pa.Array) -> pa.Array:
+        each = ([{"kind": "run", "at": i, "canonical": c} for i, c in paragraph_runs(p, sizes)] if p else [] for p in texts.to_pylist())
+        return pa.array(list(each), result)
 
-    return F.flatten(F.transform(starts, of))
+    return found(paragraphs)
 
 
 def _canonical_known(spark, known) -> DataFrame:
@@ -184,13 +198,20 @@ def known_table(spark, known=KNOWN) -> DataFrame:
 def find_licenses(documents: DataFrame, known=KNOWN) -> DataFrame:
     """(key, kind, at, license): every unit of a document that is a known licence, by the key of its row."""
     rows = documents.select(row_key("doc_id", text_or_empty()).alias("key"), canonical_paragraphs(text_or_empty()).alias("p"))
-    forms = [r.c for r in _canonical_known(documents.sparkSession, known).select("c").collect()]  # MOST_KNOWN at most
+    # of MOST_KNOWN entries at most, their first letters and lengths
+    forms = [(r.h, r.n) for r in _canonical_known(documents.sparkSession, known).select(F.left("c", F.lit(HEAD)).alias("h"), F.length("c").alias("n")).distinct().collect()]
     every = units(F.col("p"))
     if forms:
-        joined = F.filter(F.transform("p", lambda p: F.array_join(p, " ")), lambda x: x != "")
-        head = min(16, *map(len, forms))
-        rows = rows.withColumn("joined", joined)
-        every = F.concat(every, runs(F.col("joined"), sorted({c[:head] for c in forms}), sorted({len(c) for c in forms})))
+        head = min(HEAD, *(n for _, n in forms))
+        sizes: dict[str, list[int]] = {}
+        for h, n in sorted(forms):
+            sizes.setdefault(h[:head], []).append(n)
+        begins = lambda x, i: F.left(F.array_join(F.slice("joined", i + 1, head), " "), F.lit(head)).isin(sorted(sizes))
+        # only texts in which a run may begin are sent to Python
+        any_start = F.exists(F.transform("joined", begins), lambda x: x)
+        rows = rows.withColumn("joined", F.filter(F.transform("p", lambda p: F.array_join(p, " ")), lambda x: x != ""))
+        rows = rows.withColumn("runs", runs(F.when(any_start, F.col("joined")), sizes))
+        every = F.concat(every, "runs")
     rows = rows.select("key", F.inline(every))
     digests = rows.where("canonical <> ''").select("key", "kind", "at", F.sha2("canonical", 256).alias("digest"))
     return digests.join(F.broadcast(known_table(documents.sparkSession, known)), "digest").select("key", "kind", "at", "license")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from roadflow.llm.licenses import KNOWN, SPELLINGS
+from roadflow.llm.licenses import _PROSE, HEAD, KNOWN, SPELLINGS
 
 
 def _quoted(text: str) -> str:
@@ -13,7 +13,10 @@ def _canonical(line: str) -> str:
     plain = rf"trim(regexp_replace(lower({line}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     for pattern, spelling in SPELLINGS:
         plain = rf"regexp_replace({plain}, '\b{pattern}\b', '{spelling.replace('$', chr(92))}', 'g')"
-    return rf"case when regexp_matches(lower({line}), '^\s*(?:copyright\b|\(c\)|©|all rights reserved)') then '' else {plain} end"
+    low = f"lower({line})"
+    signed = rf"regexp_matches({low}, '^\s*(?:\(c\)\s*(?:copyright\b|©|[0-9]{{4}}|<year>)|©|all rights reserved)')"
+    stated = rf"regexp_matches({low}, '^\s*copyright\b') and not regexp_matches({low}, '^\s*copyright\b\s*[.,;:/)]*\s*(?:$|{_PROSE})')"
+    return f"case when {signed} or ({stated}) then '' else {plain} end"
 
 
 def _op6() -> str:
@@ -34,7 +37,13 @@ unit as (
   select r, 'line' as kind, unnest(ls) as c from p
   union all select r, 'paragraph', array_to_string(ls, ' ') from p
   union all select r, 'text', string_agg(array_to_string(ls, ' '), ' ' order by i) filter (len(ls) > 0) from p group by r),
-hit as (select r, kind, license from unit join known using (c)),
+heads as (select distinct left(c, least({HEAD}, (select min(length(c)) from known))) as h from known),
+para as (select r, list(array_to_string(ls, ' ') order by i) filter (len(ls) > 0) as ps from p group by r),
+start as (
+  select r, ps, i from para, unnest(range(1, len(ps) + 1)) as u(i)
+  where left(array_to_string(ps[i:i + {HEAD} - 1], ' '), least({HEAD}, (select min(length(c)) from known))) in (select h from heads)),
+run as (select r, 'run' as kind, array_to_string(ps[i:j], ' ') as c from start, unnest(range(i, len(ps) + 1)) as u(j)),
+hit as (select r, kind, license from (select * from unit union all select * from run) join known using (c)),
 agg as (
   select r, max(license) filter (kind = 'text') as text_license, count(*) filter (kind = 'line') as n_lines,
     string_agg(distinct license, ',' order by license) as licenses

@@ -1,5 +1,7 @@
 """Canonical forms and lookups of whole texts, paragraphs and lines."""
 
+import random
+import time
 from pathlib import Path
 
 import pytest
@@ -57,3 +59,25 @@ def test_repeated_rows_nulls_empty(spark):
     docs = spark.createDataFrame([(None, "Released under the MIT License.")] * 3, "doc_id long, text string")
     assert [tuple(r) for r in licenses.license_report(docs).collect()] == [(None, "MIT", 1, "MIT")] * 3
     assert licenses.license_report(docs.where("false")).count() == 0
+
+
+def test_runs_against_all_runs():
+    rng = random.Random(2)
+    for _ in range(2000):
+        paragraphs = ["".join(rng.choices("ab ", k=rng.randrange(1, 5))) for _ in range(rng.randrange(9))]
+        known = {" ".join("".join(rng.choices("ab ", k=rng.randrange(1, 5))) for _ in range(rng.randrange(1, 4))) for _ in range(5)}
+        head = min(map(len, known))
+        sizes = {}
+        for c in known:
+            sizes.setdefault(c[:head], set()).add(len(c))
+        got = {(i, c) for i, c in licenses.paragraph_runs(paragraphs, {h: sorted(n) for h, n in sizes.items()}) if c in known}
+        n = len(paragraphs)
+        want = {(i, c) for i in range(n) for j in range(i, n) if (c := " ".join(paragraphs[i : j + 1])) in known}
+        assert got == want
+
+
+def test_many_starts_take_time_in_proportion(spark):
+    assert report(spark, [MIT + "\n\n" + MIT])[0] == (None, 0, "MIT")
+    began = time.monotonic()
+    got = report(spark, ["\n\n".join([MIT] * 4000)])
+    assert got[0] == (None, 0, "MIT") and time.monotonic() - began < 30
