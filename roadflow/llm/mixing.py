@@ -18,8 +18,9 @@ A source may hold most rows: positions come from sums over 4096 hash ranges of e
 holds more than one range or the 4096 sums of a source, and slots are made in chunks. Only the table of
 sources (one row each) is ever in one task. Nothing is collected.
 
-Defined results: a null text has size 0; a document of size 0 takes 0; repeated rows are documents of their
-own; a null source is a source; an empty table gives no rows.
+Defined results: a null text has size 0; a document of size 0 takes 0, in no slot and shard; repeated rows are
+documents of their own; a null source is a source; an empty table gives no rows; a very long text is cut into as many
+pieces as it has blocks; further columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -129,19 +130,28 @@ def _pieces(placed: DataFrame, block: int, *kept: str) -> DataFrame:
 
 
 def taken_words(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words the mix takes, repeats counted), a row per
-    document."""
+    """doc_id, source, size, source_size, target, taken (words the mix takes, repeats counted), and of the draw n_slots
+    (slots that hold words of the document) and the first and last output shard of them, a row per document."""
     sized = documents.select("doc_id", "source", word_count(text_or_empty()).alias("size"), row_key("doc_id", text_or_empty()).alias("_key"))
     sized = stored(sized, "mix-sizes")
     targets = stored(source_targets(sized), "mix-sources")
-    times = slots(targets, block, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("times"))
+    times = slots(targets, block, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("times"), F.min("shard").alias("low"), F.max("shard").alias("high"))
     named = targets.select("rank", F.col("source").alias("_s"), "source_size", "target")
     placed = packed(sized.join(named, F.expr("source <=> _s")).drop("_s")).drop("_key")
     same = ["doc_id", "source", "size", "source_size", "target"]
     # the planner takes the slots for as small as the sources they are made from: never broadcast them
     pieces = _pieces(placed, block, *same, "rank", "first").join(times.hint("merge"), ["rank", "block"], "left")
-    counted = pieces.groupBy(*same, "rank", "first").agg(F.sum(F.col("length") * F.coalesce("times", F.lit(0))).alias("taken"))
-    return counted.select(*same, "taken").unionByName(placed.where("size = 0").select(*same, F.lit(0).cast("long").alias("taken")))
+    times = F.coalesce("times", F.lit(0))
+    counted = pieces.groupBy(*same, "rank", "first").agg(
+        F.sum(F.col("length") * times).alias("taken"),
+        F.sum(times).alias("n_slots"),
+        F.min("low").alias("first_shard"),
+        F.max("high").alias("last_shard"),
+    )
+    none, drawn = F.lit(0).cast("long"), ["taken", "n_slots", "first_shard", "last_shard"]
+    unknown = F.lit(None).cast("long")
+    empty = placed.where("size = 0").select(*same, none.alias("taken"), none.alias("n_slots"), unknown.alias("first_shard"), unknown.alias("last_shard"))
+    return counted.select(*same, *drawn).unionByName(empty)
 
 
 def mixed_blocks(documents: DataFrame, block: int = BLOCK, seed: int = 42) -> DataFrame:

@@ -37,9 +37,9 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words the mix takes of every document."""
+    """Words the mix takes of every document, and the output shards that its slots were drawn to."""
     taken = mixing.taken_words(table(spark, sf_dir, "documents"))
-    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "n_slots", "first_shard", "last_shard")
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

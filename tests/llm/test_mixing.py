@@ -1,9 +1,13 @@
 """Mixing: targets against a plain water filling, exact permutations, packing and repeats."""
 
+import hashlib
+import math
 import random
 import re
-from collections import Counter
+import struct
+from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from roadflow.llm import mixing
@@ -94,3 +98,58 @@ def test_shard_counts_follow_the_draw(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.taken_words(none).count() == 0 and mixing.mixed_blocks(none).count() == 0
+
+
+def hashed(*values):
+    """Spark's xxhash64: text in UTF-8, ("int", n), or a long, each seeded with the hash before."""
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[1]) if isinstance(v, tuple) else struct.pack("<q", v)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def brute_slots(targets, block=mixing.BLOCK, shard_slots=mixing.SHARD_SLOTS):
+    """(rank, shard, block) of every slot, from {rank: (source_size, target)}."""
+    blocks = {r: -(-size // block) for r, (size, _) in targets.items() if size}
+    n = {r: math.floor(targets[r][1] * blocks[r] / targets[r][0] + 0.5) for r in blocks}
+    shards = -(-sum(n.values()) // shard_slots)
+    for r in blocks:
+        for slot in range(n[r]):
+            epoch, y = divmod(slot, blocks[r])
+            seeds = (("int", 42), ("int", r), epoch)
+            for k in range(1, mixing.ROUNDS + 1):
+                mirror = (hashed(*seeds, ("int", k)) % blocks[r] - y) % blocks[r]
+                y = y if hashed(*seeds, ("int", k), max(y, mirror)) % 2 == 0 else mirror
+            yield r, hashed(("int", 42), ("int", r), slot) % shards, y
+
+
+def test_taken_words_and_draw_against_plain_python(spark, monkeypatch):
+    rows, docs = docs_of(spark, seed=4, n=150)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 40)
+    monkeypatch.setattr(mixing.slots, "__defaults__", (mixing.BLOCK, 40, 42))
+    words = lambda t: len(WORD.findall(t or ""))
+    streams = defaultdict(list)
+    for i, t, s in rows:
+        key = hashlib.md5(f"{'null' if i is None else i}:{t or ''}".encode()).hexdigest()
+        streams[s].append((hashed(key) % (1 << 64), key, i, words(t)))
+    wanted = brute_targets({s: sum(d[3] for d in ds) for s, ds in streams.items()})
+    names = sorted((s for s in streams if s is not None), key=lambda s: [ord(c) for c in s]) + [None]
+    rank = {s: k for k, s in enumerate(names, 1)}
+    drawn = defaultdict(list)
+    for r, shard, b in brute_slots({rank[s]: (sum(d[3] for d in ds), wanted[s]) for s, ds in streams.items()}, shard_slots=40):
+        drawn[r, b].append(shard)
+    want = Counter()
+    for s, ds in streams.items():
+        at = 0
+        for _, _, i, n in sorted(ds, key=lambda d: d[:2]):
+            taken, shards = 0, []
+            for b in range(at // 64, (at + n - 1) // 64 + 1) if n else ():
+                inside = min(at + n, (b + 1) * 64) - max(at, b * 64)
+                taken += inside * len(drawn[rank[s], b])
+                shards += drawn[rank[s], b]
+            want[i, s, n, taken, len(shards), min(shards, default=None), max(shards, default=None)] += 1
+            at += n
+    got = mixing.taken_words(docs).collect()
+    assert Counter((r.doc_id, r.source, r.size, r.taken, r.n_slots, r.first_shard, r.last_shard) for r in got) == want
+    assert len({x for v in drawn.values() for x in v}) > 5
