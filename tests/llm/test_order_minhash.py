@@ -2,7 +2,10 @@
 
 import hashlib
 import random
+import re
+import struct
 
+import xxhash
 from pyspark.sql import functions as F
 
 from roadflow.llm import order_minhash
@@ -92,3 +95,51 @@ def test_empty_and_single(spark):
     assert order_minhash.edited_likeness(none).count() == 0
     one = order_minhash.edited_likeness(spark.createDataFrame([(1, "abc def")], "doc_id long, text string")).first()
     assert one.edited_sha256 == hashlib.sha256(b"abc deab"[:5] + b"ab").hexdigest() and one.near_next == 1.0
+
+
+def hashed(*values):
+    """Spark's xxhash64: text in UTF-8, ("int", n), or a long, each seeded with the hash before."""
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[1]) if isinstance(v, tuple) else struct.pack("<Q", v)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h
+
+
+def brute_signature(text):
+    """The tuples of all parts: from each point of the ring the two first occurrence-numbered k-mers, in text order."""
+    words = re.split(r"[\x20\x09-\x0D]+", text.strip(" \t\n\x0b\f\r"))
+    kmers = [hashed(*words[i : i + 3]) >> 26 for i in range(max(len(words) - 2, 1))]
+    seen, ring = {}, []
+    for place, h in enumerate(kmers):
+        ring.append((hashed(h, ("int", seen.get(h, 0))) >> 26, place))
+        seen[h] = seen.get(h, 0) + 1
+    ring.sort()
+    out = []
+    for part in range(64):
+        from_point = [r for r in ring if r[0] >= part << 32] + [r for r in ring if r[0] < part << 32]
+        picked = sorted(from_point[:2], key=lambda r: r[1])
+        value = hashed(*(r[0] for r in picked))
+        value = (value - (1 << 64) if value >= 1 << 63 else value) % (2**32 - 1) - (2**31 - 1)
+        out.append(value or 1)
+    return out
+
+
+def test_signature_and_likeness_against_plain_python(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["a", "b", "é", "\U0001f600", f"w{rng.randrange(50)}"]) for _ in range(rng.choice([1, 2, 3, 4, 5, 20, 90, 700]))) for _ in range(60)]
+    texts += ["", " \t", "one", "a  b\n", "la " * 400, *texts[:2]]
+    got = signatures(spark, texts)
+    for i, t in enumerate(texts):
+        assert got[i] == brute_signature(t), t
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    order = list(enumerate(texts))[::-1]
+    found = {r.doc_id: r for r in order_minhash.edited_likeness(docs).collect()}
+    share = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) / 64
+    hexed = lambda s: "".join(f"{v & 0xFFFFFFFF:08x}" for v in s)
+    for (i, t), (_, nxt) in zip(order, order[1:] + order[:1], strict=True):
+        third = len(t) // 3
+        own, edited, other = map(brute_signature, (t, t[: len(t) - third] + nxt[:third], nxt))
+        assert (found[i].fingerprint, found[i].edited_fingerprint) == (hexed(own), hexed(edited))
+        assert found[i].near_edited == share(own, edited) and found[i].near_next == share(own, other)
