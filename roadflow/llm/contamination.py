@@ -48,18 +48,29 @@ PAIRS = "array<struct<first:long,last:long>>"
 RESULT = f"n_words long, item_ids array<string>, hit_words {PAIRS}, spans {PAIRS}"
 
 
-def fold(text: str | None) -> list[bytes]:
+def folded_words(text: str | None) -> list[bytes]:
     """The text's words in UTF-8."""
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
 
 
-def item_patterns(words: list, window: int) -> set[tuple]:
+def windows_of(words: list, window: int) -> set[tuple]:
     """Every ``window`` consecutive words, or all of fewer."""
     if not words:
         return set()
     return {tuple(words[i : i + window]) for i in range(max(len(words) - window, 0) + 1)}
 
 
+def fold(text: str | None) -> bytes:
+    """The text's words between single spaces, with a space at either end; empty without words."""
+    words = folded_words(text)
+    return b" " + b" ".join(words) + b" " if words else b""
+
+
+def item_patterns(item: str | None, window: int) -> set[bytes]:
+    """The windows of an item as they stand in a folded text."""
+    return {b" " + b" ".join(p) + b" " for p in windows_of(folded_words(item), window)}
+
+
 def letters(n_words: int) -> int:
     """Letters that write every number up to ``n_words``."""
     n = 1
@@ -93,8 +104,8 @@ class PatternAutomaton:
         number: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], tuple[str, ...]] = {}
         for item_id, text in items:
-            numbers = [number.setdefault(w, len(number) + 1) for w in fold(text)]
-            for p in item_patterns(numbers, window):
+            numbers = [number.setdefault(w, len(number) + 1) for w in folded_words(text)]
+            for p in windows_of(numbers, window):
                 ids = owners.get(p, ())
                 owners[p] = ids if item_id in ids else (*ids, item_id)
         self.letters = letters(len(number))
@@ -141,7 +152,7 @@ def original_spans(text: str, words: np.ndarray) -> np.ndarray:
 
 def scan(text: str | None, automaton: PatternAutomaton, known: list[tuple[int, int]], known_ids: list[str]) -> tuple[int, list[str], np.ndarray]:
     """Words, ids of the items with a window in the text, and the hit word ranges, joined with those known."""
-    words = fold(text)
+    words = folded_words(text)
     ids, marks = set(known_ids), np.zeros(len(words) + 1, np.int64)
     for first, last, owners in automaton.hits(words):
         ids.update(owners)
@@ -159,7 +170,7 @@ def item_blocks(benchmark: DataFrame, block_bytes: int, window: int = WINDOW) ->
     block, size = [], automaton_size(0, window)
     ident = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
     for r in benchmark.where("text is not null").select(ident.alias("i"), F.col("text").alias("t")).toLocalIterator():
-        more = automaton_size(len(fold(r.t)), window)
+        more = automaton_size(len(folded_words(r.t)), window)
         if block and automaton_bytes(size + more) > block_bytes:
             yield block
             block, size = [], automaton_size(0, window)

@@ -74,7 +74,7 @@ items = [(str(i), " ".join(f"w{rng.randrange(vocab):06d}" for _ in range(n_words
 import ahocorasick
 before = resident()
 kept = c.PatternAutomaton(items, c.WINDOW)
-print(resident() - before, c.automaton_bytes(sum(c.automaton_size(len(c.fold(t)), c.WINDOW) for _, t in items)))
+print(resident() - before, c.automaton_bytes(sum(c.automaton_size(len(c.folded_words(t)), c.WINDOW) for _, t in items)))
 """
 
 
