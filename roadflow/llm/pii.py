@@ -1,22 +1,23 @@
 """Information-theoretic sanitisation of personal data, with DataFrame functions only.
 
-Protected entities are the personal data that fixed patterns find (email, ip, card, phone). Terms near an
-entity are weighed by what they disclose of it, after C-sanitised models of text sanitisation: over the
-corpus, with documents as events,
+Protected entities are the personal data that fixed patterns find (email, ip, card, phone). Terms in an
+entity's documents are weighed by what they disclose of it, after C-sanitised models of text sanitisation: over
+the corpus, with documents as events,
 
-    PMI(e; t) = ln(p(e, t) / (p(e) p(t)))        IC(e) = -ln p(e)
+    IC(e) = -log2 p(e)        PMI(e; t) = log2(p(e | t) / p(e))        left = IC - PMI = -log2 p(e | t)
 
-PMI reaches IC when a term occurs with the entity alone and so names it: PMI / IC = 1 + ln p(e | t) / IC. How
-often t occurs without e is known the less, the fewer documents have t, so p(e | t) is estimated with
-``PRIOR_DOCS`` documents in which e is as frequent as anywhere:
+``left`` are the bits that stay unknown of the entity to someone who reads the term, PMI the bits they gain. A
+rare term is no evidence: p(e | t) is not n(e, t) / n(t) but the lower end of that share's score interval
+(Wilson) at ``Z``, one-sided, for as many sightings as there are different texts: copies of a text are one
+sighting, so n(t) counts as n(t) * texts(e, t) / n(e, t). A term that was only ever seen in one text leaves at
+least 1.4 bits, however rare it is and however large the corpus.
 
-    p(e | t) = (n(e, t) + PRIOR_DOCS p(e)) / (n(t) + PRIOR_DOCS)
-
-Pairs whose ratio reaches ``GENERALISE`` disclose, however rare the entity is: the term is replaced by its
-class, and from ``REMOVE`` on it is removed. (An entity in every document has no information and nothing
-discloses it.) A pair (e, t) occurs in a document that has both, anywhere; a term is a run of three or more
-letters between the text's ends, white space, digits, quotes, hyphens or the punctuation . , ; : ! ?, in lower
-case. Where a pattern matched there are no terms.
+A pair whose term leaves at most ``GENERALISE`` bits and gains at least ``GAIN`` bits discloses: the term is
+replaced by its class, and if it leaves at most ``REMOVE`` bits it is removed. So two texts of two are enough to
+generalise and four of four to remove, at every size of the corpus; an entity in over half of all documents has
+too little information for anything to disclose it. A pair (e, t) occurs in a document that has both, anywhere;
+a term is a run of three or more letters between the text's ends, white space, digits, quotes, brackets, hyphens
+or the punctuation . , ; : ! ?, in lower case. Where a pattern matched there are no terms.
 
 Where: a disclosing term is masked wherever it stands in a document of its entity. The spans of the patterns
 always stay; the method adds spans of kind ``term``.
@@ -24,11 +25,14 @@ always stay; the method adds spans of kind ``term``.
 Corpus counts are counts of documents: an aggregate of (entity, term) over the distinct texts with entities,
 one of entities, and one of the hashes of all distinct words of each document. Entities of the very same texts
 have equal counts with every term and are counted as one, so that a list of addresses does not make a pair of
-each address and word. An entity or term in a third of all documents is summed before the shuffle; nothing is
+each address and word; entities of a single text can have no disclosing term and are left out before pairs are
+made, which changes no result. An entity or term in a third of all documents is summed before the shuffle; nothing is
 collected. Terms are named by 64-bit hashes.
 
 Defined results: a null text is empty and stays null when masked; equal texts get equal spans; a null doc_id
-is kept; repeated rows are documents of their own in the counts; an empty table gives no rows.
+is kept; repeated rows are documents of their own in the counts but one sighting of a pair; an empty table gives
+no rows; further columns, whatever their names, are kept. Lists are walked in parts, so that a very long text or
+very many matches take time in proportion. Equal ratios are treated alike.
 """
 
 from __future__ import annotations
@@ -39,10 +43,12 @@ from pyspark.sql import functions as F
 from roadflow.llm.common import SPACE, fresh, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "term")
-MIN_DOCS = 1
-PRIOR_DOCS = 1
-GENERALISE = 0.8
-REMOVE = 0.95
+#: 90 of 100, one-sided.
+Z = 1.2816
+#: Bits of an entity that a term leaves unknown, at most; bits that it gains, at least.
+GENERALISE = 1.0
+REMOVE = 0.5
+GAIN = 1.0
 
 #: The patterns, fixed values in meaning. They are written so that a long run of digits or letters is read
 #: once: possessive repeats where nothing could be given back, and no start inside a run whose start failed
@@ -55,7 +61,7 @@ PATTERNS = {
 }
 #: What a text needs for a pattern to match at all.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-STOPS = rf"{SPACE}.,;:!?0-9\"'`‘’‚“”„«»‹›‐‑‒–—―\-"
+STOPS = rf"{SPACE}.,;:!?0-9\"'`‘’‚“”„«»‹›‐‑‒–—―()\[\]{{}}<>\-"
 TERM = rf"(?<![^{STOPS}])\p{{L}}{{3,}}(?![^{STOPS}])"
 MASKS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
 
@@ -193,51 +199,60 @@ def _terms(text: Column) -> Column:
 
 def found_spans(documents: DataFrame) -> DataFrame:
     """A row per distinct text with any span of the patterns: digest (SHA-256 of the text), copies (documents
-    with it), entities, terms (all, in order) and inside (words that stand in spans only). Written to the shared
-    folder, as all counts and the masking read it: texts are searched once for all of them."""
+    with it), base (the spans), terms (all, in order), inside and bare (words that the spans' places take from the
+    text's and add to them). Written to the shared folder, as counts, masking and reports read it: texts are searched
+    once for all of them."""
     spans = documents.select(text_or_empty().alias("text")).withColumn("base", base_spans(F.col("text")))
     some = lambda x: F.when(F.size("base") > 0, x)
     spans = spans.withColumn("plain", some(_blanked(F.col("text"), F.col("base"))))
     each = spans.select(
         some(F.unhex(F.sha2("text", 256))).alias("digest"),
-        some(F.array_distinct("base.entity")).alias("entities"),
+        some(F.col("base")).alias("base"),
         some(_terms(F.col("plain"))).alias("terms"),
         some(F.array_except(_words(F.col("text")), _words(F.col("plain")))).alias("inside"),
+        some(F.array_except(_words(F.col("plain")), _words(F.col("text")))).alias("bare"),
     )
     each = stored(each, "pii-spans").where("digest is not null")
-    one = each.groupBy("digest").agg(F.count("*").alias("copies"), F.first(F.struct("entities", "terms", "inside")).alias("x"))
+    one = each.groupBy("digest").agg(F.count("*").alias("copies"), F.first(F.struct("base", "terms", "inside", "bare")).alias("x"))
     return stored(one.select("digest", "copies", "x.*"), "pii-texts")
 
 
 def pairs_of(found: DataFrame) -> DataFrame:
-    """(digest, copies, e, n_entity, h): every entity with every term of each text, entities of the same texts
-    as one; e names those, n_entity is the number of their documents."""
-    of = found.select("digest", "copies", F.explode("entities").alias("entity"))
-    same = of.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("digest"))).alias("e"))
-    classes = of.join(same, "entity").groupBy("digest").agg(F.collect_set(F.struct("e", "n_entity")).alias("es"))  # of one text
+    """(digest, copies, e, n_entity, h): every entity of two or more texts with every term of each of them, entities
+    of the same texts as one; e names those, n_entity is the number of their documents."""
+    of = found.select("digest", "copies", F.explode(F.array_distinct("base.entity")).alias("entity"))
+    same = of.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts"), F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("digest"))).alias("e"))
+    classes = of.join(same.where("texts > 1"), "entity").groupBy("digest").agg(F.collect_set(F.struct("e", "n_entity")).alias("es"))  # of one text
     both = found.select("digest", "copies", F.array_distinct("terms.h").alias("hs")).join(classes, "digest")
     return both.select("digest", "copies", "hs", F.inline("es")).select("digest", "copies", "e", "n_entity", F.explode("hs").alias("h"))
 
 
+def surely(n_pair: Column, n_term: Column, texts: Column) -> Column:
+    """The least share of the term's documents that have the entity, at ``Z``, from ``texts`` different sightings."""
+    share = F.least(n_pair / n_term, F.lit(1.0))
+    seen = texts / share
+    spread = F.sqrt(share * (1 - share) / seen + F.lit(Z * Z / 4) / (seen * seen))
+    return (share + F.lit(Z * Z / 2) / seen - Z * spread) / (1 + F.lit(Z * Z) / seen)
+
+
 def disclosing(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """(e, h, ratio) of the pairs whose term discloses its entity, from counts over all documents."""
+    """(e, h, left) of the pairs whose term discloses its entity, from counts over all documents."""
     n = documents.count()
-    pairs = pairs_of(found).where(F.col("n_entity") < n).groupBy("e", "n_entity", "h").agg(F.sum("copies").alias("n_pair")).where(F.col("n_pair") >= MIN_DOCS)
+    pairs = pairs_of(found).groupBy("e", "n_entity", "h").agg(F.sum("copies").alias("n_pair"), F.count("*").alias("texts")).where("texts > 1")
     words = documents.select(F.explode(_words(text_or_empty())).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
-    inside = found.select("copies", F.explode("inside").alias("h")).groupBy("h").agg(F.sum(-F.col("copies")).alias("n"))
-    terms = words.unionByName(inside).groupBy("h").agg(F.sum("n").alias("n_term"))
-    share = F.col("n_entity") / n
-    given = (F.col("n_pair") + PRIOR_DOCS * share) / (F.col("n_term") + PRIOR_DOCS)
-    ratio = 1 + F.ln(given) / -F.ln(share)
-    return pairs.join(terms, "h").select("e", "h", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
+    moved = [found.select("copies", F.explode(c).alias("h")).groupBy("h").agg(F.sum(F.col("copies") * by).alias("n")) for c, by in (("inside", -1), ("bare", 1))]
+    terms = words.unionByName(moved[0]).unionByName(moved[1]).groupBy("h").agg(F.sum("n").alias("n_term"))
+    left = -F.log2(surely(F.col("n_pair"), F.col("n_term"), F.col("texts")))
+    whole = -F.log2(F.col("n_entity") / F.lit(max(n, 1)))
+    weighed = pairs.join(terms, "h").select("e", "h", left.alias("left"), (whole - left).alias("gain"))
+    return weighed.where((F.col("left") <= GENERALISE) & (F.col("gain") >= GAIN)).select("e", "h", "left")
 
 
-def term_spans(documents: DataFrame) -> DataFrame:
-    """(digest, terms): the spans that the method adds to a text, by the text's SHA-256; terms is
+def term_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """(digest, base, terms): for each text of ``found`` the patterns' spans and those that the method adds; terms is
     array<struct<start, kind, end, removed>>."""
-    found = found_spans(documents)
-    marked = pairs_of(found).join(disclosing(documents, found), ["e", "h"]).groupBy("digest", "h").agg(F.max("ratio").alias("ratio"))
-    split = lambda removed: F.collect_list(F.when((F.col("ratio") >= REMOVE) == F.lit(removed), F.col("h")))
+    marked = pairs_of(found).join(disclosing(documents, found), ["e", "h"]).groupBy("digest", "h").agg(F.min("left").alias("left"))
+    split = lambda removed: F.collect_list(F.when((F.col("left") <= REMOVE) == F.lit(removed), F.col("h")))
     masked = marked.groupBy("digest").agg(split(False).alias("general"), split(True).alias("gone"))  # one text's terms
 
     def placed(at: Column, t: Column) -> Column:
@@ -247,16 +262,23 @@ def term_spans(documents: DataFrame) -> DataFrame:
     every = _in_order(F.col("terms"), lambda t: t["gap"] + t["size"], placed, "struct<start:int,kind:int,end:int,removed:boolean,h:bigint>")
     hit = F.filter(every, lambda t: t["removed"] | F.array_contains("general", t["h"]))
     spans = F.transform(hit, lambda t: F.struct(*[t[c].alias(c) for c in ("start", "kind", "end", "removed")]))
-    return masked.join(found.select("digest", "terms"), "digest").select("digest", spans.alias("terms"))
+    some = F.when(F.col("general").isNotNull(), spans)
+    return found.select("digest", "base", "terms").join(masked, "digest", "left").select("digest", "base", some.alias("terms"))
 
 
 def with_spans(documents: DataFrame, base: str, terms: str) -> DataFrame:
     """``documents`` with the spans of the patterns and of disclosing terms in columns of these names."""
     digest = fresh(documents, "_digest")
-    added = term_spans(documents).select(F.col("digest").alias("_of"), F.col("terms").alias(terms))
-    marked = documents.withColumns({base: base_spans(text_or_empty()), digest: F.unhex(F.sha2(text_or_empty(), 256))})
-    joined = marked.join(added, F.col(digest) == F.col("_of"), "left").drop(digest, "_of")
-    return joined.withColumn(terms, F.coalesce(terms, F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>")))
+    found = found_spans(documents)
+    added = term_spans(documents, found).select(F.col("digest").alias("_of"), F.col("base").alias("_base_of"), F.col("terms").alias("_terms_of"))
+    keyed = documents.withColumn(digest, F.unhex(F.sha2(text_or_empty(), 256))).select(F.struct("*").alias("_row"))
+    joined = keyed.join(added, F.col(f"_row.{digest}") == F.col("_of"), "left")
+    spans = lambda c, kind: F.coalesce(c, F.array().cast(f"array<struct<{kind}>>"))
+    return joined.select(
+        *[F.col(f"_row.`{c}`") for c in documents.columns if c not in (base, terms)],
+        spans("_base_of", "start:int,kind:int,end:int,entity:string").alias(base),
+        spans("_terms_of", "start:int,kind:int,end:int,removed:boolean").alias(terms),
+    )
 
 
 def sanitised(documents: DataFrame) -> DataFrame:
