@@ -268,17 +268,13 @@ def term_spans(documents: DataFrame, found: DataFrame) -> DataFrame:
 
 def with_spans(documents: DataFrame, base: str, terms: str) -> DataFrame:
     """``documents`` with the spans of the patterns and of disclosing terms in columns of these names."""
-    digest = fresh(documents, "_digest")
+    digest, of, base_of, terms_of = (fresh(documents, c) for c in ("_digest", "_of", "_base_of", "_terms_of"))
     found = found_spans(documents)
-    added = term_spans(documents, found).select(F.col("digest").alias("_of"), F.col("base").alias("_base_of"), F.col("terms").alias("_terms_of"))
-    keyed = documents.withColumn(digest, F.unhex(F.sha2(text_or_empty(), 256))).select(F.struct("*").alias("_row"))
-    joined = keyed.join(added, F.col(f"_row.{digest}") == F.col("_of"), "left")
-    spans = lambda c, kind: F.coalesce(c, F.array().cast(f"array<struct<{kind}>>"))
-    return joined.select(
-        *[F.col(f"_row.`{c}`") for c in documents.columns if c not in (base, terms)],
-        spans("_base_of", "start:int,kind:int,end:int,entity:string").alias(base),
-        spans("_terms_of", "start:int,kind:int,end:int,removed:boolean").alias(terms),
-    )
+    added = term_spans(documents, found).toDF(of, base_of, terms_of)
+    joined = documents.withColumn(digest, F.unhex(F.sha2(text_or_empty(), 256))).join(added, F.col(digest) == F.col(of), "left")
+    spans = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<struct<{kind}>>"))
+    marked = {base: spans(base_of, "start:int,kind:int,end:int,entity:string"), terms: spans(terms_of, "start:int,kind:int,end:int,removed:boolean")}
+    return joined.withColumns(marked).drop(digest, of, base_of, terms_of)
 
 
 def sanitised(documents: DataFrame) -> DataFrame:
