@@ -1,6 +1,8 @@
 """The pipeline's stages, each against its operator's rule on its own input, and the registered queries."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from roadflow.llm import contamination, pii
 from roadflow.llm.common import stored, table
@@ -39,6 +41,28 @@ def test_stages(spark):
     assert all(any(w in kept[i] for w in r.text.split(" ")[:1] + r.text.split(" ")[-1:] for i in r.doc_ids) for r in mixed)
 
 
+def test_stages_on_edge_rows(spark):
+    """Nulls in all columns, empty and long texts, repeated rows, clashing columns and no rows, through the chain."""
+    docs = table(spark, SF, "documents").limit(0)
+    long = " ".join(f"w{i * 7919 % 10007}" for i in range(20_000))
+    rows = [(1, "plain words of a short text here", "en", "a", 3), (1, "plain words of a short text here", "en", "a", 3)]
+    rows += [(2, None, None, None, None), (3, "", "en", None, 0), (None, "mail to q@x.org about other things today", None, "b", 5), (5, long, "en", "b", len(long))]
+    edge = spark.createDataFrame(rows, docs.schema).withColumns({c: F.lit(7) for c in ("base", "terms", "digest", "h", "score")})
+    for start in (edge, edge.limit(0)):
+        state = start
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            state = stored(stage(spark, state, SF), f"test-edge-{name}")
+            assert state.columns == start.columns, name
+        got = {r.doc_id: r.text for r in state.collect()}
+        mixed = corpus_pipeline.mixing_stage(spark, state, SF).collect()
+        if start is edge:
+            assert state.count() == len(got) == 4 and got[5] == long and got[1] == rows[0][1]
+            assert got[None] == "mail to [EMAIL] about other things today" and got.get(2, "") in (None, "")
+            assert mixed and {i for r in mixed for i in r.doc_ids} <= set(got)
+        else:
+            assert not got and not mixed
+
+
 def test_registered():
     names = list(entry.queries())
     for n in range(1, 11):
