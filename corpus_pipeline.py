@@ -8,6 +8,11 @@ near_duplicates  one document of each SimHash component stays
 decontamination  documents with any window of a benchmark item go
 pii              personal data and the terms that disclose it are masked in place
 mixing           the corpus as blocks of words drawn to the sources' target weights, a row per block taken
+
+Defined results, of every stage: a null text is empty, links with other texts without words, and is otherwise kept; a
+null doc_id or source is a value like any other; repeated rows are near duplicates of each other, so one stays; an
+empty table gives an empty one with the same columns; further columns, whatever their names, pass all stages but the
+last; whole texts are read, however long.
 """
 
 from __future__ import annotations
