@@ -2,10 +2,13 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from roadflow.llm import ngram_lm
@@ -59,3 +62,21 @@ def test_lists_survive_packing():
 
 def test_empty(spark):
     assert ngram_lm.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_memory_of_a_block_is_a_few_numbers_a_word():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 50000, 400))).encode() for _ in range(500)]
+    block = pa.record_batch({"block": [7], "doc_ids": [[*range(500)]], "lengths": [[*map(len, texts)]], "z": [zstandard.compress(b"".join(texts))]})
+    tracemalloc.start()
+    lists = pa.Table.from_batches(ngram_lm._lists(3, 3)(iter([block])))
+    listed = tracemalloc.get_traced_memory()[1]
+    answers = pa.concat_tables([ngram_lm._totals(lists.slice(i, 1)) for i in range(lists.num_rows)])
+    tracemalloc.reset_peak()
+    scored = ngram_lm._scores(3, 1, 200000)(pa.Table.from_batches([block]), answers)
+    peak = max(listed, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    want = brute([t.decode() for t in texts], 3, 1)
+    assert scored.column("n_words").to_pylist() == [n for n, _, _ in want]
+    assert np.allclose(scored.column("score").to_pylist(), [s for _, _, s in want])
+    assert peak < 160 * 200000  # bytes a word; 212 with all hashes, places and answers at once
