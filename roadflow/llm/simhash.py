@@ -74,21 +74,25 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, key string, fp long")
 
 
-def _distance(a: Column, b: Column | int) -> Column:
-    return F.bit_count(a.bitwiseXOR(b if isinstance(b, Column) else F.lit(b - (1 << 64) if b >> 63 else b)))
+def _distance(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def _bins(fps: DataFrame) -> DataFrame:
-    """fp, its pivot distances, and the bin it has in each of the 15 tables."""
-    table = fps.select("fp", F.array(*[_distance(F.col("fp"), p).cast("byte") for p in PIVOTS]).alias("d"))
+    """fp, its pivot distances, and the bin it has in each of the 15 tables.
+
+    Lambdas over short literal lists: written out, the 33 distances and 60 keys make code whose compilation
+    takes more memory than the data.
+    """
+    pivots = F.array(*[F.lit(p - (1 << 64) if p >> 63 else p).cast("long") for p in PIVOTS])
+    groups = F.array(*[F.array(*map(F.lit, range(g, 32, GROUPS))) for g in range(GROUPS)])
+    tables = F.array(*[F.struct(F.lit(t).cast("byte").alias("t"), *[F.lit(g).alias(f"g{j}") for j, g in enumerate(c)]) for t, c in enumerate(combinations(range(GROUPS), GROUPS - 2))])
     # bits of a pair = (distance to zero - distance to the reference + 2) / 2, in base 3 for a short key
-    coordinate = lambda i: (F.col("d")[0] - F.col("d")[i + 1] + 2) / 2
-    groups = [range(g, 32, GROUPS) for g in range(GROUPS)]
-    names = [f"g{g}" for g in range(GROUPS)]
-    for name, members in zip(names, groups, strict=True):
-        table = table.withColumn(name, sum((coordinate(i) * 3**k for k, i in enumerate(members)), F.lit(0)).cast("int"))
-    keys = [F.struct(F.lit(t).cast("byte").alias("t"), *[F.col(names[g]).alias(f"k{j}") for j, g in enumerate(c)]) for t, c in enumerate(combinations(range(GROUPS), GROUPS - 2))]
-    return table.select("fp", "d", F.explode(F.array(*keys)).alias("bin"))
+    coordinate = lambda i: ((F.col("d")[0] - F.col("d")[i + 1] + 2) / 2).cast("int")
+    key = lambda members: F.aggregate(members, F.lit(0), lambda k, i: k * 3 + coordinate(i))
+    named = lambda c: F.struct(c["t"].alias("t"), *[F.col("g")[c[f"g{j}"]].alias(f"k{j}") for j in range(GROUPS - 2)])
+    table = fps.select("fp", F.transform(pivots, lambda p: _distance(F.col("fp"), p).cast("byte")).alias("d"))
+    return table.withColumn("g", F.transform(groups, key)).select("fp", "d", F.explode(F.transform(tables, named)).alias("bin"))
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:

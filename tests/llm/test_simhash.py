@@ -1,6 +1,7 @@
 """SimHash: fingerprints, links and components against brute force."""
 
 import random
+from itertools import combinations
 
 import pandas as pd
 import xxhash
@@ -74,3 +75,20 @@ def test_documents_with_nulls_copies_and_extra_columns(spark):
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_bins_are_those_of_the_pivot_distances_in_little_code(spark, capsys):
+    rng = random.Random(8)
+    fps = [0, (1 << 64) - 1, 1 << 63, *(rng.getrandbits(64) for _ in range(50))]
+    bins = simhash._bins(spark.createDataFrame(pd.DataFrame({"fp": [x - (1 << 64) if x >> 63 else x for x in fps]})))
+    got = {(r.fp % (1 << 64), tuple(r.d), tuple(r.bin)) for r in bins.collect()}
+    want = set()
+    for x in fps:
+        d = tuple((x ^ p).bit_count() for p in simhash.PIVOTS)
+        keys = [0] * simhash.GROUPS
+        for i in range(32):
+            keys[i % simhash.GROUPS] += (x >> (2 * i) & 3).bit_count() * 3 ** (5 - i // simhash.GROUPS if i % simhash.GROUPS < 2 else 4 - i // simhash.GROUPS)
+        want |= {(x, d, (t, *(keys[g] for g in c))) for t, c in enumerate(combinations(range(simhash.GROUPS), 4))}
+    assert got == want
+    bins.explain("codegen")
+    assert len(capsys.readouterr().out) < 40_000  # 197 thousand characters with the distances written out
