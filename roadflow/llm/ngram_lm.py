@@ -218,5 +218,5 @@ def score(documents: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT,
     bits = max(0, int(order * words / range_entries).bit_length())
     blocks = _blocks(documents, block_chars)
     lists = blocks.mapInArrow(_lists(order, bits), "range int, block long, hashes binary, counts binary")
-    answers = stored(lists.groupBy("range").applyInArrow(_totals, "block long, range int, totals binary"), "ngram-totals")
+    answers = stored(lists.groupBy("range").applyInArrow(_totals, "block long, range int, totals binary"), "ngram-totals", tidy=True)
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scores(order, min_count, words), "doc_id long, n_words long, n_unigram long, score double")

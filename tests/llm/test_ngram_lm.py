@@ -9,9 +9,11 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from roadflow.llm import ngram_lm
+from roadflow.llm.common import TIDY
 
 
 def words(t):
@@ -80,3 +82,17 @@ def test_memory_of_a_block_is_a_few_numbers_a_word():
     assert scored.column("n_words").to_pylist() == [n for n, _, _ in want]
     assert np.allclose(scored.column("score").to_pylist(), [s for _, _, s in want])
     assert peak < 160 * 200000  # bytes a word; 212 with all hashes, places and answers at once
+
+
+def test_tidy_tables_leave_no_shuffle_files(spark, monkeypatch):
+    at_write, write = [], DataFrameWriter.parquet
+
+    def parquet(writer, path, *a, **b):
+        at_write.append((path.rsplit("/", 1)[-1][:12], spark.conf.get(TIDY)))
+        return write(writer, path, *a, **b)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    ngram_lm.score(spark.createDataFrame([(1, "a b c")], "doc_id long, text string")).collect()
+    tidied = [on for name, on in at_write if name == "ngram-totals"]
+    assert tidied == ["true"]
+    assert spark.conf.get(TIDY) == "false"
